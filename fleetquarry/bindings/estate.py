@@ -14,6 +14,7 @@ from fleetquarry.plans.compliance import (
 )
 from fleetquarry.plans.inventory import installed_software, linux_system_info, system_info
 from fleetquarry.plans.performance import counter_base, performance_history
+from fleetquarry.sources.sinks import materialise
 
 QUERIES, ORACLES = {}, {}
 
@@ -588,7 +589,7 @@ def _performance_history(spark: SparkSession, sf: str) -> DataFrame:
            WHEN 'FURNITURE' THEN 'Maker.Router' ELSE 'Thing' END AS full_name""",
     )
     base = counter_base(rule, instance, hourly, entity, "2024-01-31 00:00:00")
-    return performance_history(base)
+    return performance_history(materialise(base, "counters"))
 
 
 QUERIES["performance_history"] = _performance_history

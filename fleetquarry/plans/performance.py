@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetquarry.functions.codes import (
@@ -19,7 +19,6 @@ from fleetquarry.functions.codes import (
 from fleetquarry.functions.numbers import complement, mbit
 from fleetquarry.functions.text import after_first, second_segment
 from fleetquarry.functions.times import Moment, day_of, days_before, shift_hours
-from fleetquarry.operators.latest import top_rank
 
 SLICE = ["date_time", "netbios_name"]
 VAR_DISK = "Disk - /var Used (%)"
@@ -87,42 +86,104 @@ def counter_base(
 
 
 def performance_history(base: DataFrame, fix_network: bool = False) -> DataFrame:
-    """One row per host, hour and combination of its counters.
+    """One row per host, hour and combination of its counters, all rows distinct.
 
-    The result is distinct, so the hours of a host and each slice are reduced to the distinct
-    values they show *before* they are joined: repeats of a hot host and hour never multiply,
-    and all joins share one partitioning by hour and host. The network counters show their
-    minimum three times unless ``fix_network`` asks for the value named.
+    One aggregation leaves a row per hour and host with the distinct values of the short
+    slices (memory, CPU, system disk, adapters), combined on the map side. The long slice, all
+    other counters, stays rows: it is made distinct by all of its columns, which no hot host
+    can skew, and joined once. Only then are the short slices unfolded, so the product of the
+    slices is made in the last step and never shuffled. ``base`` is read four times; for a
+    large fact pass it through ``sinks.materialise`` first.
+
+    The network counters show their minimum three times unless ``fix_network`` asks for the
+    value named.
     """
     counter = F.col("counter_name")
     average, low, high = F.col("average_value"), F.col("min_value"), F.col("max_value")
 
-    memory = (
-        base.filter((F.col("object_name") == "Memory") & counter.isin(MEMORY_COUNTERS))
-        .select(
-            *SLICE,
-            used_memory(counter, average, average).alias("memory_average"),
-            used_memory(counter, high, low).alias("memory_max"),
-            used_memory(counter, low, high).alias("memory_min"),
-        )
-        .distinct()
+    named = F.col("netbios_name").isNotNull()  # a host without a name aligns with nothing
+
+    def values(condition: Column, **shown: Column) -> Column:
+        return F.collect_set(F.when(named & condition, F.struct(*[c.alias(n) for n, c in shown.items()])))
+
+    memory = values(
+        (F.col("object_name") == "Memory") & counter.isin(MEMORY_COUNTERS),
+        memory_average=used_memory(counter, average, average),
+        memory_max=used_memory(counter, high, low),
+        memory_min=used_memory(counter, low, high),
     )
-    cpu = (
-        base.filter(F.col("object_name").isin(CPU_OBJECTS) & (counter == CPU_COUNTER))
-        .select(
-            *SLICE,
-            average.alias("cpu_average"),
-            high.alias("cpu_max"),
-            low.alias("cpu_min"),
-        )
-        .distinct()
+    cpu = values(
+        F.col("object_name").isin(CPU_OBJECTS) & (counter == CPU_COUNTER),
+        cpu_average=average,
+        cpu_max=high,
+        cpu_min=low,
     )
+    system_disk = values(
+        ((counter == "% Free Space") & F.col("instance_name").isin("C:", "/")) | (counter == VAR_DISK),
+        system_disk_max=F.when(counter == VAR_DISK, high).otherwise(complement(low)),
+    )
+    adapters = values(
+        is_adapter(),
+        instance=F.col("instance_name"),
+        network_average=mbit(average),
+        network_max=mbit(high),
+    )
+    hours = base.groupBy(*SLICE).agg(
+        F.collect_set(F.struct("date_day", "domain", "device")).alias("host"),
+        memory.alias("memory"),
+        cpu.alias("cpu"),
+        system_disk.alias("system_disk"),
+        adapters.alias("adapters"),
+    )
+    hours = (
+        hours.join(first_adapter(base), "netbios_name", "left")
+        .join(data_interfaces(base), SLICE, "left")
+        .withColumn("network", _network_values())
+        .drop("adapters", "first_adapter", "has_adapter", "data_network")
+    )
+    joined = hours.join(other_counters(base, fix_network), SLICE, "left")
+    for name in ("host", "memory", "cpu", "system_disk", "network"):
+        joined = joined.withColumn(name, F.explode_outer(name))
+    return joined.select(
+        "date_time",
+        "host.date_day",
+        "netbios_name",
+        "host.domain",
+        "host.device",
+        "memory.*",
+        "cpu.*",
+        *OTHER_COLUMNS,
+        "system_disk.*",
+        "network.network_average",
+        "network.network_max",
+    )
+
+
+OTHER_COLUMNS = [
+    "other_max",
+    "other_min",
+    "other_average",
+    "other_object",
+    "other_counter",
+    "other_instance",
+]
+
 
-    def shown(value, mirrored):
+def is_adapter() -> Column:
+    return (F.col("object_name") == "Network Adapter") & (F.col("counter_name") == "Bytes Total/sec")
+
+
+def other_counters(base: DataFrame, fix_network: bool = False) -> DataFrame:
+    """Distinct space, queue and network values in report units."""
+    counter = F.col("counter_name")
+    average, low, high = F.col("average_value"), F.col("min_value"), F.col("max_value")
+
+    def shown(value: Column, mirrored: Column) -> Column:
         return counter_value(counter, value, mirrored, value if fix_network else low)
 
-    other = (
-        base.filter(counter.isin(OTHER_COUNTERS) & ~F.col("instance_name").endswith("/LO/1"))
+    wanted = counter.isin(OTHER_COUNTERS) & ~F.col("instance_name").endswith("/LO/1")
+    return (
+        base.filter(wanted)
         .select(
             *SLICE,
             shown(high, low).alias("other_max"),
@@ -134,49 +195,41 @@ def performance_history(base: DataFrame, fix_network: bool = False) -> DataFrame
         )
         .distinct()
     )
-    free_on_root = (counter == "% Free Space") & F.col("instance_name").isin("C:", "/")
-    system_disk = (
-        base.filter(free_on_root | (counter == VAR_DISK))
-        .select(
-            *SLICE,
-            F.when(counter == VAR_DISK, high).otherwise(complement(low)).alias("system_disk_max"),
-        )
-        .distinct()
-    )
-    network = first_adapter(base).distinct()
-    hours = base.select("date_time", "date_day", "netbios_name", "domain", "device").distinct()
-    joined = hours
-    for piece in (memory, cpu, other, system_disk, network):
-        joined = joined.join(piece, SLICE, "left")
-    return joined.select(
-        "date_time",
-        "date_day",
-        "netbios_name",
-        "domain",
-        "device",
-        *memory.columns[2:],
-        *cpu.columns[2:],
-        *other.columns[2:],
-        "system_disk_max",
-        "network_average",
-        "network_max",
-    ).distinct()
 
 
 def first_adapter(base: DataFrame) -> DataFrame:
-    """Rates of the first adapter of each host by name, and of appliance data interfaces."""
-    counter = F.col("counter_name")
-    adapters = base.filter(
-        (F.col("object_name") == "Network Adapter") & (counter == "Bytes Total/sec")
+    """First network adapter of each host by name, a missing name coming first."""
+    position = F.struct(F.col("instance_name").isNotNull(), F.col("instance_name").alias("name"))
+    first = base.filter(is_adapter()).groupBy("netbios_name").agg(F.min(position).alias("first"))
+    return first.select(
+        "netbios_name", F.col("first.name").alias("first_adapter"), F.lit(True).alias("has_adapter")
     )
-    first = top_rank(adapters, ["netbios_name"], "instance_name").select(
-        *SLICE, "average_value", "max_value"
+
+
+def data_interfaces(base: DataFrame) -> DataFrame:
+    """Rates of an appliance's data interfaces, both directions added up."""
+    data = base.filter(
+        F.col("counter_name").isin(INTERFACE_COUNTERS) & F.col("instance_name").endswith("/1/1")
     )
-    data = base.filter(counter.isin(INTERFACE_COUNTERS) & F.col("instance_name").endswith("/1/1"))
     summed = data.groupBy(*SLICE, "instance_name").agg(
         F.sum("average_value").alias("average_value"), F.sum("max_value").alias("max_value")
     )
-    both = first.unionByName(summed.drop("instance_name"))
-    return both.select(
-        *SLICE, mbit("average_value").alias("network_average"), mbit("max_value").alias("network_max")
+    rates = F.struct(
+        mbit("average_value").alias("network_average"), mbit("max_value").alias("network_max")
+    )
+    return summed.groupBy(*SLICE).agg(F.collect_set(rates).alias("data_network"))
+
+
+def _network_values() -> Column:
+    """Distinct rates of the first adapter and of the data interfaces."""
+    first = F.filter(
+        "adapters",
+        lambda a: F.col("has_adapter") & a["instance"].eqNullSafe(F.col("first_adapter")),
+    )
+    rates = F.transform(
+        first,
+        lambda a: F.struct(
+            a["network_average"].alias("network_average"), a["network_max"].alias("network_max")
+        ),
     )
+    return F.array_distinct(F.concat(rates, F.coalesce("data_network", F.array_except(rates, rates))))

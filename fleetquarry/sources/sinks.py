@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquarry.operators.snapshots import insert_new
+from fleetquarry.session import shared_dir
 from fleetquarry.sources.files import BUILD_SCHEMA, MANIFEST_SCHEMA
 
 
@@ -45,3 +46,14 @@ def append_new(target: DataFrame, batch: DataFrame, keys: Sequence[str], path: s
 def write_html_rows(df: DataFrame, path: str, html: str = "html") -> None:
     """One HTML table row per line; the page around them is the mail job's business."""
     df.select(html).write.mode("overwrite").text(path)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for plans that read it often.
+
+    The copy survives lost executors and keeps column pruning and filter pushdown.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
