@@ -1 +1,418 @@
+"""Shared folders on the test tables: events, permissions, digests, message parsing."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fleetquarry.bindings.common import load
+from fleetquarry.operators.differences import array_changes, combined_permissions, permission_lists
+from fleetquarry.operators.rollups import with_default_rows
+from fleetquarry.plans.shares import (
+    current_permissions,
+    share_change_digest,
+    share_event_digest,
+    share_events_search,
+    share_permissions_latest,
+)
+from fleetquarry.sources.messages import parse_share_events, readable_sd, share_aces
+
 QUERIES, ORACLES = {}, {}
+
+_B = "\\\\"  # one backslash in Spark SQL text
+
+# -- events -------------------------------------------------------------------------------
+
+_MESSAGE = """CASE event_type WHEN 'click' THEN 'A network share object was modified. '
+  WHEN 'error' THEN 'Объект сетевой папки удален. ' WHEN 'purchase' THEN 'A network share object was added.'
+  WHEN 'signup' THEN 'Объект сетевой папки изменен.' ELSE 'Something else' END"""
+
+
+def _system(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "customer").selectExpr(
+        "c_custkey AS resource_id",
+        "c_name AS netbios_name",
+        "CASE WHEN c_nationkey <> 4 THEN concat(c_mktsegment, '.NET') END AS full_domain_name",
+        "c_mktsegment AS resource_domain",
+        "CASE WHEN c_nationkey < 9 THEN 'Windows Server' ELSE 'Windows 10' END AS os_name_and_version",
+    )
+
+
+def _share_events(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "events").selectExpr(
+        "user_id AS resource_id",
+        "event_id AS index",
+        "CASE event_type WHEN 'click' THEN 5143 WHEN 'error' THEN 5144 ELSE 5142 END AS instance_id",
+        """CASE WHEN event_type = 'view' THEN 'no time' WHEN event_type = 'click' THEN date_format(ts, 'MM/dd/yyyy HH:mm:ss')
+           WHEN event_type = 'error' THEN date_format(ts, 'M/d/yyyy h:mm:ss a')
+           ELSE date_format(ts, 'dd.MM.yyyy HH:mm:ss') END AS time_generated""",
+        f"{_MESSAGE} AS message",
+        "concat('acc', user_id) AS account_name",
+        "CASE WHEN user_id % 7 <> 0 THEN 'DOM' END AS account_domain",
+        f"concat('{_B}{_B}*{_B}SHARE', user_id % 25) AS share_name",
+        "concat('C:/', event_id) AS share_path",
+        "concat('old', event_id) AS old_sd",
+        "concat('new', event_id) AS new_sd",
+    )
+
+
+def _share(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "customer").selectExpr(
+        "c_custkey AS resource_id",
+        "concat('SHARE', c_nationkey) AS name",
+        "concat('about ', c_nationkey) AS description",
+        "concat('D:/', c_nationkey) AS path",
+    )
+
+
+def _share_events_search(spark: SparkSession, sf: str) -> DataFrame:
+    return share_events_search(
+        _share_events(spark, sf),
+        _system(spark, sf),
+        _share(spark, sf),
+        domains=["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"],
+        event_types=["Изменение", "Удаление", "Создание"],
+        computer="%.net",
+        folder="ARE",
+    )
+
+
+QUERIES["share_events_search"] = _share_events_search
+ORACLES["share_events_search"] = """
+SELECT user_id AS resource_id, c_name || '.' || lower(c_mktsegment) || '.net' AS computer_name,
+       CASE WHEN c_nationkey < 9 THEN 'Windows Server' ELSE 'Windows 10' END AS os_name_and_version,
+       c_mktsegment AS domain, CASE WHEN user_id % 7 <> 0 THEN 'DOM' || chr(92) || 'acc' || user_id END AS changed_by,
+       CASE event_type WHEN 'click' THEN 5143 WHEN 'error' THEN 5144 ELSE 5142 END AS instance_id,
+       CASE event_type WHEN 'error' THEN 'Удаление' WHEN 'purchase' THEN 'Создание' ELSE 'Изменение' END AS event_type,
+       'new' || event_id AS new_sd, 'old' || event_id AS old_sd, 'SHARE' || user_id % 25 AS shared_folder,
+       CASE WHEN c_nationkey = user_id % 25 THEN 'about ' || c_nationkey END AS remark, 'C:/' || event_id AS share_path,
+       date_trunc('second', ts) AS event_time
+FROM events JOIN customer ON c_custkey = user_id
+WHERE c_mktsegment <> 'MACHINERY' AND c_nationkey <> 4 AND event_type <> 'view'
+"""
+
+
+def _share_events_of_day(spark: SparkSession, sf: str) -> DataFrame:
+    return share_events_search(
+        _share_events(spark, sf),
+        _system(spark, sf),
+        _share(spark, sf),
+        domains=["AUTOMOBILE", "MACHINERY"],
+        event_types=["Изменение", "Something else"],
+        day="2024-01-15 00:00:00",
+    ).select("resource_id", "share_path", "event_time", "event_type")
+
+
+QUERIES["share_events_of_day"] = _share_events_of_day
+ORACLES["share_events_of_day"] = """
+SELECT user_id AS resource_id, 'C:/' || event_id AS share_path, date_trunc('second', ts) AS event_time, 'Изменение' AS event_type
+FROM events JOIN customer ON c_custkey = user_id
+WHERE c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') AND c_nationkey <> 4 AND event_type IN ('click', 'signup')
+  AND date_trunc('second', ts) > TIMESTAMP '2024-01-15 00:00:00' AND date_trunc('second', ts) < TIMESTAMP '2024-01-16 00:00:00'
+"""
+
+
+def _share_event_digest(spark: SparkSession, sf: str) -> DataFrame:
+    return share_event_digest(_share_events(spark, sf), _system(spark, sf), "2024-01-30 12:00:00")
+
+
+QUERIES["share_event_digest"] = _share_event_digest
+ORACLES["share_event_digest"] = """
+WITH e AS (
+  SELECT *, date_trunc('second', ts) AS t, 'SHARE' || user_id % 25 AS share,
+         CASE WHEN user_id % 7 <> 0 THEN 'DOM' || chr(92) || 'acc' || user_id END AS who,
+         CASE WHEN c_nationkey <> 4 THEN c_name || '.' || lower(c_mktsegment) || '.net' END AS full_name,
+         CASE event_type WHEN 'error' THEN 'Delete' WHEN 'purchase' THEN 'Add' ELSE 'Modify' END AS kind
+  FROM events JOIN customer ON c_custkey = user_id WHERE event_type <> 'view')
+SELECT chr(92) || chr(92) || full_name || chr(92) || share AS shared_folder_path, coalesce(full_name, c_name) AS computer_name,
+       share AS share_name, who AS changed_by, t AS event_time, strftime(t, '%d.%m.%Y %H:%M:%S') AS event_time_text,
+       kind AS event_type,
+       '<tr><td class="tg-0pky">' || kind || '</td><td class="tg-0pky">' || strftime(t, '%d.%m.%Y %H:%M:%S')
+         || '</td><td class="tg-0pky">' || coalesce(who, '') || '</td><td class="tg-0pky">' || coalesce(full_name, c_name)
+         || '</td><td class="tg-0pky">' || share || '</td></tr>' AS html
+FROM e WHERE t > TIMESTAMP '2024-01-29 12:00:00'
+"""
+
+
+def _message_fields(spark: SparkSession, sf: str) -> DataFrame:
+    tab = "\\t\\t"
+    common = (
+        f"'Security ID:{tab}', CASE WHEN user_id % 11 = 0 THEN 'S-1-5-18' ELSE concat('S-1-', user_id) END, '\\r\\n', "
+        f"'Account Name:{tab}acc', user_id, '\\r\\nAccount Domain:{tab}DOM\\r\\nLogon ID:{tab}0x', event_id, '\\r\\n\\r\\nShare Information:\\r\\n'"
+    )
+    share = (
+        f"'Share Name:{tab}{_B}{_B}*{_B}', CASE WHEN user_id % 13 = 0 THEN 'sms_dp$' ELSE concat('S', user_id) END, '\\r\\n'"
+    )
+    raw = load(spark, sf, "events").selectExpr(
+        "user_id AS resource_id",
+        "event_id AS index",
+        "CASE event_type WHEN 'click' THEN 5143 WHEN 'view' THEN 4663 WHEN 'error' THEN 5144 ELSE 5142 END AS instance_id",
+        f"""CASE WHEN event_type = 'click' THEN
+              concat('A network share object was modified.\\r\\n\\r\\nSubject:\\r\\n', {common}, 'Object Type:{tab}File\\r\\n', {share},
+                     'Share Path:{tab}C:/a: b\\r\\nOld Remark:{tab}\\r\\nNew Remark:{tab}r', event_id, '\\r\\nOld MaxUsers:{tab}1\\r\\n',
+                     'New Maxusers:{tab}2\\r\\nOld ShareFlags:{tab}0x0\\r\\nNew ShareFlags:{tab}0x1\\r\\nOld SD:{tab}O:BAD:(A;;FA;;;BA)(D;;0x1;;;',
+                     user_id, ')\\r\\nNew SD:{tab}none')
+            ELSE concat('A network share object was added.\\r\\n\\r\\nSubject:\\r\\n', {common}, {share}, 'Share Path:{tab}D:/x ') END AS message""",
+    )
+    names = {"sid": {"BA": "Administrators"}, "type": {"A": "Allow", "D": "Deny"}, "rights": {"FA": "Full"}}
+    parsed = parse_share_events(raw, names)
+    return parsed.withColumn("message", F.rtrim(F.regexp_replace("message", "\r", "")))
+
+
+QUERIES["message_fields"] = _message_fields
+ORACLES["message_fields"] = """
+SELECT user_id AS resource_id, event_id AS index,
+       CASE event_type WHEN 'click' THEN 5143 WHEN 'error' THEN 5144 ELSE 5142 END AS instance_id,
+       CASE event_type WHEN 'click' THEN 'A network share object was modified.' ELSE 'A network share object was added.' END AS message,
+       'S-1-' || user_id AS security_id, 'acc' || user_id AS account_name, 'DOM' AS account_domain, '0x' || event_id AS logon_id,
+       CASE WHEN m THEN 'File' END AS object_type, chr(92) || chr(92) || '*' || chr(92) || 'S' || user_id AS share_name,
+       CASE WHEN m THEN 'C:/a: b' ELSE 'D:/x' END AS share_path, CASE WHEN m THEN '' END AS old_remark,
+       CASE WHEN m THEN 'r' || event_id END AS new_remark, CASE WHEN m THEN '1' END AS old_max_users,
+       CASE WHEN m THEN '2' END AS new_max_users, CASE WHEN m THEN '0x0' END AS old_share_flags,
+       CASE WHEN m THEN '0x1' END AS new_share_flags,
+       CASE WHEN m THEN 'Administrators: Allow (Full) | ' || user_id || ': Deny (0x1)' END AS old_sd,
+       CASE WHEN m THEN 'none' END AS new_sd
+FROM (SELECT *, event_type = 'click' AS m FROM events)
+WHERE event_type <> 'view' AND user_id % 11 <> 0 AND user_id % 13 <> 0
+"""
+
+
+def _readable_sd(spark: SparkSession, sf: str) -> DataFrame:
+    names = {"sid": {"WD": "Everyone"}, "type": {"A": "Allow"}, "rights": {"FR": "Read"}}
+    return load(spark, sf, "supplier").select(
+        "s_suppkey",
+        readable_sd(
+            F.expr(
+                "CASE WHEN s_nationkey < 5 THEN 'not a descriptor' WHEN s_nationkey < 15 THEN "
+                "concat('O:BAG:SYD:(A;;FR;;;WD)(A;OICI;0x', s_suppkey, ';;;S-1-5-', s_nationkey, ')S:(AU;;FR;;;WD)') "
+                "ELSE 'D:(A;;FR)' END"
+            ),
+            names,
+        ).alias("sd"),
+    )
+
+
+QUERIES["readable_sd"] = _readable_sd
+ORACLES["readable_sd"] = """
+SELECT s_suppkey, CASE WHEN s_nationkey < 5 THEN 'not a descriptor' WHEN s_nationkey < 15 THEN
+       'Everyone: Allow (Read) | S-1-5-' || s_nationkey || ': Allow (0x' || s_suppkey || ')' ELSE 'D:(A;;FR)' END AS sd
+FROM supplier
+"""
+
+# -- permissions --------------------------------------------------------------------------
+
+# an order is one scan of its customer's machine, its lines are the entries found
+_SCAN_TEXT = """CASE o_orderstatus WHEN 'F' THEN date_format(o_orderdate, 'yy.MM.dd HH:mm')
+  WHEN 'O' THEN date_format(o_orderdate, 'dd.MM.yyyy HH:mm') ELSE date_format(o_orderdate, 'MM/dd/yyyy HH:mm:ss') END"""
+
+
+def _permissions(spark: SparkSession, sf: str) -> DataFrame:
+    scans = load(spark, sf, "orders").selectExpr(
+        "o_orderkey", "o_custkey AS resource_id", f"{_SCAN_TEXT} AS time_added", "o_orderpriority"
+    )
+    entries = load(spark, sf, "lineitem").join(scans, F.col("l_orderkey") == F.col("o_orderkey"))
+    return entries.selectExpr(
+        "resource_id",
+        "CASE WHEN o_orderpriority = '5-LOW' THEN 'No Shared Folders' ELSE concat('F', l_linenumber % 3) END AS shared_folder_name",
+        "time_added",
+        "CASE l_returnflag WHEN 'A' THEN 'NTFSPermission' WHEN 'N' THEN 'SharedPermission' ELSE 'Odd' END AS permission_type",
+        f"CASE WHEN l_linenumber = 1 THEN 'Все' WHEN l_linenumber = 2 THEN 'BUILTIN{_B}Пользователи' ELSE concat('u', l_suppkey) END AS security_principal",
+        "concat('R', CAST(l_quantity AS int)) AS file_system_rights",
+        "CASE WHEN l_linestatus = 'F' THEN 'AccessAllowed' ELSE 'AccessDenied' END AS access_control_type",
+        "'Inherited' AS access_control_flags",
+        "concat('owner', l_partkey) AS owner",
+    )
+
+
+_ENTRY_SQL = """
+entry AS (
+  SELECT o_custkey AS dev, o_orderdate AS seen, o_orderpriority = '5-LOW' AS empty, l_returnflag AS rf, l_linestatus AS ls,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 'No Shared Folders' ELSE 'F' || l_linenumber % 3 END AS folder,
+         CASE WHEN l_linenumber = 1 THEN 'Everyone' WHEN l_linenumber = 2 THEN 'BUILTIN' || chr(92) || 'Users' ELSE 'u' || l_suppkey END AS who,
+         'R' || CAST(l_quantity AS INTEGER) AS rights, 'owner' || l_partkey AS owner,
+         max(o_orderdate) OVER (PARTITION BY o_custkey) AS last_seen
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+"""
+
+
+def _share_permissions_latest(spark: SparkSession, sf: str) -> DataFrame:
+    return share_permissions_latest(
+        _permissions(spark, sf),
+        _system(spark, sf),
+        _share(spark, sf).selectExpr("resource_id", "concat('F', length(name) % 3) AS name", "description", "path"),
+        domains=["AUTOMOBILE", "BUILDING", "MACHINERY"],
+        permission_type="%S%",
+        security_principal="%e%",
+        folder="F",
+    )
+
+
+QUERIES["share_permissions_latest"] = _share_permissions_latest
+ORACLES["share_permissions_latest"] = f"""
+WITH {_ENTRY_SQL}
+SELECT dev AS resource_id,
+       c_name || CASE WHEN c_nationkey <> 4 THEN '.' || lower(c_mktsegment) || '.net' ELSE '' END AS computer_name,
+       CASE WHEN c_nationkey < 9 THEN 'Windows Server' ELSE 'Windows 10' END AS os_name_and_version,
+       CASE WHEN c_nationkey < 9 THEN 'Сервер' ELSE 'Рабочая станция' END AS device_kind,
+       c_mktsegment AS domain, folder AS shared_folder,
+       CASE WHEN folder = 'F' || length('SHARE' || c_nationkey) % 3 THEN 'about ' || c_nationkey END AS remark,
+       CASE WHEN folder = 'F' || length('SHARE' || c_nationkey) % 3 THEN 'D:/' || c_nationkey END AS path,
+       owner, CASE rf WHEN 'A' THEN 'NTFS' ELSE 'Shared' END AS permission_type, who AS security_principal,
+       CASE WHEN ls = 'F' THEN 'Allowed' ELSE 'Denied' END AS access, rights, 'Inherited' AS access_control_flags,
+       seen AS check_time
+FROM entry JOIN customer ON c_custkey = dev
+WHERE seen = last_seen AND c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY') AND rf IN ('A', 'N')
+  AND who LIKE '%e%' AND folder LIKE '%F%'
+"""
+
+
+def _current_permissions(spark: SparkSession, sf: str) -> DataFrame:
+    return current_permissions(_permissions(spark, sf))
+
+
+_COMBINED = """
+'[Shared]' || coalesce(string_agg(CASE WHEN rf = 'N' THEN '(' || who || ': ' || rights || CASE WHEN ls <> 'F' THEN ' DENY' ELSE '' END || ')' END,
+              '' ORDER BY who, rights, ls DESC), '(UNKNOWN)')
+  || '[NTFS]' || coalesce(string_agg(CASE WHEN rf = 'A' THEN '(' || who || ': ' || rights || CASE WHEN ls <> 'F' THEN ' DENY' ELSE '' END || ')' END,
+              '' ORDER BY who, rights, ls DESC), '(UNKNOWN)')"""
+# access types sort as AccessAllowed < AccessDenied, line status as F < O
+_COMBINED = _COMBINED.replace("ls DESC", "ls")
+QUERIES["current_permissions"] = _current_permissions
+ORACLES["current_permissions"] = f"""
+WITH {_ENTRY_SQL}
+SELECT dev AS resource_id, folder AS shared_folder_name, {_COMBINED} AS permissions
+FROM entry WHERE seen = last_seen AND NOT empty GROUP BY ALL
+"""
+
+
+def _categorised_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    entries = load(spark, sf, "lineitem").selectExpr(
+        "l_orderkey",
+        "CASE l_returnflag WHEN 'A' THEN 'NTFSPermission' WHEN 'N' THEN 'SharedPermission' ELSE 'Odd' END AS permission_type",
+        "concat('u', l_suppkey) AS security_principal",
+        "concat('R', CAST(l_quantity AS int)) AS file_system_rights",
+        "CASE WHEN l_linestatus = 'F' THEN 'AccessAllowed' ELSE 'AccessDenied' END AS access_control_type",
+    )
+    return combined_permissions(entries, ["l_orderkey"])
+
+
+QUERIES["categorised_rollup"] = _categorised_rollup
+ORACLES["categorised_rollup"] = f"""
+SELECT l_orderkey, {_COMBINED} AS permissions
+FROM (SELECT l_orderkey, l_returnflag AS rf, l_linestatus AS ls, 'u' || l_suppkey AS who,
+             'R' || CAST(l_quantity AS INTEGER) AS rights FROM lineitem)
+GROUP BY l_orderkey
+"""
+
+
+def _share_change_digest(spark: SparkSession, sf: str) -> DataFrame:
+    approval = load(spark, sf, "orders").selectExpr(
+        "o_custkey AS resource_id",
+        f"CASE WHEN o_orderpriority = '1-URGENT' THEN concat('{_B}{_B}srv{_B}F', o_orderkey) ELSE concat('F', o_orderkey) END AS shared_folder_name",
+        "CASE o_orderstatus WHEN 'F' THEN 'New' WHEN 'O' THEN 'Modified' ELSE 'Approved' END AS check_status",
+        "o_orderdate AS check_status_time",
+        "'Script' AS changed_by",
+        """CASE WHEN o_orderstatus = 'F' THEN 'None' WHEN o_orderpriority = '5-LOW' THEN NULL
+           ELSE concat('[Shared](a', o_custkey, ': R)(b & c: W)[NTFS](UNKNOWN)') END AS old_permissions""",
+        "concat('[Shared](b & c: W)(a', o_custkey, ': R DENY)[NTFS](x: F', month(o_orderdate), ')') AS new_permissions",
+    )
+    return share_change_digest(approval, _system(spark, sf), "2001-08-02 00:00:00", days=1000)
+
+
+QUERIES["share_change_digest"] = _share_change_digest
+ORACLES["share_change_digest"] = """
+WITH rowsx AS (
+  SELECT o_custkey AS resource_id,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN chr(92) || chr(92) || 'srv' || chr(92) || 'F' || o_orderkey ELSE 'F' || o_orderkey END AS f,
+         upper(c_name) || CASE WHEN c_nationkey <> 4 THEN '.' || lower(c_mktsegment) || '.net' ELSE '' END AS host,
+         CASE WHEN c_nationkey <> 4 THEN upper(c_name) || '.' || lower(c_mktsegment) || '.net' ELSE lower(c_name) END AS unc_host,
+         o_orderdate AS t, CASE o_orderstatus WHEN 'F' THEN 'New' ELSE 'Modified' END AS st,
+         o_orderstatus = 'F' AS is_new, o_orderpriority = '5-LOW' AS low, o_custkey AS c, month(o_orderdate) AS m, o_orderpriority = '1-URGENT' AS urgent
+  FROM orders JOIN customer ON c_custkey = o_custkey
+  WHERE o_orderstatus <> 'P' AND o_orderdate > TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 1000 DAY),
+lined AS (
+  SELECT *, CASE WHEN is_new THEN 'None' WHEN low THEN 'Unknown' ELSE
+         '<strong>Shared</strong><br><font color="red">a' || c || ': R</font><br>b &amp; c: W<br><strong>NTFS</strong><br><font color="red">UNKNOWN</font><br>' END AS old_line,
+         CASE WHEN is_new OR low THEN
+         '<strong>Shared</strong><br><font color="red">b &amp; c: W</font><br><font color="red">a' || c || ': R DENY</font><br><strong>NTFS</strong><br><font color="red">x: F' || m || '</font><br>'
+         ELSE '<strong>Shared</strong><br>b &amp; c: W<br><font color="red">a' || c || ': R DENY</font><br><strong>NTFS</strong><br><font color="red">x: F' || m || '</font><br>' END AS new_line
+  FROM rowsx)
+SELECT resource_id, f AS shared_folder_name, host AS computer_name,
+       CASE WHEN urgent THEN f ELSE chr(92) || chr(92) || unc_host || chr(92) || f END AS folder_path,
+       t AS check_status_time, st AS check_status, 'Script' AS changed_by, old_line, new_line,
+       '<tr><td class="tg-0pky">' || st || '</td><td class="tg-0pky">' || host || '</td><td class="tg-0pky">' || f
+       || '</td><td class="tg-0pky">' || old_line || '</td><td class="tg-0pky">' || new_line || '</td></tr>' AS html
+FROM lined
+"""
+
+
+def _array_diff(spark: SparkSession, sf: str) -> DataFrame:
+    combined = _categorised_rollup(spark, sf)
+    shared, ntfs = permission_lists("permissions")
+    marked = combined.select("l_orderkey", array_changes(shared, ntfs).alias("c"))
+    return marked.select(
+        "l_orderkey",
+        F.array_join(F.transform("c", lambda x: F.when(x["changed"], F.concat(F.lit("!"), x["item"])).otherwise(x["item"])), ",").alias("marked"),
+    )
+
+
+QUERIES["array_diff"] = _array_diff
+ORACLES["array_diff"] = """
+WITH e AS (
+  SELECT l_orderkey, l_returnflag AS rf,
+         'u' || l_suppkey AS who, 'R' || CAST(l_quantity AS INTEGER) AS rights, l_linestatus AS ls,
+         'u' || l_suppkey || ': R' || CAST(l_quantity AS INTEGER) || CASE WHEN l_linestatus <> 'F' THEN ' DENY' ELSE '' END AS item
+  FROM lineitem),
+lists AS (
+  SELECT l_orderkey,
+         coalesce(list(item ORDER BY who, rights, ls) FILTER (rf = 'N'), ['UNKNOWN']) AS s,
+         coalesce(list(item) FILTER (rf = 'A'), ['UNKNOWN']) AS n
+  FROM e GROUP BY 1)
+SELECT l_orderkey, array_to_string([CASE WHEN list_contains(n, x) THEN x ELSE '!' || x END FOR x IN s], ',') AS marked FROM lists
+"""
+
+# -- access entries -----------------------------------------------------------------------
+
+
+def _share_aces(spark: SparkSession, sf: str) -> DataFrame:
+    raw = load(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS resource_id",
+        "CASE l_linenumber WHEN 1 THEN 'ADMIN$' WHEN 2 THEN 'c$' ELSE concat('F', l_linenumber, '$') END AS share_name",
+        "concat('o', l_suppkey) AS owner",
+        "CASE WHEN l_returnflag = 'A' THEN 'DOM' END AS trustee_domain",
+        "CASE WHEN l_returnflag <> 'N' THEN concat('t', l_partkey) END AS trustee_name",
+        "CAST(l_quantity AS bigint) AS access_mask",
+        "l_linenumber % 3 AS ace_type",
+        "l_linenumber AS ace_flags",
+    )
+    rights = {1: "Read", 2: "Write", 4: "Append", 32: "Execute"}
+    return share_aces(raw, "NTFSPermission", rights, {0: "AccessAllowed", 1: "AccessDenied"}, {1: "Object", 2: "Container"})
+
+
+QUERIES["share_aces"] = _share_aces
+ORACLES["share_aces"] = """
+SELECT DISTINCT l_orderkey AS resource_id, 'NTFSPermission' AS permission_type, 'F' || l_linenumber || '$' AS shared_folder_name,
+       'o' || l_suppkey AS owner,
+       CASE WHEN l_returnflag = 'N' THEN 'NOT_RESOLVED' WHEN l_returnflag = 'A' THEN 'DOM' || chr(92) || 't' || l_partkey ELSE 't' || l_partkey END AS security_principal,
+       concat_ws(', ', CASE WHEN CAST(l_quantity AS BIGINT) & 1 = 1 THEN 'Read' END, CASE WHEN CAST(l_quantity AS BIGINT) & 2 = 2 THEN 'Write' END,
+                 CASE WHEN CAST(l_quantity AS BIGINT) & 4 = 4 THEN 'Append' END, CASE WHEN CAST(l_quantity AS BIGINT) & 32 = 32 THEN 'Execute' END) AS file_system_rights,
+       CASE l_linenumber % 3 WHEN 0 THEN 'AccessAllowed' WHEN 1 THEN 'AccessDenied' ELSE '2' END AS access_control_type,
+       concat_ws(', ', CASE WHEN l_linenumber & 1 = 1 THEN 'Object' END, CASE WHEN l_linenumber & 2 = 2 THEN 'Container' END) AS access_control_flags
+FROM lineitem WHERE l_linenumber > 2
+"""
+
+
+def _empty_scan_rows(spark: SparkSession, sf: str) -> DataFrame:
+    devices = load(spark, sf, "orders").selectExpr("o_orderkey AS resource_id")
+    found = load(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS resource_id", "concat('F', l_linenumber) AS shared_folder_name", "l_returnflag AS owner"
+    )
+    return with_default_rows(devices, found, "resource_id", {"shared_folder_name": "No Shared Folders", "owner": ""})
+
+
+QUERIES["empty_scan_rows"] = _empty_scan_rows
+ORACLES["empty_scan_rows"] = """
+SELECT l_orderkey AS resource_id, 'F' || l_linenumber AS shared_folder_name, l_returnflag AS owner FROM lineitem
+UNION ALL
+SELECT o_orderkey, 'No Shared Folders', '' FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+"""
