@@ -1 +1,323 @@
+"""Jobs that carry state, their streams, and file round trips on the test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fleetquarry.bindings.common import load
+from fleetquarry.bindings.shares import _permissions
+from fleetquarry.bindings.software import _UPDATE_XML, _FEED_SQL, _part_pages
+from fleetquarry.operators.latest import upsert
+from fleetquarry.operators.snapshots import (
+    PERMISSION_KEYS,
+    insert_new,
+    merge_events,
+    merge_permissions,
+    reconcile,
+)
+from fleetquarry.plans.servers import build_list, newest_builds
+from fleetquarry.session import shared_dir
+from fleetquarry.sources import files, html, sinks
+from fleetquarry.streaming import stores
+
 QUERIES, ORACLES = {}, {}
+
+# -- reconcile ------------------------------------------------------------------------------
+
+_MIDDLE = "1998-06-01 00:00:00"
+
+
+def _state_and_snapshot(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """State from the first half of all orders, snapshot from the second."""
+    orders = load(spark, sf, "orders").withColumn("early", F.col("o_orderdate") < F.lit(_MIDDLE).cast("timestamp_ntz"))
+    keys = ["o_custkey", "o_orderpriority"]
+    status = F.max("o_orderstatus").alias("p")
+    state = orders.filter("early").groupBy(*keys).agg(status).selectExpr(
+        "o_custkey AS resource_id",
+        "o_orderpriority AS shared_folder_name",
+        "'Approved' AS check_status",
+        "TIMESTAMP_NTZ'2000-01-01 00:00:00' AS check_status_time",
+        "'admin' AS changed_by",
+        "'before' AS old_permissions",
+        "p AS new_permissions",
+    )
+    snapshot = orders.filter("NOT early").groupBy(*keys).agg(status).selectExpr(
+        "o_custkey AS resource_id", "o_orderpriority AS shared_folder_name", "p AS permissions"
+    )
+    return state, snapshot
+
+
+_RECONCILED = f"""
+s AS (SELECT o_custkey AS k, o_orderpriority AS f, max(o_orderstatus) AS p FROM orders WHERE o_orderdate < TIMESTAMP '{_MIDDLE}' GROUP BY ALL),
+n AS (SELECT o_custkey AS k, o_orderpriority AS f, max(o_orderstatus) AS p FROM orders WHERE o_orderdate >= TIMESTAMP '{_MIDDLE}' GROUP BY ALL),
+r AS (
+  SELECT n.k AS resource_id, n.f AS shared_folder_name,
+         CASE WHEN s.p IS NULL THEN 'New' WHEN s.p <> n.p THEN 'Modified' ELSE 'Approved' END AS check_status,
+         CASE WHEN s.p IS NULL OR s.p <> n.p THEN TIMESTAMP '2002-02-02 00:00:00' ELSE TIMESTAMP '2000-01-01 00:00:00' END AS check_status_time,
+         CASE WHEN s.p IS NULL OR s.p <> n.p THEN 'Script' ELSE 'admin' END AS changed_by,
+         CASE WHEN s.p IS NULL THEN 'None' WHEN s.p <> n.p THEN s.p ELSE 'before' END AS old_permissions,
+         n.p AS new_permissions
+  FROM n LEFT JOIN s ON s.k = n.k AND s.f = n.f)
+"""
+
+
+def _reconcile_state(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile(*_state_and_snapshot(spark, sf), "2002-02-02 00:00:00")
+
+
+QUERIES["reconcile_state"] = _reconcile_state
+ORACLES["reconcile_state"] = f"WITH {_RECONCILED} SELECT * FROM r"
+
+
+def _reconcile_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs over written versions; the second, with the same snapshot, changes nothing."""
+    state, snapshot = _state_and_snapshot(spark, sf)
+    root, schema = shared_dir(spark, "approval"), state.schema.simpleString()[7:-1].replace(":", " ")
+    sinks.write_version(state, root, 1)
+    first = reconcile(sinks.read_version(spark, root, 1, schema), snapshot, "2002-02-02 00:00:00")
+    sinks.write_version(first, root, 2)
+    return reconcile(sinks.read_version(spark, root, 2, schema), snapshot, "2003-03-03 00:00:00")
+
+
+QUERIES["reconcile_versions"] = _reconcile_versions
+ORACLES["reconcile_versions"] = f"WITH {_RECONCILED} SELECT * FROM r"
+
+# -- insert if absent and upsert --------------------------------------------------------------
+
+
+def _sheet_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "lineitem").selectExpr(
+        "nullif(l_returnflag, 'N') AS severity",
+        "concat('KB', l_partkey) AS article",
+        "l_linestatus AS impact",
+        "l_shipdate",
+    )
+
+
+def _anti_join_insert(spark: SparkSession, sf: str) -> DataFrame:
+    sheet = _sheet_rows(spark, sf)
+    known = sheet.filter("l_shipdate < TIMESTAMP_NTZ'1996-01-01 00:00:00'").drop("l_shipdate")
+    # the stored table holds '' where the sheet holds nothing
+    known = known.withColumn("severity", F.coalesce("severity", F.lit("")))
+    return insert_new(known, sheet.drop("l_shipdate"), ["severity", "article", "impact"])
+
+
+QUERIES["anti_join_insert"] = _anti_join_insert
+ORACLES["anti_join_insert"] = """
+WITH s AS (SELECT nullif(l_returnflag, 'N') AS severity, 'KB' || l_partkey AS article, l_linestatus AS impact, l_shipdate FROM lineitem)
+SELECT DISTINCT severity, article, impact FROM s
+WHERE NOT EXISTS (SELECT 1 FROM s k WHERE k.l_shipdate < TIMESTAMP '1996-01-01 00:00:00'
+  AND coalesce(k.severity, '') = coalesce(s.severity, '') AND k.article = s.article AND k.impact = s.impact)
+"""
+
+
+def _keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    events = load(spark, sf, "events").select("user_id", "event_type", "ts", "event_id", "value")
+    target = events.filter("ts < TIMESTAMP_NTZ'2024-01-20 00:00:00'").groupBy("user_id", "event_type").agg(
+        F.max("ts").alias("ts"), F.max("event_id").alias("event_id"), F.min("value").alias("value")
+    )
+    batch = events.filter("ts >= TIMESTAMP_NTZ'2024-01-20 00:00:00'")
+    return upsert(target, batch, ["user_id", "event_type"], "ts")
+
+
+QUERIES["keyed_upsert"] = _keyed_upsert
+ORACLES["keyed_upsert"] = """
+WITH b AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+           FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'),
+t AS (SELECT user_id, event_type, max(ts) AS ts, max(event_id) AS event_id, min(value) AS value
+      FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1, 2)
+SELECT user_id, event_type, ts, event_id, value FROM b WHERE rn = 1
+UNION ALL
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.user_id = t.user_id AND b.event_type = t.event_type)
+"""
+
+# -- event and permission stores ---------------------------------------------------------------
+
+_EVENT_COLUMNS = "resource_id bigint, index bigint, instance_id bigint, time_generated string, message string"
+
+
+def _event_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "events").selectExpr(
+        "user_id AS resource_id",
+        "event_id DIV 2 AS index",
+        "CAST(CASE event_type WHEN 'click' THEN 5143 ELSE 5142 END AS bigint) AS instance_id",
+        "date_format(ts, 'dd.MM.yyyy HH:mm:ss') AS time_generated",
+        "concat(event_type, ' ', event_id) AS message",
+        "ts",
+    )
+
+
+def _merge_events(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _event_rows(spark, sf)
+    store = rows.filter("ts < TIMESTAMP_NTZ'2024-01-16 00:00:00'").drop("ts").dropDuplicates(
+        ["resource_id", "index", "instance_id"]
+    ).withColumn("message", F.lit("stored"))
+    batch = rows.filter("ts >= TIMESTAMP_NTZ'2024-01-10 00:00:00'").drop("ts").groupBy(
+        "resource_id", "index", "instance_id"
+    ).agg(F.max("time_generated").alias("time_generated"), F.max("message").alias("message"))
+    merged = merge_events(store, batch, "2024-07-05 00:00:00")
+    return merged.select("resource_id", "index", "instance_id", "message")
+
+
+QUERIES["merge_events"] = _merge_events
+ORACLES["merge_events"] = """
+WITH e AS (SELECT user_id AS r, event_id // 2 AS i, CAST(CASE event_type WHEN 'click' THEN 5143 ELSE 5142 END AS BIGINT) AS n,
+                  date_trunc('second', ts) AS t, ts, event_type || ' ' || event_id AS m FROM events),
+b AS (SELECT r, i, n, max(m) AS m FROM e WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' GROUP BY 1, 2, 3),
+old AS (SELECT DISTINCT r, i, n FROM e WHERE ts < TIMESTAMP '2024-01-16 00:00:00' AND t > TIMESTAMP '2024-07-05 00:00:00' - INTERVAL 180 DAY)
+SELECT r AS resource_id, i AS index, n AS instance_id, m AS message FROM b
+UNION ALL
+SELECT r, i, n, 'stored' FROM old WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.r = old.r AND b.i = old.i AND b.n = old.n)
+"""
+
+
+def _merge_permissions(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _permissions(spark, sf)
+    stamped = rows.filter("time_added NOT LIKE '%/%'")
+    batch = rows.filter("time_added LIKE '%/%'")
+    return merge_permissions(stamped, batch, "2001-08-01 00:00:00").select(*PERMISSION_KEYS, "owner")
+
+
+QUERIES["merge_permissions"] = _merge_permissions
+ORACLES["merge_permissions"] = """
+SELECT o_custkey AS resource_id, CASE WHEN o_orderpriority = '5-LOW' THEN 'No Shared Folders' ELSE 'F' || l_linenumber % 3 END AS shared_folder_name,
+       CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%y.%m.%d %H:%M') WHEN 'O' THEN strftime(o_orderdate, '%d.%m.%Y %H:%M')
+            ELSE strftime(o_orderdate, '%m/%d/%Y %H:%M:%S') END AS time_added,
+       CASE l_returnflag WHEN 'A' THEN 'NTFSPermission' WHEN 'N' THEN 'SharedPermission' ELSE 'Odd' END AS permission_type,
+       CASE WHEN l_linenumber = 1 THEN 'Все' WHEN l_linenumber = 2 THEN 'BUILTIN' || chr(92) || 'Пользователи' ELSE 'u' || l_suppkey END AS security_principal,
+       'R' || CAST(l_quantity AS INTEGER) AS file_system_rights,
+       CASE WHEN l_linestatus = 'F' THEN 'AccessAllowed' ELSE 'AccessDenied' END AS access_control_type,
+       max('owner' || l_partkey) AS owner
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+WHERE o_orderstatus = 'P' OR o_orderdate > TIMESTAMP '2001-08-01 00:00:00' - INTERVAL 180 DAY
+GROUP BY ALL
+"""
+
+# -- streams ----------------------------------------------------------------------------------
+
+
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    schema = load(spark, sf, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def _event_store_stream(spark: SparkSession, sf: str) -> DataFrame:
+    root = shared_dir(spark, "event-store")
+    rows = _event_stream(spark, sf).selectExpr(
+        "user_id AS resource_id",
+        "event_id DIV 2 AS index",
+        "CAST(CASE event_type WHEN 'click' THEN 5143 ELSE 5142 END AS bigint) AS instance_id",
+        "date_format(ts, 'dd.MM.yyyy HH:mm:ss') AS time_generated",
+        "concat(event_type, ' ', event_id) AS message",
+    )
+    stores.start_event_store(rows, f"{root}/data", f"{root}/progress").awaitTermination()
+    return stores.read_store(spark, f"{root}/data", _EVENT_COLUMNS, order=["message"]).drop("time_generated")
+
+
+QUERIES["event_store_stream"] = _event_store_stream
+ORACLES["event_store_stream"] = """
+SELECT user_id AS resource_id, event_id // 2 AS index, CAST(CASE event_type WHEN 'click' THEN 5143 ELSE 5142 END AS BIGINT) AS instance_id,
+       max(event_type || ' ' || event_id) AS message
+FROM events GROUP BY 1, 2, 3
+"""
+
+
+def _insert_new_stream(spark: SparkSession, sf: str) -> DataFrame:
+    root = shared_dir(spark, "insert-new")
+    rows = _event_stream(spark, sf).selectExpr("user_id", "event_type")
+    schema = "user_id bigint, event_type string"
+    stores.start_insert_new(
+        rows, f"{root}/data", f"{root}/progress", schema, ["user_id", "event_type"]
+    ).awaitTermination()
+    return spark.read.schema(schema).parquet(f"{root}/data/*")
+
+
+QUERIES["insert_new_stream"] = _insert_new_stream
+ORACLES["insert_new_stream"] = "SELECT DISTINCT user_id, event_type FROM events"
+
+# -- files ------------------------------------------------------------------------------------
+
+
+def _builds_file(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_dir(spark, "builds")
+    sinks.write_builds(build_list(_part_pages(spark, sf)), path)
+    return newest_builds(files.read_builds(spark, path), "version").select("build", "file_version", "update_name")
+
+
+QUERIES["builds_file"] = _builds_file
+ORACLES["builds_file"] = """
+SELECT '15.' || p_size || '.2' AS build, '20' || (10 + p_size % 6) || '.' || p_partkey || '.2' AS file_version, p_name AS update_name
+FROM (SELECT *, max(p_partkey) OVER (PARTITION BY p_size % 6) AS top FROM part) WHERE p_partkey = top
+"""
+
+
+def _manifest_file(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_dir(spark, "manifest")
+    sinks.write_manifest(
+        load(spark, sf, "part").selectExpr(
+            "concat('f', p_partkey, '.cab') AS file_name", "concat('http://x/\"', p_name, '\",', p_partkey) AS source_url"
+        ),
+        path,
+    )
+    return files.read_manifest(spark, path)
+
+
+QUERIES["manifest_file"] = _manifest_file
+ORACLES["manifest_file"] = """
+SELECT 'f' || p_partkey || '.cab' AS file_name, 'http://x/"' || p_name || '",' || p_partkey AS source_url FROM part
+"""
+
+
+def _cve_sheet_file(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_dir(spark, "sheet")
+    sheet = load(spark, sf, "part").selectExpr(
+        "'2024-02-03' AS `Date`",
+        "p_name AS `Product`",
+        "p_brand AS `Product Family`",
+        "nullif(p_type, 'LARGE') AS `Platform`",
+        "concat('''', p_partkey) AS `Article`",
+        "'Security, Update' AS `Download`",
+        "CAST(p_size AS string) AS `Severity`",
+        "CAST(NULL AS string) AS `Impact`",
+        "concat('CVE-', p_partkey) AS `Details`",
+    )
+    sheet.write.csv(path, header=True)
+    return files.read_cve_sheet(spark, path)
+
+
+QUERIES["cve_sheet_file"] = _cve_sheet_file
+ORACLES["cve_sheet_file"] = """
+SELECT TIMESTAMP '2024-02-03 00:00:00' AS release_date, p_name AS product, p_brand AS product_family,
+       CASE WHEN p_type = 'LARGE' THEN '' ELSE p_type END AS platform, CAST(p_partkey AS VARCHAR) AS article,
+       'Security, Update' AS update_classification, CAST(p_size AS VARCHAR) AS severity, '' AS impact, 'CVE-' || p_partkey AS cve
+FROM part
+"""
+
+
+def _update_feed_file(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_dir(spark, "feed")
+    feed = files.updates_from_text(load(spark, sf, "part").selectExpr(f"{_UPDATE_XML} AS xml"), "xml")
+    feed.write.format("xml").options(rootTag="updates", rowTag="update").save(path)
+    return files.update_packages(files.read_updateinfo(spark, path))
+
+
+QUERIES["update_feed_file"] = _update_feed_file
+ORACLES["update_feed_file"] = f"""
+WITH {_FEED_SQL}
+SELECT 'final' AS status, type, id, title, date, name, version, release, file AS file_name FROM pkg
+"""
+
+
+def _html_page_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Digest rows written as files, read back as whole pages, and cut into rows again."""
+    path = shared_dir(spark, "digest")
+    part = load(spark, sf, "part")
+    sinks.write_html_rows(part.select(html.html_row("p_partkey", "p_name", "p_type").alias("html")), path)
+    rows = html.html_table_rows(html.read_pages(spark, path))
+    cells = F.regexp_extract_all("inner_html", F.lit(r"<td[^>]*>([^<]*)</td>"), F.lit(1))
+    return rows.select(*[F.get(cells, i).alias(n) for i, n in enumerate(("key", "name", "kind"))])
+
+
+QUERIES["html_page_files"] = _html_page_files
+ORACLES["html_page_files"] = "SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS name, p_type AS kind FROM part"
