@@ -47,7 +47,7 @@ def mask_names(mask: ColumnOrName, names: dict[int, str], separator: str = ", ")
         F.when(mask.bitwiseAND(F.lit(bits).cast("long")) == bits, F.lit(name))
         for bits, name in names.items()
     ]
-    return F.array_join(F.array_compact(F.array(*hits)), separator)
+    return F.concat_ws(separator, *hits)
 
 
 def disk_space(size: ColumnOrName, free: ColumnOrName) -> list[Column]:

@@ -16,8 +16,12 @@ from fleetquarry.functions.text import ColumnOrName, as_column
 NTZ = "timestamp_ntz"
 Moment = datetime | date | str | Column
 
-_DAY_SHAPE = r"^\s*\d{1,4}[-./]\d{1,2}[-./]\d{1,4}"
-_CLOCK_SHAPE = r"(\s+\d{1,2}:\d{1,2}(:\d{1,2}([.]\d+)?)?(\s*[AaPp][Mm])?)?\s*$"
+# three numbers, perhaps a clock time and a half of the day; the groups are reordered to ISO
+_WRITTEN = (
+    r"^\s*(\d{1,2})[-./](\d{1,2})[-./](\d{1,4})"
+    r"(?:\s+(\d{1,2}:\d{1,2}(?::\d{1,2}(?:[.]\d{1,6})?)?)\s*([AaPp][Mm])?)?\s*$"
+)
+_HALF_DAYS = "y-M-d h:m[:s[.SSSSSS]] a"
 
 
 def moment(value: Moment) -> Column:
@@ -54,62 +58,32 @@ def on_day(value: ColumnOrName, day: Moment) -> Column:
     return (value > moment(day)) & (value < days_after(day, 1))
 
 
-def _from_tokens(text: Column, year: int, month: int, day: int, short_year: bool) -> Column:
-    token = F.split(F.trim(text), "[^0-9]+")
-
-    def number(i: int) -> Column:
-        return F.get(token, i).try_cast("int")
-
-    full_year = number(year)
-    if short_year:
-        # two digits: 00-49 are this century, 50-99 the last one
-        full_year = full_year + F.when(full_year < 50, F.lit(2000)).otherwise(F.lit(1900))
-    hour = F.coalesce(number(3), F.lit(0))
-    is_pm, is_am = text.rlike("(?i)pm\\s*$"), text.rlike("(?i)am\\s*$")
-    hour = F.when(is_pm & (hour < 12), hour + 12).when(is_am & (hour == 12), F.lit(0)).otherwise(hour)
-    fraction = F.regexp_extract(text, r":\d{1,2}([.]\d{1,6})", 1)
-    seconds = (
-        F.coalesce(number(5), F.lit(0)).cast("decimal(16,6)")
-        + F.coalesce(F.concat(F.lit("0"), fraction).try_cast("decimal(16,6)"), F.lit(0))
-    ).cast("decimal(16,6)")
-    return F.try_make_timestamp_ntz(
-        full_year, number(month), number(day), hour, F.coalesce(number(4), F.lit(0)), seconds
-    )
-
-
-def _shaped(text: Column) -> Column:
-    return text.rlike(_DAY_SHAPE + _CLOCK_SHAPE)
-
-
 def parse_mixed(value: ColumnOrName, short_years: bool = True) -> Column:
     """A time from text whose layout its punctuation tells.
 
     ``yy.MM.dd`` when a two-digit last part precedes a blank (only with ``short_years``),
-    day-month-year without a slash, month/day/year with one. Anything else is NULL.
+    day-month-year without a slash, month/day/year with one. Anything else is NULL. Each row
+    costs one replacement into ISO text and one cast.
     """
     text = as_column(value)
-    day_first = _from_tokens(text, 2, 1, 0, False)
-    month_first = _from_tokens(text, 2, 0, 1, False)
-    chosen = F.when(~text.contains("/"), day_first).otherwise(month_first)
+    order = F.when(text.contains("/"), F.lit("$3-$1-$2 $4 $5")).otherwise(F.lit("$3-$2-$1 $4 $5"))
     if short_years:
-        chosen = F.when(text.rlike(r"[.].. "), _from_tokens(text, 0, 1, 2, True)).otherwise(chosen)
-    return F.when(_shaped(text), chosen)
+        # two digits: 00-49 are this century, 50-99 the last one
+        century = F.when(F.ltrim(text) < "5", F.lit("20")).otherwise(F.lit("19"))
+        short = F.concat(century, F.lit("$1-$2-$3 $4 $5"))
+        order = F.when(text.rlike("[.].. "), short).otherwise(order)
+    iso = F.regexp_replace(text, F.lit(_WRITTEN), order)
+    halved = F.try_to_timestamp(F.upper(iso), F.lit(_HALF_DAYS)).cast(NTZ)
+    time = F.when(text.rlike(r"(?i)[ap]m\s*$"), halved).otherwise(iso.try_cast(NTZ))
+    # text of another shape comes through the replacement as it was; a cast could read some
+    return F.when(text.rlike(r"^\s*\d{1,2}[-./]"), time)
 
 
 def parse_compact_day(value: ColumnOrName) -> Column:
     """The day of ``yyyyMMdd...``; NULL for anything else."""
     text = as_column(value)
-    return F.when(
-        text.rlike(r"^\d{8}"),
-        F.try_make_timestamp_ntz(
-            F.substring(text, 1, 4).try_cast("int"),
-            F.substring(text, 5, 2).try_cast("int"),
-            F.substring(text, 7, 2).try_cast("int"),
-            F.lit(0),
-            F.lit(0),
-            F.lit(0).cast("decimal(16,6)"),
-        ),
-    )
+    iso = F.regexp_replace(text, r"(?s)^(\d{4})(\d{2})(\d{2}).*$", "$1-$2-$3")
+    return F.when(text.rlike(r"^\d{8}"), iso).try_cast("date").cast(NTZ)
 
 
 def parse_iso_day(value: ColumnOrName) -> Column:

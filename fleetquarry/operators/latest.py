@@ -114,5 +114,4 @@ def upsert(
 
 def drop_older(df: DataFrame, stamp: Column, as_of: Moment, days: int) -> DataFrame:
     """Rows newer than ``days`` before ``as_of``; rows without a readable time stay."""
-    stamp = stamp.cast(NTZ)
-    return df.filter(stamp.isNull() | (stamp > days_before(as_of, days)))
+    return df.filter(F.coalesce(stamp.cast(NTZ) > days_before(as_of, days), F.lit(True)))

@@ -57,4 +57,4 @@ def security_audit(
         F.col("string03").alias("ticket_options"),
         "category",
         "event_machine",
-    ).orderBy(F.desc("event_time"))
+    ).orderBy(F.desc("event_time"), "event_machine", "target_user", "client_address")

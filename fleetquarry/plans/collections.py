@@ -41,5 +41,6 @@ def device_collections(
         .select(
             "member", "collection_id", "collection_name", "comment", "folder_name", "last_refresh"
         )
-        .orderBy("folder_name", "collection_name")
+        # the member breaks ties, so that one large collection is not sorted by one task
+        .orderBy("folder_name", "collection_name", "member")
     )

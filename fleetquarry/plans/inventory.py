@@ -71,7 +71,7 @@ def installed_software(
             "last_policy_request",
             "last_hardware_scan",
         )
-        .orderBy("product_name", "version", "netbios_name")
+        .orderBy("product_name", "version", "netbios_name", "resource_id")
     )
 
 
@@ -175,7 +175,7 @@ def linux_system_info(
         )
         .distinct()
     )
-    return report.orderBy("netbios_name") if ordered else report
+    return report.orderBy("netbios_name", "resource_id") if ordered else report
 
 
 def system_info(

@@ -112,7 +112,7 @@ def server_version_compliance(
     return (
         joined.groupBy(*shown)
         .agg(F.max("organizational_unit").alias("organizational_unit"))
-        .orderBy("line", "netbios_name")
+        .orderBy("line", "netbios_name", "service")
         .select(
             "netbios_name",
             F.col("resource_domain").alias("domain"),

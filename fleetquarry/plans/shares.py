@@ -185,7 +185,9 @@ def share_event_digest(
         "html",
         html_row("event_type", "event_time_text", "changed_by", "computer_name", "share_name"),
     )
-    return digest.orderBy(F.desc("event_time")) if ordered else digest
+    if not ordered:
+        return digest
+    return digest.orderBy(F.desc("event_time"), "computer_name", "share_name")
 
 
 def share_change_digest(

@@ -60,13 +60,12 @@ def share_events(df: DataFrame) -> DataFrame:
 
 
 def message_values(message: ColumnOrName) -> Column:
-    """Values of the ``label:<tab><tab>value`` lines of a message, in order, trimmed.
+    """Values of the ``label:<tab><tab>value`` lines of a message, in order, blanks included.
 
     Lines end at a line feed only, so a value of a lone carriage return is an empty value
     that keeps its place.
     """
-    found = F.regexp_extract_all(as_column(message), F.lit("(?d)(.+):\t\t(.+)"), F.lit(2))
-    return F.transform(found, lambda v: F.btrim(v, F.lit(" \t\r")))
+    return F.regexp_extract_all(as_column(message), F.lit("(?d)(.+):\t\t(.+)"), F.lit(2))
 
 
 def parse_share_events(
@@ -76,16 +75,16 @@ def parse_share_events(
 
     Events of the system account and of the excluded shares are left out.
     """
-    values = share_events(raw).withColumn("__v", message_values("message"))
+    # one-element explode: filters on the fields cannot be pushed below it, which would run
+    # the pattern once more per condition
+    values = share_events(raw).select("*", F.explode(F.array(message_values("message"))).alias("__v"))
     modified = F.col("instance_id") == MODIFIED_EVENT_ID
 
     def field(name: str) -> Column:
         out = F.when(modified, F.get(F.col("__v"), MODIFIED_FIELDS.index(name)))
         if name in CREATED_FIELDS:
             out = out.otherwise(F.get(F.col("__v"), CREATED_FIELDS.index(name)))
-        if name in ("old_sd", "new_sd"):
-            out = readable_sd(out, sd_names or {})
-        return out.alias(name)
+        return F.btrim(out, F.lit(" \t\r")).alias(name)
 
     keep = [c for c in raw.columns if c not in ("message", *MODIFIED_FIELDS)]
     first_line = F.substring_index(F.col("message"), "\n", 1)
@@ -93,8 +92,11 @@ def parse_share_events(
     excluded = [s.lower() for s in EXCLUDED_SHARES]
     system = F.lower("security_id") == SYSTEM_ACCOUNT.lower()
     hidden = F.lower("share_name").isin(excluded)
-    return parsed.filter(
-        ~F.coalesce(system, F.lit(False)) & ~F.coalesce(hidden, F.lit(False))
+    shown = parsed.filter(~F.coalesce(system, F.lit(False)) & ~F.coalesce(hidden, F.lit(False)))
+    if sd_names is None:
+        return shown
+    return shown.withColumns(
+        {name: readable_sd(name, sd_names) for name in ("old_sd", "new_sd")}
     )
 
 
