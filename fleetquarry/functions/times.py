@@ -21,7 +21,6 @@ _WRITTEN = (
     r"^\s*(\d{1,2})[-./](\d{1,2})[-./](\d{1,4})"
     r"(?:\s+(\d{1,2}:\d{1,2}(?::\d{1,2}(?:[.]\d{1,6})?)?)\s*([AaPp][Mm])?)?\s*$"
 )
-_HALF_DAYS = "y-M-d h:m[:s[.SSSSSS]] a"
 
 
 def moment(value: Moment) -> Column:
@@ -41,7 +40,7 @@ def day_of(value: ColumnOrName) -> Column:
 
 
 def hour_of(value: ColumnOrName) -> Column:
-    return F.date_trunc("hour", as_column(value)).cast(NTZ)
+    return day_of(value) + F.make_dt_interval(F.lit(0), F.hour(as_column(value).cast(NTZ)))
 
 
 def days_before(as_of: Moment, days: int) -> Column:
@@ -73,7 +72,12 @@ def parse_mixed(value: ColumnOrName, short_years: bool = True) -> Column:
         short = F.concat(century, F.lit("$1-$2-$3 $4 $5"))
         order = F.when(text.rlike("[.].. "), short).otherwise(order)
     iso = F.regexp_replace(text, F.lit(_WRITTEN), order)
-    halved = F.try_to_timestamp(F.upper(iso), F.lit(_HALF_DAYS)).cast(NTZ)
+    hour = F.regexp_extract(text, r"\s(\d{1,2}):", 1).try_cast("int")
+    afternoon = text.rlike(r"(?i)pm\s*$")
+    shift = F.when(afternoon & (hour < 12), F.lit(12)).when(~afternoon & (hour == 12), F.lit(-12))
+    halved = F.regexp_replace(iso, "(?i)[ap]m$", "").try_cast(NTZ) + F.make_dt_interval(
+        F.lit(0), F.coalesce(shift, F.lit(0))
+    )
     time = F.when(text.rlike(r"(?i)[ap]m\s*$"), halved).otherwise(iso.try_cast(NTZ))
     # text of another shape comes through the replacement as it was; a cast could read some
     return F.when(text.rlike(r"^\s*\d{1,2}[-./]"), time)
@@ -92,8 +96,14 @@ def parse_iso_day(value: ColumnOrName) -> Column:
 
 
 def minute_text(value: ColumnOrName) -> Column:
-    return F.date_format(as_column(value), "dd.MM.yyyy HH:mm")
+    return _rearranged(value, r"\d\d:\d\d")
 
 
 def second_text(value: ColumnOrName) -> Column:
-    return F.date_format(as_column(value), "dd.MM.yyyy HH:mm:ss")
+    return _rearranged(value, r"\d\d:\d\d:\d\d")
+
+
+def _rearranged(value: ColumnOrName, clock: str) -> Column:
+    """``dd.MM.yyyy`` and a clock time from the text form, which no time zone touches."""
+    iso = as_column(value).cast(NTZ).cast("string")
+    return F.regexp_replace(iso, rf"^(\d+)-(\d\d)-(\d\d) ({clock}).*$", "$3.$2.$1 $4")

@@ -178,6 +178,20 @@ def test_other_times(column):
     assert column(times.on_day("v", day), *edges, kind="timestamp_ntz") == [False, True, True, False, None]
 
 
+def test_times_do_not_depend_on_the_session_zone(spark, column):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # this hour does not exist there
+        for written in ("10.03.2024 02:30:00", "3/10/2024 2:30:00 AM", "03/10/2024 02:30"):
+            parsed = times.parse_mixed("v")
+            assert column(times.second_text(parsed), written) == ["10.03.2024 02:30:00"]
+            assert column(times.minute_text(times.hour_of(parsed)), written) == ["10.03.2024 02:00"]
+            assert column(times.second_text(times.shift_hours(parsed)), written) == ["10.03.2024 05:30:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_enforcement_message(spark):
     df = spark.createDataFrame(
         [(1000, 0), (1000, 2), (7777, 2), (7777, 0), (None, 0), (None, 2), (5010, None)], "s int, o int"
