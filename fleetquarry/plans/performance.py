@@ -19,6 +19,7 @@ from fleetquarry.functions.codes import (
 from fleetquarry.functions.numbers import complement, mbit
 from fleetquarry.functions.text import after_first, second_segment
 from fleetquarry.functions.times import Moment, day_of, days_before, shift_hours
+from fleetquarry.operators.latest import top_rank
 
 SLICE = ["date_time", "netbios_name"]
 VAR_DISK = "Disk - /var Used (%)"
@@ -88,77 +89,43 @@ def counter_base(
 def performance_history(base: DataFrame, fix_network: bool = False) -> DataFrame:
     """One row per host, hour and combination of its counters, all rows distinct.
 
-    One aggregation leaves a row per hour and host with the distinct values of the short
-    slices (memory, CPU, system disk, adapters), combined on the map side. The long slice, all
-    other counters, stays rows: it is made distinct by all of its columns, which no hot host
-    can skew, and joined once. Only then are the short slices unfolded, so the product of the
-    slices is made in the last step and never shuffled. ``base`` is read four times; for a
-    large fact pass it through ``sinks.materialise`` first.
+    Hours and slices are made distinct on what they show before they meet, hashed by all of
+    their columns, so repeats of a hot host and hour are combined on the map side and never
+    multiply. The joins share one key; a hot key among them is split by the skew rule, and no
+    group is ever collected into one value. As every slice is distinct, so is their product,
+    which is made in the joins and not shuffled again. The longest slice comes last. ``base``
+    is read once per slice: pass a large fact through ``sinks.materialise`` first.
 
     The network counters show their minimum three times unless ``fix_network`` asks for the
     value named.
     """
-    counter = F.col("counter_name")
-    average, low, high = F.col("average_value"), F.col("min_value"), F.col("max_value")
-
-    named = F.col("netbios_name").isNotNull()  # a host without a name aligns with nothing
-
-    def values(condition: Column, **shown: Column) -> Column:
-        return F.collect_set(F.when(named & condition, F.struct(*[c.alias(n) for n, c in shown.items()])))
-
-    memory = values(
-        (F.col("object_name") == "Memory") & counter.isin(MEMORY_COUNTERS),
-        memory_average=used_memory(counter, average, average),
-        memory_max=used_memory(counter, high, low),
-        memory_min=used_memory(counter, low, high),
-    )
-    cpu = values(
-        F.col("object_name").isin(CPU_OBJECTS) & (counter == CPU_COUNTER),
-        cpu_average=average,
-        cpu_max=high,
-        cpu_min=low,
-    )
-    system_disk = values(
-        ((counter == "% Free Space") & F.col("instance_name").isin("C:", "/")) | (counter == VAR_DISK),
-        system_disk_max=F.when(counter == VAR_DISK, high).otherwise(complement(low)),
-    )
-    adapters = values(
-        is_adapter(),
-        instance=F.col("instance_name"),
-        network_average=mbit(average),
-        network_max=mbit(high),
-    )
-    hours = base.groupBy(*SLICE).agg(
-        F.collect_set(F.struct("date_day", "domain", "device")).alias("host"),
-        memory.alias("memory"),
-        cpu.alias("cpu"),
-        system_disk.alias("system_disk"),
-        adapters.alias("adapters"),
-    )
-    hours = (
-        hours.join(first_adapter(base), "netbios_name", "left")
-        .join(data_interfaces(base), SLICE, "left")
-        .withColumn("network", _network_values())
-        .drop("adapters", "first_adapter", "has_adapter", "data_network")
-    )
-    joined = hours.join(other_counters(base, fix_network), SLICE, "left")
-    for name in ("host", "memory", "cpu", "system_disk", "network"):
-        joined = joined.withColumn(name, F.explode_outer(name))
+    joined = base.select("date_time", "date_day", "netbios_name", "domain", "device").distinct()
+    slices = [
+        system_disk(base),
+        cpu_counters(base),
+        memory_counters(base),
+        network_counters(base),
+        other_counters(base, fix_network),
+    ]
+    for piece in slices:
+        joined = joined.join(piece, SLICE, "left")
     return joined.select(
         "date_time",
-        "host.date_day",
+        "date_day",
         "netbios_name",
-        "host.domain",
-        "host.device",
-        "memory.*",
-        "cpu.*",
+        "domain",
+        "device",
+        *MEMORY_COLUMNS,
+        *CPU_COLUMNS,
         *OTHER_COLUMNS,
-        "system_disk.*",
-        "network.network_average",
-        "network.network_max",
+        "system_disk_max",
+        "network_average",
+        "network_max",
     )
 
 
+MEMORY_COLUMNS = ["memory_average", "memory_max", "memory_min"]
+CPU_COLUMNS = ["cpu_average", "cpu_max", "cpu_min"]
 OTHER_COLUMNS = [
     "other_max",
     "other_min",
@@ -169,8 +136,44 @@ OTHER_COLUMNS = [
 ]
 
 
-def is_adapter() -> Column:
-    return (F.col("object_name") == "Network Adapter") & (F.col("counter_name") == "Bytes Total/sec")
+def memory_counters(base: DataFrame) -> DataFrame:
+    """Distinct used-memory values, free memory turned around."""
+    counter = F.col("counter_name")
+    wanted = (F.col("object_name") == "Memory") & counter.isin(MEMORY_COUNTERS)
+    return (
+        base.filter(wanted)
+        .select(
+            *SLICE,
+            used_memory(counter, "average_value", "average_value").alias("memory_average"),
+            used_memory(counter, "max_value", "min_value").alias("memory_max"),
+            used_memory(counter, "min_value", "max_value").alias("memory_min"),
+        )
+        .distinct()
+    )
+
+
+def cpu_counters(base: DataFrame) -> DataFrame:
+    """Distinct processor values."""
+    wanted = F.col("object_name").isin(CPU_OBJECTS) & (F.col("counter_name") == CPU_COUNTER)
+    return (
+        base.filter(wanted)
+        .select(
+            *SLICE,
+            F.col("average_value").alias("cpu_average"),
+            F.col("max_value").alias("cpu_max"),
+            F.col("min_value").alias("cpu_min"),
+        )
+        .distinct()
+    )
+
+
+def system_disk(base: DataFrame) -> DataFrame:
+    """Distinct highest used space of system disks."""
+    counter = F.col("counter_name")
+    on_root = (counter == "% Free Space") & F.col("instance_name").isin("C:", "/")
+    used = F.when(counter == VAR_DISK, F.col("max_value")).otherwise(complement("min_value"))
+    wanted = on_root | (counter == VAR_DISK)
+    return base.filter(wanted).select(*SLICE, used.alias("system_disk_max")).distinct()
 
 
 def other_counters(base: DataFrame, fix_network: bool = False) -> DataFrame:
@@ -197,39 +200,23 @@ def other_counters(base: DataFrame, fix_network: bool = False) -> DataFrame:
     )
 
 
-def first_adapter(base: DataFrame) -> DataFrame:
-    """First network adapter of each host by name, a missing name coming first."""
-    position = F.struct(F.col("instance_name").isNotNull(), F.col("instance_name").alias("name"))
-    first = base.filter(is_adapter()).groupBy("netbios_name").agg(F.min(position).alias("first"))
-    return first.select(
-        "netbios_name", F.col("first.name").alias("first_adapter"), F.lit(True).alias("has_adapter")
+def network_counters(base: DataFrame) -> DataFrame:
+    """Distinct rates of each host's first adapter by name and of data interfaces."""
+    adapter = (F.col("object_name") == "Network Adapter") & (
+        F.col("counter_name") == "Bytes Total/sec"
     )
-
-
-def data_interfaces(base: DataFrame) -> DataFrame:
-    """Rates of an appliance's data interfaces, both directions added up."""
+    first = top_rank(base.filter(adapter), ["netbios_name"], "instance_name")
+    # the rates of a data interface are added up per hour, both directions together
     data = base.filter(
         F.col("counter_name").isin(INTERFACE_COUNTERS) & F.col("instance_name").endswith("/1/1")
     )
     summed = data.groupBy(*SLICE, "instance_name").agg(
         F.sum("average_value").alias("average_value"), F.sum("max_value").alias("max_value")
     )
-    rates = F.struct(
-        mbit("average_value").alias("network_average"), mbit("max_value").alias("network_max")
-    )
-    return summed.groupBy(*SLICE).agg(F.collect_set(rates).alias("data_network"))
-
-
-def _network_values() -> Column:
-    """Distinct rates of the first adapter and of the data interfaces."""
-    first = F.filter(
-        "adapters",
-        lambda a: F.col("has_adapter") & a["instance"].eqNullSafe(F.col("first_adapter")),
-    )
-    rates = F.transform(
-        first,
-        lambda a: F.struct(
-            a["network_average"].alias("network_average"), a["network_max"].alias("network_max")
-        ),
-    )
-    return F.array_distinct(F.concat(rates, F.coalesce("data_network", F.array_except(rates, rates))))
+    rates = [*SLICE, "average_value", "max_value"]
+    both = first.select(*rates).unionByName(summed.select(*rates))
+    return both.select(
+        *SLICE,
+        mbit("average_value").alias("network_average"),
+        mbit("max_value").alias("network_max"),
+    ).distinct()
