@@ -508,9 +508,9 @@ FROM (SELECT *, CAST(l_quantity AS BIGINT) AS n FROM lineitem)
 def _disk_space(spark: SparkSession, sf: str) -> DataFrame:
     disks = load(spark, sf, "orders").selectExpr(
         "o_orderkey",
-        "CAST(o_totalprice AS bigint) * 1000000 AS size",
-        "CAST(o_totalprice AS bigint) * month(o_orderdate) * 50000 AS free",
-        "CAST(o_totalprice AS bigint) * 7000 AS freed",
+        "floor(o_totalprice) * 1000000 AS size",
+        "floor(o_totalprice) * month(o_orderdate) * 50000 AS free",
+        "floor(o_totalprice) * 7000 AS freed",
     )
     return disks.select(
         "o_orderkey", *numbers.disk_space("size", "free"), numbers.megabytes("freed").alias("freed_megabytes")
@@ -519,7 +519,7 @@ def _disk_space(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES["disk_space"] = _disk_space
 ORACLES["disk_space"] = """
-WITH d AS (SELECT o_orderkey, CAST(o_totalprice AS BIGINT) AS p, month(o_orderdate) AS m FROM orders)
+WITH d AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS p, month(o_orderdate) AS m FROM orders)
 SELECT o_orderkey, format('{:,.1f}', round(p * 1000000 / 1073741824, 1)) AS size_gb,
        format('{:,.1f}', round(p * m * 50000 / 1073741824, 1)) AS free_space_gb, format('{:,}', p * m * 50000) || '.0' AS free_space,
        CASE WHEN p <> 0 THEN m * 5 || '.0%' END AS percent_free, round_even(p * 7000 / 1048576, 2) AS freed_megabytes
