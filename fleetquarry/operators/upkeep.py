@@ -63,9 +63,10 @@ def catalog_files(
 
 def wanted_file(title: str = "display_name", file_name: str = "file_name") -> Column:
     """Title, language and file name rules of the download list."""
-    name = F.col(file_name)
+    # a missing title or name matches no rule, so it is kept
+    name, shown = F.coalesce(file_name, F.lit("")), F.coalesce(title, F.lit(""))
     language = glob_any(name, KEPT_LANGUAGES) | ~glob_any(name, ANY_LANGUAGE)
-    return ~glob_any(title, SKIPPED_TITLES) & language & ~glob_any(name, SKIPPED_FILES)
+    return ~glob_any(shown, SKIPPED_TITLES) & language & ~glob_any(name, SKIPPED_FILES)
 
 
 def new_downloads(catalog: DataFrame, manifest: DataFrame) -> DataFrame:

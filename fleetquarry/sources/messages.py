@@ -153,7 +153,8 @@ def share_aces(
     ]
     if ace_flags is None:
         return raw.select(*columns)
-    admin = F.lower("share_name").isin([s.lower() for s in ADMIN_SHARES])
-    ordinary = ~admin & ~glob_match("share_name", ADMIN_SHARE_GLOB)
+    name = F.coalesce("share_name", F.lit(""))
+    admin = F.lower(name).isin([s.lower() for s in ADMIN_SHARES])
+    ordinary = ~admin & ~glob_match(name, ADMIN_SHARE_GLOB)
     flags = mask_names("ace_flags", ace_flags).alias("access_control_flags")
     return raw.filter(ordinary).select(*columns, flags).distinct()

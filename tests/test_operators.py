@@ -270,6 +270,7 @@ def test_retention(spark, table):
         ("Update 64-Bit", "word-en-us.cab", False),
         ("Update for sharepoint", "word-en-us.cab", False),
         ("Update", "Visio-en-us.cab", False),
+        (None, None, True),
     ],
 )
 def test_wanted_file(spark, title, name, wanted):
