@@ -16,6 +16,7 @@ from fleetquarry.operators.snapshots import (
     merge_permissions,
     reconcile,
 )
+from fleetquarry.plans.compliance import new_articles
 from fleetquarry.plans.servers import build_list, newest_builds
 from fleetquarry.session import shared_dir
 from fleetquarry.sources import files, html, sinks
@@ -112,6 +113,38 @@ WHERE NOT EXISTS (SELECT 1 FROM s k WHERE k.l_shipdate < TIMESTAMP '1996-01-01 0
 """
 
 
+def _sheet(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "lineitem").selectExpr(
+        "date_format(l_shipdate, 'yyyy-MM-01') AS `Date`",
+        "concat('P', l_linenumber) AS `Product`",
+        "nullif(l_linestatus, 'O') AS `Product Family`",
+        "l_linestatus AS `Platform`",
+        "concat('''', l_suppkey) AS `Article`",
+        "'Security Update' AS `Download`",
+        "nullif(l_returnflag, 'N') AS `Severity`",
+        "CAST(NULL AS string) AS `Impact`",
+        "concat('CVE-', l_suppkey) AS `Details`",
+        "l_shipdate",
+    )
+
+
+def _new_articles(spark: SparkSession, sf: str) -> DataFrame:
+    sheet = _sheet(spark, sf)
+    known = files.normalise_cve_sheet(sheet.filter("l_shipdate < TIMESTAMP_NTZ'1998-01-01 00:00:00'"))
+    # the whole sheet brings every row of the known part again
+    return new_articles(known, sheet)
+
+
+QUERIES["new_articles"] = _new_articles
+ORACLES["new_articles"] = """
+SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS release_date, 'P' || l_linenumber AS product,
+       CASE WHEN l_linestatus = 'F' THEN 'F' ELSE '' END AS product_family, l_linestatus AS platform,
+       CAST(l_suppkey AS VARCHAR) AS article, 'Security Update' AS update_classification,
+       CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag END AS severity, '' AS impact, 'CVE-' || l_suppkey AS cve
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00'
+"""
+
+
 def _keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events").select("user_id", "event_type", "ts", "event_id", "value")
     target = events.filter("ts < TIMESTAMP_NTZ'2024-01-20 00:00:00'").groupBy("user_id", "event_type").agg(

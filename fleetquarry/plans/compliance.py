@@ -15,6 +15,20 @@ from fleetquarry.functions.codes import (
 )
 from fleetquarry.functions.text import account, is_device_id
 from fleetquarry.functions.times import shift_hours
+from fleetquarry.operators.snapshots import insert_new
+from fleetquarry.sources.files import normalise_cve_sheet
+
+ARTICLE_KEYS = [
+    "release_date",
+    "product",
+    "product_family",
+    "platform",
+    "article",
+    "update_classification",
+    "severity",
+    "impact",
+    "cve",
+]
 
 
 def configuration_status(
@@ -135,3 +149,8 @@ def cve_supersedence(
         .select("cve", "article_id", "newer_article_id", F.col("newer_ci_id").alias("ci_id"))
     )
     return direct.union(stepped).distinct()
+
+
+def new_articles(known: DataFrame, sheet: DataFrame) -> DataFrame:
+    """Rows of a landed vulnerability sheet to append to the article table: unseen ones, once each."""
+    return insert_new(known, normalise_cve_sheet(sheet), ARTICLE_KEYS)
