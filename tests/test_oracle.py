@@ -15,14 +15,14 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.all_queries()))
 def test_query_equals_its_sql(spark, duck, name):
     ok, text = compare(spark, duck, name, SF)
     assert ok or text.startswith("0 rows"), text
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) >= set(entry.all_queries())
 
 
 def test_entry(spark):
