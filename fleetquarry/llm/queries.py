@@ -7,16 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquarry.llm import simhash
+from fleetquarry.llm import byte_bpe, simhash, token_files
 from fleetquarry.llm.common import load
 
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(load(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return byte_bpe.encode_decode(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), pattern())
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_files": op4_token_files,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,
 }
 
