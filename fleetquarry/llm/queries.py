@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquarry.llm import byte_bpe, simhash, token_files
+from fleetquarry.llm import byte_bpe, decontaminate, language_id, simhash, token_files
 from fleetquarry.llm.common import load
 
 
@@ -24,6 +24,10 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(load(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(load(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
 
@@ -38,10 +42,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op4_token_files": op4_token_files,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}
