@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquarry.llm import byte_bpe, decontaminate, language_id, simhash, token_files
+from fleetquarry.llm import byte_bpe, decontaminate, language_id, secrets, simhash, token_files
 from fleetquarry.llm.common import load
 
 
@@ -32,6 +32,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(load(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(load(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return byte_bpe.encode_decode(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), pattern())
@@ -49,6 +53,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op4_token_files": op4_token_files,
+    "op5_secrets": op5_secrets,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,
     "op10_decontaminate": op10_decontaminate,
