@@ -162,7 +162,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 columns = [pa.array(doc_ids, pa.int64()), pa.array(starts + base), pa.array(sizes), pa.array(sums, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = files.repartition(F.col("file"))
+    spread = files.repartition(max(1, manifest.count()))  # a file a task; a fixed number is not coalesced
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
