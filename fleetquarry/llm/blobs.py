@@ -11,15 +11,32 @@ def _at(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
-def write_blob(uri: str, parts: list[bytes]) -> None:
+class BlobWriter:
     """Written under a name of its own and then renamed, so a retried task leaves whole files only."""
-    system, path = _at(uri)
-    system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    own = f"{path}.{uuid.uuid4().hex}.tmp"
-    with system.open_output_stream(own) as out:
-        for part in parts:
-            out.write(part)
-    system.move(own, path)
+
+    def __init__(self, uri: str):
+        self._system, self._path = _at(uri)
+        self._system.create_dir(self._path.rsplit("/", 1)[0], recursive=True)
+        self._own = f"{self._path}.{uuid.uuid4().hex}.tmp"
+        self._out = self._system.open_output_stream(self._own)
+
+    def write(self, data: bytes) -> None:
+        self._out.write(data)
+
+    def close(self) -> None:
+        self._out.close()
+        self._system.move(self._own, self._path)
+
+    def abort(self) -> None:
+        self._out.close()
+        self._system.delete_file(self._own)
+
+
+def write_blob(uri: str, parts: list[bytes]) -> None:
+    out = BlobWriter(uri)
+    for part in parts:
+        out.write(part)
+    out.close()
 
 
 def read_blob(uri: str) -> bytes:

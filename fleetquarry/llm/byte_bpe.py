@@ -85,14 +85,16 @@ class Codec:
         self._starts = np.cumsum(self._sizes) - self._sizes
         self.encode = PieceEncoder(self._pieces)
 
-    def _pieces(self, texts: list[str]) -> list[list[int]]:
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """ids of each text: its pre-tokens, whole entries first, the rest by sentencepiece."""
         whole, find = self._whole, self._pattern.findall
         tokens = [[t.encode() for t in find(text)] for text in texts]
         rest = list(dict.fromkeys(t for row in tokens for t in row if t not in whole))
         names = [t.decode("latin-1").translate(self._letters) for t in rest]
         merged = {t: [i - 1 for i in ids] for t, ids in zip(rest, self._model.encode(names, num_threads=1))}
-        return [[i for t in row for i in (merged[t] if t in merged else (whole[t],))] for row in tokens]
+        rows = [[i for t in row for i in (merged[t] if t in merged else (whole[t],))] for row in tokens]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        return np.fromiter((i for row in rows for i in row), np.uint32, int(sizes.sum())), sizes
 
     def decode(self, ids: np.ndarray) -> bytes:
         return self._bytes[ragged(self._starts[ids], self._sizes[ids])].tobytes()

@@ -16,10 +16,11 @@ import pyarrow.compute as pc
 from fleetquarry.llm.common import ragged
 
 #: Entries after which a task starts its memory of pieces anew, and the longest piece it keeps.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 LONGEST = 100
 
-Encoder = Callable[[list[str]], list[list[int]]]
+#: From texts to all their ids in one array, and how many each has.
+Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
 
 class PieceEncoder:
@@ -41,15 +42,14 @@ class PieceEncoder:
         new = [p for p in dict.fromkeys(pieces) if p not in slot]
         at = self._slots
         if new:
-            ids = self._encode(new)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            total, n = int(sizes.sum()), len(new)
+            ids, sizes = self._encode(new)
+            total, n = len(ids), len(new)
             while self._used + total > len(self._flat):
                 self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
             while at + n > len(self._sizes):
                 self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
                 self._sizes = np.concatenate([self._sizes, np.zeros_like(self._sizes)])
-            self._flat[self._used : self._used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+            self._flat[self._used : self._used + total] = ids
             self._starts[at : at + n] = self._used + np.cumsum(sizes) - sizes
             self._sizes[at : at + n] = sizes
             self._used, self._slots = self._used + total, at + n

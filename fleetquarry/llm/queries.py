@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquarry.llm import byte_bpe, decontaminate, language_id, secrets, simhash, token_files
+from fleetquarry.llm import byte_bpe, decontaminate, language_id, neighbours, pii, secrets, simhash, token_files, warc
 from fleetquarry.llm.common import load
 
 
@@ -28,6 +28,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(load(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(load(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(load(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
 
@@ -36,6 +40,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(load(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(load(spark, sf_dir, "pages"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return byte_bpe.encode_decode(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), pattern())
@@ -46,16 +54,23 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(load(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op3_pii": op3_pii,
     "op4_token_files": op4_token_files,
     "op5_secrets": op5_secrets,
+    "op6_warc": op6_warc,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,
+    "op9_neighbours": op9_neighbours,
     "op10_decontaminate": op10_decontaminate,
 }
 

@@ -92,9 +92,13 @@ def _encoder(path: str) -> PieceEncoder:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a document are ordinary text
-    return PieceEncoder(
-        lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-    )
+
+    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        rows = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        return np.fromiter((i for row in rows for i in row), np.uint32, int(sizes.sum())), sizes
+
+    return PieceEncoder(encode)
 
 
 def write_token_files(docs: DataFrame, root: str, path: str, end_id: int) -> DataFrame:
