@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquarry.llm import byte_bpe, decontaminate, language_id, neighbours, pii, secrets, simhash, token_files, warc
+from fleetquarry.llm import byte_bpe, decontaminate, language_id, neighbours, pii, secrets, simhash, suffix_dedup, token_files, warc
 from fleetquarry.llm.common import load
 
 
@@ -24,6 +24,10 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(load(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(load(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
     "op3_pii": op3_pii,
     "op4_token_files": op4_token_files,
