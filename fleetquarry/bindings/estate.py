@@ -601,7 +601,7 @@ WITH host AS (
          CASE WHEN c_acctbal > 2000 THEN 'corp.net' ELSE 'None' END AS domain,
          CASE WHEN c_mktsegment = 'AUTOMOBILE' AND c_nationkey < 12 THEN 'Windows WKS'
               WHEN c_mktsegment = 'AUTOMOBILE' THEN 'Windows Server' WHEN c_mktsegment = 'BUILDING' THEN 'Router'
-              WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE 'Unknown' END AS device
+              WHEN c_mktsegment = 'FURNITURE' THEN '' ELSE 'Unknown' END AS device
   FROM customer),
 base AS (
   SELECT date_trunc('day', ts) + INTERVAL 3 HOUR AS t, h.name, domain, device,

@@ -420,7 +420,8 @@ SELECT page_id, CAST(strpos(url, '/') AS INTEGER) AS at, CAST(strpos(substr(url,
        0 AS at_nothing, CAST(strpos(html, left(url, 4)) AS INTEGER) AS at_column,
        split_part(url, '?', 1) AS before, CASE WHEN contains(url, '?') THEN substr(url, strpos(url, '?') + 1) ELSE 'None' END AS after,
        split_part(url, '/', -1) AS leaf, url AS whole, CASE WHEN contains(url, '#') THEN left(url, strpos(url, '#') - 1) END AS lead,
-       CASE WHEN len(string_split(split_part(url, '/', 3), '.')) >= 3 THEN split_part(split_part(url, '/', 3), '.', 2) END AS segment,
+       CASE WHEN len(string_split(split_part(url, '/', 3), '.')) >= 3 THEN split_part(split_part(url, '/', 3), '.', 2)
+            WHEN len(string_split(split_part(url, '/', 3), '.')) = 2 THEN '' END AS segment,
        string_split(url, '/')[5] AS piece, split_part(url, '/', -1) AS path_leaf,
        CAST(length(regexp_replace(html, '<[^>]+>', '', 'g')) AS INTEGER) AS plain_length,
        CAST(length(replace(replace(html, '<p>', ''), '</p>', '')) AS INTEGER) AS cut_length,
@@ -433,14 +434,14 @@ FROM pages
 def _digit_span(spark: SparkSession, sf: str) -> DataFrame:
     part = load(spark, sf, "part").withColumn(
         "caption",
-        F.expr("CASE p_type WHEN 'PROMO' THEN p_name WHEN 'LARGE' THEN concat(p_name, ' ', p_size) ELSE concat(p_name, ' v', p_size, '.', p_partkey, ' R2 x') END"),
+        F.expr("CASE p_type WHEN 'PROMO' THEN p_name WHEN 'SMALL' THEN concat(p_size, 'x') WHEN 'LARGE' THEN concat(p_name, ' ', p_size) ELSE concat(p_name, ' v', p_size, '.', p_partkey, ' R2 x') END"),
     )
     return part.select("p_partkey", text.digit_span("caption").alias("span"), codes.os_family("caption").alias("family"))
 
 
 QUERIES["digit_span"] = _digit_span
 ORACLES["digit_span"] = """
-SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN '' WHEN 'LARGE' THEN CAST(p_size AS VARCHAR) ELSE p_size || '.' || p_partkey END AS span,
+SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN '' WHEN 'SMALL' THEN '' WHEN 'LARGE' THEN CAST(p_size AS VARCHAR) ELSE p_size || '.' || p_partkey END AS span,
        'Windows ' AS family
 FROM part
 """

@@ -155,8 +155,7 @@ def _message_fields(spark: SparkSession, sf: str) -> DataFrame:
             ELSE concat('A network share object was added.\\r\\n\\r\\nSubject:\\r\\n', {common}, {share}, 'Share Path:{tab}D:/x ') END AS message""",
     )
     names = {"sid": {"BA": "Administrators"}, "type": {"A": "Allow", "D": "Deny"}, "rights": {"FA": "Full"}}
-    parsed = parse_share_events(raw, names)
-    return parsed.withColumn("message", F.rtrim(F.regexp_replace("message", "\r", "")))
+    return parse_share_events(raw, names)
 
 
 QUERIES["message_fields"] = _message_fields

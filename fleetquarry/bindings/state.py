@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetquarry.bindings.common import load
 from fleetquarry.bindings.shares import _permissions
 from fleetquarry.bindings.software import _UPDATE_XML, _FEED_SQL, _part_pages
-from fleetquarry.operators.latest import upsert
+from fleetquarry.operators.latest import newest_by_key, upsert
 from fleetquarry.operators.snapshots import (
     PERMISSION_KEYS,
     insert_new,
@@ -183,33 +183,33 @@ def _event_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _merge_events(spark: SparkSession, sf: str) -> DataFrame:
     rows = _event_rows(spark, sf)
-    store = rows.filter("ts < TIMESTAMP_NTZ'2024-01-16 00:00:00'").drop("ts").dropDuplicates(
-        ["resource_id", "index", "instance_id"]
-    ).withColumn("message", F.lit("stored"))
-    batch = rows.filter("ts >= TIMESTAMP_NTZ'2024-01-10 00:00:00'").drop("ts").groupBy(
-        "resource_id", "index", "instance_id"
-    ).agg(F.max("time_generated").alias("time_generated"), F.max("message").alias("message"))
-    merged = merge_events(store, batch, "2024-07-05 00:00:00")
-    return merged.select("resource_id", "index", "instance_id", "message")
+    keys = ["resource_id", "index", "instance_id"]
+    store = newest_by_key(rows.filter("ts < TIMESTAMP_NTZ'2024-01-16 00:00:00'"), keys, ["message"])
+    store = store.drop("ts").withColumn("message", F.lit("stored"))
+    # repeats of a key stay in the batch: the greatest message was written last
+    batch = rows.filter("ts >= TIMESTAMP_NTZ'2024-01-10 00:00:00'").drop("ts")
+    return merge_events(store, batch, "2024-07-05 00:00:00", order="message")
 
 
 QUERIES["merge_events"] = _merge_events
 ORACLES["merge_events"] = """
 WITH e AS (SELECT user_id AS r, event_id // 2 AS i, CAST(CASE event_type WHEN 'click' THEN 5143 ELSE 5142 END AS BIGINT) AS n,
                   date_trunc('second', ts) AS t, ts, event_type || ' ' || event_id AS m FROM events),
-b AS (SELECT r, i, n, max(m) AS m FROM e WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' GROUP BY 1, 2, 3),
-old AS (SELECT DISTINCT r, i, n FROM e WHERE ts < TIMESTAMP '2024-01-16 00:00:00' AND t > TIMESTAMP '2024-07-05 00:00:00' - INTERVAL 180 DAY)
-SELECT r AS resource_id, i AS index, n AS instance_id, m AS message FROM b
+b AS (SELECT r, i, n, arg_max(t, m) AS t, max(m) AS m FROM e WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' GROUP BY 1, 2, 3),
+all_old AS (SELECT r, i, n, arg_max(t, m) AS t FROM e WHERE ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY 1, 2, 3),
+old AS (SELECT * FROM all_old WHERE t > TIMESTAMP '2024-07-05 00:00:00' - INTERVAL 180 DAY)
+SELECT r AS resource_id, i AS index, n AS instance_id, strftime(t, '%d.%m.%Y %H:%M:%S') AS time_generated, m AS message FROM b
 UNION ALL
-SELECT r, i, n, 'stored' FROM old WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.r = old.r AND b.i = old.i AND b.n = old.n)
+SELECT r, i, n, strftime(t, '%d.%m.%Y %H:%M:%S'), 'stored' FROM old WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.r = old.r AND b.i = old.i AND b.n = old.n)
 """
 
 
 def _merge_permissions(spark: SparkSession, sf: str) -> DataFrame:
     rows = _permissions(spark, sf)
-    stamped = rows.filter("time_added NOT LIKE '%/%'")
+    # the store as its first run leaves it: one row a key
+    store = merge_permissions(rows.limit(0), rows.filter("time_added NOT LIKE '%/%'"), "2001-08-01 00:00:00")
     batch = rows.filter("time_added LIKE '%/%'")
-    return merge_permissions(stamped, batch, "2001-08-01 00:00:00").select(*PERMISSION_KEYS, "owner")
+    return merge_permissions(store, batch, "2001-08-01 00:00:00").select(*PERMISSION_KEYS, "owner")
 
 
 QUERIES["merge_permissions"] = _merge_permissions
@@ -230,44 +230,66 @@ GROUP BY ALL
 # -- streams ----------------------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = load(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+# A stream's input comes in three landings; landing k has the events whose id leaves k by 3.
+def _land(rows: DataFrame, root: str, landing: int) -> None:
+    rows.filter(F.col("landing") == landing).drop("landing").write.parquet(f"{root}/in/landing{landing}")
+
+
+def _landed(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(f"{root}/in/*")
 
 
 def _event_store_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches of one stream, a compaction that purges, and a new stream going on from it."""
     root = shared_dir(spark, "event-store")
-    rows = _event_stream(spark, sf).selectExpr(
-        "user_id AS resource_id",
-        "event_id DIV 2 AS index",
-        "CAST(CASE event_type WHEN 'click' THEN 5143 ELSE 5142 END AS bigint) AS instance_id",
-        "date_format(ts, 'dd.MM.yyyy HH:mm:ss') AS time_generated",
-        "concat(event_type, ' ', event_id) AS message",
-    )
-    stores.start_event_store(rows, f"{root}/data", f"{root}/progress").awaitTermination()
-    return stores.read_store(spark, f"{root}/data", _EVENT_COLUMNS, order=["message"]).drop("time_generated")
+    rows = _event_rows(spark, sf).drop("ts").withColumn("landing", F.regexp_extract("message", "([0-9]+)$", 1).cast("int") % 3)
+    for landing in (0, 1):
+        _land(rows, root, landing)
+        stores.start_event_store(_landed(spark, root, _EVENT_COLUMNS), f"{root}/data", f"{root}/progress").awaitTermination()
+    stores.compact(spark, f"{root}/data", _EVENT_COLUMNS, f"{root}/next", order=["message"], as_of="2024-07-05 00:00:00")
+    _land(rows, f"{root}/later", 2)
+    stores.start_event_store(
+        _landed(spark, f"{root}/later", _EVENT_COLUMNS), f"{root}/next", f"{root}/next-progress"
+    ).awaitTermination()
+    return stores.read_store(spark, f"{root}/next", _EVENT_COLUMNS, order=["message"])
 
 
 QUERIES["event_store_stream"] = _event_store_stream
 ORACLES["event_store_stream"] = """
-SELECT user_id AS resource_id, event_id // 2 AS index, CAST(CASE event_type WHEN 'click' THEN 5143 ELSE 5142 END AS BIGINT) AS instance_id,
-       max(event_type || ' ' || event_id) AS message
-FROM events GROUP BY 1, 2, 3
+WITH e AS (SELECT user_id AS r, event_id // 2 AS i, CAST(CASE event_type WHEN 'click' THEN 5143 ELSE 5142 END AS BIGINT) AS n,
+                  date_trunc('second', ts) AS t, event_type || ' ' || event_id AS m, event_id % 3 AS landing FROM events),
+w AS (SELECT *, row_number() OVER (PARTITION BY r, i, n, landing = 2 ORDER BY landing DESC, m DESC) AS rn FROM e),
+b AS (SELECT * FROM w WHERE rn = 1 AND landing = 2),
+old AS (SELECT * FROM w WHERE rn = 1 AND landing < 2 AND t > TIMESTAMP '2024-07-05 00:00:00' - INTERVAL 180 DAY)
+SELECT r AS resource_id, i AS index, n AS instance_id, strftime(t, '%d.%m.%Y %H:%M:%S') AS time_generated, m AS message FROM b
+UNION ALL
+SELECT r, i, n, strftime(t, '%d.%m.%Y %H:%M:%S'), m FROM old
+WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.r = old.r AND b.i = old.i AND b.n = old.n)
 """
 
 
 def _insert_new_stream(spark: SparkSession, sf: str) -> DataFrame:
-    root = shared_dir(spark, "insert-new")
-    rows = _event_stream(spark, sf).selectExpr("user_id", "event_type")
-    schema = "user_id bigint, event_type string"
+    """Two batches of one stream, a compaction, and a new stream going on from it; the row that came
+    first stays."""
+    root, schema, keys = shared_dir(spark, "insert-new"), "user_id bigint, event_type string, landed int", ["user_id", "event_type"]
+    rows = load(spark, sf, "events").selectExpr(
+        "user_id", "event_type", "CAST(event_id % 3 AS int) AS landed", "CAST(event_id % 3 AS int) AS landing"
+    )
+    for landing in (0, 1):
+        _land(rows, root, landing)
+        stores.start_insert_new(_landed(spark, root, schema), f"{root}/data", f"{root}/progress", schema, keys).awaitTermination()
+    stores.compact(spark, f"{root}/data", schema, f"{root}/next", keys)
+    _land(rows, f"{root}/later", 2)
     stores.start_insert_new(
-        rows, f"{root}/data", f"{root}/progress", schema, ["user_id", "event_type"]
+        _landed(spark, f"{root}/later", schema), f"{root}/next", f"{root}/next-progress", schema, keys
     ).awaitTermination()
-    return spark.read.schema(schema).parquet(f"{root}/data/*")
+    return spark.read.schema(schema).parquet(f"{root}/next/*")
 
 
 QUERIES["insert_new_stream"] = _insert_new_stream
-ORACLES["insert_new_stream"] = "SELECT DISTINCT user_id, event_type FROM events"
+ORACLES["insert_new_stream"] = """
+SELECT user_id, event_type, CAST(min(event_id % 3) AS INTEGER) AS landed FROM events GROUP BY 1, 2
+"""
 
 # -- files ------------------------------------------------------------------------------------
 

@@ -7,6 +7,7 @@ result is NULL unless the docstring says otherwise, so one bad row never stops a
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,6 +43,13 @@ def contains_pattern(value: ColumnOrName, pattern: str, ignore_case: bool = Fals
     return like_pattern(value, f"%{pattern}%", ignore_case)
 
 
+def one_of(value: ColumnOrName, allowed: Sequence[str], ignore_case: bool = False) -> Column:
+    """Membership in a list of texts, trailing blanks and optionally case aside."""
+    if not ignore_case:
+        return as_column(value).isin(list(allowed))
+    return folded(value, True).isin([a.rstrip(" ").lower() for a in allowed])
+
+
 def _like_to_regex(pattern: str) -> str:
     out, i = [], 0
     while i < len(pattern):
@@ -124,9 +132,9 @@ def split_pick(value: ColumnOrName, separator: str, position: int) -> Column:
 
 
 def second_segment(value: ColumnOrName) -> Column:
-    """``b`` of ``a.b.c``; NULL unless a second dot closes the segment."""
+    """``b`` of ``a.b.c``; '' for ``a.b``, where the length comes out as 0; NULL without a dot."""
     parts = F.split(as_column(value), "[.]")
-    return F.when(F.size(parts) >= 3, parts[1])
+    return F.when(F.size(parts) >= 3, parts[1]).when(F.size(parts) == 2, F.lit(""))
 
 
 def path_leaf(value: ColumnOrName) -> Column:
@@ -149,12 +157,13 @@ def quoted_path(value: ColumnOrName, until: str = '" -s') -> Column:
 def digit_span(value: ColumnOrName) -> Column:
     """From the first digit up to the first digit that a blank follows.
 
-    Without such a digit the rest of the text is taken; without any digit the result is ''.
+    Without such a digit the rest of the text is taken, but '' where the text opens with a digit
+    (a length of 0). Without any digit the result is ''.
     """
     text = as_column(value)
     first = F.regexp_instr(text, F.lit("[0-9]"))
     last = F.regexp_instr(text, F.lit("[0-9] "))
-    width = F.when(last > 0, last - first + 1).otherwise(F.length(text))
+    width = F.when(last > 0, last - first + 1).when(first == 1, F.lit(0)).otherwise(F.length(text))
     return F.when(first > 0, F.substring(text, first, width)).otherwise(
         F.when(text.isNotNull(), F.lit(""))
     )

@@ -103,13 +103,14 @@ def upsert(
 ) -> DataFrame:
     """Next state of a keyed table: batch rows replace target rows of the same key.
 
-    Repeats within the batch are settled by ``order``, then by their other columns.
+    ``target`` has one row a key. Only the batch is reduced: repeats in it are settled by ``order``, then by
+    their other columns. Target rows are read and passed on; they are neither sorted nor moved while the
+    batch's keys fit a broadcast, and joined on the keys when they do not. NULL keys equal each other.
     """
-    both = target.withColumn("__from_batch", F.lit(0)).unionByName(
-        batch.withColumn("__from_batch", F.lit(1)), allowMissingColumns=True
-    )
-    by = ["__from_batch"] + ([order] if order else [])
-    return newest_by_key(both, keys, by).drop("__from_batch")
+    once = newest_by_key(batch, keys, [order] if order else [])
+    replaced = once.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    match = [target[k].eqNullSafe(replaced[f"__k{i}"]) for i, k in enumerate(keys)]
+    return target.join(replaced, match, "left_anti").unionByName(once, allowMissingColumns=True)
 
 
 def drop_older(df: DataFrame, stamp: Column, as_of: Moment, days: int) -> DataFrame:

@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetquarry.functions.times import Moment, moment, parse_mixed
-from fleetquarry.operators.joins import blank_safe_anti
 from fleetquarry.operators.latest import drop_older, newest_by_key, upsert
 
 SHARE_KEYS = ("resource_id", "shared_folder_name")
@@ -27,6 +26,7 @@ PERMISSION_KEYS = (
     "access_control_type",
 )
 RETENTION_DAYS = 180
+STAMP = "yy.MM.dd HH:mm"
 
 
 def reconcile(
@@ -70,12 +70,21 @@ def reconcile(
 
 
 def insert_new(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` to append: unseen in ``target`` and once per key within the batch."""
-    blank = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"__b{i}") for i, k in enumerate(keys)]
-    marked = batch.select("*", *blank)
+    """Rows of ``batch`` to append: unseen in ``target`` and once per key within the batch.
+
+    The target is scanned for the batch's keys and only what is found is compared, so its history
+    is not shuffled while those keys fit a broadcast. NULL and '' are the same key.
+    """
     names = [f"__b{i}" for i in range(len(keys))]
-    once = newest_by_key(marked, names, []).select(*batch.columns)
-    return blank_safe_anti(once, target, keys)
+
+    def blank(prefix: str) -> list[Column]:
+        return [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
+
+    once = newest_by_key(batch.select("*", *blank("__b")), names, [])
+    known = target.select(*blank("__k"))
+    wanted = once.select(*[F.col(n).alias(n.replace("__b", "__w")) for n in names])
+    hits = known.join(wanted, [known[f"__k{i}"] == wanted[f"__w{i}"] for i in range(len(keys))], "left_semi")
+    return once.join(hits, [once[n] == hits[f"__k{i}"] for i, n in enumerate(names)], "left_anti").select(*batch.columns)
 
 
 def merge_events(
@@ -84,10 +93,14 @@ def merge_events(
     as_of: Moment,
     keys: Sequence[str] = EVENT_KEYS,
     days: int = RETENTION_DAYS,
+    order: str | None = None,
 ) -> DataFrame:
-    """Next event store: old rows purged by event time first, then the batch upserted."""
+    """Next event store: old rows purged by event time first, then the batch upserted.
+
+    ``order`` says which of the batch's repeats of a key was written last.
+    """
     kept = drop_older(store, parse_mixed("time_generated"), as_of, days)
-    return upsert(kept, batch, keys)
+    return upsert(kept, batch, keys, order)
 
 
 def merge_permissions(
@@ -100,3 +113,11 @@ def merge_permissions(
     """Next permission store. The scan time is part of the key, so scans accumulate."""
     kept = drop_older(store, parse_mixed("time_added"), as_of, days)
     return upsert(kept, batch, keys)
+
+
+def stamped(rows: DataFrame, at: Moment, column: str = "time_added") -> DataFrame:
+    """``rows`` of one inventory run with the time they are stored, in the writer's layout.
+
+    For permissions the stamp is part of the key and tells the scan; an own ``column`` is replaced.
+    """
+    return rows.withColumn(column, F.date_format(moment(at), STAMP))

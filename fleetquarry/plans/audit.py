@@ -21,6 +21,8 @@ def security_audit(
     target_user: str = "",
     service_name: str = "",
     address_delimiter: str | None = None,
+    ordered: bool = True,
+    case_insensitive: bool = False,
 ) -> DataFrame:
     """Logon, ticket and lockout events; which payload column means what depends on the id.
 
@@ -35,10 +37,10 @@ def security_audit(
 
     found = events.filter(
         event.isin(list(event_ids))
-        & contains_pattern("target_user", target_user)
-        & contains_pattern("string01", service_name)
+        & contains_pattern("target_user", target_user, case_insensitive)
+        & contains_pattern("string01", service_name, case_insensitive)
     )
-    return found.select(
+    report = found.select(
         "event_id",
         F.col("creation_time").alias("event_time"),
         before_first("target_user", "@").alias("target_user"),
@@ -57,4 +59,7 @@ def security_audit(
         F.col("string03").alias("ticket_options"),
         "category",
         "event_machine",
-    ).orderBy(F.desc("event_time"), "event_machine", "target_user", "client_address")
+    )
+    if not ordered:
+        return report
+    return report.orderBy(F.desc("event_time"), "event_machine", "target_user", "client_address")

@@ -24,7 +24,11 @@ def collection_members(membership: DataFrame, collection: DataFrame) -> DataFram
 
 
 def device_collections(
-    membership: DataFrame, collection: DataFrame, folder_member: DataFrame, folder: DataFrame
+    membership: DataFrame,
+    collection: DataFrame,
+    folder_member: DataFrame,
+    folder: DataFrame,
+    ordered: bool = True,
 ) -> DataFrame:
     """Collections of each member that are filed in a folder, by folder and collection name."""
     filed = (
@@ -36,11 +40,8 @@ def device_collections(
         "collection_id", F.col("name").alias("collection_name"), "comment", "last_refresh"
     ).join(filed, "collection_id")
     members = membership.select("collection_id", F.col("name").alias("member"))
-    return (
-        members.join(described, "collection_id")
-        .select(
-            "member", "collection_id", "collection_name", "comment", "folder_name", "last_refresh"
-        )
-        # the member breaks ties, so that one large collection is not sorted by one task
-        .orderBy("folder_name", "collection_name", "member")
+    report = members.join(described, "collection_id").select(
+        "member", "collection_id", "collection_name", "comment", "folder_name", "last_refresh"
     )
+    # the member breaks ties, so that one large collection is not sorted by one task
+    return report.orderBy("folder_name", "collection_name", "member") if ordered else report

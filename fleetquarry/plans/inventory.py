@@ -25,8 +25,12 @@ def installed_software(
     operating_system: DataFrame,
     combined_device: DataFrame,
     software: DataFrame,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Installed products with their device, primary user and operating system."""
+    """Installed products with their device, primary user and operating system.
+
+    All that is known of a device is joined first, so the products are joined once, on their device.
+    """
     people = user.select(
         F.col("user_name").alias("u_name"),
         F.col("nt_domain").alias("u_domain"),
@@ -44,11 +48,27 @@ def installed_software(
         F.col("machine_id").alias("resource_id"), "last_policy_request", "last_hardware_scan"
     )
     on_user = (F.col("user_name") == F.col("u_name")) & (F.col("user_domain") == F.col("u_domain"))
-    return (
-        software.join(system, "resource_id")
+    devices = (
+        system.join(people, on_user, "left")
         .join(os, "resource_id", "left")
         .join(scans, "resource_id", "left")
-        .join(people, on_user, "left")
+        .select(
+            "resource_id",
+            "netbios_name",
+            "resource_domain",
+            "user_name",
+            "full_user_name",
+            "department",
+            "os",
+            "os_build",
+            "os_install_date",
+            "last_bootup",
+            "last_policy_request",
+            "last_hardware_scan",
+        )
+    )
+    report = (
+        software.join(devices, "resource_id")
         .select(
             "product_name",
             F.col("product_version").alias("version"),
@@ -71,8 +91,8 @@ def installed_software(
             "last_policy_request",
             "last_hardware_scan",
         )
-        .orderBy("product_name", "version", "netbios_name", "resource_id")
     )
+    return report.orderBy("product_name", "version", "netbios_name", "resource_id") if ordered else report
 
 
 def adapter_cells(network_adapter: DataFrame, *extra: Column) -> DataFrame:

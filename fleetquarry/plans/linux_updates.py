@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetquarry.functions.codes import LINUX_EDITION
-from fleetquarry.functions.text import leading, remove_all
+from fleetquarry.functions.text import index_of, leading, remove_all
 from fleetquarry.functions.times import parse_compact_day, parse_iso_day
-from fleetquarry.operators.latest import dense_rank_of, rows_at_extreme
+from fleetquarry.operators.latest import rows_at_extreme
 from fleetquarry.sources.files import FILE_SUFFIXES, update_packages, update_references
 
 
 def package_name(display: Column, version: Column) -> Column:
-    """Name of ``name-version-release``: all before the separator in front of the version."""
-    at = F.call_function("locate", version, display)
+    """Name of ``name-version-release``: all before the separator in front of the version.
+
+    NULL when the version is empty or not in the text.
+    """
+    at = index_of(version, display)
     return leading(display, F.when(at > 0, F.greatest(at - 2, F.lit(0))).otherwise(F.lit(-1)))
 
 
@@ -80,10 +83,12 @@ def linux_update_compliance(
         installed.join(released, installed["installed_file"] == released["current_file"], "left")
         .withColumn("file_release_date", parse_iso_day("file_date"))
     )
-    # the rank does not depend on the other joins, so it is taken before they multiply rows
-    ranked = dense_rank_of(
-        joined, ["package", "netbios_name"], "file_release_date", "current_version_rank", True
-    )
+    # the rank does not depend on the other joins, so it is taken before they multiply rows; one
+    # host has few versions of one package, so the window's groups are small by nature
+    versions = Window.partitionBy("package", "netbios_name").orderBy(F.desc_nulls_last("file_release_date"))
+    ranked = joined.withColumn("current_version_rank", F.dense_rank().over(versions))
+    # both sides come from the feed, so the installed packages take part in one join only
+    feed = newest.join(closing, F.col("feed_name") == F.col("cve_package"), "left")
     required = F.when(
         F.col("feed_name").isNotNull(),
         F.when(F.col("installed_file") != F.col("actual_file_name"), F.lit("1")).otherwise(F.lit("0")),
@@ -93,8 +98,7 @@ def linux_update_compliance(
         F.when(F.col("file_date") < F.col("cve_date"), F.lit("1")).otherwise(F.lit("0")),
     )
     return (
-        ranked.join(newest, ranked["package"] == newest["feed_name"], "left")
-        .join(closing, F.col("feed_name") == F.col("cve_package"), "left")
+        ranked.join(feed, F.col("package") == F.col("feed_name"), "left")
         .select(
             "resource_id",
             "netbios_name",

@@ -10,7 +10,7 @@ from fleetquarry.functions.codes import (
     SERVER_SERVICE_PREFIX,
     product_line,
 )
-from fleetquarry.functions.text import instance_name, quoted_path, remove_all, short_build
+from fleetquarry.functions.text import folded, instance_name, quoted_path, remove_all, short_build
 from fleetquarry.functions.times import NTZ, minute_text, shift_hours
 from fleetquarry.functions.versions import version_sort_key
 from fleetquarry.operators.latest import top_rank
@@ -45,10 +45,13 @@ def server_version_compliance(
     builds: DataFrame,
     shift: int = 3,
     order: str = "text",
+    ordered: bool = True,
+    case_insensitive: bool = False,
 ) -> DataFrame:
     """Database services with their file version and the newest build of its line.
 
-    The many units of a device are reduced to the one shown before anything is joined.
+    All that is known of a device, its many units reduced to the one shown, is joined first. Then come
+    the services, their files, and last the few builds. ``case_insensitive`` compares paths so.
     """
     # after the first slash; text without one is taken whole
     unit = F.substring(F.col("ou_name"), F.locate("/", F.col("ou_name")) + F.lit(1), F.lit(200))
@@ -81,13 +84,18 @@ def server_version_compliance(
     servers = system.filter(F.col("os_name_and_version").contains("Server")).select(
         "resource_id", "netbios_name", "resource_domain"
     )
-    joined = (
-        servers.join(services, "resource_id")
-        .join(files, ["resource_id", "binary"])
-        .join(os, "resource_id")
+    devices = (
+        servers.join(os, "resource_id")
         .join(computer_system.select("resource_id"), "resource_id")
         .join(scans, "resource_id", "left")
         .join(units, "resource_id", "left")
+    )
+    if case_insensitive:
+        services = services.withColumn("binary", folded("binary", True))
+        files = files.withColumn("binary", folded("binary", True))
+    joined = (
+        services.join(devices, "resource_id")
+        .join(files, ["resource_id", "binary"])
         .join(newest, F.substring("file_version", 1, 4) == F.col("line"), "left")
     )
     shown = [
@@ -109,11 +117,11 @@ def server_version_compliance(
         "release_date",
         "line",
     ]
+    grouped = joined.groupBy(*shown).agg(F.max("organizational_unit").alias("organizational_unit"))
+    if ordered:
+        grouped = grouped.orderBy("line", "netbios_name", "service")
     return (
-        joined.groupBy(*shown)
-        .agg(F.max("organizational_unit").alias("organizational_unit"))
-        .orderBy("line", "netbios_name", "service")
-        .select(
+        grouped.select(
             "netbios_name",
             F.col("resource_domain").alias("domain"),
             "organizational_unit",

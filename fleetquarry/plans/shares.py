@@ -25,6 +25,7 @@ from fleetquarry.functions.text import (
     dotted_host,
     folded,
     like_pattern,
+    one_of,
     unc_share,
 )
 from fleetquarry.functions.times import Moment, days_before, on_day, parse_mixed, second_text
@@ -44,13 +45,14 @@ def share_events_search(
     computer: str = "%",
     folder: str = "",
     day: Moment | None = None,
+    case_insensitive: bool = False,
 ) -> DataFrame:
     """Share events of some domains and types, of one day or of all time.
 
     Devices without a full domain have no computer name and so never match ``computer``.
     """
     named = events.withColumn("share_key", unc_share("share_name"))
-    devices = system.filter(F.col("resource_domain").isin(list(domains))).select(
+    devices = system.filter(one_of("resource_domain", domains, case_insensitive)).select(
         "resource_id",
         F.concat("netbios_name", F.lit("."), F.lower("full_domain_name")).alias("computer_name"),
         "os_name_and_version",
@@ -60,7 +62,7 @@ def share_events_search(
         "resource_id", F.col("name").alias("share_key"), F.col("description").alias("remark")
     )
     shown = (
-        named.join(devices.filter(like_pattern("computer_name", computer)), "resource_id")
+        named.join(devices.filter(like_pattern("computer_name", computer, case_insensitive)), "resource_id")
         .join(remarks, ["resource_id", "share_key"], "left")
         .select(
             "resource_id",
@@ -77,7 +79,10 @@ def share_events_search(
             "share_path",
             parse_mixed("time_generated", short_years=False).alias("event_time"),
         )
-        .filter(contains_pattern("shared_folder", folder) & F.col("event_type").isin(list(event_types)))
+        .filter(
+            contains_pattern("shared_folder", folder, case_insensitive)
+            & one_of("event_type", event_types, case_insensitive)
+        )
     )
     return shown if day is None else shown.filter(on_day("event_time", day))
 
@@ -91,11 +96,12 @@ def share_permissions_latest(
     permission_type: str = "%",
     security_principal: str = "%",
     folder: str = "",
+    case_insensitive: bool = False,
 ) -> DataFrame:
     """Permissions found by the last scan of each device."""
     timed = permissions.withColumn("check_time", parse_mixed("time_added"))
     last = latest_snapshot(timed, "resource_id", "check_time")
-    devices = system.filter(F.col("resource_domain").isin(list(domains))).select(
+    devices = system.filter(one_of("resource_domain", domains, case_insensitive)).select(
         "resource_id",
         dotted_host("netbios_name", "full_domain_name").alias("computer_name"),
         "os_name_and_version",
@@ -111,9 +117,9 @@ def share_permissions_latest(
         "path",
     )
     return (
-        last.filter(contains_pattern("shared_folder_name", folder))
+        last.filter(contains_pattern("shared_folder_name", folder, case_insensitive))
         # the domain filter needs a device, so the join to devices is an inner one
-        .join(devices.filter(like_pattern("computer_name", computer)), "resource_id")
+        .join(devices.filter(like_pattern("computer_name", computer, case_insensitive)), "resource_id")
         .join(shares, FOLDER, "left")
         .select(
             "resource_id",
@@ -137,8 +143,8 @@ def share_permissions_latest(
             "check_time",
         )
         .filter(
-            like_pattern("permission_type", permission_type)
-            & like_pattern("security_principal", security_principal)
+            like_pattern("permission_type", permission_type, case_insensitive)
+            & like_pattern("security_principal", security_principal, case_insensitive)
         )
     )
 

@@ -87,7 +87,8 @@ def parse_share_events(
         return F.btrim(out, F.lit(" \t\r")).alias(name)
 
     keep = [c for c in raw.columns if c not in ("message", *MODIFIED_FIELDS)]
-    first_line = F.substring_index(F.col("message"), "\n", 1)
+    # the label of the event: no carriage return or blank may stay behind it
+    first_line = F.btrim(F.substring_index(F.col("message"), "\n", 1), F.lit(" \t\r"))
     parsed = values.select(*keep, first_line.alias("message"), *[field(n) for n in MODIFIED_FIELDS])
     excluded = [s.lower() for s in EXCLUDED_SHARES]
     system = F.lower("security_id") == SYSTEM_ACCOUNT.lower()

@@ -2,8 +2,9 @@
 
 Each micro-batch writes its own folder, named by the batch id, so a batch replayed after a
 failure overwrites itself. State is read by merging those folders, newest batch first per
-key, and ``compact`` folds them into one version from time to time. No batch rewrites the
-whole store.
+key. ``compact`` folds them into one version in a fresh folder, under a number that no batch has, and
+a stream restarted there goes on from it. A start that would overwrite batches of an earlier stream
+is refused. No batch rewrites the whole store.
 """
 
 from __future__ import annotations
@@ -14,10 +15,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetquarry.operators.latest import newest_by_key
-from fleetquarry.operators.snapshots import EVENT_KEYS, insert_new
+from fleetquarry.functions.times import Moment, parse_mixed
+from fleetquarry.operators.latest import drop_older, newest_by_key
+from fleetquarry.operators.snapshots import EVENT_KEYS, RETENTION_DAYS, insert_new
 
 BATCH = "batch_id"
+#: Batch number of a compacted version: before every batch of a stream.
+COMPACTED = -1
+
+
+def _entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reaches; none if it does not exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
+
+
+def stored_batches(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the batches under ``root``, a compacted version's included."""
+    names = [n for n in _entries(spark, root) if n.startswith(f"{BATCH}=")]
+    return sorted(int(n.split("=", 1)[1]) for n in names)
+
+
+def _refuse_overwrite(spark: SparkSession, root: str, checkpoint: str) -> None:
+    """A new checkpoint numbers its batches from 0 again, over those that are there."""
+    found = [b for b in stored_batches(spark, root) if b != COMPACTED]
+    if found and not _entries(spark, checkpoint):
+        raise ValueError(
+            f"{root} holds batches {found[0]} to {found[-1]} of a stream, which a new checkpoint would "
+            "overwrite: go on with that stream's checkpoint, or compact to a fresh folder"
+        )
 
 
 def _batch_writer(root: str) -> Callable[[DataFrame, int], None]:
@@ -41,6 +68,7 @@ def start_event_store(
     With ``event_time`` repeats of a key that arrive within ``lateness`` are dropped by the
     stream itself; repeats that come later are settled when the store is read.
     """
+    _refuse_overwrite(parsed.sparkSession, root, checkpoint)
     if event_time:
         parsed = parsed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
     return (
@@ -67,10 +95,27 @@ def read_store(
 
 
 def compact(
-    spark: SparkSession, root: str, schema: str, target: str, keys: Sequence[str] = EVENT_KEYS
+    spark: SparkSession,
+    root: str,
+    schema: str,
+    target: str,
+    keys: Sequence[str] = EVENT_KEYS,
+    order: Sequence[str] = (),
+    as_of: Moment | None = None,
+    days: int = RETENTION_DAYS,
+    stamp: str = "time_generated",
 ) -> None:
-    """The merged store as batch 0 of a fresh folder, for a restarted stream to continue on."""
-    read_store(spark, root, schema, keys).write.mode("overwrite").parquet(f"{target}/{BATCH}=0")
+    """The merged store as the compacted version of a fresh folder, for a stream to go on there.
+
+    ``order`` is the reader's, so the same rows win. With ``as_of`` rows whose ``stamp`` is more than ``days``
+    older are purged.
+    """
+    if stored_batches(spark, target):
+        raise ValueError(f"{target} already holds a store; compact to a fresh folder")
+    merged = read_store(spark, root, schema, keys, order)
+    if as_of is not None:
+        merged = drop_older(merged, parse_mixed(stamp), as_of, days)
+    merged.write.mode("overwrite").parquet(f"{target}/{BATCH}={COMPACTED}")
 
 
 def start_insert_new(
@@ -84,13 +129,15 @@ def start_insert_new(
     """Append only rows whose keys no earlier batch brought.
 
     A batch is compared with the folders of *earlier* batches only, so a replay, which finds
-    its own first attempt already written, still gives the same rows.
+    its own first attempt already written, still gives the same rows. Earlier rows are scanned for the
+    batch's keys, not shuffled; compaction keeps their files few.
     """
+    _refuse_overwrite(incoming.sparkSession, root, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         known = spark.createDataFrame([], schema)
-        if batch_id > 0:
+        if any(b < batch_id for b in stored_batches(spark, root)):
             known = (
                 spark.read.schema(f"{schema}, {BATCH} bigint")
                 .parquet(root)

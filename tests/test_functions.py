@@ -26,7 +26,7 @@ def test_cuts(column):
     assert column(text.strip_prefix("v", ":"), "::ffff:1.2", "1.2") == ["1.2", "1.2"]
     assert column(text.strip_prefix("v"), "::ffff:1.2") == ["::ffff:1.2"]
     assert column(text.leading("v", F.locate("-", "v") - 1), "abc-d", "abc", "-x") == ["abc", None, ""]
-    assert column(text.second_segment("v"), "a.b.c", "a.b", "a", "a..c", None) == ["b", None, None, "", None]
+    assert column(text.second_segment("v"), "a.b.c", "a.b", "a", "a..c", None) == ["b", "", None, "", None]
     assert column(text.split_pick("v", "|", 1), "a|b|c", "a", None) == ["b", None, None]
     assert column(text.path_leaf("v"), "http://x/y.cab", "C:\\a\\b.txt", "z") == ["y.cab", "b.txt", "z"]
     assert column(text.unc_share("v"), "\\\\*\\Data", "\\\\*", None) == ["Data", "", None]
