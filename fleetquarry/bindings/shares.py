@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquarry.bindings.common import load
-from fleetquarry.operators.differences import array_changes, combined_permissions, permission_lists
+from fleetquarry.operators.differences import array_changes, combined_permissions
 from fleetquarry.operators.rollups import with_default_rows
+from fleetquarry.operators.snapshots import merge_events, merge_permissions, reconcile
 from fleetquarry.plans.shares import (
     current_permissions,
+    permission_entries,
     share_change_digest,
     share_event_digest,
     share_events_search,
@@ -134,7 +136,8 @@ FROM e WHERE t > TIMESTAMP '2024-01-29 12:00:00'
 """
 
 
-def _message_fields(spark: SparkSession, sf: str) -> DataFrame:
+def _raw_messages(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
+    """Messages as the event log writes them, lines ending in carriage return and line feed."""
     tab = "\\t\\t"
     common = (
         f"'Security ID:{tab}', CASE WHEN user_id % 11 = 0 THEN 'S-1-5-18' ELSE concat('S-1-', user_id) END, '\\r\\n', "
@@ -143,7 +146,8 @@ def _message_fields(spark: SparkSession, sf: str) -> DataFrame:
     share = (
         f"'Share Name:{tab}{_B}{_B}*{_B}', CASE WHEN user_id % 13 = 0 THEN 'sms_dp$' ELSE concat('S', user_id) END, '\\r\\n'"
     )
-    raw = load(spark, sf, "events").selectExpr(
+    return load(spark, sf, "events").selectExpr(
+        *extra,
         "user_id AS resource_id",
         "event_id AS index",
         "CASE event_type WHEN 'click' THEN 5143 WHEN 'view' THEN 4663 WHEN 'error' THEN 5144 ELSE 5142 END AS instance_id",
@@ -154,6 +158,10 @@ def _message_fields(spark: SparkSession, sf: str) -> DataFrame:
                      user_id, ')\\r\\nNew SD:{tab}none')
             ELSE concat('A network share object was added.\\r\\n\\r\\nSubject:\\r\\n', {common}, {share}, 'Share Path:{tab}D:/x ') END AS message""",
     )
+
+
+def _message_fields(spark: SparkSession, sf: str) -> DataFrame:
+    raw = _raw_messages(spark, sf)
     names = {"sid": {"BA": "Administrators"}, "type": {"A": "Allow", "D": "Deny"}, "rights": {"FA": "Full"}}
     return parse_share_events(raw, names)
 
@@ -176,6 +184,37 @@ WHERE event_type <> 'view' AND user_id % 11 <> 0 AND user_id % 13 <> 0
 """
 
 
+def _share_event_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """From raw messages to the search: parse, merge two batches into the store, search it."""
+    time = """CASE event_type WHEN 'click' THEN date_format(ts, 'MM/dd/yyyy HH:mm:ss')
+        ELSE date_format(ts, 'dd.MM.yyyy HH:mm:ss') END AS time_generated"""
+    parsed = parse_share_events(_raw_messages(spark, sf, time))
+    store = merge_events(parsed.limit(0), parsed.filter("index % 2 = 0"), "2024-07-05 00:00:00")
+    store = merge_events(store, parsed.filter("index % 3 > 0"), "2024-07-05 00:00:00")
+    return share_events_search(
+        store, _system(spark, sf), _share(spark, sf), domains=["automobile", "Building "],
+        event_types=["изменение", "СОЗДАНИЕ"], computer="%.NET", folder="s", case_insensitive=True,
+    )
+
+
+QUERIES["share_event_pipeline"] = _share_event_pipeline
+ORACLES["share_event_pipeline"] = """
+SELECT user_id AS resource_id, c_name || '.' || lower(c_mktsegment) || '.net' AS computer_name,
+       CASE WHEN c_nationkey < 9 THEN 'Windows Server' ELSE 'Windows 10' END AS os_name_and_version,
+       c_mktsegment AS domain, 'DOM' || chr(92) || 'acc' || user_id AS changed_by,
+       CASE event_type WHEN 'click' THEN 5143 WHEN 'error' THEN 5144 ELSE 5142 END AS instance_id,
+       CASE event_type WHEN 'click' THEN 'Изменение' ELSE 'Создание' END AS event_type,
+       CASE WHEN event_type = 'click' THEN 'none' END AS new_sd,
+       CASE WHEN event_type = 'click' THEN 'O:BAD:(A;;FA;;;BA)(D;;0x1;;;' || user_id || ')' END AS old_sd,
+       'S' || user_id AS shared_folder, CASE WHEN 'S' || user_id = 'SHARE' || c_nationkey THEN 'about ' || c_nationkey END AS remark,
+       CASE WHEN event_type = 'click' THEN 'C:/a: b' ELSE 'D:/x' END AS share_path, date_trunc('second', ts) AS event_time
+FROM events JOIN customer ON c_custkey = user_id
+WHERE event_type <> 'view' AND user_id % 11 <> 0 AND user_id % 13 <> 0 AND c_nationkey <> 4
+  AND c_mktsegment IN ('AUTOMOBILE', 'BUILDING')
+  AND (event_id % 3 > 0 OR (event_id % 2 = 0 AND date_trunc('second', ts) > TIMESTAMP '2024-07-05 00:00:00' - INTERVAL 180 DAY))
+"""
+
+
 def _readable_sd(spark: SparkSession, sf: str) -> DataFrame:
     names = {"sid": {"WD": "Everyone"}, "type": {"A": "Allow"}, "rights": {"FR": "Read"}}
     return load(spark, sf, "supplier").select(
@@ -284,15 +323,18 @@ FROM entry WHERE seen = last_seen AND NOT empty GROUP BY ALL
 """
 
 
-def _categorised_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    entries = load(spark, sf, "lineitem").selectExpr(
+def _entries(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "lineitem").selectExpr(
         "l_orderkey",
         "CASE l_returnflag WHEN 'A' THEN 'NTFSPermission' WHEN 'N' THEN 'SharedPermission' ELSE 'Odd' END AS permission_type",
         "concat('u', l_suppkey) AS security_principal",
         "concat('R', CAST(l_quantity AS int)) AS file_system_rights",
         "CASE WHEN l_linestatus = 'F' THEN 'AccessAllowed' ELSE 'AccessDenied' END AS access_control_type",
     )
-    return combined_permissions(entries, ["l_orderkey"])
+
+
+def _categorised_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    return combined_permissions(_entries(spark, sf), ["l_orderkey"])
 
 
 QUERIES["categorised_rollup"] = _categorised_rollup
@@ -346,9 +388,11 @@ FROM lined
 
 
 def _array_diff(spark: SparkSession, sf: str) -> DataFrame:
-    combined = _categorised_rollup(spark, sf)
-    shared, ntfs = permission_lists("permissions")
-    marked = combined.select("l_orderkey", array_changes(shared, ntfs).alias("c"))
+    """On the kept lists: names hold what would end an entry or a list in the combined text."""
+    odd = F.expr("CASE CAST(substring(security_principal, 2) AS int) % 3 WHEN 0 THEN ')(' WHEN 1 THEN '[NTFS]@' ELSE '' END")
+    entries = _entries(spark, sf).withColumn("security_principal", F.concat("security_principal", odd))
+    combined = combined_permissions(entries, ["l_orderkey"], lists=True)
+    marked = combined.select("l_orderkey", array_changes("shared_entries", "ntfs_entries").alias("c"))
     return marked.select(
         "l_orderkey",
         F.array_join(F.transform("c", lambda x: F.when(x["changed"], F.concat(F.lit("!"), x["item"])).otherwise(x["item"])), ",").alias("marked"),
@@ -359,8 +403,8 @@ QUERIES["array_diff"] = _array_diff
 ORACLES["array_diff"] = """
 WITH e AS (
   SELECT l_orderkey, l_returnflag AS rf,
-         'u' || l_suppkey AS who, 'R' || CAST(l_quantity AS INTEGER) AS rights, l_linestatus AS ls,
-         'u' || l_suppkey || ': R' || CAST(l_quantity AS INTEGER) || CASE WHEN l_linestatus <> 'F' THEN ' DENY' ELSE '' END AS item
+         'u' || l_suppkey || CASE l_suppkey % 3 WHEN 0 THEN ')(' WHEN 1 THEN '[NTFS]@' ELSE '' END AS who, 'R' || CAST(l_quantity AS INTEGER) AS rights, l_linestatus AS ls,
+         'u' || l_suppkey || CASE l_suppkey % 3 WHEN 0 THEN ')(' WHEN 1 THEN '[NTFS]@' ELSE '' END || ': R' || CAST(l_quantity AS INTEGER) || CASE WHEN l_linestatus <> 'F' THEN ' DENY' ELSE '' END AS item
   FROM lineitem),
 lists AS (
   SELECT l_orderkey,
@@ -415,3 +459,64 @@ SELECT l_orderkey AS resource_id, 'F' || l_linenumber AS shared_folder_name, l_r
 UNION ALL
 SELECT o_orderkey, 'No Shared Folders', '' FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
 """
+
+
+def _share_permission_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """From raw entries of two scans to the change digest.
+
+    Line 3 of an order is a share entry and line 4 a file system entry, the folder is the order. Scan one
+    leaves out orders divisible by 5, scan two those divisible by 7; from one to the other the rights of
+    orders divisible by 3 change. Line 1 marks a device without entries.
+    """
+    lines = load(spark, sf, "lineitem").selectExpr(
+        "l_suppkey AS resource_id", "concat('F', l_orderkey) AS share_name", "concat('o', l_suppkey) AS owner", "'DOM' AS trustee_domain",
+        "concat('t', l_partkey) AS trustee_name", "l_orderkey", "l_linenumber", "0 AS ace_type", "1 AS ace_flags",
+    )
+    devices = load(spark, sf, "supplier").selectExpr("s_suppkey AS resource_id")
+    rights, kinds, flags = {1: "Read", 2: "Write"}, {0: "AccessAllowed"}, {1: "Object"}
+
+    def scan(skipped: int, second: bool, at: str) -> DataFrame:
+        mask = F.when((F.col("l_orderkey") % 3 == 0) & F.lit(second), 3).otherwise(1).cast("bigint")
+        found = lines.filter(F.col("l_orderkey") % skipped > 0).withColumn("access_mask", mask)
+        shared = share_aces(found.filter("l_linenumber = 3"), "SharedPermission", rights, kinds)
+        ntfs = share_aces(found.filter("l_linenumber = 4"), "NTFSPermission", rights, kinds, flags)
+        return permission_entries(devices, shared, ntfs, at)
+
+    first, second = scan(5, False, "2024-01-10 08:00:00"), scan(7, True, "2024-01-11 08:00:00")
+    store = merge_permissions(first.limit(0), first, "2024-01-10 09:00:00")
+    nothing = spark.createDataFrame(
+        [], "resource_id bigint, shared_folder_name string, check_status string, check_status_time timestamp_ntz, "
+        "changed_by string, old_permissions string, new_permissions string",
+    )
+    state = reconcile(nothing, current_permissions(store), "2024-01-10 10:00:00")
+    store = merge_permissions(store, second, "2024-01-11 09:00:00")
+    state = reconcile(state, current_permissions(store), "2024-01-11 10:00:00")
+    system = load(spark, sf, "supplier").selectExpr(
+        "s_suppkey AS resource_id", "s_name AS netbios_name", "CAST(NULL AS string) AS full_domain_name"
+    )
+    return share_change_digest(state, system, "2024-01-11 12:00:00").drop("html")
+
+
+QUERIES["share_permission_pipeline"] = _share_permission_pipeline
+ORACLES["share_permission_pipeline"] = """
+WITH e AS (SELECT DISTINCT l_suppkey AS d, l_orderkey AS k, l_linenumber AS n, 'DOM' || chr(92) || 't' || l_partkey AS who
+           FROM lineitem WHERE l_linenumber IN (3, 4)),
+f AS (SELECT d, k, list(who || ': ' ORDER BY who) FILTER (n = 3) AS s, list(who || ': ' ORDER BY who) FILTER (n = 4) AS x FROM e GROUP BY 1, 2),
+g AS (SELECT *, k % 5 > 0 AS was, k % 3 = 0 AS changes FROM f WHERE k % 7 > 0),
+h AS (SELECT * FROM g WHERE NOT was OR changes),
+old_new AS (
+  SELECT *, CASE WHEN was THEN 'Modified' ELSE 'New' END AS st, CASE WHEN changes THEN 'Read, Write' ELSE 'Read' END AS now FROM h),
+lined AS (
+  SELECT *,
+    '<strong>Shared</strong><br>' || CASE WHEN s IS NULL THEN 'UNKNOWN<br>' ELSE array_to_string(['<font color="red">' || y || 'Read</font><br>' FOR y IN s], '') END
+    || '<strong>NTFS</strong><br>' || CASE WHEN x IS NULL THEN 'UNKNOWN<br>' ELSE array_to_string(['<font color="red">' || y || 'Read</font><br>' FOR y IN x], '') END AS before,
+    '<strong>Shared</strong><br>' || CASE WHEN s IS NULL THEN CASE WHEN was THEN 'UNKNOWN<br>' ELSE '<font color="red">UNKNOWN</font><br>' END
+       ELSE array_to_string(['<font color="red">' || y || now || '</font><br>' FOR y IN s], '') END
+    || '<strong>NTFS</strong><br>' || CASE WHEN x IS NULL THEN CASE WHEN was THEN 'UNKNOWN<br>' ELSE '<font color="red">UNKNOWN</font><br>' END
+       ELSE array_to_string(['<font color="red">' || y || now || '</font><br>' FOR y IN x], '') END AS after
+  FROM old_new)
+SELECT d AS resource_id, 'F' || k AS shared_folder_name, upper(s_name) AS computer_name,
+       chr(92) || chr(92) || lower(s_name) || chr(92) || 'F' || k AS folder_path, TIMESTAMP '2024-01-11 10:00:00' AS check_status_time,
+       st AS check_status, 'Script' AS changed_by, CASE WHEN was THEN before ELSE 'None' END AS old_line, after AS new_line
+FROM lined JOIN supplier ON s_suppkey = d
+"""

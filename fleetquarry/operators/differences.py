@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetquarry.functions.text import ColumnOrName, as_column, xml_escape
-from fleetquarry.operators.rollups import Text, ordered_rollup
 
-UNKNOWN_ENTRY = "(UNKNOWN)"
+UNKNOWN_ENTRY = "UNKNOWN"
 
 
 def array_changes(left: ColumnOrName, right: ColumnOrName) -> Column:
@@ -23,25 +22,32 @@ def array_changes(left: ColumnOrName, right: ColumnOrName) -> Column:
     )
 
 
-def combined_permissions(entries: DataFrame, keys: list[str]) -> DataFrame:
+def combined_permissions(entries: DataFrame, keys: list[str], lists: bool = False) -> DataFrame:
     """One text per folder: ``[Shared](who: rights)...[NTFS](who: rights DENY)...``.
 
-    Both lists are built in one aggregation and ordered by who, rights and access type.
+    Both lists are built in one aggregation and ordered by who, rights and access type. With
+    ``lists`` they are kept next to the text, as arrays ``shared_entries`` and ``ntfs_entries``, since a text cannot
+    be cut again where a name holds ``)(`` or ``[NTFS]``. An empty list is one unknown entry.
     """
     deny = F.when(F.col("access_control_type") == "AccessDenied", F.lit(" DENY")).otherwise(F.lit(""))
-    entry = F.concat(
-        F.lit("("), "security_principal", F.lit(": "), "file_system_rights", deny, F.lit(")")
-    )
-    order = [F.col(c) for c in ("security_principal", "file_system_rights", "access_control_type")]
+    entry = F.concat("security_principal", F.lit(": "), "file_system_rights", deny)
+    by = ["security_principal", "file_system_rights", "access_control_type"]
 
-    def part(kind: str) -> Text:
-        return Text(F.when(F.col("permission_type") == kind, entry), order, "", UNKNOWN_ENTRY)
+    def part(kind: str) -> Column:
+        # a folder has few entries, and the report wants them in one cell
+        own = F.when((F.col("permission_type") == kind) & entry.isNotNull(), F.struct(*by, entry.alias("entry")))
+        items = F.transform(F.sort_array(F.collect_list(own)), lambda x: x["entry"])
+        return F.when(F.size(items) > 0, items).otherwise(F.array(F.lit(UNKNOWN_ENTRY)))
 
-    rolled = ordered_rollup(
-        entries, keys, {"__shared": part("SharedPermission"), "__ntfs": part("NTFSPermission")}
+    rolled = entries.groupBy(*keys).agg(
+        part("SharedPermission").alias("shared_entries"), part("NTFSPermission").alias("ntfs_entries")
     )
-    text = F.concat(F.lit("[Shared]"), "__shared", F.lit("[NTFS]"), "__ntfs")
-    return rolled.select(*keys, text.alias("permissions"))
+
+    def text(items: str) -> Column:
+        return F.concat(F.lit("("), F.array_join(items, ")("), F.lit(")"))
+
+    combined = F.concat(F.lit("[Shared]"), text("shared_entries"), F.lit("[NTFS]"), text("ntfs_entries"))
+    return rolled.select(*keys, combined.alias("permissions"), *(["shared_entries", "ntfs_entries"] if lists else []))
 
 
 def permission_lists(text: ColumnOrName) -> tuple[Column, Column]:
@@ -58,12 +64,18 @@ def permission_lists(text: ColumnOrName) -> tuple[Column, Column]:
     return F.when(combined, entries(shared)), F.when(combined, entries(ntfs))
 
 
-def marked_line(mine: Column, other: Column) -> Column:
+def marked_line(
+    mine: Column,
+    other: Column,
+    my_lists: tuple[Column, Column] | None = None,
+    other_lists: tuple[Column, Column] | None = None,
+) -> Column:
     """A permission text as HTML, entries that ``other`` lacks in red.
 
-    Entries are escaped. A text without lists is ``None`` as it stands, else ``Unknown``.
+    Entries are escaped. A text without lists is ``None`` as it stands, else ``Unknown``. The lists are
+    cut from the texts only where they are not given.
     """
-    my_lists, other_lists = permission_lists(mine), permission_lists(other)
+    my_lists, other_lists = my_lists or permission_lists(mine), other_lists or permission_lists(other)
 
     def section(title: str, here: Column, there: Column) -> Column:
         def line(entry: Column) -> Column:

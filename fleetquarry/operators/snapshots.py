@@ -26,7 +26,7 @@ PERMISSION_KEYS = (
     "access_control_type",
 )
 RETENTION_DAYS = 180
-STAMP = "yy.MM.dd HH:mm"
+STAMP = "dd.MM.yyyy HH:mm"
 
 
 def reconcile(

@@ -31,6 +31,8 @@ from fleetquarry.functions.text import (
 from fleetquarry.functions.times import Moment, days_before, on_day, parse_mixed, second_text
 from fleetquarry.operators.differences import combined_permissions, marked_line
 from fleetquarry.operators.latest import latest_snapshot
+from fleetquarry.operators.rollups import with_default_rows
+from fleetquarry.operators.snapshots import stamped
 from fleetquarry.sources.html import html_row
 
 FOLDER = ["resource_id", "shared_folder_name"]
@@ -149,6 +151,17 @@ def share_permissions_latest(
     )
 
 
+def permission_entries(devices: DataFrame, shared: DataFrame, ntfs: DataFrame, at: Moment) -> DataFrame:
+    """Rows of one scan for the permission store: share and file system entries in one list.
+
+    A device without any entry gets the row that says so. All rows carry the scan's time.
+    """
+    blank = ("permission_type", "owner", "security_principal", "file_system_rights", "access_control_type")
+    default = {"shared_folder_name": NO_SHARES} | {c: "" for c in blank}
+    found = shared.unionByName(ntfs, allowMissingColumns=True)
+    return stamped(with_default_rows(devices, found, "resource_id", default), at)
+
+
 def current_permissions(permissions: DataFrame) -> DataFrame:
     """Combined permission text of each folder of each device's last scan.
 
