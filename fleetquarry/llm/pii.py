@@ -99,8 +99,6 @@ def disclosures(docs: DataFrame, base: DataFrame) -> DataFrame:
     same = same.withColumn("own", F.md5(F.col("text").cast("binary")))
     every = same.join(first, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("hash")), "left_semi")
     counts = every.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    wanted = both.select("term").distinct()
-    counts = counts.join(wanted, "term", "left_semi")
     information = F.log(F.lit(float(max(2, whole))) / F.col("n_entity"))
     mutual = F.log(F.col("n_both") * F.lit(float(max(2, whole))) / (F.col("n_entity") * F.greatest("n_term", "n_both")))
     share = F.when(information > 0, mutual / information).otherwise(0.0)
