@@ -31,6 +31,8 @@ TOKEN_LEAST = 20
 TOKEN = f"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{TOKEN_LEAST},}}+"
 MEAN_RATIO = 0.7
 TOTAL_RATIO = 15.0
+#: Weight of a letter's own frequency in the frequency of its transitions.
+BACK_OFF = 5.0
 #: Labelled samples: values of random strings, and texts whose words are ordinary.
 RANDOM_SAMPLE = 20_000
 TEXT_SAMPLE = 2_000
@@ -109,9 +111,12 @@ def train_ratios(base: DataFrame, docs: DataFrame) -> list[float]:
     usual = 0 if any(label for label, _, _ in counts) else 1
 
     def logs(label: int) -> list[float]:
-        out = []
+        flat = usual * label  # no sample: every letter alike
+        single = [0.5 + flat + sum(counts.get((label, a, b), 0) for a in range(SIZE)) for b in range(SIZE)]
+        whole, out = sum(single), []
         for a in range(SIZE):
-            row = [counts.get((label, a, b), 0) + 0.5 + 10 * (label and usual) for b in range(SIZE)]
+            # letters that rarely follow a are as likely as they are at all
+            row = [counts.get((label, a, b), 0) + BACK_OFF * single[b] / whole for b in range(SIZE)]
             total = math.log(sum(row))
             out += [math.log(x) - total for x in row]
         return out
@@ -145,16 +150,18 @@ def random_spans(text: Column, base: Column, ratios: list[float]) -> Column:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``base`` and ``spans`` (arrays of start, kind, end, value), base spans in both.
+    """(row, base, spans) for every row of ``docs``: the row itself as a struct, and arrays of (start, kind,
+    end, value), base spans in both.
 
-    Null counts as empty; positions are code points, end exclusive. Repeated rows stay; a
-    column of ``docs`` named like one of the two is replaced. An empty table gives no rows.
+    Null counts as empty; positions are code points, end exclusive. Repeated rows stay, and other columns may
+    have any name. An empty table gives no rows.
     """
     text = whole_text(F.col("text"))
     base = stored(docs.select(F.col("doc_id").cast("long"), base_spans(text).alias("base")), "secrets")
     ratios = train_ratios(base, docs)
-    own = docs.drop("base", "spans").withColumn("base", base_spans(text))
-    return own.withColumn("spans", in_order(F.concat("base", random_spans(text, F.col("base"), ratios))))
+    own = docs.select(F.struct("*").alias("row"), text.alias("text")).withColumn("base", base_spans(F.col("text")))
+    own = own.withColumn("spans", in_order(F.concat("base", random_spans(F.col("text"), F.col("base"), ratios))))
+    return own.select("row", "base", "spans")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -162,7 +169,7 @@ def report(docs: DataFrame) -> DataFrame:
     found = scan(docs.select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
-        F.col("doc_id").cast("long"),
+        F.col("row.doc_id").cast("long").alias("doc_id"),
         *(count(k).alias(f"n_{k}") for k in KINDS),
         digest(F.col("base")).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
@@ -174,9 +181,11 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Texts without secrets stay as they are, null included.
     """
-    text = masked(whole_text(F.col("text")), F.col("spans"), lambda s: F.concat(F.lit("["), s["kind"], F.lit("]")))
-    out = scan(docs).withColumn("text", F.when(F.size("spans") > 0, text).otherwise(F.col("text")))
+    found = scan(docs)
+    text = masked(whole_text(F.col("row.text")), F.col("spans"), lambda s: F.concat(F.lit("["), s["kind"], F.lit("]")))
+    found = found.withColumn("redacted", F.when(F.size("spans") > 0, text))
+    changed = {"text": F.coalesce("redacted", "row.text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+        size = F.char_length("redacted").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.coalesce(size, "row.n_chars")
+    return found.select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))

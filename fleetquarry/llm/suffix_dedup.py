@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -132,8 +133,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(kind, np.where(kind == MARK, mixed(at.view(np.uint64)).view(np.int64), seed), fragment, ids, at)
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2, over rows sorted by seed, fragment and doc_id; holds the rows of one seed up to FRAGMENTS."""
+def _settle(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Step 2, over rows sorted by seed, fragment and doc_id; holds up to ``most`` rows of one seed."""
     held: list[pa.RecordBatch] = []
     size, big = 0, None
 
@@ -177,7 +178,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, size = [], 0
         held.append(tail)
         size += tail.num_rows
-        if size > FRAGMENTS:
+        if size > most:
             table = pa.Table.from_batches(held).combine_chunks()
             yield judge(table, BIG, False)
             big = [seed[-1], table.column("fragment")[-1].as_py(), None]
@@ -240,8 +241,8 @@ def repeated_windows(texts: list[bytes], windows: np.ndarray, ids: np.ndarray) -
     return [flags[s : s + w] for s, w in zip(starts, windows)]
 
 
-def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3, over rows sorted by seed: suffix arrays of about SHARD_BYTES, seeds kept whole."""
+def _shard(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Step 3, over rows sorted by seed: suffix arrays of about ``shard_bytes``, seeds kept whole."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
         flags = repeated_windows([r[4] for r in rows], np.array([(r[3] & 63) + 1 for r in rows]), np.array([r[2] for r in rows], np.int64))
@@ -256,7 +257,7 @@ def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size, last = [], 0, None
     for batch in batches:
         for row in zip(*(batch.column(n).to_pylist() for n in ("seed", "fragment", "doc_id", "at", "bytes"))):
-            if row[0] != last and size >= SHARD_BYTES:
+            if row[0] != last and size >= shard_bytes:
                 yield solve(held)
                 held, size = [], 0
             held.append(row)
@@ -292,24 +293,25 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, most: int = FRAGMENTS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of ``docs(doc_id, text)``.
 
     Bytes are the UTF-8 of the whole text (null: none). A text under LENGTH bytes keeps all. Rows with the same
     doc_id take nothing from each other; rows without doc_id are neither changed nor compared.
-    Strings are judged on the input, and spans are maximal removed runs.
+    Strings are judged on the input, and spans are maximal removed runs. ``shard_bytes`` and ``most`` bound memory and do not change
+    the result.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     known = rows.where("doc_id is not null and length(text) > 0")
     met = known.mapInArrow(_cut, _KIND).repartition("seed").sortWithinPartitions("seed", "fragment", "doc_id")
-    found = stored(met.mapInArrow(_settle, _KIND), "settled")
+    found = stored(met.mapInArrow(partial(_settle, most=most), _KIND), "settled")
     open_rows = found.where(F.col("kind") != MARK)
     asked = open_rows.groupBy("doc_id").agg(F.collect_list(F.struct("kind", "seed", "fragment", "at")).alias("asked"))
     # a document's fragments are bounded by its text
     cut_kind = _KIND + ", bytes binary"
     texts = stored(known.dropDuplicates(["doc_id", "text"]).join(asked, "doc_id").mapInArrow(_texts, cut_kind), "fragments")
     sharded = texts.where(F.col("kind") == ASK).repartition("seed").sortWithinPartitions("seed", "fragment", "doc_id")
-    shards = sharded.mapInArrow(_shard, "doc_id long, at long")
+    shards = sharded.mapInArrow(partial(_shard, shard_bytes=shard_bytes), "doc_id long, at long")
     marks = found.where(F.col("kind") == MARK).select("doc_id", "at").unionByName(shards).unionByName(_one_by_one(texts))
     spans = marks.groupBy("doc_id").agg(F.collect_set("at").alias("found"))
     return rows.join(spans, "doc_id", "left").mapInArrow(
