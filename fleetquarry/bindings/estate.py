@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetquarry.bindings.common import load
 from fleetquarry.plans.audit import security_audit
@@ -14,7 +16,9 @@ from fleetquarry.plans.compliance import (
 )
 from fleetquarry.plans.inventory import installed_software, linux_system_info, system_info
 from fleetquarry.plans.performance import counter_base, performance_history
+from fleetquarry.session import shared_dir
 from fleetquarry.sources.sinks import materialise
+from fleetquarry.sources.tables import SCHEMAS, tables
 
 QUERIES, ORACLES = {}, {}
 
@@ -64,7 +68,21 @@ def _device_collections(spark: SparkSession, sf: str) -> DataFrame:
         "CASE WHEN n_regionkey = 2 THEN 5001 ELSE 5000 END AS object_type",
     )
     folder = load(spark, sf, "region").selectExpr("r_regionkey AS container_node_id", "r_name AS name")
-    return device_collections(membership, collection, filed, folder)
+    # landed as parquet and read back with the declared schemas
+    root = shared_dir(spark, "landed")
+    landed = {
+        "full_collection_membership": membership, "collection": collection, "folder_member": filed, "folder": folder,
+    }
+    for name, frame in landed.items():
+        typed = [
+            F.col(c.name).cast(c.dataType).alias(c.name) if c.name in frame.columns else F.lit(None).cast(c.dataType).alias(c.name)
+            for c in StructType.fromDDL(SCHEMAS[name])
+        ]
+        frame.select(*typed).write.parquet(f"{root}/{name}")
+    t = tables(spark, root, landed)
+    return device_collections(
+        t["full_collection_membership"], t["collection"], t["folder_member"], t["folder"], ordered=False
+    )
 
 
 QUERIES["device_collections"] = _device_collections

@@ -139,8 +139,15 @@ SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lin
 # -- labels and predicates ----------------------------------------------------------------
 
 
+# of open orders: one of 24 states by customer, or none
+_OTHER_STATES = """CASE o_custkey % 25 WHEN 0 THEN 1000 WHEN 1 THEN 2000 WHEN 2 THEN 2001 WHEN 3 THEN 2002 WHEN 4 THEN 2003
+  WHEN 5 THEN 2004 WHEN 6 THEN 2005 WHEN 7 THEN 2018 WHEN 8 THEN 2019 WHEN 9 THEN 2020 WHEN 10 THEN 3000 WHEN 11 THEN 3001
+  WHEN 12 THEN 4000 WHEN 13 THEN 5000 WHEN 14 THEN 5001 WHEN 15 THEN 5002 WHEN 16 THEN 5003 WHEN 17 THEN 5004 WHEN 18 THEN 5005
+  WHEN 19 THEN 5006 WHEN 20 THEN 5007 WHEN 21 THEN 5008 WHEN 22 THEN 5009 WHEN 23 THEN 5010 END"""
+
+
 def _status_labels(spark: SparkSession, sf: str) -> DataFrame:
-    state = "CASE o_orderstatus WHEN 'F' THEN 1000 + month(o_orderdate) WHEN 'P' THEN 2005 + month(o_orderdate) END"
+    state = f"CASE o_orderstatus WHEN 'F' THEN 1000 + month(o_orderdate) WHEN 'P' THEN 2005 + month(o_orderdate) ELSE {_OTHER_STATES} END"
     orders = load(spark, sf, "orders").selectExpr(
         "o_orderkey",
         f"{state} AS state",
@@ -159,12 +166,20 @@ def _status_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["status_labels"] = _status_labels
-ORACLES["status_labels"] = """
+ORACLES["status_labels"] = f"""
 WITH m(st, msg) AS (VALUES (1001, 'Already Compliant'), (1002, 'Simulate Success'), (2006, 'Downloading dependent content'),
   (2007, 'Installing dependent content'), (2008, 'Restart to complete'), (2009, 'Content downloaded'), (2010, 'Waiting for update'),
   (2011, 'Waiting for user session reconnect'), (2012, 'Waiting for user logoff'), (2013, 'Waiting for user logon'),
-  (2014, 'Waiting to install'), (2015, 'Waiting retry'), (2016, 'Waiting for presentation mode'), (2017, 'Waiting for Orchestration')),
-o AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1000 + month(o_orderdate) WHEN 'P' THEN 2005 + month(o_orderdate) END AS st,
+  (2014, 'Waiting to install'), (2015, 'Waiting retry'), (2016, 'Waiting for presentation mode'), (2017, 'Waiting for Orchestration'),
+  (1000, 'Success'), (2000, 'In Progress'), (2001, 'Waiting for Content'), (2002, 'Installing'), (2003, 'Restart to Continue'),
+  (2004, 'Waiting for maintenance window'), (2005, 'Waiting for schedule'), (2018, 'Waiting for network'),
+  (2019, 'Pending App-V Virtual Environment'), (2020, 'Updating App-V Virtual Environment'), (3000, 'Requirements not met'),
+  (3001, 'Host platform not applicable'), (4000, 'Unknown'), (5000, 'Deployment failed'), (5001, 'Evaluation failed'),
+  (5002, 'Deployment failed'), (5003, 'Failed to locate content'), (5004, 'Dependency installation failed'),
+  (5005, 'Failed to download dependent content'), (5006, 'Conflicts with another application deployment'), (5007, 'Waiting retry'),
+  (5008, 'Failed to uninstall superseded deployment type'), (5009, 'Failed to download superseded deployment type'),
+  (5010, 'Failed to updating App-V Virtual Environment')),
+o AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1000 + month(o_orderdate) WHEN 'P' THEN 2005 + month(o_orderdate) ELSE {_OTHER_STATES} END AS st,
              CAST(left(o_orderpriority, 1) AS INTEGER) - 1 AS offer, month(o_orderdate) % 2 AS appl FROM orders)
 SELECT o_orderkey, coalesce(msg, CASE WHEN offer = 2 THEN 'Available for Install' WHEN o.st IS NULL THEN 'Unknown' END) AS message,
        CASE offer WHEN 0 THEN 'Required' WHEN 2 THEN 'Available' END AS purpose,
@@ -313,17 +328,14 @@ def _rollup_of_hot_groups(spark: SparkSession, sf: str) -> DataFrame:
     parts = rollups.rollup_parts(
         events, ["event_type"], F.col("event_id").cast("string"), [F.col("ts")], separator=","
     )
-    # where a list is cut depends on the sample behind the ranges; its entries do not
-    entries = F.size(F.split("text", ","))
-    return parts.groupBy("event_type").agg(
-        F.sum(entries).alias("entries"),
-        F.sum(F.length("text") - entries + 1).alias("characters"),
-    )
+    # where a list is cut depends on the sample behind the ranges; the parts in order are the list
+    whole = F.expr("listagg(text, ',') WITHIN GROUP (ORDER BY part)")
+    return parts.groupBy("event_type").agg(F.md5(whole.cast("binary")).alias("list"))
 
 
 QUERIES["rollup_of_hot_groups"] = _rollup_of_hot_groups
 ORACLES["rollup_of_hot_groups"] = """
-SELECT event_type, count(*) AS entries, CAST(sum(length(CAST(event_id AS VARCHAR))) AS BIGINT) AS characters
+SELECT event_type, md5(string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ts, CAST(event_id AS VARCHAR))) AS list
 FROM events GROUP BY event_type
 """
 
@@ -374,9 +386,11 @@ FROM k
 
 
 def _version_strip(spark: SparkSession, sf: str) -> DataFrame:
+    versions.register_sql_functions(spark)
     return _version_keys(spark, sf).select(
         "p_partkey",
         versions.version_strip_zeros("v").alias("stripped"),
+        F.expr("version_strip_zeros(v)").alias("sql_stripped"),
         versions.version_strip_zeros(versions.version_sort_key("v")).alias("back"),
     )
 
@@ -385,7 +399,7 @@ QUERIES["version_strip"] = _version_strip
 ORACLES["version_strip"] = f"""
 WITH {_VERSION_SQL},
 k AS (SELECT *, list_aggregate([coalesce(nullif(ltrim(x, '0'), ''), '0') FOR x IN string_split(v, '.')], 'string_agg', '.') AS s FROM v)
-SELECT p_partkey, CASE WHEN p_size NOT IN (2, 3) THEN s END AS stripped, CASE WHEN p_size NOT IN (2, 3) THEN s END AS back FROM k
+SELECT p_partkey, CASE WHEN p_size NOT IN (2, 3) THEN s END AS stripped, CASE WHEN p_size NOT IN (2, 3) THEN s END AS sql_stripped, CASE WHEN p_size NOT IN (2, 3) THEN s END AS back FROM k
 """
 
 

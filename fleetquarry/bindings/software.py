@@ -260,15 +260,16 @@ FROM part, (VALUES (1), (2)) AS v(n)
 
 def _html_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = html_table_rows(_part_pages(spark, sf))
-    return rows.select("page_id", "row", F.length("inner_html").alias("chars"))
+    # line breaks in the row's text stand for the positions, so they are kept
+    return rows.select("page_id", "row", F.regexp_replace("inner_html", "\n", ".").alias("inner_html"))
 
 
 QUERIES["html_rows"] = _html_rows
 ORACLES["html_rows"] = """
 SELECT p_partkey AS page_id, CAST(n - 1 AS INTEGER) AS row,
-       CAST(length('<td>15.' || p_size || '.' || n || '</td>.<td>x.<td>20' || (10 + p_size % 6) || '.' || p_partkey || '.' || n
+       '<td>15.' || p_size || '.' || n || '</td>.<td>x.<td>20' || (10 + p_size % 6) || '.' || p_partkey || '.' || n
          || '.<td>q</td>.<td><b>KB' || p_partkey || '</b></td>.<td><A href="http://x/' || p_partkey || '">' || p_name
-         || '</A>.<td><time class="d" datetime="20' || (10 + p_size % 6) || '-02-03">.') AS INTEGER) AS chars
+         || '</A>.<td><time class="d" datetime="20' || (10 + p_size % 6) || '-02-03">.' AS inner_html
 FROM part, (VALUES (1), (2)) AS v(n)
 """
 
@@ -397,13 +398,13 @@ def _evictable(spark: SparkSession, sf: str) -> DataFrame:
         "l_linestatus = 'F' AS is_machine_target",
         "concat('id-', l_orderkey) AS content_id",
     )
-    programs = lineitem.filter("l_returnflag = 'N' AND l_linenumber < 3").selectExpr(
+    programs = lineitem.filter("l_returnflag = 'N'").selectExpr(
         "concat('id-', l_orderkey) AS package_id",
         "'p' AS package_name",
         "CASE WHEN l_linestatus = 'F' THEN 'Succeeded' ELSE 'Failed' END AS last_run_status",
         "CASE WHEN l_quantity > 40 THEN 'RerunAlways' END AS repeat_run_behavior",
     )
-    updates = lineitem.filter("l_returnflag = 'R' AND l_linenumber < 2").selectExpr(
+    updates = lineitem.filter("l_returnflag = 'R'").selectExpr(
         "concat('id-', l_orderkey) AS unique_id",
         "'t' AS title",
         "CASE WHEN l_linestatus = 'F' THEN 'Installed' ELSE 'Missing' END AS status",
@@ -415,11 +416,11 @@ _EVICT_SQL = """
 votes AS (
   SELECT l_orderkey AS k,
          coalesce(bool_or(l_returnflag = 'A' AND l_linenumber < 5 AND l_linestatus = 'F'), false) AS app_yes,
-         coalesce(bool_or(l_returnflag = 'N' AND l_linenumber < 3 AND l_linestatus = 'F' AND l_quantity <= 40), false) AS pkg_yes,
-         coalesce(bool_or(l_returnflag = 'N' AND l_linenumber < 3 AND NOT (l_linestatus = 'F' AND l_quantity <= 40)), false) AS pkg_no,
-         coalesce(bool_or(l_returnflag = 'R' AND l_linenumber < 2 AND l_linestatus = 'F'), false) AS upd_yes,
+         coalesce(bool_or(l_returnflag = 'N' AND l_linestatus = 'F' AND l_quantity <= 40), false) AS pkg_yes,
+         coalesce(bool_or(l_returnflag = 'N' AND NOT (l_linestatus = 'F' AND l_quantity <= 40)), false) AS pkg_no,
+         coalesce(bool_or(l_returnflag = 'R' AND l_linestatus = 'F'), false) AS upd_yes,
          coalesce(bool_or(l_returnflag = 'A' AND NOT (l_linenumber < 5 AND l_linestatus = 'F')
-              OR l_returnflag = 'R' AND l_linenumber < 2 AND l_linestatus <> 'F'), false) AS other_no
+              OR l_returnflag = 'R' AND l_linestatus <> 'F'), false) AS other_no
   FROM lineitem GROUP BY 1),
 evicted AS (
   SELECT 'ID-' || o_orderkey AS content_id, 'C:/cache/' || o_orderkey AS location, o_orderkey AS size_bytes,
@@ -436,13 +437,14 @@ SELECT content_id, location, size_bytes, reason FROM evicted WHERE reason IS NOT
 
 
 def _eviction_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return eviction_totals(_evictable(spark, sf)).select("reason", "items", "bytes")
+    return eviction_totals(_evictable(spark, sf))
 
 
 QUERIES["cache_eviction_totals"] = _eviction_totals
 ORACLES["cache_eviction_totals"] = f"""
 WITH {_EVICT_SQL}
-SELECT reason, count(*) AS items, CAST(sum(size_bytes) AS BIGINT) AS bytes
+SELECT reason, count(*) AS items, CAST(sum(size_bytes) AS BIGINT) AS bytes,
+       round_even(CAST(sum(size_bytes) AS BIGINT) / 1048576, 2) AS megabytes
 FROM evicted WHERE reason IS NOT NULL GROUP BY reason
 """
 
@@ -464,7 +466,7 @@ def _retention_report(spark: SparkSession, sf: str) -> DataFrame:
         "n_chars AS length",
         "TIMESTAMP_NTZ'2024-01-31 00:00:00' - make_dt_interval(CAST(doc_id % 40 AS int)) AS last_write_time",
     )
-    return retention_report(files, _POLICIES, "2024-01-31 00:00:00").drop("megabytes")
+    return retention_report(files, _POLICIES, "2024-01-31 00:00:00")
 
 
 QUERIES["retention_report"] = _retention_report
@@ -475,7 +477,7 @@ hits AS (
   UNION ALL SELECT 1, n_chars FROM f WHERE lang = 'en' AND doc_id % 2 = 1 AND age > 0 AND source NOT LIKE 'src7%'
   UNION ALL SELECT 2, n_chars FROM f WHERE lang = 'de' AND doc_id % 5 = 0 AND age > 0)
 SELECT CAST(p.policy AS INTEGER) AS policy, path, mask, CAST(days AS INTEGER) AS days, count(n_chars) AS files,
-       CAST(coalesce(sum(n_chars), 0) AS BIGINT) AS bytes
+       CAST(coalesce(sum(n_chars), 0) AS BIGINT) AS bytes, round_even(CAST(coalesce(sum(n_chars), 0) AS BIGINT) / 1048576, 2) AS megabytes
 FROM (VALUES (0, 'C:' || chr(92) || 'Temp' || chr(92) || 'Logs' || chr(92), '*.*', 21),
              (1, 'C:' || chr(92) || 'Windows' || chr(92) || 'Temp' || chr(92), '*.*', 0),
              (2, 'C:' || chr(92) || 'Windows' || chr(92) || 'logs' || chr(92), '*.log', 0),

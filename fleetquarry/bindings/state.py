@@ -297,12 +297,14 @@ SELECT user_id, event_type, CAST(min(event_id % 3) AS INTEGER) AS landed FROM ev
 def _builds_file(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "builds")
     sinks.write_builds(build_list(_part_pages(spark, sf)), path)
-    return newest_builds(files.read_builds(spark, path), "version").select("build", "file_version", "update_name")
+    return newest_builds(files.read_builds(spark, path), "version")
 
 
 QUERIES["builds_file"] = _builds_file
 ORACLES["builds_file"] = """
-SELECT '15.' || p_size || '.2' AS build, '20' || (10 + p_size % 6) || '.' || p_partkey || '.2' AS file_version, p_name AS update_name
+SELECT '15.' || p_size || '.2' AS build, '20' || (10 + p_size % 6) || '.' || p_partkey || '.2' AS file_version,
+       '20' || (10 + p_size % 6) AS sql_version, 'KB' || p_partkey AS kb, 'http://x/' || p_partkey AS link,
+       p_name AS update_name, '20' || (10 + p_size % 6) || '-02-03' AS release_date
 FROM (SELECT *, max(p_partkey) OVER (PARTITION BY p_size % 6) AS top FROM part) WHERE p_partkey = top
 """
 

@@ -52,7 +52,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -48,12 +48,27 @@ def write_html_rows(df: DataFrame, path: str, html: str = "html") -> None:
     df.select(html).write.mode("overwrite").text(path)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back, for plans that read it often.
 
-    The copy survives lost executors and keeps column pruning and filter pushdown.
+    The copy survives lost executors and keeps column pruning and filter pushdown. With a ``path`` of its own,
+    named by the run, a complete copy that is there already is read and not written again; ``discard``
+    removes it when the run is over.
     """
     spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    if path is None:
+        path = shared_dir(spark, name)
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a materialised copy; nothing happens where there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -276,3 +276,16 @@ def test_retention(spark, table):
 def test_wanted_file(spark, title, name, wanted):
     df = spark.createDataFrame([(title, name)], "display_name string, file_name string")
     assert df.select(upkeep.wanted_file()).first()[0] is wanted
+
+
+def test_upsert_of_null_keys_and_repeats(spark):
+    kind = "k int, n int, v string"
+    target = spark.createDataFrame([(None, 0, "old"), (1, 0, "old"), (2, 0, "old")], kind)
+    batch = spark.createDataFrame([(None, 1, "new"), (1, 1, "z"), (1, 2, "a"), (3, 1, "new")], kind)
+    assert rows(latest.upsert(target, batch, ["k"], "n"), "k", "v") == [(None, "new"), (1, "a"), (2, "old"), (3, "new")]
+    assert rows(latest.upsert(target.limit(0), batch, ["k"]), "k", "v") == [(None, "new"), (1, "a"), (3, "new")]
+
+
+def test_stamp_is_the_writers_layout(spark):
+    one = spark.createDataFrame([(1, "x")], "a int, time_added string")
+    assert rows(snapshots.stamped(one, "2024-02-03 04:05:06")) == [(1, "03.02.2024 04:05")]

@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from fleetquarry.operators import joins, latest
-from fleetquarry.plans import compliance, performance, shares
+from fleetquarry.operators import joins, latest, snapshots
+from fleetquarry.plans import compliance, inventory, linux_updates, performance, servers, shares
+from fleetquarry.sources.files import UPDATE_SCHEMA
 from fleetquarry.sources.tables import SCHEMAS
 
 SF = "/root/testdata/sf0.001"
@@ -100,3 +101,60 @@ def test_hot_keys_meet_partial_aggregates_first(landed):
     assert "partial_max" in plan and "Window" not in plan
     ranked = plan_of(latest.top_rank(landed("system"), ["resource_domain"], "netbios_name"))
     assert "partial_min" in ranked and "Window" not in ranked
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def paths_to(plan: str, scan: str) -> list[list[str]]:
+    """For each scan that reads the column ``scan``, the operators above it, innermost first."""
+    out, stack = [], []
+    for line in plan.splitlines():
+        name = line.lstrip(" :+-*")
+        depth = len(line) - len(line.lstrip(" :+-"))
+        while stack and stack[-1][0] >= depth:
+            stack.pop()
+        stack.append((depth, name))
+        if "FileScan" in name and scan in name:
+            out.append([n for _, n in reversed(stack[:-1])])
+    return out
+
+
+def exchanges(path: list[str]) -> int:
+    return sum(n.startswith("Exchange") for n in path)
+
+
+def test_products_are_exchanged_once(landed, no_broadcasts):
+    t = {n: landed(n) for n in ("system", "user", "operating_system", "combined_device", "installed_software")}
+    report = inventory.installed_software(*t.values(), ordered=False)
+    (path,) = paths_to(plan_of(report), "software_code")
+    assert exchanges(path) == 1
+
+
+def test_services_are_not_exchanged_with_device_columns_first(landed, no_broadcasts):
+    names = ("system", "computer_system", "system_ou", "service", "operating_system", "software_file", "combined_device")
+    builds = landed("service").selectExpr("name AS build", "name AS file_version", "name AS sql_version", "name AS kb", "name AS link", "name AS update_name", "name AS release_date")
+    report = servers.server_version_compliance(*[landed(n) for n in names], builds, ordered=False)
+    path = min(paths_to(plan_of(report), "start_name"), key=exchanges)
+    assert exchanges(path) <= 4  # device, file, line of builds, and the final grouping
+
+
+def test_installed_packages_are_scanned_once(landed, no_broadcasts, spark):
+    updates = spark.createDataFrame([], UPDATE_SCHEMA)
+    report = linux_updates.linux_update_compliance(landed("system"), landed("add_remove_programs"), updates)
+    assert len(paths_to(plan_of(report), "publisher")) == 1
+
+
+def test_a_small_batch_moves_no_target(landed, spark):
+    target = landed("share_folder_permission")
+    values = ", ".join(f"'x' AS {c}" for c in target.columns[1:])
+    batch = spark.sql(f"SELECT 1L AS resource_id, {values}")
+    (path,) = paths_to(plan_of(latest.upsert(target, batch, list(snapshots.PERMISSION_KEYS))), "access_control_type")
+    assert not [n for n in path if n.startswith(("Exchange", "SortAggregate", "Sort "))]
+    (path,) = paths_to(plan_of(snapshots.insert_new(target, batch, list(snapshots.PERMISSION_KEYS))), "access_control_type")
+    assert not [n for n in path if n.startswith(("Exchange hash", "SortAggregate", "Sort "))]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -213,3 +214,61 @@ def test_insert_new_stream_and_its_replay(spark, tmp_path):
     assert run("p") == [(1,), (2,)]
     _land(spark, landing, (2, "d"), (3, "e"))
     assert run("p") == [(1,), (2,), (3,)]
+
+
+def test_streams_go_on_after_compaction_and_never_overwrite(spark, tmp_path):
+    landing, later, root, fresh = (str(tmp_path / n) for n in ("in", "later", "store", "fresh"))
+    schema = "resource_id bigint, index bigint, instance_id bigint, message string"
+
+    def run(source, target, progress):
+        stream = spark.readStream.schema(EVENT).parquet(source).drop("at")
+        stores.start_event_store(stream, target, str(tmp_path / progress)).awaitTermination()
+
+    _land(spark, landing, (1, "b"), (2, "two"))
+    run(landing, root, "p")
+    _land(spark, landing, (1, "a"), (1, "c"))
+    run(landing, root, "p")
+    with pytest.raises(ValueError, match="would overwrite|would "):
+        run(landing, root, "another")
+    stores.compact(spark, root, schema, fresh, order=["message"])
+    with pytest.raises(ValueError, match="already holds"):
+        stores.compact(spark, root, schema, fresh)
+    _land(spark, later, (3, "three"))
+    run(later, fresh, "q")
+    assert rows(stores.read_store(spark, fresh, schema), "index", "message") == [(1, "c"), (2, "two"), (3, "three")]
+
+
+def test_inserts_go_on_after_compaction(spark, tmp_path):
+    landing, later, root, fresh = (str(tmp_path / n) for n in ("in", "later", "store", "fresh"))
+    schema = "index bigint, message string"
+
+    def run(source, target, progress):
+        stream = spark.readStream.schema(EVENT).parquet(source).select("index", "message")
+        stores.start_insert_new(stream, target, str(tmp_path / progress), schema, ["index"]).awaitTermination()
+
+    _land(spark, landing, (1, "a"), (2, "b"))
+    run(landing, root, "p")
+    with pytest.raises(ValueError):
+        run(landing, root, "another")
+    stores.compact(spark, root, schema, fresh, ["index"])
+    _land(spark, later, (2, "later"), (3, "c"))
+    run(later, fresh, "q")
+    assert rows(spark.read.schema(schema).parquet(fresh + "/*"), "index", "message") == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_compaction_purges(spark, tmp_path):
+    root, fresh = str(tmp_path / "store"), str(tmp_path / "fresh")
+    schema = "resource_id bigint, index bigint, instance_id bigint, time_generated string"
+    old_and_new = [(1, 1, 1, "01.01.2024 00:00:00"), (1, 2, 1, "01.06.2024 00:00:00"), (1, 3, 1, "unreadable")]
+    spark.createDataFrame(old_and_new, schema).write.parquet(f"{root}/batch_id=0")
+    stores.compact(spark, root, schema, fresh, as_of="2024-07-05 00:00:00")
+    assert rows(stores.read_store(spark, fresh, schema), "index") == [(2,), (3,)]
+
+
+def test_materialised_copies_are_reused_and_discarded(spark, tmp_path):
+    path = str(tmp_path / "copy")
+    assert sinks.materialise(spark.range(3), "x", path).count() == 3
+    assert sinks.materialise(spark.range(5), "x", path).count() == 3
+    sinks.discard(spark, path)
+    sinks.discard(spark, path)
+    assert sinks.materialise(spark.range(5), "x", path).count() == 5
