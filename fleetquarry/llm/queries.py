@@ -79,4 +79,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+# The other operators hang on a trained model, a tokeniser or a hash that SQL does not have.
+ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, p, b[p + 1 : p + 50] AS s FROM (SELECT *, unnest(range(n - 49)) AS p FROM d WHERE n >= 50)),
+dup AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS least FROM w) WHERE doc_id > least),
+marked AS (SELECT *, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, true) AS new FROM dup),
+runs AS (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+spans AS (SELECT doc_id, run, min(p) AS s, max(p) + 50 AS e FROM runs GROUP BY 1, 2),
+gaps AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS from_ FROM spans),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last,
+                string_agg(hex(b[from_ + 1 : s]), '' ORDER BY s) AS head
+         FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || hex(b[coalesce(last, 0) + 1 : n]))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op6_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages),
+bits AS (SELECT *, list_aggregate(list_transform(range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111',
+                   1 + 4 * CAST(strpos('0123456789abcdef', substr(h, i, 1)) - 1 AS BIGINT), 4)), 'string_agg', '') AS b FROM p)
+SELECT page_id, n AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + 16 * CAST(substr(b, 5 * i + 1, 1) AS INT)
+         + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT)
+         + CAST(substr(b, 5 * i + 5, 1) AS INT) AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM bits
+""",
+    "op10_decontaminate": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+ds AS (SELECT doc_id, len(w) AS n, p, array_to_string(w[p + 1 : p + 5], ' ') AS g FROM (SELECT *, unnest(range(len(w) - 4)) AS p FROM d WHERE len(w) >= 5)),
+bs AS (SELECT item_id, n, g, count(*) AS c FROM (SELECT item_id, len(w) AS n, array_to_string(w[p + 1 : p + 5], ' ') AS g
+         FROM (SELECT *, unnest(range(len(w) - 4)) AS p FROM b WHERE len(w) >= 5)) GROUP BY ALL),
+hits AS (SELECT doc_id, item_id, ds.n AS n_doc, bs.n AS n_item, least(ds.n, bs.n) - 4 AS width, p, g, c FROM ds JOIN bs USING (g)),
+wins AS (SELECT *, unnest(range(greatest(0, p - width + 1), least(p, n_doc - 4 - width) + 1)) AS s FROM hits),
+parts AS (SELECT doc_id, item_id, s, width, n_item, g, least(count(*), max(c)) AS shared FROM wins GROUP BY ALL),
+scores AS (SELECT doc_id, item_id, s, width, sum(shared) / (width + n_item - 4 - sum(shared)) AS similarity FROM parts GROUP BY doc_id, item_id, s, width, n_item),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) AS rn FROM scores WHERE similarity >= 0.8)
+SELECT doc_id, item_id, CAST(similarity AS DOUBLE) AS similarity, s AS first_word, width + 4 AS n_words FROM best WHERE rn = 1
+""",
+}
