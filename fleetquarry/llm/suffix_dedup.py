@@ -307,9 +307,9 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, most: int =
     found = stored(met.mapInArrow(partial(_settle, most=most), _KIND), "settled")
     open_rows = found.where(F.col("kind") != MARK)
     asked = open_rows.groupBy("doc_id").agg(F.collect_list(F.struct("kind", "seed", "fragment", "at")).alias("asked"))
-    # a document's fragments are bounded by its text
+    # a document's fragments are bounded by its text; a repeated row only repeats its own
     cut_kind = _KIND + ", bytes binary"
-    texts = stored(known.dropDuplicates(["doc_id", "text"]).join(asked, "doc_id").mapInArrow(_texts, cut_kind), "fragments")
+    texts = stored(known.join(asked, "doc_id").mapInArrow(_texts, cut_kind), "fragments")
     sharded = texts.where(F.col("kind") == ASK).repartition("seed").sortWithinPartitions("seed", "fragment", "doc_id")
     shards = sharded.mapInArrow(partial(_shard, shard_bytes=shard_bytes), "doc_id long, at long")
     marks = found.where(F.col("kind") == MARK).select("doc_id", "at").unionByName(shards).unionByName(_one_by_one(texts))
