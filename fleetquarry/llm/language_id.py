@@ -17,14 +17,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetquarry.llm.common import packed, slices
+from fleetquarry.llm.common import packed, ragged, slices
 
 NGRAMS = (2, 3, 4)
 BUCKETS = 1 << 15
 DIMENSIONS = 16
 #: Labelled rows to learn from, in equal shares of the languages; rows are taken by a hash.
 SAMPLE_ROWS = 3000
-STEPS = 1200
+STEPS = 700
 RATE = 20.0
 BATCH = 32
 #: Share of the sample that calibrates instead of training, and the share of its right
@@ -127,22 +127,25 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 7) ->
 
 
 def _fit(languages, label, ends, index, share, seed) -> Model:
-    rng, n, k = np.random.default_rng(seed), len(label), len(languages)
-    held = rng.random(n) < CALIBRATION
+    rng, count = np.random.default_rng(seed), len(languages)
+    # texts too short for any n-gram teach nothing
+    full = np.flatnonzero(np.diff(ends) > 0)
+    held = rng.random(len(full)) < CALIBRATION
     if held.all() or not held.any():
         held[:] = False
     embed = rng.normal(0, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
-    linear = np.zeros((k, DIMENSIONS), np.float32)
-    bias = np.zeros(k, np.float32)
+    linear = np.zeros((count, DIMENSIONS), np.float32)
+    bias = np.zeros(count, np.float32)
+    if not len(full):
+        return Model(languages, np.zeros((count, BUCKETS), np.float32), bias.astype(np.float64), 1.0, 0.0)
 
     def averages(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        at = np.concatenate([np.arange(ends[r], ends[r + 1]) for r in rows])
-        own = np.repeat(np.arange(len(rows)), ends[rows + 1] - ends[rows])
-        x = np.zeros((len(rows), DIMENSIONS), np.float32)
-        np.add.at(x, own, embed[index[at]] * share[at, None])
-        return x, index[at], share[at], own
+        sizes = ends[rows + 1] - ends[rows]
+        at = ragged(ends[rows], sizes)
+        x = np.add.reduceat(embed[index[at]] * share[at, None], np.cumsum(sizes) - sizes)
+        return x, index[at], share[at], np.repeat(np.arange(len(rows)), sizes)
 
-    train_rows = np.flatnonzero(~held)
+    train_rows = full[~held]
     epochs = -(-STEPS * BATCH // len(train_rows))  # about as many steps for any sample
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
@@ -156,8 +159,9 @@ def _fit(languages, label, ends, index, share, seed) -> Model:
             back = (error @ linear).astype(np.float32)
             linear -= 0.1 * rate * (error.T @ x).astype(np.float32)
             bias -= 0.01 * rate * error.sum(axis=0)
-            np.subtract.at(embed, at, rate * back[own] * weight[:, None])
-    check = np.flatnonzero(held) if held.any() else train_rows
+            for k in range(DIMENSIONS):
+                embed[:, k] -= rate * np.bincount(at, back[own, k] * weight, BUCKETS).astype(np.float32)
+    check = full[held] if held.any() else train_rows
     logits = averages(check)[0] @ linear.T + bias
     right = label[check]
     grid = np.geomspace(0.05, 20, 60)
