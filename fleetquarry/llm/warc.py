@@ -59,10 +59,11 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, revisits: int | None) -> bytes:
-    """One WARC record. A revisit has the HTTP header, with the full length, but no payload."""
-    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    body = head if revisits is not None else head + payload
+def record(page_id: int | None, url: str | None, size: int, sha: str, payload: bytes, revisits: int | None) -> bytes:
+    """One WARC record of a payload of ``size`` bytes and digest ``sha``. A revisit has the HTTP header, with the
+    full length, but no payload."""
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+    body = head + payload
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if revisits is None else 'revisit'}",
@@ -70,7 +71,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, revisits: int |
         "WARC-Date: 1970-01-01T00:00:00Z",
         # header values are one line each
         f"WARC-Target-URI: {json.dumps(url or '', ensure_ascii=False)[1:-1]}",
-        f"WARC-Payload-Digest: sha1:{digest(payload)}",
+        f"WARC-Payload-Digest: sha1:{sha}",
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(body)}",
     ]
@@ -110,11 +111,12 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
     ).withColumn("sha", F.sha1(F.col("html").cast("binary")))
     last = rows.groupBy("sha").agg(F.max("page_id").alias("last"))
     # copies of one payload meet in the join by digest; they are dealt anew by the skew rule
-    known = rows.join(last, "sha").withColumn(
+    kind = "page_id long, url string, sha string, surt string, size long, digest string, member binary"
+    known = rows.mapInArrow(_members, kind).join(last, "sha").withColumn(
         "revisits", F.when(F.col("last").isNull() | F.coalesce(F.col("page_id") == F.col("last"), F.lit(False)), F.lit(None)).otherwise(F.col("last"))
     )
-    ordered = _keyed(known.select("page_id", "url", "html", "revisits")).repartitionByRange("surt", "key_id")
-    ordered = ordered.sortWithinPartitions("surt", "key_id", "html")
+    known = known.withColumn("key_id", F.coalesce("page_id", F.lit(NO_ID))).drop("sha", "last")
+    ordered = known.repartitionByRange("surt", "key_id").sortWithinPartitions("surt", "key_id", "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -130,11 +132,13 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
             index_at += len(block)
             lines.clear()
 
-        for batch in slices(batches, "html", BATCH_BYTES):
+        for batch in slices(batches, "member", BATCH_BYTES):
             for row in batch.to_pylist():
                 first = first or (row["surt"], row["key_id"])
-                raw = record(row["page_id"], row["url"], row["html"].encode(), row["revisits"])
-                member = gzip.compress(raw, LEVEL, mtime=0)
+                member = row["member"]
+                if row["revisits"] is not None:
+                    raw = record(row["page_id"], row["url"], row["size"], row["digest"], b"", row["revisits"])
+                    member = gzip.compress(raw, LEVEL, mtime=0)
                 archive.write(member)
                 lines.append((row["surt"], row["key_id"], at, len(member)))
                 at += len(member)
@@ -154,6 +158,23 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
     return ordered.mapInArrow(run, "part int, surt string, key_id long")
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as compressed response records, which is how they go through the exchanges."""
+    for batch in slices(batches, "html", BATCH_BYTES):
+        urls = batch.column("url").to_pylist()
+        sizes, digests, members = [], [], []
+        for page_id, url, html in zip(batch.column("page_id").to_pylist(), urls, batch.column("html").to_pylist()):
+            payload = html.encode()
+            sizes.append(len(payload))
+            digests.append(digest(payload))
+            raw = record(page_id, url, len(payload), digests[-1], payload, None)
+            members.append(gzip.compress(raw, LEVEL, mtime=0))
+        surts = pa.array([url_key(u) for u in urls], pa.string())
+        made = [pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(members, pa.binary())]
+        columns = [*(batch.column(n) for n in ("page_id", "url", "sha")), surts, *made]
+        yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "sha", "surt", "size", "digest", "member"])
+
+
 def _keyed(pages: DataFrame) -> DataFrame:
     """With surt and key_id, the sort key."""
 
