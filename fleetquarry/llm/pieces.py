@@ -26,8 +26,8 @@ Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 class PieceEncoder:
     """ids of whole texts; remembers the ids of pieces from batch to batch."""
 
-    def __init__(self, encode: Encoder):
-        self._encode = encode
+    def __init__(self, encode: Encoder, remembered: int = REMEMBERED):
+        self._encode, self._remembered = encode, remembered
         self._forget()
 
     def _forget(self) -> None:
@@ -62,7 +62,7 @@ class PieceEncoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and len+1 offsets of the texts in them. Null counts as empty."""
-        if self._slots > REMEMBERED or self._used > 16 * REMEMBERED:
+        if self._slots > self._remembered or self._used > 16 * self._remembered:
             self._forget()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         # between two blanks the cut would part a run of white space; such texts stay whole
