@@ -26,8 +26,8 @@ KINDS = [*BASE, "term"]
 
 #: A term is a lower-cased run of at least four letters.
 TERM = r"(?<!\p{L})\p{L}{4,}+"
-#: Distinct texts in which an entity, and a term with it, must occur for an estimate.
-SUPPORT = 3
+#: Taken off each joint count: absolute discounting, so that few texts are weaker evidence than many.
+DISCOUNT = 0.6
 #: Shares of an entity's information content: from the first on a term is generalised, from the second removed.
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -81,28 +81,35 @@ def disclosures(docs: DataFrame, base: DataFrame) -> DataFrame:
     """(entity, term, share): terms that reveal an entity to at least GENERALISE of its information.
 
     Counts are over the distinct texts of all ``docs``; ``base(doc_id, hash, base)`` holds their base
-    spans. Copies of a text count once: they are no independent evidence.
+    spans. Copies of a text count once: they are no independent evidence. Every entity takes part,
+    from one text on; DISCOUNT shrinks the estimate the more, the fewer texts hold it.
     """
     entity = F.concat_ws(":", F.col("s.kind"), F.lower("s.value"))
     held = base.where(F.size("base") > 0).select("hash", F.explode("base").alias("s")).select("hash", entity.alias("entity")).distinct()
-    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT)
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity"))
     held = stored(held.join(entities, "entity"), "entities")
     texts = docs.select(whole_text(F.col("text")).alias("text")).withColumn("hash", F.md5(F.col("text").cast("binary")))
     whole = texts.select("hash").distinct().count()
+    size = F.lit(float(max(2, whole)))
+    # a share reaches GENERALISE only up to so many texts with the term, as n_both is n_entity at most
+    reach = lambda n: (n - DISCOUNT) * F.pow(size / F.col("n_entity"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
+    most = held.agg(F.max(reach(F.col("n_entity")))).first()[0] or 0.0
     some = held.select("hash").distinct()
     near = texts.join(some, "hash", "left_semi").dropDuplicates(["hash"]).select("hash", F.explode(_terms(F.col("text"))).alias("term"))
-    both = near.join(held, "hash").groupBy("entity", "n_entity", "term").agg(F.count("*").alias("n_both"))
-    both = stored(both.where(F.col("n_both") >= SUPPORT), "joint")
     # a copy has the same terms, so it is left out before they are counted
     first = base.groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
     same = docs.select(F.col("doc_id").alias("id"), whole_text(F.col("text")).alias("text"))
     same = same.withColumn("own", F.md5(F.col("text").cast("binary")))
     every = same.join(first, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("hash")), "left_semi")
     counts = every.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    information = F.log(F.lit(float(max(2, whole))) / F.col("n_entity"))
-    mutual = F.log(F.col("n_both") * F.lit(float(max(2, whole))) / (F.col("n_entity") * F.greatest("n_term", "n_both")))
+    rare = near.join(counts.where(F.col("n_term") <= most), "term")
+    both = rare.join(held, "hash").where(F.col("n_term") <= reach(F.col("n_entity")))
+    both = both.groupBy("entity", "n_entity", "term", "n_term").agg(F.count("*").alias("n_both"))
+    both = stored(both, "joint")
+    information = F.log(size / F.col("n_entity"))
+    mutual = F.log((F.col("n_both") - DISCOUNT) * size / (F.col("n_entity") * F.greatest("n_term", "n_both")))
     share = F.when(information > 0, mutual / information).otherwise(0.0)
-    return both.join(counts, "term").select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
+    return both.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -110,7 +117,7 @@ def scan(docs: DataFrame) -> DataFrame:
     as listed, and then those of kind ``term``, whose value tells what is done: 'generalise' or 'remove'.
 
     Null counts as empty; positions are code points, end exclusive. Rows that share a doc_id and a text get
-    the same spans; repeated rows stay. Without any entity in SUPPORT texts there are no terms.
+    the same spans; repeated rows stay. Without any entity there are no terms.
     """
     text = whole_text(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
