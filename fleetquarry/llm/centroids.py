@@ -49,7 +49,7 @@ def first_centroids(vectors: DataFrame, clusters: int = CLUSTERS, salt: str = "2
     """
     mark = F.sha2(F.concat(F.lit(f"{salt}:"), F.col("vec_id").cast("string")), 256)
     rows = vectors.select(mark.alias("mark"), "v").orderBy(F.asc_nulls_last("mark"), "v").limit(clusters).collect()
-    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], np.int64)
 
 
 def distances(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -115,9 +115,10 @@ def clusters(
     empty table gives no row. Other columns are dropped.
     """
     vectors = stored(integer_vectors(table, column, dimensions, scale), "integer-vectors")
-    centroids = first_centroids(vectors, count)
+    # without vectors nothing is assigned to the one that stands in
+    centroids = first_centroids(vectors, count).reshape(-1, dimensions)
     if not len(centroids):
-        centroids = np.zeros((1, dimensions), np.int64)  # nothing will be assigned to it
+        centroids = np.zeros((1, dimensions), np.int64)
     for _ in range(rounds):
         centroids = _moved(vectors, centroids)
     marks = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]

@@ -576,4 +576,4 @@ def test_the_pipeline_stage_by_stage(spark):
 
 
 def test_every_operator_is_registered():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
