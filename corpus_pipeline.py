@@ -9,20 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetquarry.llm import byte_bpe, decontaminate, language_id, near_texts, secrets
+from fleetquarry.llm import byte_bpe, decontaminate, language_id, secrets, simhash
 from fleetquarry.llm.common import load, stored
 from fleetquarry.llm.queries import pattern, vocabulary
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with enough confidence; those without doc_id go, too."""
-    found = language_id.identify(docs).where("not rejected").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(docs.columns)
+    """Documents whose language is told with enough confidence."""
+    return language_id.keep_known(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates (five words, similarity 0.8)."""
-    return near_texts.keep_first(docs)
+    """The document with the smallest doc_id of each group linked by SimHash fingerprints (three words, three bits)."""
+    return simhash.keep_first(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquarry.session import shared_dir
@@ -25,6 +25,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` or, if a column has it, a longer one that none has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def all_columns(df: DataFrame) -> list[Column]:
+    """Every column, names with dots and blanks included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def packed(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all strings in one buffer, and len+1 offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -8,27 +8,35 @@ verified by the similarity of the weighted shingles themselves.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetquarry.llm.common import mixed, packed, ragged, slices, stored
+from fleetquarry.llm.blobs import read_blob, write_blob
+from fleetquarry.llm.common import all_columns, mixed, packed, ragged, slices, unused
+from fleetquarry.session import shared_dir
 
 WORDS = 5
 SIMILARITY = 0.8
-#: Fingerprint bits, blocks and radius: at a similarity of 0.8 about 37 of 256 bits differ, by 6.
+#: Fingerprint bits, blocks and radius: at a similarity of 0.8 of numbered shingles about 39 of 256 bits differ, by 6.
 LANES = 4
 BITS = 64 * LANES
 BLOCKS = 32
 RADIUS = 63
-#: Words of benchmark text held at a time; more items take further passes over the documents.
-ITEM_WORDS = 1_000_000
+#: Words of benchmark text in a block, and blocks that a task holds; more of them take further passes over the documents.
+ITEM_WORDS = 500_000
+BLOCKS_HELD = 4
+#: Windows whose fingerprints are made at a time.
+WINDOWS = 2048
 BATCH_BYTES = 4 << 20
 
 _WORD = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
@@ -83,6 +91,17 @@ def _bits(hashes: np.ndarray) -> np.ndarray:
     return np.unpackbits(lanes.view(np.uint8), axis=1).astype(np.int32) * 2 - 1
 
 
+def numbered(hashes: np.ndarray) -> np.ndarray:
+    """Each occurrence of a shingle as a value of its own, so that repeats weigh like different shingles."""
+    order = np.argsort(hashes, kind="stable")
+    ranked = hashes[order]
+    first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    place = np.arange(len(hashes))
+    nth = np.empty(len(hashes), np.uint64)
+    nth[order] = place - np.maximum.accumulate(np.where(first, place, 0))
+    return np.where(nth == 0, hashes, mixed(hashes + nth * np.uint64(0x9E3779B97F4A7C15)))
+
+
 def _print_of(signs: np.ndarray) -> np.ndarray:
     return np.packbits(signs > 0, axis=-1).view(np.uint64)
 
@@ -156,7 +175,7 @@ def build_index(items: list[tuple[int, str | None]]) -> Index:
         own = shingles(hashes[s:e])
         if len(own):
             ids.append(item), sets.append(own), sizes.append(e - s)
-            prints.append(_print_of(_bits(own).sum(axis=0)))
+            prints.append(_print_of(_bits(numbered(own)).sum(axis=0)))
     return Index(ids, sets, np.array(sizes, np.int64), np.array(prints, np.uint64).reshape(-1, LANES))
 
 
@@ -169,6 +188,36 @@ def _regions(hit: np.ndarray, size: int) -> list[tuple[int, int]]:
     return [(int(lo[i]), int(hi[j - 1])) for i, j in zip(cut, [*cut[1:], len(at)])]
 
 
+def _marked(own: np.ndarray, starts: np.ndarray, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(start, fingerprint) of the windows of ``width`` shingles of ``own`` at ``starts`` (rising).
+
+    Windows with the same shingles, as in texts that repeat a passage, are equally similar to any item: the first stands for
+    them. Memory depends on WINDOWS and the width alone.
+    """
+    lo, hi = int(starts[0]), int(starts[-1]) + width
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(own[lo:hi]))])
+    starts = np.sort(starts[np.unique(sums[starts - lo + width] - sums[starts - lo], return_index=True)[1]])
+    # where each shingle stands next, and the first place at which any of those from a start on has stood before
+    order = np.argsort(own[lo:hi], kind="stable")
+    again = np.full(hi - lo, hi - lo, np.int64)
+    same = own[lo:hi][order[1:]] == own[lo:hi][order[:-1]]
+    again[order[:-1][same]] = order[1:][same]
+    again = np.minimum.accumulate(again[::-1])[::-1]
+    at = 0
+    while at < len(starts):
+        group = starts[at : at + WINDOWS]
+        group = group[group < group[0] + WINDOWS]
+        a, z = int(group[0]), int(group[-1]) + width
+        signs = np.zeros((z - a + 1, BITS), np.int32)
+        np.cumsum(_bits(own[a:z]), axis=0, out=signs[1:])
+        marks = _print_of(signs[group - a + width] - signs[group - a])
+        for start, mark in zip(group.tolist(), marks):
+            if again[start - lo] < start - lo + width:
+                mark = _print_of(_bits(numbered(own[start : start + width])).sum(axis=0))
+            yield start, mark
+        at += len(group)
+
+
 def find(hashes: np.ndarray, index: Index, hit: np.ndarray) -> dict[int, tuple[float, int, int]]:
     """Items that a document (its word hashes) holds: item -> (similarity, first word, words).
 
@@ -194,11 +243,7 @@ def find(hashes: np.ndarray, index: Index, hit: np.ndarray) -> dict[int, tuple[f
             starts = np.flatnonzero(sums[width:] - sums[:-width] >= need)
             if not len(starts):
                 continue
-            a, z = int(starts[0]), int(starts[-1]) + width
-            signs = np.zeros((z - a + 1, BITS), np.int32)
-            np.cumsum(_bits(own[lo + a : lo + z]), axis=0, out=signs[1:])
-            marks = _print_of(signs[starts - a + width] - signs[starts - a])
-            for start, mark in zip(starts + lo, marks):
+            for start, mark in _marked(own, starts + lo, width):
                 for i in index.near(mark, size):
                     score = similarity(own[start : start + width], index.sets[i])
                     key = (score, -int(start))
@@ -207,55 +252,93 @@ def find(hashes: np.ndarray, index: Index, hit: np.ndarray) -> dict[int, tuple[f
     return {item: (score, -start, n) for item, ((score, start), n) in best.items()}
 
 
+def _hits(texts: pa.Array, paths: list[str]) -> Iterator[tuple[int, dict[int, tuple[float, int, int]]]]:
+    """(row, items found) for the rows of a batch that hold items of the blocks at ``paths``; a row may come again."""
+    hashes, ends = words(texts)
+    own = shingles(hashes)
+    for path in paths:
+        index = _index(path)
+        hits = index.has(own)
+        marked = np.searchsorted(np.flatnonzero(hits), ends)  # hits before each document
+        for d in np.flatnonzero(np.diff(marked)):
+            s, e = int(ends[d]), int(ends[d + 1])
+            # shingles inside the document
+            found = find(hashes[s:e], index, hits[s : max(s, e - WORDS + 1)])
+            if found:
+                yield int(d), found
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, n_words): for each document and benchmark item that it
     holds, the most similar window, the first one on ties.
 
     ``docs(doc_id, text)``, ``benchmark(item_id, text)``. Null, empty and short texts (under five words)
     match nothing on either side; rows without an item_id are left out; a repeated item_id counts
-    each of its texts; repeated documents repeat. Documents are only mapped, never shuffled. The benchmark
-    is held in blocks of a bounded number of words, and the documents are read once for each block.
+    each of its texts; repeated documents repeat; without items there is no row. Documents are only mapped, never
+    shuffled. The benchmark is indexed by tasks in blocks of a bounded number of words; BLOCKS_HELD blocks are
+    looked up in one pass over the documents.
     """
-    parts = []
-    for index in _indexes(benchmark):
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+    kind = "doc_id long, item_id long, similarity double, first_word long, n_words long"
+    out = None
+    for paths in _index_files(benchmark):
+        def run(batches: Iterator[pa.RecordBatch], paths: list[str] = paths) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text", BATCH_BYTES):
-                hashes, ends = words(batch.column("text"))
-                hits = index.has(shingles(hashes))
-                rows = []
-                marked = np.searchsorted(np.flatnonzero(hits), ends)  # hits before each document
-                for d in np.flatnonzero(np.diff(marked)):
-                    s, e = int(ends[d]), int(ends[d + 1])
-                    hit = hits[s : max(s, e - WORDS + 1)]  # shingles inside the document
-                    doc_id = batch.column("doc_id")[int(d)].as_py()
-                    rows += [(doc_id, item, *v) for item, v in find(hashes[s:e], index, hit).items()]
+                rows: dict[tuple[int, int], tuple[float, int, int]] = {}
+                for d, found in _hits(batch.column("text"), paths):
+                    for item, v in found.items():
+                        rows[d, item] = max(v, rows.get((d, item), v), key=lambda x: (x[0], -x[1]))
                 if rows:
+                    ids = batch.column("doc_id").take(pa.array([d for d, _ in rows])).to_pylist()
+                    table = [(i, item, *v) for i, ((_, item), v) in zip(ids, rows.items())]
                     names = ["doc_id", "item_id", "similarity", "first_word", "n_words"]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
-
-        kind = "doc_id long, item_id long, similarity double, first_word long, n_words long"
-        parts.append(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, kind))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _indexes(benchmark: DataFrame) -> list[Index]:
-    """One index for each block of items of up to about ITEM_WORDS words; one at least."""
-    text = F.col("text").cast("string")
-    items = benchmark.select(F.col("item_id").cast("long"), text.alias("text")).where("item_id is not null")
-    held, size, out = [], 0, []
-    for row in items.orderBy("item_id", "text").toLocalIterator():
-        held.append((row["item_id"], row["text"]))
-        size += len(row["text"] or "") // 2
-        if size >= ITEM_WORDS:
-            out.append(build_index(held))
-            held, size = [], 0
-    return [*out, build_index(held)] if held or not out else out
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*table)], names)
+
+        part = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, kind)
+        out = part if out is None else out.unionByName(part)
+    return docs.sparkSession.createDataFrame([], kind) if out is None else out
+
+
+@lru_cache(BLOCKS_HELD)
+def _index(path: str) -> Index:
+    return pickle.loads(read_blob(path))
+
+
+def _index_files(benchmark: DataFrame) -> list[list[str]]:
+    """Files of indexes of about ITEM_WORDS words each, in groups for one pass; tasks write them to the shared folder.
+
+    All texts of one item_id are in one block.
+    """
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null")
+    # words have about two characters at least
+    size = items.agg(F.sum(F.char_length("text") / 2)).first()[0] or 0
+    blocks = 1 + int(size) // ITEM_WORDS
+    root = shared_dir(benchmark.sparkSession, "benchmark-index")
+
+    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        path = f"{root}/{key[0]}"
+        held = sorted(zip(rows["item_id"].tolist(), rows["text"].tolist()), key=lambda r: (r[0], r[1] or ""))
+        write_blob(path, [pickle.dumps(build_index(held))])
+        return pd.DataFrame({"path": [path]})
+
+    placed = items.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)))
+    paths = sorted(r["path"] for r in placed.groupBy("block").applyInPandas(build, "path string").collect())
+    return [paths[k : k + BLOCKS_HELD] for k in range(0, len(paths), BLOCKS_HELD)]
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; rows without doc_id stay."""
-    found = stored(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` without the rows whose text holds a benchmark item.
+
+    Each row is judged by its own text, so rows without doc_id and unlike texts under one doc_id are no exception. All
+    columns pass through the map; nothing is shuffled.
+    """
+    columns, kind, name = all_columns(docs), docs.schema, unused(docs, "__text")
+    for paths in _index_files(benchmark):
+        def run(batches: Iterator[pa.RecordBatch], paths: list[str] = paths) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, name, BATCH_BYTES):
+                kept = np.ones(batch.num_rows, bool)
+                kept[[d for d, _ in _hits(batch.column(name), paths)]] = False
+                rows = batch.filter(pa.array(kept))
+                yield pa.RecordBatch.from_arrays(rows.columns[:-1], rows.schema.names[:-1])
+
+        docs = docs.select(*columns, F.col("text").cast("string").alias(name)).mapInArrow(run, kind)
+    return docs

@@ -17,14 +17,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetquarry.llm.common import packed, ragged, slices
+from fleetquarry.llm.common import all_columns, packed, ragged, slices, unused
 
 NGRAMS = (2, 3, 4)
 BUCKETS = 1 << 15
 DIMENSIONS = 16
 #: Labelled rows to learn from, in equal shares of the languages; rows are taken by a hash.
 SAMPLE_ROWS = 3000
-STEPS = 700
+STEPS = 1200
 RATE = 20.0
 BATCH = 32
 #: Share of the sample that calibrates instead of training, and the share of its right
@@ -174,6 +174,21 @@ def _fit(languages, label, ends, index, share, seed) -> Model:
     return Model(languages, (linear @ embed.T).astype(np.float32), bias.astype(np.float64), temperature, least)
 
 
+def _judged(texts: pa.Array, letter: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Predicted names, scores and rejections of a batch."""
+    names = np.array([*model.languages, "und"], object)
+    known = letter.to_numpy(zero_copy_only=False).astype(bool) & bool(model.languages)
+    best, score = np.full(len(known), len(names) - 1), np.zeros(len(known))
+    if known.any():
+        p = model.scores(texts)
+        best[known], score[known] = p.argmax(axis=1)[known], p.max(axis=1)[known]
+    return names[best], score, ~known | (score < model.least)
+
+
+def _has_letter(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score, rejected) for every row of ``docs(doc_id, text)``.
 
@@ -182,25 +197,34 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array([*model.languages, "und"], object)
         for batch in slices(batches, "text", BATCH_BYTES):
-            known = batch.column("letter").to_numpy(zero_copy_only=False).astype(bool) & bool(model.languages)
-            best, score = np.full(len(known), len(names) - 1), np.zeros(len(known))
-            if known.any():
-                p = model.scores(batch.column("text"))
-                best[known], score[known] = p.argmax(axis=1)[known], p.max(axis=1)[known]
-            rejected = ~known | (score < model.least)
+            names, score, rejected = _judged(batch.column("text"), batch.column("letter"), model)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(score), pa.array(rejected)],
+                [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
                 ["doc_id", "lang_pred", "score", "rejected"],
             )
 
     text = F.col("text").cast("string")
-    letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), letter.alias("letter"))
+    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), _has_letter(text).alias("letter"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def keep_known(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language is told with enough confidence, each judged by its own text: rows that share a
+    doc_id or have none are no exception. All columns pass through the map, nothing is shuffled."""
+    model = train(docs.where(~held_out(F.col("doc_id"))))
+    text, name, letter = F.col("text").cast("string"), unused(docs, "__text"), unused(docs, "__letter")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, name, BATCH_BYTES):
+            _, _, rejected = _judged(batch.column(name), batch.column(letter), model)
+            kept = batch.filter(pa.array(~rejected))
+            yield pa.RecordBatch.from_arrays(kept.columns[:-2], kept.schema.names[:-2])
+
+    rows = docs.select(*all_columns(docs), text.alias(name), _has_letter(text).alias(letter))
+    return rows.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document belongs to the fold that is never learned from."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))

@@ -13,10 +13,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetquarry.llm.common import components, stored
+from fleetquarry.llm.common import all_columns, components, stored, unused
 
 BITS = 64
 RADIUS = 3
@@ -59,16 +59,18 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
     return majority(np.fromiter((digest(s, seed) for s in shingles), np.uint64, len(shingles)))
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp long) for every row of ``docs(doc_id, text)``."""
+def fingerprints(docs: DataFrame, words: int = WORDS, mark: Column | None = None) -> DataFrame:
+    """(doc_id, fp long, mark long) for every row of ``docs(doc_id, text)``; ``mark`` passes through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(fps.view(np.int64)), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "mark"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fp long"
+    mark = F.lit(None) if mark is None else mark
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), mark.cast("long").alias("mark")).mapInArrow(
+        run, "doc_id long, fp long, mark long"
     )
 
 
@@ -160,6 +162,14 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.unionByName(forests)
 
 
+def _roots(distinct: DataFrame, radius: int) -> DataFrame:
+    """``distinct(fp, ...)`` with the component of each fingerprint as ``root``."""
+    found = components(links(distinct.select("fp"), radius))
+    return distinct.join(found, distinct.fp == found.node, "left").select(
+        *distinct.columns, F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id): documents linked by fingerprints at ``radius`` or fewer differing
     bits, directly or through others; component_id is the smallest doc_id of the component.
@@ -169,12 +179,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
     component of its text. A component without any doc_id has none. Only distinct fingerprints
     are compared, so copies cost one row.
     """
-    prints = stored(fingerprints(docs, words), "fingerprints")
+    prints = stored(fingerprints(docs, words).drop("mark"), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    found = components(links(distinct.select("fp"), radius))
-    roots = distinct.join(found, distinct.fp == found.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
+    roots = _roots(distinct, radius)
     ids = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
     # copies share one fingerprint; its rows are spread by the skew rule of the join
     return prints.join(roots.join(ids, "root").select("fp", "component_id"), "fp").select(
@@ -183,7 +190,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``docs`` without the near-duplicates of a document with a smaller doc_id; repeated rows of
-    the kept doc_id become one."""
-    keep = near_duplicates(docs, words, radius).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One row of each group of near-duplicate rows of ``docs``: that of the smallest doc_id.
+
+    Each row is judged by its own text, so unlike texts under one doc_id are in groups of their own and all
+    stay. A row without doc_id stays only where its group has no doc_id at all. Between rows of one group and doc_id
+    a hash of the whole row decides; equal rows count as one.
+    """
+    mark, id_name, mark_name = F.xxhash64(*all_columns(docs)), unused(docs, "__id"), unused(docs, "__mark")
+    prints = stored(fingerprints(docs, words, mark), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    roots = _roots(stored(prints.groupBy("fp").agg(first), "distinct"), radius)
+    kept = roots.groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.coalesce("first.doc_id", F.lit(0)).alias(id_name), F.col("first.mark").alias(mark_name))
+    rows = docs.withColumns({id_name: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), mark_name: mark})
+    names = [id_name, mark_name]
+    return rows.join(kept, names, "left_semi").dropDuplicates(names).select(*all_columns(docs))

@@ -523,7 +523,7 @@ def test_passages_against_brute_force(spark):
 def test_benchmark_in_blocks(spark, monkeypatch):
     docs, benchmark = rows_of(spark, "documents"), rows_of(spark, "benchmark")
     one = sorted(listed(decontaminate.contaminated(docs, benchmark)))
-    monkeypatch.setattr(decontaminate, "ITEM_WORDS", 60)
+    monkeypatch.setattr(decontaminate, "ITEM_WORDS", 600)
     assert sorted(listed(decontaminate.contaminated(docs, benchmark))) == one
 
 
