@@ -7,7 +7,7 @@ Pieces repeat a lot; each distinct one of a batch is encoded once.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,9 @@ Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 class PieceEncoder:
     """ids of whole texts; remembers the ids of pieces from batch to batch."""
 
-    def __init__(self, encode: Encoder, remembered: int = REMEMBERED):
-        self._encode, self._remembered = encode, remembered
+    def __init__(self, encode: Encoder, remembered: int = REMEMBERED, whole: Sequence[str] = ()):
+        """Texts that hold a string of ``whole`` are not cut."""
+        self._encode, self._remembered, self._whole = encode, remembered, whole
         self._forget()
 
     def _forget(self) -> None:
@@ -67,6 +68,8 @@ class PieceEncoder:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         # between two blanks the cut would part a run of white space; such texts stay whole
         odd = pc.match_substring(texts, "  ").to_numpy(zero_copy_only=False)
+        for part in self._whole:
+            odd = odd | pc.match_substring(texts, part).to_numpy(zero_copy_only=False)
         lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         firsts = np.cumsum(counts) - counts

@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -291,7 +292,6 @@ def test_token_files_against_the_library(docs, nothing):
 
     path = queries.vocabulary("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     start, want = 0, []
     for i, t in sorted(given_rows(docs), key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 2]
@@ -301,6 +301,22 @@ def test_token_files_against_the_library(docs, nothing):
     assert listed(token_files.token_files(nothing, path, 2)) == []
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([" ", "  ", "a", "b1", "Ünï", "\n", "\t", "<|endoftext|>", "<|", "endoftext|>", "!", "'s", "\u00a0", "\x1c", "漢", "12"]), max_size=12), max_size=6))
+def test_pieces_give_the_library_s_ids(parts):
+    path, texts = queries.vocabulary("byte_bpe_50k.json"), ["".join(p) for p in parts]
+    tokenizer = _untouched(path)
+    ids, ends = token_files._encoder(path)(pa.array(texts, pa.string()))
+    assert [ids[s:e].tolist() for s, e in zip(ends[:-1], ends[1:])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@lru_cache(1)
+def _untouched(path):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 @pytest.fixture(scope="module")
 def reference_encoding():
     import tiktoken
