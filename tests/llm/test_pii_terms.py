@@ -19,11 +19,16 @@ def plain_terms(rows):
     n_term, n_entity, joint = Counter(w for t in texts for w in terms[t]), Counter(e for t in texts for e in held[t]), Counter()
     for t in texts:
         joint.update((e, w) for e in held[t] for w in terms[t])
-    shares = {k: math.log((n - 0.6) * len(texts) / (n_entity[k[0]] * n_term[k[1]])) / math.log(len(texts) / n_entity[k[0]]) for k, n in joint.items()}
     out = {}
     for i, t in rows:
-        best = {w: max(shares[e, w] for e in held[t]) for w in terms[t] if held[t]}
-        out[i] = sorted((w, "remove" if s >= 0.95 else "generalise") for w, s in best.items() if s >= 0.8)
+        found = {}
+        for e in held[t]:
+            content = math.log2(len(texts) / n_entity[e])
+            for w in terms[t]:
+                hidden = math.log2(n_term[w] / (joint[e, w] - 0.6))
+                if content - hidden >= 0.8 * content and hidden <= 1.75:
+                    found[w] = min(hidden, found.get(w, 9))
+        out[i] = sorted((w, "remove" if h <= 0.25 else "generalise") for w, h in found.items())
     return out
 
 
@@ -46,6 +51,22 @@ def test_entities_of_one_text_reveal_terms(spark):
     assert ("asdfgh", "generalise") in got[1] and ("zxcvbn", "remove") in got[5]
 
 
+def test_decisions_do_not_depend_on_the_size_of_the_corpus(spark):
+    """The same documents, and the same ones among ten times as many others; copies and clashing columns change nothing."""
+    def told(others, copies):
+        rows = [(1, "write to lone@corp.example about qwertyuiop"), (2, "pair@corp.example and asdfgh"), (3, "pair@corp.example and asdfgh")]
+        rows += [(10 + i, f"many@corp.example for zxcvbn {'abcdefgh'[i] * 5}") for i in range(8)]
+        rows += [(3, rows[2][1] + " twice"), (None, None), (None, "")] + [(2, rows[1][1])] * copies
+        rows += [(100 + i, f"plain words {'abcdefghij'[i % 10] * 4} {i}") for i in range(others)]
+        df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, hash string, copies int")
+        out = pii.scan(df).select("doc_id", "spans").where("doc_id < 100").collect()
+        return sorted({(r["doc_id"], s["start"], s["value"]) for r in out for s in r["spans"] if s["kind"] == "term"})
+
+    small = told(300, 0)
+    assert (1, 33, "generalise") in small and (10, 22, "remove") in small
+    assert told(3000, 0) == small and told(300, 40) == small
+
+
 def test_terms_are_found_in_the_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     assert pii.report(docs).where("n_term > 0").count() > 0
