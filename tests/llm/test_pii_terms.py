@@ -26,7 +26,7 @@ def plain_terms(rows):
             content = math.log2(len(texts) / n_entity[e])
             for w in terms[t]:
                 hidden = math.log2(n_term[w] / (joint[e, w] - 0.6))
-                if content - hidden >= 0.8 * content and hidden <= 1.75:
+                if content - hidden >= 0.5 * content and hidden <= 1.75:
                     found[w] = min(hidden, found.get(w, 9))
         out[i] = sorted((w, "remove" if h <= 0.25 else "generalise") for w, h in found.items())
     return out
