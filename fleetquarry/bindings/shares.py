@@ -184,12 +184,15 @@ WHERE event_type <> 'view' AND user_id % 11 <> 0 AND user_id % 13 <> 0
 """
 
 
+_MIXED_TIME = """CASE event_type WHEN 'click' THEN date_format(ts, 'MM/dd/yyyy HH:mm:ss')
+  ELSE date_format(ts, 'dd.MM.yyyy HH:mm:ss') END AS time_generated"""
+
+
 def _share_event_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """From raw messages to the search: parse, merge two batches into the store, search it."""
-    time = """CASE event_type WHEN 'click' THEN date_format(ts, 'MM/dd/yyyy HH:mm:ss')
-        ELSE date_format(ts, 'dd.MM.yyyy HH:mm:ss') END AS time_generated"""
-    parsed = parse_share_events(_raw_messages(spark, sf, time))
-    store = merge_events(parsed.limit(0), parsed.filter("index % 2 = 0"), "2024-07-05 00:00:00")
+    parsed = parse_share_events(_raw_messages(spark, sf, _MIXED_TIME))
+    # two batches that overlap and together hold every event
+    store = merge_events(parsed.limit(0), parsed.filter("index % 3 < 2"), "2024-07-05 00:00:00")
     store = merge_events(store, parsed.filter("index % 3 > 0"), "2024-07-05 00:00:00")
     return share_events_search(
         store, _system(spark, sf), _share(spark, sf), domains=["automobile", "Building "],
@@ -211,7 +214,7 @@ SELECT user_id AS resource_id, c_name || '.' || lower(c_mktsegment) || '.net' AS
 FROM events JOIN customer ON c_custkey = user_id
 WHERE event_type <> 'view' AND user_id % 11 <> 0 AND user_id % 13 <> 0 AND c_nationkey <> 4
   AND c_mktsegment IN ('AUTOMOBILE', 'BUILDING')
-  AND (event_id % 3 > 0 OR (event_id % 2 = 0 AND date_trunc('second', ts) > TIMESTAMP '2024-07-05 00:00:00' - INTERVAL 180 DAY))
+  AND (event_id % 3 > 0 OR date_trunc('second', ts) > TIMESTAMP '2024-07-05 00:00:00' - INTERVAL 180 DAY)
 """
 
 

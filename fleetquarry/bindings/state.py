@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquarry.bindings.common import load
-from fleetquarry.bindings.shares import _permissions
+from fleetquarry.bindings.shares import _MIXED_TIME, _permissions, _raw_messages
 from fleetquarry.bindings.software import _UPDATE_XML, _FEED_SQL, _part_pages
 from fleetquarry.operators.latest import newest_by_key, upsert
+from fleetquarry.functions.times import parse_mixed
 from fleetquarry.operators.snapshots import (
+    EVENT_KEYS,
     PERMISSION_KEYS,
     insert_new,
     merge_events,
@@ -19,7 +21,9 @@ from fleetquarry.operators.snapshots import (
 from fleetquarry.plans.compliance import new_articles
 from fleetquarry.plans.servers import build_list, newest_builds
 from fleetquarry.session import shared_dir
-from fleetquarry.sources import files, html, sinks
+from fleetquarry.sources import files, html, periods, sinks
+from fleetquarry.sources.messages import parse_share_events
+from fleetquarry.sources.periods import PeriodStore
 from fleetquarry.streaming import stores
 
 QUERIES, ORACLES = {}, {}
@@ -167,6 +171,10 @@ SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.user_id = t.user_id AN
 
 # -- event and permission stores ---------------------------------------------------------------
 
+_PARSED = (
+    "resource_id bigint, index bigint, instance_id bigint, time_generated string, message string, account_name string, "
+    "share_name string, new_remark string, time_added string"
+)
 _EVENT_COLUMNS = "resource_id bigint, index bigint, instance_id bigint, time_generated string, message string"
 
 
@@ -269,26 +277,117 @@ WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.r = old.r AND b.i = old.i AND b.n = ol
 
 
 def _insert_new_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Two batches of one stream, a compaction, and a new stream going on from it; the row that came
-    first stays."""
+    """Three batches of one stream, a compaction after which it goes on, and a new stream on the compacted store; the row
+    that came first stays."""
     root, schema, keys = shared_dir(spark, "insert-new"), "user_id bigint, event_type string, landed int", ["user_id", "event_type"]
     rows = load(spark, sf, "events").selectExpr(
-        "user_id", "event_type", "CAST(event_id % 3 AS int) AS landed", "CAST(event_id % 3 AS int) AS landing"
+        "user_id", "nullif(event_type, 'view') AS event_type", "CAST(event_id % 5 AS int) AS landed", "CAST(event_id % 5 AS int) AS landing"
     )
-    for landing in (0, 1):
+
+    def run(landed: str, target: str, progress: str) -> None:
+        stream = _landed(spark, landed, schema)
+        stores.start_insert_new(stream, f"{root}/{target}", f"{root}/{progress}", schema, keys).awaitTermination()
+
+    for landing in range(3):
         _land(rows, root, landing)
-        stores.start_insert_new(_landed(spark, root, schema), f"{root}/data", f"{root}/progress", schema, keys).awaitTermination()
+        run(root, "data", "progress")
     stores.compact(spark, f"{root}/data", schema, f"{root}/next", keys)
-    _land(rows, f"{root}/later", 2)
-    stores.start_insert_new(
-        _landed(spark, f"{root}/later", schema), f"{root}/next", f"{root}/next-progress", schema, keys
-    ).awaitTermination()
-    return spark.read.schema(schema).parquet(f"{root}/next/*")
+    _land(rows, root, 3)
+    run(root, "next", "progress")
+    held = spark.read.schema(schema).parquet(f"{root}/next/*")
+    held.write.parquet(f"{root}/last/{stores.BATCH}={stores.COMPACTED}")
+    _land(rows, f"{root}/later", 4)
+    run(f"{root}/later", "last", "last-progress")
+    return spark.read.schema(schema).parquet(f"{root}/last/*")
 
 
 QUERIES["insert_new_stream"] = _insert_new_stream
 ORACLES["insert_new_stream"] = """
-SELECT user_id, event_type, CAST(min(event_id % 3) AS INTEGER) AS landed FROM events GROUP BY 1, 2
+SELECT user_id, nullif(event_type, 'view') AS event_type, CAST(min(event_id % 5) AS INTEGER) AS landed FROM events GROUP BY 1, 2
+"""
+
+
+def _raw_event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw messages in landings, parsed in the stream, kept by day. A fifth of them comes again in the next landing;
+    rows from over ten days before the newest of the landings before come too late."""
+    root = shared_dir(spark, "raw-events")
+    kind = "resource_id bigint, index bigint, instance_id bigint, time_generated string, time_added string, message string"
+    raw = _raw_messages(spark, sf, _MIXED_TIME).withColumn("first", F.col("index") % 3)
+    again = raw.where("index % 5 = 0").withColumn("first", F.col("first") + 1)
+    raw = raw.unionByName(again).selectExpr(
+        "resource_id", "index", "CAST(instance_id AS bigint) AS instance_id", "time_generated", "concat('landing ', first) AS time_added",
+        "message", "first AS landing",
+    )
+    store = PeriodStore(f"{root}/store", _PARSED, EVENT_KEYS, "time_generated", moves=False)
+    for landing in range(4):
+        _land(raw, root, landing)
+        parsed = parse_share_events(_landed(spark, root, kind))
+        parsed = parsed.withColumn("event_time", parse_mixed("time_generated").cast("timestamp"))
+        stores.start_period_store(parsed, store, f"{root}/progress", "event_time", "10 days").awaitTermination()
+    return store.read(spark)
+
+
+QUERIES["raw_event_stream"] = _raw_event_stream
+ORACLES["raw_event_stream"] = """
+WITH e AS (SELECT *, event_type = 'click' AS m, date_trunc('second', ts) AS t, event_id % 3 AS first FROM events
+           WHERE event_type <> 'view' AND user_id % 11 <> 0 AND user_id % 13 <> 0),
+arrivals AS (SELECT *, first AS k FROM e UNION ALL SELECT *, first + 1 FROM e WHERE event_id % 5 = 0),
+late AS (SELECT k, (SELECT max(t) FROM arrivals b WHERE b.k < a.k) - INTERVAL 10 DAY AS mark FROM (SELECT DISTINCT k FROM arrivals) a),
+kept AS (SELECT event_id, min(k) AS k FROM arrivals JOIN late USING (k) WHERE mark IS NULL OR t > mark GROUP BY event_id)
+SELECT user_id AS resource_id, event_id AS index, CAST(CASE event_type WHEN 'click' THEN 5143 WHEN 'error' THEN 5144 ELSE 5142 END AS BIGINT) AS instance_id,
+       CASE WHEN m THEN strftime(ts, '%m/%d/%Y %H:%M:%S') ELSE strftime(ts, '%d.%m.%Y %H:%M:%S') END AS time_generated,
+       CASE WHEN m THEN 'A network share object was modified.' ELSE 'A network share object was added.' END AS message,
+       'acc' || user_id AS account_name, chr(92) || chr(92) || '*' || chr(92) || 'S' || user_id AS share_name,
+       CASE WHEN m THEN 'r' || event_id END AS new_remark, 'landing ' || k AS time_added, CAST(t AS DATE) AS period
+FROM e JOIN kept USING (event_id)
+"""
+
+# -- stores laid out by time --------------------------------------------------------------------
+
+
+def _event_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """As merge_events: a store by day, purged, then a batch some of whose keys move to other days."""
+    store = PeriodStore(shared_dir(spark, "event-days"), _EVENT_COLUMNS, EVENT_KEYS, "time_generated")
+    rows = _event_rows(spark, sf)
+    old = newest_by_key(rows.filter("ts < TIMESTAMP_NTZ'2024-01-16 00:00:00'"), EVENT_KEYS, ["message"])
+    periods.merge(spark, store, old.drop("ts").withColumn("message", F.lit("stored")))
+    periods.purge(spark, store, "2024-07-05 00:00:00", 180)
+    periods.merge(spark, store, rows.filter("ts >= TIMESTAMP_NTZ'2024-01-10 00:00:00'").drop("ts"), order="message")
+    return store.read(spark).drop(periods.PERIOD)
+
+
+QUERIES["event_periods"] = _event_periods
+ORACLES["event_periods"] = ORACLES["merge_events"]
+
+
+def _permission_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """As merge_permissions, in a store by month; the time is part of the key, so a merge opens the batch's months alone."""
+    kind = ", ".join(f"{c} {t}" for c, t in _permissions(spark, sf).select(*PERMISSION_KEYS, "owner").dtypes)
+    store = PeriodStore(shared_dir(spark, "permission-months"), kind, PERMISSION_KEYS, "time_added", grain="month", moves=False)
+    rows = _permissions(spark, sf).select(*PERMISSION_KEYS, "owner")
+    periods.merge(spark, store, rows.filter("time_added NOT LIKE '%/%'"))
+    periods.purge(spark, store, "2001-08-01 00:00:00", 180)
+    periods.merge(spark, store, rows.filter("time_added LIKE '%/%'"))
+    return store.read(spark).drop(periods.PERIOD)
+
+
+QUERIES["permission_periods"] = _permission_periods
+ORACLES["permission_periods"] = ORACLES["merge_permissions"]
+
+
+def _event_day(spark: SparkSession, sf: str) -> DataFrame:
+    """One day's events from a store by day."""
+    store = PeriodStore(shared_dir(spark, "event-days"), _EVENT_COLUMNS, ["index"], "time_generated")
+    rows = _event_rows(spark, sf).selectExpr("resource_id", "CAST(split(message, ' ')[1] AS bigint) AS index", "instance_id", "time_generated", "message")
+    periods.merge(spark, store, rows)
+    return periods.rows_of_day(spark, store, "2024-01-15 06:00:00")
+
+
+QUERIES["event_day"] = _event_day
+ORACLES["event_day"] = """
+SELECT user_id AS resource_id, event_id AS index, CAST(CASE event_type WHEN 'click' THEN 5143 ELSE 5142 END AS BIGINT) AS instance_id,
+       strftime(ts, '%d.%m.%Y %H:%M:%S') AS time_generated, event_type || ' ' || event_id AS message
+FROM events WHERE date_trunc('second', ts) > TIMESTAMP '2024-01-15 06:00:00' AND date_trunc('second', ts) < TIMESTAMP '2024-01-16 06:00:00'
 """
 
 # -- files ------------------------------------------------------------------------------------

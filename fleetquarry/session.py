@@ -57,3 +57,41 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any file system that Spark reaches."""
+    system, place = _place(spark, path)
+    return system.exists(place)
+
+
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    system, place = _place(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or a whole folder; nothing happens where there is none."""
+    system, place = _place(spark, path)
+    system.delete(place, True)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Moves a folder to a name that is free; the folders above it are made."""
+    system, place = _place(spark, path)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    system.mkdirs(goal.getParent())
+    if not system.rename(place, goal):
+        raise OSError(f"{path} could not be renamed to {target}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file as a mark."""
+    system, place = _place(spark, path)
+    system.create(place, True).close()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquarry.operators.snapshots import insert_new
-from fleetquarry.session import shared_dir
+from fleetquarry.session import exists, remove, shared_dir
 from fleetquarry.sources.files import BUILD_SCHEMA, MANIFEST_SCHEMA
 
 
@@ -58,17 +58,11 @@ def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     if path is None:
         path = shared_dir(spark, name)
-    if not _exists(spark, f"{path}/_SUCCESS"):
+    if not exists(spark, f"{path}/_SUCCESS"):
         df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
 def discard(spark: SparkSession, path: str) -> None:
     """Removes a materialised copy; nothing happens where there is none."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    remove(spark, path)

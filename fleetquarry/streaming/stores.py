@@ -1,7 +1,8 @@
 """Event store and insert-if-absent as streams.
 
-Each micro-batch writes its own folder, named by the batch id, so a batch replayed after a
-failure overwrites itself. State is read by merging those folders, newest batch first per
+Keys seen so far, and repeats within the watermark, are the streams' own keyed state. In a plain store each
+micro-batch writes its own folder, named by the batch id, so a batch replayed after a
+failure overwrites itself, and the store is read by merging those folders, newest batch first per
 key. ``compact`` folds them into one version in a fresh folder, under a number that no batch has, and
 a stream restarted there goes on from it. A start that would overwrite batches of an earlier stream
 is refused. No batch rewrites the whole store.
@@ -9,7 +10,8 @@ is refused. No batch rewrites the whole store.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,29 +20,31 @@ from pyspark.sql.streaming import StreamingQuery
 from fleetquarry.functions.times import Moment, parse_mixed
 from fleetquarry.operators.latest import drop_older, newest_by_key
 from fleetquarry.operators.snapshots import EVENT_KEYS, RETENTION_DAYS, insert_new
+from fleetquarry.session import entries, exists, touch
+from fleetquarry.sources import periods
+from fleetquarry.sources.periods import PeriodStore
 
 BATCH = "batch_id"
 #: Batch number of a compacted version: before every batch of a stream.
 COMPACTED = -1
-
-
-def _entries(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder of any file system that Spark reaches; none if it does not exist."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
+#: Mark in a checkpoint whose state does not hold the keys of the store it was started on.
+OLDER_KEYS = "older-keys"
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def stored_batches(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the batches under ``root``, a compacted version's included."""
-    names = [n for n in _entries(spark, root) if n.startswith(f"{BATCH}=")]
+    names = [n for n in entries(spark, root) if n.startswith(f"{BATCH}=")]
     return sorted(int(n.split("=", 1)[1]) for n in names)
 
 
 def _refuse_overwrite(spark: SparkSession, root: str, checkpoint: str) -> None:
     """A new checkpoint numbers its batches from 0 again, over those that are there."""
     found = [b for b in stored_batches(spark, root) if b != COMPACTED]
-    if found and not _entries(spark, checkpoint):
+    if found and not entries(spark, checkpoint):
         raise ValueError(
             f"{root} holds batches {found[0]} to {found[-1]} of a stream, which a new checkpoint would "
             "overwrite: go on with that stream's checkpoint, or compact to a fresh folder"
@@ -54,6 +58,19 @@ def _batch_writer(root: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB: on the executors' disks, changes only to the checkpoint."""
+    before = {k: spark.conf.get(k, None) for k in _STATE}
+    for k, v in _STATE.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def start_event_store(
     parsed: DataFrame,
     root: str,
@@ -71,12 +88,13 @@ def start_event_store(
     _refuse_overwrite(parsed.sparkSession, root, checkpoint)
     if event_time:
         parsed = parsed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
-    return (
-        parsed.writeStream.foreachBatch(_batch_writer(root))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    with _state_on_disk(parsed.sparkSession):
+        return (
+            parsed.writeStream.foreachBatch(_batch_writer(root))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
 
 
 def read_store(
@@ -126,29 +144,63 @@ def start_insert_new(
     keys: Sequence[str],
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append only rows whose keys no earlier batch brought.
+    """Append only rows whose keys no earlier batch brought; NULL and '' are the same key.
 
-    A batch is compared with the folders of *earlier* batches only, so a replay, which finds
-    its own first attempt already written, still gives the same rows. Earlier rows are scanned for the
-    batch's keys, not shuffled; compaction keeps their files few.
+    The keys seen so far are keyed state of the stream, so a batch costs what it holds and reads nothing of
+    the batches before. Of several rows of a key in one batch any one is appended; where it matters, make all columns
+    keys. A stream goes on after compaction with its own checkpoint, into the compacted folder. Only a
+    new checkpoint on a compacted store compares each batch with that version, which its state does not know.
     """
-    _refuse_overwrite(incoming.sparkSession, root, checkpoint)
+    spark = incoming.sparkSession
+    _refuse_overwrite(spark, root, checkpoint)
+    if not entries(spark, checkpoint) and stored_batches(spark, root):
+        touch(spark, f"{checkpoint}/{OLDER_KEYS}")
+    older = exists(spark, f"{checkpoint}/{OLDER_KEYS}")
+    marks = {f"__key{i}": F.coalesce(F.col(k).cast("string"), F.lit("")) for i, k in enumerate(keys)}
+    fresh = incoming.withColumns(marks).dropDuplicates(list(marks)).drop(*marks)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        known = spark.createDataFrame([], schema)
-        if any(b < batch_id for b in stored_batches(spark, root)):
-            known = (
-                spark.read.schema(f"{schema}, {BATCH} bigint")
-                .parquet(root)
-                .filter(F.col(BATCH) < batch_id)
-                .drop(BATCH)
-            )
-        insert_new(known, batch, keys).write.mode("overwrite").parquet(f"{root}/{BATCH}={batch_id}")
-
-    return (
-        incoming.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+        if older:
+            known = batch.sparkSession.read.schema(schema).parquet(f"{root}/{BATCH}={COMPACTED}")
+            batch = insert_new(known, batch, keys)
+        batch.write.mode("overwrite").parquet(f"{root}/{BATCH}={batch_id}")
+
+    with _state_on_disk(spark):
+        return (
+            fresh.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
+
+
+def start_period_store(
+    parsed: DataFrame,
+    store: PeriodStore,
+    checkpoint: str,
+    event_time: str,
+    lateness: str,
+    order: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Upsert parsed events into a store laid out by time, as they arrive.
+
+    ``event_time`` is a time column that only the watermark needs; it is not stored. Repeats of a key within ``lateness`` are
+    dropped by the stream's state, across batches; rows that arrive later than that are dropped too, so it is
+    chosen no shorter than the retention; rows without a readable time stay. A batch rewrites the periods of its rows alone, and a
+    replayed one changes nothing.
+    """
+    keyed = parsed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(store.keys)).drop(event_time)
+    # a new stream numbers its batches from 0 again, and must not take them for those of another one
+    name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        periods.merge(batch.sparkSession, store, batch, order, run=f"{name}-{batch_id}")
+
+    with _state_on_disk(parsed.sparkSession):
+        return (
+            keyed.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
