@@ -11,11 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetquarry.bindings import estate, operators, software, state, shares
+from fleetquarry.bindings import collation, estate, operators, software, state, shares
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (estate, software, shares, operators, state)
+_MODULES = (estate, software, shares, operators, state, collation)
 
 
 def all_queries() -> dict[str, Query]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fleetquarry.functions.numbers import complement, mbit
-from fleetquarry.functions.text import ColumnOrName, as_column, digit_span, folded
+from fleetquarry.functions.text import ColumnOrName, as_column, digit_span, folded, plain
 
 # ---- fixed values ------------------------------------------------------------------
 
@@ -123,7 +123,15 @@ SUPERSEDES = 6
 
 
 def lookup(code: ColumnOrName, names: dict, default: Column | None = None) -> Column:
-    """The name of a code; ``default`` (NULL) for unlisted codes."""
+    """The name of a code; ``default`` (NULL) for unlisted codes.
+
+    Codes that are texts are compared one by one, by the collation of ``code``.
+    """
+    if all(isinstance(known, str) for known in names):
+        key, out = as_column(code), F.when(F.lit(False), F.lit(None).cast("string"))
+        for known, name in names.items():
+            out = out.when(key == known, F.lit(name))
+        return out.otherwise(default) if default is not None else out
     pairs = [F.lit(x) for pair in names.items() for x in pair]
     found = F.try_element_at(F.create_map(*pairs), as_column(code))
     return F.coalesce(found, default) if default is not None else found
@@ -178,7 +186,7 @@ def share_event_type(message: ColumnOrName, labels: dict[str, str]) -> Column:
 
 def product_line(path: ColumnOrName) -> Column:
     """Product line from the install folder; ``_`` in a prefix stands for any character."""
-    text = as_column(path)
+    text = plain(path)
     out = F.when(F.lit(False), F.lit(None).cast("string"))
     for prefix, name in PRODUCT_LINES.items():
         out = out.when(text.rlike(rf"(?s)\\{prefix.replace('_', '.')}"), F.lit(name))
@@ -198,7 +206,7 @@ def os_name(caption: ColumnOrName, build: ColumnOrName, servicing: ColumnOrName)
     """``Windows Server 2012 R2`` style name, with the servicing name for builds 10 and up."""
     release = F.when(as_column(caption).contains("R2"), F.lit(" R2")).otherwise(F.lit(""))
     return F.concat(
-        os_family(caption), digit_span(caption), release, servicing_suffix(build, servicing)
+        os_family(caption), digit_span(caption), release, plain(servicing_suffix(build, servicing))
     )
 
 

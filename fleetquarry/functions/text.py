@@ -19,6 +19,11 @@ def as_column(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def plain(value: ColumnOrName) -> Column:
+    """Text that pattern functions take: under no collation. Whether case counts is theirs to say."""
+    return as_column(value).cast("string")
+
+
 # -- comparison ---------------------------------------------------------------------
 
 
@@ -30,7 +35,7 @@ def folded(value: ColumnOrName, ignore_case: bool = False) -> Column:
 
 def like_pattern(value: ColumnOrName, pattern: str, ignore_case: bool = False) -> Column:
     """LIKE with a caller's pattern: ``%``, ``_`` and ``[...]`` are wild, a backslash is itself."""
-    text = as_column(value)
+    text = plain(value)
     if ignore_case:
         text, pattern = F.lower(text), pattern.lower()
     if "[" not in pattern:
@@ -72,13 +77,13 @@ def _like_to_regex(pattern: str) -> str:
 def glob_match(value: ColumnOrName, glob: str) -> Column:
     """Shell-style match of the whole value: ``*`` any text, ``?`` one character, no case."""
     body = "".join({"*": ".*", "?": "."}.get(ch) or re.escape(ch) for ch in glob)
-    return as_column(value).rlike(f"(?is)^{body}$")
+    return plain(value).rlike(f"(?is)^{body}$")
 
 
 def glob_any(value: ColumnOrName, globs: list[str]) -> Column:
     """True when any of ``globs`` matches; one regular expression for the whole list."""
     bodies = ["".join({"*": ".*", "?": "."}.get(c) or re.escape(c) for c in g) for g in globs]
-    return as_column(value).rlike(f"(?is)^(?:{'|'.join(bodies)})$")
+    return plain(value).rlike(f"(?is)^(?:{'|'.join(bodies)})$")
 
 
 # -- position cuts ------------------------------------------------------------------
@@ -128,12 +133,12 @@ def strip_prefix(value: ColumnOrName, delimiter: str | None = None) -> Column:
 
 def split_pick(value: ColumnOrName, separator: str, position: int) -> Column:
     """Zero-based piece of ``value`` cut at a literal separator, NULL past the end."""
-    return F.get(F.split(as_column(value), re.escape(separator)), position)
+    return F.get(F.split(plain(value), re.escape(separator)), position)
 
 
 def second_segment(value: ColumnOrName) -> Column:
     """``b`` of ``a.b.c``; '' for ``a.b``, where the length comes out as 0; NULL without a dot."""
-    parts = F.split(as_column(value), "[.]")
+    parts = F.split(plain(value), "[.]")
     return F.when(F.size(parts) >= 3, parts[1]).when(F.size(parts) == 2, F.lit(""))
 
 
@@ -160,7 +165,7 @@ def digit_span(value: ColumnOrName) -> Column:
     Without such a digit the rest of the text is taken, but '' where the text opens with a digit
     (a length of 0). Without any digit the result is ''.
     """
-    text = as_column(value)
+    text = plain(value)
     first = F.regexp_instr(text, F.lit("[0-9]"))
     last = F.regexp_instr(text, F.lit("[0-9] "))
     width = F.when(last > 0, last - first + 1).when(first == 1, F.lit(0)).otherwise(F.length(text))
@@ -223,7 +228,7 @@ def instance_name(display_name: ColumnOrName, default_display: str) -> Column:
 
 def short_build(file_version: ColumnOrName) -> Column:
     """Drop a trailing `` (build text)`` and turn each ``.0`` into ``.``; other text unchanged."""
-    text = as_column(file_version)
+    text = plain(file_version)
     at = F.locate(" (", text)
     cut = F.replace(leading(text, at - 1), F.lit(".0"), F.lit("."))
     return F.when(text.rlike(r"(?s)\(.*\)"), cut).otherwise(text)
@@ -234,7 +239,7 @@ def without_apostrophes(value: ColumnOrName) -> Column:
 
 
 def strip_tags(value: ColumnOrName) -> Column:
-    return F.regexp_replace(as_column(value), "<[^>]+>", "")
+    return F.regexp_replace(plain(value), "<[^>]+>", "")
 
 
 def xml_escape(value: ColumnOrName) -> Column:

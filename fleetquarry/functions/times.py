@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fleetquarry.functions.text import ColumnOrName, as_column
+from fleetquarry.functions.text import ColumnOrName, as_column, plain
 
 NTZ = "timestamp_ntz"
 Moment = datetime | date | str | Column
@@ -64,7 +64,7 @@ def parse_mixed(value: ColumnOrName, short_years: bool = True) -> Column:
     day-month-year without a slash, month/day/year with one. Anything else is NULL. Each row
     costs one replacement into ISO text and one cast.
     """
-    text = as_column(value)
+    text = plain(value)
     order = F.when(text.contains("/"), F.lit("$3-$1-$2 $4 $5")).otherwise(F.lit("$3-$2-$1 $4 $5"))
     if short_years:
         # two digits: 00-49 are this century, 50-99 the last one
@@ -85,14 +85,14 @@ def parse_mixed(value: ColumnOrName, short_years: bool = True) -> Column:
 
 def parse_compact_day(value: ColumnOrName) -> Column:
     """The day of ``yyyyMMdd...``; NULL for anything else."""
-    text = as_column(value)
+    text = plain(value)
     iso = F.regexp_replace(text, r"(?s)^(\d{4})(\d{2})(\d{2}).*$", "$1-$2-$3")
     return F.when(text.rlike(r"^\d{8}"), iso).try_cast("date").cast(NTZ)
 
 
 def parse_iso_day(value: ColumnOrName) -> Column:
     """The day of ``yyyy-MM-dd...``; NULL for anything else."""
-    return F.left(as_column(value), F.lit(10)).try_cast("date").cast(NTZ)
+    return F.left(plain(value), F.lit(10)).try_cast("date").cast(NTZ)
 
 
 def minute_text(value: ColumnOrName) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquarry.functions.text import ColumnOrName, as_column, path_leaf
+from fleetquarry.functions.text import ColumnOrName, path_leaf, plain
 
 SECTION_WIDTH = 7
 MAX_PARTS = 4
@@ -27,7 +27,7 @@ def version_sort_key(
     Longer sections stay whole. NULL for an empty section or more than ``max_parts``.
     """
     return _sections(
-        as_column(value),
+        plain(value),
         max_parts,
         lambda p: F.lpad(p, F.greatest(F.lit(width), F.length(p)), F.lit("0")),
     )
@@ -36,7 +36,7 @@ def version_sort_key(
 def version_strip_zeros(value: ColumnOrName, max_parts: int | None = MAX_PARTS) -> Column:
     """Drop leading zeros of each section; a section of zeros becomes ``0``."""
     return _sections(
-        as_column(value),
+        plain(value),
         max_parts,
         lambda p: F.coalesce(F.nullif(F.ltrim(p, F.lit("0")), F.lit("")), F.lit("0")),
     )
@@ -44,7 +44,7 @@ def version_strip_zeros(value: ColumnOrName, max_parts: int | None = MAX_PARTS)
 
 def version_from_file(url: ColumnOrName) -> Column:
     """``19.008.20071`` from ``.../Name1900820071_LANG.ext``: first digit run of the stem's head."""
-    stem = F.regexp_replace(path_leaf(url), "[.][^.]*$", "")
+    stem = F.regexp_replace(plain(path_leaf(url)), "[.][^.]*$", "")
     digits = F.regexp_extract(F.substring_index(stem, "_", 1), r"\d+", 0)
     dotted = F.concat_ws(
         ".", F.substring(digits, 1, 2), F.substring(digits, 3, 3), F.substring(digits, 6, 200)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetquarry.functions.text import ColumnOrName, as_column, xml_escape
+from fleetquarry.functions.text import ColumnOrName, as_column, plain, xml_escape
 
 UNKNOWN_ENTRY = "UNKNOWN"
 
@@ -30,7 +30,7 @@ def combined_permissions(entries: DataFrame, keys: list[str], lists: bool = Fals
     be cut again where a name holds ``)(`` or ``[NTFS]``. An empty list is one unknown entry.
     """
     deny = F.when(F.col("access_control_type") == "AccessDenied", F.lit(" DENY")).otherwise(F.lit(""))
-    entry = F.concat("security_principal", F.lit(": "), "file_system_rights", deny)
+    entry = plain(F.concat("security_principal", F.lit(": "), "file_system_rights", deny))
     by = ["security_principal", "file_system_rights", "access_control_type"]
 
     def part(kind: str) -> Column:

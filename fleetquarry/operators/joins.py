@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def left_where(left: DataFrame, right: DataFrame, on: Column, keep: Column) -> DataFrame:
@@ -13,14 +14,17 @@ def left_where(left: DataFrame, right: DataFrame, on: Column, keep: Column) -> D
     return left.join(right.filter(keep), on, "left")
 
 
+def blank_safe(df: DataFrame, key: str) -> Column:
+    """A key of ``df`` in the form in which NULL and '' are the same; texts keep their collation."""
+    text = isinstance(df.schema[key].dataType, StringType)
+    return F.coalesce(df[key] if text else df[key].cast("string"), F.lit(""))
+
+
 def blank_safe_anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left rows without a right row of the same keys, NULL and '' being the same."""
 
-    def blank(df: DataFrame, key: str) -> Column:
-        return F.coalesce(df[key].cast("string"), F.lit(""))
-
-    known = right.select(*[blank(right, k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
-    match = [blank(left, k) == F.col(f"__k{i}") for i, k in enumerate(keys)]
+    known = right.select(*[blank_safe(right, k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
+    match = [blank_safe(left, k) == F.col(f"__k{i}") for i, k in enumerate(keys)]
     return left.join(known, match, "left_anti")
 
 

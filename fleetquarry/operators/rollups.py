@@ -35,8 +35,9 @@ def ordered_rollup(
     """
     work, aggs = df, []
     for n, (name, cell) in enumerate(cells.items()):
-        work = work.withColumn(f"__v{n}", cell.value)
-        order = [*cell.order, F.col(f"__v{n}")]
+        # listed as plain text, ordered as the values compare
+        work = work.withColumn(f"__v{n}", cell.value.cast("string"))
+        order = [*cell.order, cell.value]
         for i, by in enumerate(order):
             work = work.withColumn(f"__v{n}_{i}", by)
         by = ", ".join(f"__v{n}_{i} ASC NULLS FIRST" for i in range(len(order)))
@@ -61,7 +62,7 @@ def rollup_parts(
     Rows are range-partitioned by key and order, so a hot group is cut into consecutive parts
     held by different tasks; the parts of a group in ``part`` order are its whole list.
     """
-    work = df.select(*keys, value.alias("__v"), *[o.alias(f"__o{i}") for i, o in enumerate(order)])
+    work = df.select(*keys, value.cast("string").alias("__v"), *[o.alias(f"__o{i}") for i, o in enumerate(order)])
     by = [*keys, *[f"__o{i}" for i in range(len(order))], "__v"]
     ranged = work.repartitionByRange(partitions, *by) if partitions else work.repartitionByRange(*by)
     ranged = ranged.withColumn("part", F.spark_partition_id())

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetquarry.functions.times import Moment, moment, parse_mixed
+from fleetquarry.operators.joins import blank_safe
 from fleetquarry.operators.latest import drop_older, newest_by_key, upsert
 
 SHARE_KEYS = ("resource_id", "shared_folder_name")
@@ -77,11 +78,11 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Data
     """
     names = [f"__b{i}" for i in range(len(keys))]
 
-    def blank(prefix: str) -> list[Column]:
-        return [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
+    def blank(df: DataFrame, prefix: str) -> list[Column]:
+        return [blank_safe(df, k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
 
-    once = newest_by_key(batch.select("*", *blank("__b")), names, [])
-    known = target.select(*blank("__k"))
+    once = newest_by_key(batch.select("*", *blank(batch, "__b")), names, [])
+    known = target.select(*blank(target, "__k"))
     wanted = once.select(*[F.col(n).alias(n.replace("__b", "__w")) for n in names])
     hits = known.join(wanted, [known[f"__k{i}"] == wanted[f"__w{i}"] for i in range(len(keys))], "left_semi")
     return once.join(hits, [once[n] == hits[f"__k{i}"] for i, n in enumerate(names)], "left_anti").select(*batch.columns)

@@ -14,7 +14,7 @@ from fleetquarry.functions.codes import (
     servicing_suffix,
 )
 from fleetquarry.functions.numbers import ceil_text, one_decimal
-from fleetquarry.functions.text import account, before_first, cpu_text, dotted_host, remove_all
+from fleetquarry.functions.text import account, before_first, cpu_text, dotted_host, plain, remove_all
 from fleetquarry.functions.times import shift_hours
 from fleetquarry.operators.rollups import Text, ordered_rollup
 
@@ -255,10 +255,10 @@ def system_info(
             "serial_number",
             os_name("caption", "build", "servicing").alias("os"),
             F.concat(
-                plain_caption,
-                servicing_suffix("build", "servicing"),
+                plain(plain_caption),
+                plain(servicing_suffix("build", "servicing")),
                 F.lit(" "),
-                architecture("system_type"),
+                plain(architecture("system_type")),
             ).alias("os_version"),
             "os_name_and_version",
             "version",

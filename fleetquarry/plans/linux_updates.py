@@ -10,6 +10,7 @@ from fleetquarry.functions.text import index_of, leading, remove_all
 from fleetquarry.functions.times import parse_compact_day, parse_iso_day
 from fleetquarry.operators.latest import rows_at_extreme
 from fleetquarry.sources.files import FILE_SUFFIXES, update_packages, update_references
+from fleetquarry.sources.tables import collated
 
 
 def package_name(display: Column, version: Column) -> Column:
@@ -37,7 +38,9 @@ def linux_update_compliance(
     installed packages; its three derived tables are distinct and are broadcast only while
     they are under the size threshold.
     """
-    packages = update_packages(updates).distinct()
+    # texts of the feed compare as those of the installed packages do
+    kind = programs.schema["display_name"].dataType
+    packages = collated(update_packages(updates), kind).distinct()
     # dates are ISO text, whose order is that of the dates
     newest = rows_at_extreme(packages, ["name"], "date").select(
         F.col("name").alias("feed_name"),
@@ -54,7 +57,7 @@ def linux_update_compliance(
     ).distinct()
     closing = (
         packages.select("id", "name", "date")
-        .join(update_references(updates).filter(F.col("cve").startswith("CVE")), "id")
+        .join(collated(update_references(updates), kind).filter(F.col("cve").startswith("CVE")), "id")
         .select(
             F.col("name").alias("cve_package"),
             F.col("date").alias("cve_date"),

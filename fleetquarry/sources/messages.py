@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetquarry.functions.codes import lookup
 from fleetquarry.functions.numbers import mask_names
-from fleetquarry.functions.text import ColumnOrName, as_column, glob_match, trustee
+from fleetquarry.functions.text import ColumnOrName, as_column, glob_match, plain, trustee
 
 # ---- fixed values ------------------------------------------------------------------
 
@@ -65,7 +65,7 @@ def message_values(message: ColumnOrName) -> Column:
     Lines end at a line feed only, so a value of a lone carriage return is an empty value
     that keeps its place.
     """
-    return F.regexp_extract_all(as_column(message), F.lit("(?d)(.+):\t\t(.+)"), F.lit(2))
+    return F.regexp_extract_all(plain(message), F.lit("(?d)(.+):\t\t(.+)"), F.lit(2))
 
 
 def parse_share_events(
@@ -107,7 +107,7 @@ def readable_sd(sd: ColumnOrName, names: dict[str, dict[str, str]]) -> Column:
     ``names`` holds dictionaries for "sid", "type" and "rights"; codes it lacks stay codes.
     Text without access entries is returned unchanged.
     """
-    text = as_column(sd)
+    text = plain(sd)
     dacl = F.substring_index(F.get(F.split(text, "D:"), 1), "S:", 1)
     entries = F.regexp_extract_all(dacl, F.lit(r"\(([^()]*)\)"), F.lit(1))
 

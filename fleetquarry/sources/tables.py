@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 _T = "timestamp_ntz"
 
@@ -103,16 +105,39 @@ SCHEMAS = {
 }
 
 
+#: How the source databases compare text: case and trailing blanks do not count.
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def schema_of(name: str, collation: str | None = None) -> StructType:
+    """A table's declared schema, its texts under ``collation``."""
+    declared = StructType.fromDDL(SCHEMAS[name])
+    if collation is None:
+        return declared
+    text = StringType(collation)
+    return StructType([StructField(f.name, text if isinstance(f.dataType, StringType) else f.dataType) for f in declared])
+
+
 def tables(
-    spark: SparkSession, root: str, names: Iterable[str] | None = None
+    spark: SparkSession, root: str, names: Iterable[str] | None = None, collation: str | None = None
 ) -> dict[str, DataFrame]:
-    """Parquet tables under ``root`` by name, read with their declared schemas."""
+    """Parquet tables under ``root`` by name, read with their declared schemas.
+
+    With a ``collation`` every comparison of their texts in the reports (joins, DISTINCT, groups, ranks, sorts) goes by it, as
+    in the source databases; which spelling of equal texts is shown is open.
+    """
     return {
-        name: spark.read.schema(SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}")
+        name: spark.read.schema(schema_of(name, collation)).parquet(f"{root.rstrip('/')}/{name}")
         for name in (names or SCHEMAS)
     }
 
 
+def collated(df: DataFrame, collation: str | DataType = COLLATION) -> DataFrame:
+    """``df`` with all its text columns under ``collation``, a name or the type of a column to compare them with."""
+    kind = StringType(collation) if isinstance(collation, str) else collation
+    return df.select(*[F.col(f.name).cast(kind) if isinstance(f.dataType, StringType) else F.col(f.name) for f in df.schema])
+
+
 def catalog_tables(spark: SparkSession, names: dict[str, str]) -> dict[str, DataFrame]:
     """Tables of the session catalog by local name; names may cross catalogs and databases."""
     return {local: spark.table(qualified) for local, qualified in names.items()}

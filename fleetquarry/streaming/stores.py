@@ -13,11 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType
 
+from fleetquarry.functions.text import folded
 from fleetquarry.functions.times import Moment, parse_mixed
+from fleetquarry.operators.joins import blank_safe
 from fleetquarry.operators.latest import drop_older, newest_by_key
 from fleetquarry.operators.snapshots import EVENT_KEYS, RETENTION_DAYS, insert_new
 from fleetquarry.session import entries, exists, touch
@@ -136,6 +139,13 @@ def compact(
     merged.write.mode("overwrite").parquet(f"{target}/{BATCH}={COMPACTED}")
 
 
+def _state_key(df: DataFrame, key: str) -> Column:
+    """A blank-safe key whose equal spellings are equal bytes, as state needs them."""
+    kind = df.schema[key].dataType
+    spelled = isinstance(kind, StringType) and kind != StringType()
+    return F.coalesce(folded(F.col(key).cast("string"), True), F.lit("")) if spelled else blank_safe(df, key)
+
+
 def start_insert_new(
     incoming: DataFrame,
     root: str,
@@ -156,7 +166,7 @@ def start_insert_new(
     if not entries(spark, checkpoint) and stored_batches(spark, root):
         touch(spark, f"{checkpoint}/{OLDER_KEYS}")
     older = exists(spark, f"{checkpoint}/{OLDER_KEYS}")
-    marks = {f"__key{i}": F.coalesce(F.col(k).cast("string"), F.lit("")) for i, k in enumerate(keys)}
+    marks = {f"__key{i}": _state_key(incoming, k) for i, k in enumerate(keys)}
     fresh = incoming.withColumns(marks).dropDuplicates(list(marks)).drop(*marks)
 
     def write(batch: DataFrame, batch_id: int) -> None:
