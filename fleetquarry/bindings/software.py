@@ -486,3 +486,42 @@ FROM (VALUES (0, 'C:' || chr(92) || 'Temp' || chr(92) || 'Logs' || chr(92), '*.*
 LEFT JOIN hits USING (policy)
 GROUP BY ALL
 """
+
+
+def _retention_policy_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Hundreds of policies from a table: plain folders, wild folders, masks, exclusions."""
+    files = load(spark, sf, "documents").selectExpr(
+        f"""concat('c:{_B}data{_B}S', doc_id % 50, '{_B}u', doc_id % 7, '{_B}Logs{_B}', source, '-', doc_id,
+            CASE WHEN doc_id % 5 = 0 THEN '.log' ELSE '.txt' END) AS full_name""",
+        "n_chars AS length",
+        "TIMESTAMP_NTZ'2024-01-31 00:00:00' - make_dt_interval(CAST(doc_id % 40 AS int)) AS last_write_time",
+    )
+    policies = load(spark, sf, "part").withColumn("age", F.col("p_size") % 25).selectExpr(
+        "CAST(p_partkey AS int) AS policy",
+        f"""CASE p_partkey % 3 WHEN 0 THEN concat('C:{_B}Data{_B}s', p_partkey % 60, '{_B}')
+            WHEN 1 THEN concat('C:{_B}DATA{_B}*{_B}U', p_partkey % 9, '{_B}logs')
+            ELSE concat('c:{_B}data{_B}s', p_partkey % 50, '{_B}*', p_partkey % 7, '{_B}') END AS path""",
+        "CASE WHEN age < 12 THEN '*.*' WHEN age < 20 THEN '*.LOG' END AS mask",
+        "CASE WHEN age % 4 = 0 THEN concat(age, '.') END AS exclude",
+        "CAST(age AS int) AS days",
+    )
+    return retention_report(files, policies, "2024-01-31 00:00:00")
+
+
+QUERIES["retention_policy_table"] = _retention_policy_table
+ORACLES["retention_policy_table"] = """
+WITH f AS (SELECT *, doc_id % 50 AS s, doc_id % 7 AS u, doc_id % 40 AS age, doc_id % 5 = 0 AS log,
+                  'c:' || chr(92) || 'data' || chr(92) || 's' || (doc_id % 50) || chr(92) || 'u' || (doc_id % 7) || chr(92) || 'logs' || chr(92)
+                  || lower(source) || '-' || doc_id || CASE WHEN doc_id % 5 = 0 THEN '.log' ELSE '.txt' END AS name FROM documents),
+p AS (SELECT p_partkey, p_size % 25 AS days, CASE p_partkey % 3
+        WHEN 0 THEN 'C:' || chr(92) || 'Data' || chr(92) || 's' || (p_partkey % 60) || chr(92)
+        WHEN 1 THEN 'C:' || chr(92) || 'DATA' || chr(92) || '*' || chr(92) || 'U' || (p_partkey % 9) || chr(92) || 'logs'
+        ELSE 'c:' || chr(92) || 'data' || chr(92) || 's' || (p_partkey % 50) || chr(92) || '*' || (p_partkey % 7) || chr(92) END AS path,
+        CASE WHEN p_size % 25 < 12 THEN '*.*' WHEN p_size % 25 < 20 THEN '*.LOG' END AS mask FROM part)
+SELECT CAST(p_partkey AS INTEGER) AS policy, path, mask, CAST(days AS INTEGER) AS days, count(doc_id) AS files,
+       CAST(coalesce(sum(n_chars), 0) AS BIGINT) AS bytes, round_even(CAST(coalesce(sum(n_chars), 0) AS BIGINT) / 1048576, 2) AS megabytes
+FROM p LEFT JOIN f ON age > days
+  AND CASE p_partkey % 3 WHEN 0 THEN s = p_partkey % 60 WHEN 1 THEN u = p_partkey % 9 ELSE s = p_partkey % 50 AND u = p_partkey % 7 END
+  AND (days < 12 OR days >= 20 OR log) AND (days % 4 > 0 OR NOT contains(name, days || '.'))
+GROUP BY ALL
+"""

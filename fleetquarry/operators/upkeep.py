@@ -8,12 +8,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquarry.functions.numbers import megabytes
 from fleetquarry.functions.text import folded, glob_any, path_leaf
-from fleetquarry.functions.times import NTZ, Moment, days_before
+from fleetquarry.functions.times import NTZ, Moment, days_before, moment
 from fleetquarry.functions.versions import version_from_file
 from fleetquarry.operators.joins import folded_anti
 
@@ -234,16 +234,75 @@ def due_files(files: DataFrame, policies: Sequence[Policy], as_of: Moment) -> Da
     )
 
 
-def retention_report(files: DataFrame, policies: Sequence[Policy], as_of: Moment) -> DataFrame:
-    """Files and bytes due per policy; a policy that matches nothing reports zero."""
-    totals = due_files(files, policies, as_of).groupBy("policy").agg(
-        F.count("*").alias("files"), F.sum("length").alias("bytes")
-    )
-    spark = files.sparkSession
-    listed = spark.createDataFrame(
-        [(i, p.path, p.mask, p.days) for i, p in enumerate(policies)],
-        "policy int, path string, mask string, days int",
+def policy_table(spark: SparkSession, policies: Sequence[Policy]) -> DataFrame:
+    """A list of policies as rows (policy, path, mask, exclude, days), numbered from 0."""
+    rows = [(i, p.path, p.mask, p.exclude, p.days) for i, p in enumerate(policies)]
+    return spark.createDataFrame(rows, "policy int, path string, mask string, exclude string, days int")
+
+
+def _indexed(policies: DataFrame) -> DataFrame:
+    """Policies with the folder they are looked up by (wild folders as ``*``), its depth and its wild places, and a pattern
+    where the folder does not settle the match."""
+    folder = F.lower(F.rtrim(F.col("path"), F.lit("\\")))
+    steps = F.split(folder, r"\\")
+    wild = F.transform(steps, lambda s: F.contains(s, F.lit("*")))
+    form = F.transform(F.filter(F.sequence(F.lit(0), F.size(steps) - 1), lambda i: F.get(wild, i)), lambda i: i.cast("int"))
+    quoted = lambda text: F.regexp_replace(text, r"([^\p{L}\p{N} _/*?])", r"\\$1")
+    any_name = r"[^\\\\]*"
+    mask = F.when(F.coalesce("mask", F.lit("*.*")) != "*.*", F.lower("mask"))
+    leaf = F.regexp_replace(F.regexp_replace(quoted(mask), r"[*]", any_name), r"[?]", r"[^\\\\]?")
+    below = F.regexp_replace(F.regexp_replace(quoted(folder), r"[?]", r"\\?"), r"[*]", any_name)
+    partly = F.exists(steps, lambda s: F.contains(s, F.lit("*")) & (s != "*"))
+    pattern = F.concat(F.lit("(?s)^"), below, F.coalesce(F.concat(F.lit(r"\\(?:.*\\)?"), leaf, F.lit("$")), F.lit(r"\\.")))
+    return policies.select(
+        "policy",
+        F.array_join(F.transform(steps, lambda s: F.when(F.contains(s, F.lit("*")), F.lit("*")).otherwise(s)), "\\").alias("folder"),
+        form.alias("form"),
+        F.size(steps).alias("depth"),
+        F.when(mask.isNotNull() | partly, pattern).alias("pattern"),
+        F.lower("exclude").alias("exclude"),
+        F.coalesce("days", F.lit(0)).cast("int").alias("days"),
     )
+
+
+def due_by_table(files: DataFrame, policies: DataFrame, as_of: Moment) -> DataFrame:
+    """One row per file and policy it falls under, for any number of policies.
+
+    ``policies`` holds (policy, path, mask, exclude, days). A file is looked up by its own folders, from the root down to each
+    depth that some policy has, with the wild places of that policy's form left out; only what the equi-join finds is held against mask,
+    age and exclusion. Policies have few forms (depth and wild places), so a file has few keys. A policy without a path
+    matches nothing; NULL mask is any name, NULL days are 0.
+    """
+    indexed = _indexed(policies.where("path IS NOT NULL"))
+    forms = sorted((r["depth"], tuple(r["form"])) for r in indexed.select("depth", "form").distinct().collect())
+    name, steps = F.lower("full_name"), F.split(F.lower("full_name"), r"\\")
+
+    def key(depth: int, form: tuple[int, ...]) -> Column:
+        parts = [F.lit("*") if i in form else F.get(steps, i) for i in range(depth)]
+        # something must stand below the folder
+        return F.when(F.size(steps) > depth, F.concat_ws("\\", *parts))
+
+    keys = F.array_compact(F.array(*[key(*f) for f in forms])) if forms else F.array().cast("array<string>")
+    placed = files.select("full_name", "length", "last_write_time", F.explode(F.array_distinct(keys)).alias("folder"))
+    hits = placed.join(indexed, "folder").withColumn("__name", name)
+    aged = F.col("last_write_time").cast(NTZ) < moment(as_of) - F.make_dt_interval(F.col("days"))
+    fits = F.col("pattern").isNull() | F.rlike("__name", F.col("pattern"))
+    below = F.length("__name") > F.length("folder") + 1
+    spared = F.coalesce(F.contains(F.col("__name"), F.col("exclude")), F.lit(False))
+    plain_below = F.col("pattern").isNotNull() | below
+    return hits.where(aged & plain_below & ~spared & fits).select("full_name", "length", "policy")
+
+
+def retention_report(files: DataFrame, policies: Sequence[Policy] | DataFrame, as_of: Moment) -> DataFrame:
+    """Files and bytes due per policy; a policy that matches nothing reports zero.
+
+    A short list becomes predicates over the file row; a table is joined by folder.
+    """
+    if isinstance(policies, DataFrame):
+        due, listed = due_by_table(files, policies, as_of), policies.select("policy", "path", "mask", "days")
+    else:
+        due, listed = due_files(files, policies, as_of), policy_table(files.sparkSession, policies).drop("exclude")
+    totals = due.groupBy("policy").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
     bytes_due = F.coalesce("bytes", F.lit(0).cast("bigint"))
     return listed.join(totals, "policy", "left").select(
         "policy",
