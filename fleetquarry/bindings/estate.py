@@ -15,9 +15,9 @@ from fleetquarry.plans.compliance import (
     cve_supersedence,
 )
 from fleetquarry.plans.inventory import installed_software, linux_system_info, system_info
-from fleetquarry.plans.performance import counter_base, performance_history
+from fleetquarry.plans.performance import SLICE, counter_base, performance_history
 from fleetquarry.session import shared_dir
-from fleetquarry.sources.sinks import materialise
+from fleetquarry.sources.buckets import bucketed_copy
 from fleetquarry.sources.tables import SCHEMAS, tables
 
 QUERIES, ORACLES = {}, {}
@@ -607,7 +607,8 @@ def _performance_history(spark: SparkSession, sf: str) -> DataFrame:
            WHEN 'FURNITURE' THEN 'Maker.Router' ELSE 'Thing' END AS full_name""",
     )
     base = counter_base(rule, instance, hourly, entity, "2024-01-31 00:00:00")
-    return performance_history(materialise(base, "counters"))
+    # dealt out once, by the key of all its slices
+    return performance_history(bucketed_copy(base, "counters", SLICE, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 QUERIES["performance_history"] = _performance_history

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquarry.bindings.common import load
-from fleetquarry.operators.differences import array_changes, combined_permissions
+from fleetquarry.operators.differences import ENTRY_LISTS, array_changes, combined_permissions
 from fleetquarry.operators.rollups import with_default_rows
-from fleetquarry.operators.snapshots import merge_events, merge_permissions, reconcile
+from fleetquarry.operators.snapshots import PERMISSION_KEYS, SHARE_KEYS, merge_events, reconcile_changes
 from fleetquarry.plans.shares import (
     current_permissions,
     permission_entries,
@@ -17,7 +17,12 @@ from fleetquarry.plans.shares import (
     share_events_search,
     share_permissions_latest,
 )
+from fleetquarry.session import shared_dir
+from fleetquarry.sources import buckets, periods
+from fleetquarry.sources.buckets import BucketStore
 from fleetquarry.sources.messages import parse_share_events, readable_sd, share_aces
+from fleetquarry.sources.periods import PeriodStore
+from fleetquarry.sources.tables import SCHEMAS
 
 QUERIES, ORACLES = {}, {}
 
@@ -465,15 +470,16 @@ SELECT o_orderkey, 'No Shared Folders', '' FROM orders WHERE o_orderkey NOT IN (
 
 
 def _share_permission_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    """From raw entries of two scans to the change digest.
+    """From raw entries of two scans to the change digest, each run on what the one before has written.
 
-    Line 3 of an order is a share entry and line 4 a file system entry, the folder is the order. Scan one
+    Odd lines of an order are share entries and even ones file system entries, the folder is the order. Scan one
     leaves out orders divisible by 5, scan two those divisible by 7; from one to the other the rights of
-    orders divisible by 3 change. Line 1 marks a device without entries.
+    orders divisible by 3 change. Names of trustees hold what separates entries and lists in the combined text.
     """
     lines = load(spark, sf, "lineitem").selectExpr(
         "l_suppkey AS resource_id", "concat('F', l_orderkey) AS share_name", "concat('o', l_suppkey) AS owner", "'DOM' AS trustee_domain",
-        "concat('t', l_partkey) AS trustee_name", "l_orderkey", "l_linenumber", "0 AS ace_type", "1 AS ace_flags",
+        "CASE l_partkey % 4 WHEN 0 THEN concat('t', l_partkey, ')(u') WHEN 1 THEN concat('[NTFS](t', l_partkey) ELSE concat('t', l_partkey) END AS trustee_name",
+        "l_orderkey", "l_linenumber", "0 AS ace_type", "1 AS ace_flags",
     )
     devices = load(spark, sf, "supplier").selectExpr("s_suppkey AS resource_id")
     rights, kinds, flags = {1: "Read", 2: "Write"}, {0: "AccessAllowed"}, {1: "Object"}
@@ -481,30 +487,31 @@ def _share_permission_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     def scan(skipped: int, second: bool, at: str) -> DataFrame:
         mask = F.when((F.col("l_orderkey") % 3 == 0) & F.lit(second), 3).otherwise(1).cast("bigint")
         found = lines.filter(F.col("l_orderkey") % skipped > 0).withColumn("access_mask", mask)
-        shared = share_aces(found.filter("l_linenumber = 3"), "SharedPermission", rights, kinds)
-        ntfs = share_aces(found.filter("l_linenumber = 4"), "NTFSPermission", rights, kinds, flags)
+        shared = share_aces(found.filter("l_linenumber % 2 = 1"), "SharedPermission", rights, kinds)
+        ntfs = share_aces(found.filter("l_linenumber % 2 = 0"), "NTFSPermission", rights, kinds, flags)
         return permission_entries(devices, shared, ntfs, at)
 
-    first, second = scan(5, False, "2024-01-10 08:00:00"), scan(7, True, "2024-01-11 08:00:00")
-    store = merge_permissions(first.limit(0), first, "2024-01-10 09:00:00")
-    nothing = spark.createDataFrame(
-        [], "resource_id bigint, shared_folder_name string, check_status string, check_status_time timestamp_ntz, "
-        "changed_by string, old_permissions string, new_permissions string",
-    )
-    state = reconcile(nothing, current_permissions(store), "2024-01-10 10:00:00")
-    store = merge_permissions(store, second, "2024-01-11 09:00:00")
-    state = reconcile(state, current_permissions(store), "2024-01-11 10:00:00")
+    root = shared_dir(spark, "permissions")
+    store = PeriodStore(f"{root}/store", SCHEMAS["share_folder_permission"], PERMISSION_KEYS, "time_added", moves=False)
+    lists = "".join(f", {age}_{name} array<string>" for age in ("old", "new") for name in ENTRY_LISTS)
+    state = BucketStore(f"{root}/approval", SCHEMAS["approval"] + lists, SHARE_KEYS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for day, skipped in (("2024-01-10", 5), ("2024-01-11", 7)):
+        periods.purge(spark, store, f"{day} 09:00:00", 180)
+        periods.merge(spark, store, scan(skipped, skipped == 7, f"{day} 08:00:00"))
+        now = current_permissions(store.read(spark), lists=True)
+        buckets.apply_changes(spark, state, reconcile_changes(state.read(spark), now, f"{day} 10:00:00", lists=ENTRY_LISTS))
     system = load(spark, sf, "supplier").selectExpr(
         "s_suppkey AS resource_id", "s_name AS netbios_name", "CAST(NULL AS string) AS full_domain_name"
     )
-    return share_change_digest(state, system, "2024-01-11 12:00:00").drop("html")
+    return share_change_digest(state.read(spark), system, "2024-01-11 12:00:00").drop("html")
 
 
 QUERIES["share_permission_pipeline"] = _share_permission_pipeline
 ORACLES["share_permission_pipeline"] = """
-WITH e AS (SELECT DISTINCT l_suppkey AS d, l_orderkey AS k, l_linenumber AS n, 'DOM' || chr(92) || 't' || l_partkey AS who
-           FROM lineitem WHERE l_linenumber IN (3, 4)),
-f AS (SELECT d, k, list(who || ': ' ORDER BY who) FILTER (n = 3) AS s, list(who || ': ' ORDER BY who) FILTER (n = 4) AS x FROM e GROUP BY 1, 2),
+WITH e AS (SELECT DISTINCT l_suppkey AS d, l_orderkey AS k, l_linenumber % 2 AS n, 'DOM' || chr(92) ||
+             CASE l_partkey % 4 WHEN 0 THEN 't' || l_partkey || ')(u' WHEN 1 THEN '[NTFS](t' || l_partkey ELSE 't' || l_partkey END AS who
+           FROM lineitem),
+f AS (SELECT d, k, list(who || ': ' ORDER BY who) FILTER (n = 1) AS s, list(who || ': ' ORDER BY who) FILTER (n = 0) AS x FROM e GROUP BY 1, 2),
 g AS (SELECT *, k % 5 > 0 AS was, k % 3 = 0 AS changes FROM f WHERE k % 7 > 0),
 h AS (SELECT * FROM g WHERE NOT was OR changes),
 old_new AS (

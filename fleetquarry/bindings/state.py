@@ -13,15 +13,18 @@ from fleetquarry.functions.times import parse_mixed
 from fleetquarry.operators.snapshots import (
     EVENT_KEYS,
     PERMISSION_KEYS,
+    SHARE_KEYS,
     insert_new,
     merge_events,
     merge_permissions,
     reconcile,
+    reconcile_changes,
 )
 from fleetquarry.plans.compliance import new_articles
 from fleetquarry.plans.servers import build_list, newest_builds
 from fleetquarry.session import shared_dir
-from fleetquarry.sources import files, html, periods, sinks
+from fleetquarry.sources import buckets, files, html, periods, sinks
+from fleetquarry.sources.buckets import BucketStore
 from fleetquarry.sources.messages import parse_share_events
 from fleetquarry.sources.periods import PeriodStore
 from fleetquarry.streaming import stores
@@ -88,6 +91,20 @@ def _reconcile_versions(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES["reconcile_versions"] = _reconcile_versions
 ORACLES["reconcile_versions"] = f"WITH {_RECONCILED} SELECT * FROM r"
 
+def _reconcile_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The state in hash buckets: the changes of the snapshot are applied, then a second run finds nothing to change."""
+    state, snapshot = _state_and_snapshot(spark, sf)
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state.schema)
+    store = BucketStore(shared_dir(spark, "approval"), kind, SHARE_KEYS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets.create(spark, store, state)
+    for day in ("2002-02-02 00:00:00", "2003-03-03 00:00:00"):
+        buckets.apply_changes(spark, store, reconcile_changes(store.read(spark), snapshot, day))
+    return store.read(spark)
+
+
+QUERIES["reconcile_buckets"] = _reconcile_buckets
+ORACLES["reconcile_buckets"] = f"WITH {_RECONCILED} SELECT * FROM r"
+
 # -- insert if absent and upsert --------------------------------------------------------------
 
 

@@ -10,6 +10,10 @@ from fleetquarry.functions.text import ColumnOrName, as_column, plain, xml_escap
 UNKNOWN_ENTRY = "UNKNOWN"
 
 
+#: Columns that hold the entries of a combined text.
+ENTRY_LISTS = ("shared_entries", "ntfs_entries")
+
+
 def array_changes(left: ColumnOrName, right: ColumnOrName) -> Column:
     """Each item of ``left``, with whether ``right`` lacks it. Order and repeats are kept."""
     left, right = as_column(left), as_column(right)
@@ -47,7 +51,7 @@ def combined_permissions(entries: DataFrame, keys: list[str], lists: bool = Fals
         return F.concat(F.lit("("), F.array_join(items, ")("), F.lit(")"))
 
     combined = F.concat(F.lit("[Shared]"), text("shared_entries"), F.lit("[NTFS]"), text("ntfs_entries"))
-    return rolled.select(*keys, combined.alias("permissions"), *(["shared_entries", "ntfs_entries"] if lists else []))
+    return rolled.select(*keys, combined.alias("permissions"), *(ENTRY_LISTS if lists else ()))
 
 
 def permission_lists(text: ColumnOrName) -> tuple[Column, Column]:

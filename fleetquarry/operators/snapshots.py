@@ -36,21 +36,52 @@ def reconcile(
     as_of: Moment,
     keys: Sequence[str] = SHARE_KEYS,
     actor: str = "Script",
+    lists: Sequence[str] = (),
 ) -> DataFrame:
     """Next approval state from the previous one and the current snapshot, in one join.
 
     Only in the snapshot: a New row. Only in the state: dropped. Different permissions: the
     row becomes Modified and remembers the previous text. Same, or not comparable: untouched.
     ``state``: keys, check_status, check_status_time, changed_by, old_permissions,
-    new_permissions. ``snapshot``: keys, permissions.
+    new_permissions. ``snapshot``: keys, permissions. ``lists`` names further columns of the snapshot that stand for the same
+    permissions (arrays of entries): the state carries them as ``old_...`` and ``new_...``, and texts that are equal by
+    chance while a list differs are different.
     """
-    old = state.select(*[F.col(c).alias(f"s_{c}") for c in state.columns], F.lit(True).alias("known"))
-    now = snapshot.select(*keys, "permissions").dropDuplicates([*keys, "permissions"])
     # rows only in the state are the ones to drop, so the join keeps the snapshot's side
-    both = now.join(old, [now[k] == old[f"s_{k}"] for k in keys], "left")
-    is_new = F.col("known").isNull()
-    changed = F.col("permissions") != F.col("s_new_permissions")
-    touched = is_new | F.coalesce(changed, F.lit(False))
+    return _reconciled(state, snapshot, as_of, keys, actor, lists, "left").drop("__same", "__gone")
+
+
+def reconcile_changes(
+    state: DataFrame,
+    snapshot: DataFrame,
+    as_of: Moment,
+    keys: Sequence[str] = SHARE_KEYS,
+    actor: str = "Script",
+    lists: Sequence[str] = (),
+) -> DataFrame:
+    """What :func:`reconcile` changes, as rows with ``op`` insert, update or delete; untouched rows are not among them.
+
+    To be applied to a state in hash buckets (``buckets.apply_changes``), whose side of the join is not exchanged.
+    """
+    both = _reconciled(state, snapshot, as_of, keys, actor, lists, "full")
+    kind = F.when(F.col("__gone"), F.lit("delete")).when(F.col("check_status") == "New", F.lit("insert")).otherwise(F.lit("update"))
+    changed = both.filter(F.col("__gone") | ~F.col("__same"))
+    return changed.select(kind.alias("op"), *[c for c in changed.columns if c not in ("__same", "__gone")])
+
+
+def _reconciled(
+    state: DataFrame, snapshot: DataFrame, as_of: Moment, keys: Sequence[str], actor: str, lists: Sequence[str], how: str
+) -> DataFrame:
+    """Next state rows with ``__same`` (untouched) and ``__gone`` (only in the state)."""
+    old = state.select(*[F.col(c).alias(f"s_{c}") for c in state.columns], F.lit(True).alias("known"))
+    now = snapshot.select(*keys, "permissions", *lists).dropDuplicates([*keys, "permissions", *lists])
+    now = now.withColumn("here", F.lit(True))
+    both = now.join(old, [now[k] == old[f"s_{k}"] for k in keys], how)
+    is_new, gone = F.col("known").isNull(), F.col("here").isNull()
+    changed = F.coalesce(F.col("permissions") != F.col("s_new_permissions"), F.lit(False))
+    for name in lists:
+        changed = changed | F.coalesce(F.col(name) != F.col(f"s_new_{name}"), F.lit(False))
+    touched = is_new | changed
 
     def pick(name: str, when_new, when_changed):
         return (
@@ -61,12 +92,16 @@ def reconcile(
         )
 
     return both.select(
-        *keys,
+        *[F.coalesce(k, f"s_{k}").alias(k) for k in keys],
         pick("check_status", F.lit("New"), F.lit("Modified")),
         pick("check_status_time", moment(as_of), moment(as_of)),
         pick("changed_by", F.lit(actor), F.lit(actor)),
         pick("old_permissions", F.lit("None"), F.col("s_new_permissions")),
         pick("new_permissions", F.col("permissions"), F.col("permissions")),
+        *[pick(f"old_{n}", F.lit(None), F.col(f"s_new_{n}")) for n in lists],
+        *[pick(f"new_{n}", F.col(n), F.col(n)) for n in lists],
+        (~touched).alias("__same"),
+        gone.alias("__gone"),
     )
 
 

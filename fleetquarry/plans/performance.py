@@ -94,7 +94,8 @@ def performance_history(base: DataFrame, fix_network: bool = False) -> DataFrame
     multiply. The joins share one key; a hot key among them is split by the skew rule, and no
     group is ever collected into one value. As every slice is distinct, so is their product,
     which is made in the joins and not shuffled again. The longest slice comes last. ``base``
-    is read once per slice: pass a large fact through ``sinks.materialise`` first.
+    is read once per slice: pass a large fact through ``buckets.bucketed_copy`` with the keys SLICE first, which
+    deals it out once for all of them.
 
     The network counters show their minimum three times unless ``fix_network`` asks for the
     value named.

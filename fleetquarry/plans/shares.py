@@ -29,7 +29,7 @@ from fleetquarry.functions.text import (
     unc_share,
 )
 from fleetquarry.functions.times import Moment, days_before, on_day, parse_mixed, second_text
-from fleetquarry.operators.differences import combined_permissions, marked_line
+from fleetquarry.operators.differences import ENTRY_LISTS, combined_permissions, marked_line
 from fleetquarry.operators.latest import latest_snapshot
 from fleetquarry.operators.rollups import with_default_rows
 from fleetquarry.operators.snapshots import stamped
@@ -162,17 +162,18 @@ def permission_entries(devices: DataFrame, shared: DataFrame, ntfs: DataFrame, a
     return stamped(with_default_rows(devices, found, "resource_id", default), at)
 
 
-def current_permissions(permissions: DataFrame) -> DataFrame:
+def current_permissions(permissions: DataFrame, lists: bool = False) -> DataFrame:
     """Combined permission text of each folder of each device's last scan.
 
-    The input of ``reconcile``. A device whose last scan found no folders has none here.
+    The input of ``reconcile``. A device whose last scan found no folders has none here. With ``lists`` the entries stay
+    next to the text, as the columns ENTRY_LISTS.
     """
     timed = permissions.withColumn("check_time", parse_mixed("time_added"))
     last = latest_snapshot(
         timed, "resource_id", "check_time", F.col("shared_folder_name") != NO_SHARES
     )
     named = last.withColumn("security_principal", principal("security_principal"))
-    return combined_permissions(named, FOLDER)
+    return combined_permissions(named, FOLDER, lists)
 
 
 def share_event_digest(
@@ -212,7 +213,10 @@ def share_event_digest(
 def share_change_digest(
     approval: DataFrame, system: DataFrame, as_of: Moment, days: int = 1
 ) -> DataFrame:
-    """Folders that became New or Modified in the last day, differences marked."""
+    """Folders that became New or Modified in the last day, differences marked.
+
+    Where ``approval`` carries the lists of entries, they are shown; else they are cut from the texts.
+    """
     recent = approval.filter(
         F.col("check_status").isin("New", "Modified")
         & (F.col("check_status_time") > days_before(as_of, days))
@@ -228,6 +232,8 @@ def share_change_digest(
         .otherwise(F.concat(F.lit("\\\\"), host, slash, folder))
     )
     old, new = F.col("old_permissions"), F.col("new_permissions")
+    carried = f"new_{ENTRY_LISTS[0]}" in approval.columns
+    old_lists, new_lists = (tuple(F.col(f"{age}_{n}") for n in ENTRY_LISTS) if carried else None for age in ("old", "new"))
     joined = recent.join(
         system.select("resource_id", "netbios_name", "full_domain_name"), "resource_id"
     )
@@ -239,8 +245,8 @@ def share_change_digest(
         "check_status_time",
         "check_status",
         "changed_by",
-        marked_line(old, new).alias("old_line"),
-        marked_line(new, old).alias("new_line"),
+        marked_line(old, new, old_lists, new_lists).alias("old_line"),
+        marked_line(new, old, new_lists, old_lists).alias("new_line"),
     )
     # the two permission cells are HTML already, their entries escaped
     plain = html_row("check_status", "computer_name", "shared_folder_name")
