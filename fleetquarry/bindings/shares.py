@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquarry.bindings.common import load
+from fleetquarry.operators.dictionaries import with_readable_sd
 from fleetquarry.operators.differences import ENTRY_LISTS, array_changes, combined_permissions
 from fleetquarry.operators.rollups import with_default_rows
 from fleetquarry.operators.snapshots import PERMISSION_KEYS, SHARE_KEYS, merge_events, reconcile_changes
@@ -245,6 +246,24 @@ SELECT s_suppkey, CASE WHEN s_nationkey < 5 THEN 'not a descriptor' WHEN s_natio
 FROM supplier
 """
 
+def _readable_sd_by_table(spark: SparkSession, sf: str) -> DataFrame:
+    """As readable_sd, the names of principals, types and rights from a table."""
+    texts = load(spark, sf, "supplier").select("s_suppkey", F.expr(
+        "CASE WHEN s_nationkey < 5 THEN 'not a descriptor' WHEN s_nationkey < 15 THEN "
+        "concat('O:BAG:SYD:(A;;FR;;;WD)(A;OICI;0x', s_suppkey, ';;;S-1-5-', s_nationkey, ')S:(AU;;FR;;;WD)') ELSE 'D:(A;;FR)' END"
+    ).alias("sddl"))
+    nation = load(spark, sf, "nation").selectExpr("'sid' AS kind", "concat('S-1-5-', n_nationkey) AS code", "n_name AS name")
+    fixed = spark.createDataFrame([("sid", "WD", "Everyone"), ("type", "A", "Allow"), ("rights", "FR", "Read")], "kind string, code string, name string")
+    return with_readable_sd(texts, "sddl", nation.unionByName(fixed), "sd").drop("sddl")
+
+
+QUERIES["readable_sd_by_table"] = _readable_sd_by_table
+ORACLES["readable_sd_by_table"] = """
+SELECT s_suppkey, CASE WHEN s_nationkey < 5 THEN 'not a descriptor' WHEN s_nationkey < 15 THEN
+       'Everyone: Allow (Read) | ' || n_name || ': Allow (0x' || s_suppkey || ')' ELSE 'D:(A;;FR)' END AS sd
+FROM supplier JOIN nation ON n_nationkey = s_nationkey
+"""
+
 # -- permissions --------------------------------------------------------------------------
 
 # an order is one scan of its customer's machine, its lines are the entries found
@@ -425,8 +444,8 @@ SELECT l_orderkey, array_to_string([CASE WHEN list_contains(n, x) THEN x ELSE '!
 # -- access entries -----------------------------------------------------------------------
 
 
-def _share_aces(spark: SparkSession, sf: str) -> DataFrame:
-    raw = load(spark, sf, "lineitem").selectExpr(
+def _raw_aces(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "lineitem").selectExpr(
         "l_orderkey AS resource_id",
         "CASE l_linenumber WHEN 1 THEN 'ADMIN$' WHEN 2 THEN 'c$' ELSE concat('F', l_linenumber, '$') END AS share_name",
         "concat('o', l_suppkey) AS owner",
@@ -436,8 +455,13 @@ def _share_aces(spark: SparkSession, sf: str) -> DataFrame:
         "l_linenumber % 3 AS ace_type",
         "l_linenumber AS ace_flags",
     )
+
+
+def _share_aces(spark: SparkSession, sf: str) -> DataFrame:
     rights = {1: "Read", 2: "Write", 4: "Append", 32: "Execute"}
-    return share_aces(raw, "NTFSPermission", rights, {0: "AccessAllowed", 1: "AccessDenied"}, {1: "Object", 2: "Container"})
+    return share_aces(
+        _raw_aces(spark, sf), "NTFSPermission", rights, {0: "AccessAllowed", 1: "AccessDenied"}, {1: "Object", 2: "Container"}
+    )
 
 
 QUERIES["share_aces"] = _share_aces
@@ -453,6 +477,32 @@ FROM lineitem WHERE l_linenumber > 2
 """
 
 
+def _share_aces_by_table(spark: SparkSession, sf: str) -> DataFrame:
+    """As share_aces, all names from tables; bits that the table lacks are shown as numbers."""
+    bits = load(spark, sf, "nation").selectExpr("shiftleft(1L, CAST(n_nationkey AS int)) AS bits", "initcap(n_name) AS name", "n_nationkey")
+    kinds = load(spark, sf, "region").selectExpr("r_regionkey AS code", "concat('Access', r_name) AS name")
+    return share_aces(
+        _raw_aces(spark, sf), "NTFSPermission", bits.where("n_nationkey <> 3"), kinds.where("code < 2"), bits.where("n_nationkey < 2")
+    )
+
+
+QUERIES["share_aces_by_table"] = _share_aces_by_table
+ORACLES["share_aces_by_table"] = """
+WITH n AS (SELECT n_nationkey AS b, upper(left(n_name, 1)) || lower(substr(n_name, 2)) AS name FROM nation),
+bits AS (SELECT m, string_agg(CASE WHEN b = 3 THEN '0x8' ELSE name END, ', ' ORDER BY b) AS rights
+         FROM (SELECT DISTINCT CAST(l_quantity AS BIGINT) AS m FROM lineitem) CROSS JOIN n
+         WHERE m & (1::BIGINT << b) > 0 GROUP BY m)
+SELECT DISTINCT l_orderkey AS resource_id, 'NTFSPermission' AS permission_type, 'F' || l_linenumber || '$' AS shared_folder_name,
+       'o' || l_suppkey AS owner,
+       CASE WHEN l_returnflag = 'N' THEN 'NOT_RESOLVED' WHEN l_returnflag = 'A' THEN 'DOM' || chr(92) || 't' || l_partkey ELSE 't' || l_partkey END AS security_principal,
+       coalesce(rights, '') AS file_system_rights,
+       CASE l_linenumber % 3 WHEN 2 THEN '2' ELSE 'Access' || (SELECT r_name FROM region WHERE r_regionkey = l_linenumber % 3) END AS access_control_type,
+       coalesce(array_to_string(list_filter([(SELECT name FROM n WHERE b = 0 AND l_linenumber & 1 = 1), (SELECT name FROM n WHERE b = 1 AND l_linenumber & 2 = 2),
+         CASE WHEN l_linenumber & 4 = 4 THEN '0x4' END], lambda x: x IS NOT NULL), ', '), '') AS access_control_flags
+FROM lineitem LEFT JOIN bits ON m = CAST(l_quantity AS BIGINT) WHERE l_linenumber > 2
+"""
+
+
 def _empty_scan_rows(spark: SparkSession, sf: str) -> DataFrame:
     devices = load(spark, sf, "orders").selectExpr("o_orderkey AS resource_id")
     found = load(spark, sf, "lineitem").selectExpr(

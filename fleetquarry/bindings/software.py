@@ -87,7 +87,7 @@ UNION ALL SELECT id, NULL, NULL FROM upd WHERE NOT has_cve
 """
 
 
-def _linux_update_compliance(spark: SparkSession, sf: str) -> DataFrame:
+def _linux_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     system = load(spark, sf, "orders").selectExpr(
         "o_orderkey AS resource_id",
         "concat('PC', o_orderkey) AS netbios_name",
@@ -102,7 +102,11 @@ def _linux_update_compliance(spark: SparkSession, sf: str) -> DataFrame:
         "CASE WHEN l_returnflag = 'R' THEN 'unknown' ELSE date_format(l_shipdate, 'yyyyMMdd') || '000000' END AS install_date",
         "l_shipdate AS time_stamp",
     )
-    return linux_update_compliance(system, programs, _updates(spark, sf))
+    return system, programs
+
+
+def _linux_update_compliance(spark: SparkSession, sf: str) -> DataFrame:
+    return linux_update_compliance(*_linux_tables(spark, sf), _updates(spark, sf))
 
 
 QUERIES["linux_update_compliance"] = _linux_update_compliance
@@ -525,3 +529,21 @@ FROM p LEFT JOIN f ON age > days
   AND (days < 12 OR days >= 20 OR log) AND (days % 4 > 0 OR NOT contains(name, days || '.'))
 GROUP BY ALL
 """
+
+
+def _linux_update_skewed(spark: SparkSession, sf: str) -> DataFrame:
+    """A base package on every host: its rows are spread over the tasks."""
+    system, programs = _linux_tables(spark, sf)
+    base = load(spark, sf, "orders").selectExpr(
+        "o_orderkey AS resource_id", "'lib2-1.0-1.x86_64' AS display_name", "'1.0' AS version", "'base' AS publisher",
+        "date_format(o_orderdate, 'yyyyMMdd') || '000000' AS install_date", "o_orderdate AS time_stamp",
+    )
+    return linux_update_compliance(system, programs.unionByName(base), _updates(spark, sf), spread=8)
+
+
+QUERIES["linux_update_skewed"] = _linux_update_skewed
+ORACLES["linux_update_skewed"] = ORACLES["linux_update_compliance"].replace("""
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P'),""", """
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P'
+  UNION ALL SELECT o_orderkey, 'PC' || o_orderkey, o_orderdate, 'lib2', 0, 'base', strftime(o_orderdate, '%Y%m%d') || '000000',
+         date_trunc('day', o_orderdate), false FROM orders WHERE o_orderstatus <> 'P'),""")

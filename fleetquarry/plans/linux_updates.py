@@ -9,6 +9,7 @@ from fleetquarry.functions.codes import LINUX_EDITION
 from fleetquarry.functions.text import index_of, leading, remove_all
 from fleetquarry.functions.times import parse_compact_day, parse_iso_day
 from fleetquarry.operators.latest import rows_at_extreme
+from fleetquarry.operators.skew import heavy_keys, split_join
 from fleetquarry.sources.files import FILE_SUFFIXES, update_packages, update_references
 from fleetquarry.sources.tables import collated
 
@@ -30,10 +31,13 @@ def version_tail(display: Column, version: Column) -> Column:
 
 
 def linux_update_compliance(
-    system: DataFrame, programs: DataFrame, updates: DataFrame
+    system: DataFrame, programs: DataFrame, updates: DataFrame, spread: int | None = None
 ) -> DataFrame:
     """Installed packages with the newest update of their name and its closed vulnerabilities.
 
+    A base package is on every host. With ``spread`` the packages that a hundredth of the rows have are looked for first,
+    in one pass over ``programs``, and their rows are spread over so many parts in the joins by name.
+
     ``updates`` is the feed as read by ``read_updateinfo``. The feed is small next to the
     installed packages; its three derived tables are distinct and are broadcast only while
     they are under the size threshold.
@@ -100,8 +104,9 @@ def linux_update_compliance(
         F.col("cve").isNotNull(),
         F.when(F.col("file_date") < F.col("cve_date"), F.lit("1")).otherwise(F.lit("0")),
     )
+    heavy = heavy_keys(programs.select(package_name(display, version).alias("package")), "package") if spread else []
     return (
-        ranked.join(feed, F.col("package") == F.col("feed_name"), "left")
+        split_join(ranked, feed, "package", "feed_name", heavy, spread or 1)
         .select(
             "resource_id",
             "netbios_name",

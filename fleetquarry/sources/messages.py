@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from fleetquarry.functions.codes import lookup
 from fleetquarry.functions.numbers import mask_names
-from fleetquarry.functions.text import ColumnOrName, as_column, glob_match, plain, trustee
+from fleetquarry.functions.text import ColumnOrName, glob_match, plain, trustee
+from fleetquarry.operators.dictionaries import with_mask_names
 
 # ---- fixed values ------------------------------------------------------------------
 
@@ -134,28 +135,39 @@ def readable_sd(sd: ColumnOrName, names: dict[str, dict[str, str]]) -> Column:
 def share_aces(
     raw: DataFrame,
     permission_type: str,
-    rights: dict[int, str],
-    ace_types: dict[int, str],
-    ace_flags: dict[int, str] | None = None,
+    rights: dict[int, str] | DataFrame,
+    ace_types: dict[int, str] | DataFrame,
+    ace_flags: dict[int, str] | DataFrame | None = None,
 ) -> DataFrame:
     """Permission rows from raw access entries.
 
-    The names of masks, types and flags come from the caller. Entries on the file system
-    leave out administrative shares and repeats.
+    The names of masks, types and flags come from the caller, as dictionaries or as tables: (bits, name) for rights and
+    flags, (code, name) for types. Entries on the file system leave out administrative shares and repeats.
     """
+    if ace_flags is not None:
+        name = F.coalesce("share_name", F.lit(""))
+        admin = F.lower(name).isin([s.lower() for s in ADMIN_SHARES])
+        raw = raw.filter(~admin & ~glob_match(name, ADMIN_SHARE_GLOB))
+
+    def masked(df: DataFrame, mask: str, names: dict[int, str] | DataFrame, out: str) -> DataFrame:
+        return with_mask_names(df, mask, names, out) if isinstance(names, DataFrame) else df.withColumn(out, mask_names(mask, names))
+
+    raw = masked(raw, "access_mask", rights, "file_system_rights")
+    kind = F.col("ace_type").cast("string")
+    if isinstance(ace_types, DataFrame):
+        listed = ace_types.groupBy(F.col("code").cast("int").alias("__code")).agg(F.min("name").alias("__type"))
+        raw, kind = raw.join(listed, F.col("ace_type") == F.col("__code"), "left"), F.coalesce("__type", kind)
+    else:
+        kind = lookup("ace_type", ace_types, kind)
     columns = [
         "resource_id",
         F.lit(permission_type).alias("permission_type"),
         F.col("share_name").alias("shared_folder_name"),
         "owner",
         trustee("trustee_domain", "trustee_name").alias("security_principal"),
-        mask_names("access_mask", rights).alias("file_system_rights"),
-        lookup("ace_type", ace_types, F.col("ace_type").cast("string")).alias("access_control_type"),
+        "file_system_rights",
+        kind.alias("access_control_type"),
     ]
     if ace_flags is None:
         return raw.select(*columns)
-    name = F.coalesce("share_name", F.lit(""))
-    admin = F.lower(name).isin([s.lower() for s in ADMIN_SHARES])
-    ordinary = ~admin & ~glob_match(name, ADMIN_SHARE_GLOB)
-    flags = mask_names("ace_flags", ace_flags).alias("access_control_flags")
-    return raw.filter(ordinary).select(*columns, flags).distinct()
+    return masked(raw, "ace_flags", ace_flags, "access_control_flags").select(*columns, "access_control_flags").distinct()
