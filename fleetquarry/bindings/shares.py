@@ -549,7 +549,7 @@ def _share_permission_pipeline(spark: SparkSession, sf: str) -> DataFrame:
         periods.purge(spark, store, f"{day} 09:00:00", 180)
         periods.merge(spark, store, scan(skipped, skipped == 7, f"{day} 08:00:00"))
         now = current_permissions(store.read(spark), lists=True)
-        buckets.apply_changes(spark, state, reconcile_changes(state.read(spark), now, f"{day} 10:00:00", lists=ENTRY_LISTS))
+        buckets.apply_changes(spark, state, reconcile_changes(state.read(spark), now, f"{day} 10:00:00", lists=ENTRY_LISTS), once=True)
     system = load(spark, sf, "supplier").selectExpr(
         "s_suppkey AS resource_id", "s_name AS netbios_name", "CAST(NULL AS string) AS full_domain_name"
     )

@@ -98,7 +98,7 @@ def _reconcile_buckets(spark: SparkSession, sf: str) -> DataFrame:
     store = BucketStore(shared_dir(spark, "approval"), kind, SHARE_KEYS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     buckets.create(spark, store, state)
     for day in ("2002-02-02 00:00:00", "2003-03-03 00:00:00"):
-        buckets.apply_changes(spark, store, reconcile_changes(store.read(spark), snapshot, day))
+        buckets.apply_changes(spark, store, reconcile_changes(store.read(spark), snapshot, day), once=True)
     return store.read(spark)
 
 

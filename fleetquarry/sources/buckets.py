@@ -89,12 +89,14 @@ def create(spark: SparkSession, store: BucketStore, rows: DataFrame) -> None:
     _written(rows, store.root, store.keys, store.buckets)
 
 
-def apply_changes(spark: SparkSession, store: BucketStore, changes: DataFrame, run: str | None = None) -> list[int]:
+def apply_changes(
+    spark: SparkSession, store: BucketStore, changes: DataFrame, run: str | None = None, once: bool = False
+) -> list[int]:
     """Applies rows of ``op`` insert, update or delete to the table; returns the numbers of the rewritten buckets.
 
     Deletes need the keys alone. Of several changes of a key one counts: a delete last, else the greatest by the other columns. Only
     files of touched buckets are read and replaced. A ``run`` of the same name that was cut short is finished and
-    not applied again.
+    not applied again. ``once`` says that no key comes twice, as from ``reconcile_changes``.
     """
     run = run or uuid.uuid4().hex
     staged = f"{store.root.rstrip('/')}.staged/{run}"
@@ -102,7 +104,8 @@ def apply_changes(spark: SparkSession, store: BucketStore, changes: DataFrame, r
         return _finish(spark, store, staged)
     kept = shared_dir(spark, "changes")
     rank = F.when(F.col(OP) == "delete", 0).otherwise(1)
-    newest_by_key(changes, store.keys, [rank]).withColumn("__bucket", store.bucket_of()).write.parquet(kept)
+    single = changes if once else newest_by_key(changes, store.keys, [rank])
+    single.withColumn("__bucket", store.bucket_of()).write.parquet(kept)
     changes = spark.read.parquet(kept)
     # as many numbers as there are buckets at most
     touched = sorted(r["__bucket"] for r in changes.select("__bucket").distinct().collect())

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquarry.functions.times import on_day, parse_mixed
-from fleetquarry.operators.latest import newest_by_key, upsert
+from fleetquarry.operators.latest import newest_by_key
 from fleetquarry.session import entries, exists, remove, rename, shared_dir, touch
 
 PERIOD = "period"
@@ -132,7 +132,9 @@ def merge(spark: SparkSession, store: PeriodStore, batch: DataFrame, order: str
         touched |= {r[PERIOD] for r in moved.select(PERIOD).distinct().collect()}
     before = stored.where(_any_of(list(touched)))
     # a row of a period that is not rewritten is no row of the batch's keys
-    _replace(spark, store, upsert(before, placed, store.keys), sorted(touched, key=str), run)
+    match = [before[k].eqNullSafe(placed[k]) for k in store.keys]
+    left = before.join(placed.select(*store.keys), match, "left_anti")
+    _replace(spark, store, left.unionByName(placed, allowMissingColumns=True), sorted(touched, key=str), run)
 
 
 def expiring(spark: SparkSession, store: PeriodStore, cutoff: datetime) -> DataFrame:
