@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,10 +17,11 @@ from fleetquarry.plans.compliance import (
     cve_supersedence,
 )
 from fleetquarry.plans.inventory import installed_software, linux_system_info, system_info
+from fleetquarry.plans.parameterised import CVE_SUPERSEDENCE, run
 from fleetquarry.plans.performance import SLICE, counter_base, performance_history
 from fleetquarry.session import shared_dir
 from fleetquarry.sources.buckets import bucketed_copy
-from fleetquarry.sources.tables import SCHEMAS, tables
+from fleetquarry.sources.tables import SCHEMAS, catalog_tables, tables
 
 QUERIES, ORACLES = {}, {}
 
@@ -253,6 +256,42 @@ WHERE l_linenumber = 6
 """
 
 
+def _cve_two_databases(spark: SparkSession, sf: str) -> DataFrame:
+    """The inventory in one database of the catalog, the sheet in another: as tables by qualified names, and as SQL text."""
+    lineitem, run_id = load(spark, sf, "lineitem"), uuid.uuid4().hex
+    inventory, sheet, root = f"inventory_{run_id}", f"sheet_{run_id}", shared_dir(spark, "databases")
+    frames = {
+        f"{inventory}.update_info": load(spark, sf, "part").selectExpr(
+            "CAST(p_partkey AS int) AS ci_id", "CAST(4000000 + p_partkey DIV 3 AS string) AS article_id"
+        ),
+        f"{inventory}.ci_relation": lineitem.selectExpr(
+            "CAST(l_partkey + 1 AS int) AS ci_id", "CAST(l_partkey AS int) AS referenced_ci_id", "l_linenumber AS relation_type"
+        ),
+        f"{sheet}.cve_article": lineitem.selectExpr(
+            "CAST(4000000 + l_partkey DIV 3 AS string) AS article", "CASE WHEN l_returnflag <> 'N' THEN concat('CVE-2020-', l_suppkey) END AS cve"
+        ),
+    }
+    for database in (inventory, sheet):
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{database}'")
+    try:
+        for name, frame in frames.items():
+            frame.write.format("parquet").option("path", f"{root}/files/{name}").saveAsTable(name)
+        t = catalog_tables(spark, {n.split(".")[1]: n for n in frames})
+        first = cve_supersedence(t["update_info"], t["cve_article"], t["ci_relation"])
+        names = {"updates": f"{inventory}.update_info", "articles": f"{sheet}.cve_article", "relations": f"{inventory}.ci_relation"}
+        second = run(spark, CVE_SUPERSEDENCE, names)
+    finally:
+        for database in (inventory, sheet):  # the tables' files are elsewhere and stay
+            spark.sql(f"DROP DATABASE {database} CASCADE")
+    return first.withColumn("form", F.lit("tables")).unionByName(second.withColumn("form", F.lit("text")))
+
+
+QUERIES["cve_two_databases"] = _cve_two_databases
+ORACLES["cve_two_databases"] = f"""
+SELECT * FROM ({ORACLES["cve_supersedence"]}) CROSS JOIN (VALUES ('tables'), ('text')) AS f(form)
+"""
+
+
 # -- inventory ------------------------------------------------------------------------
 
 

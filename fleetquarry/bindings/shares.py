@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetquarry.bindings.common import load
+from fleetquarry.functions.times import parse_mixed
 from fleetquarry.operators.dictionaries import with_readable_sd
 from fleetquarry.operators.differences import ENTRY_LISTS, array_changes, combined_permissions
 from fleetquarry.operators.rollups import with_default_rows
 from fleetquarry.operators.snapshots import PERMISSION_KEYS, SHARE_KEYS, merge_events, reconcile_changes
+from fleetquarry.plans.parameterised import SHARE_EVENT_SEARCH, run
 from fleetquarry.plans.shares import (
     current_permissions,
     permission_entries,
@@ -580,3 +585,38 @@ SELECT d AS resource_id, 'F' || k AS shared_folder_name, upper(s_name) AS comput
        st AS check_status, 'Script' AS changed_by, CASE WHEN was THEN before ELSE 'None' END AS old_line, after AS new_line
 FROM lined JOIN supplier ON s_suppkey = d
 """
+
+# -- reports as SQL text ------------------------------------------------------------------------
+
+
+def _search_parameters(spark: SparkSession, sf: str, day: datetime | None, domains: list[str], computer: str) -> DataFrame:
+    """The same SQL text for any of its parameters; its tables are views of a database of their own."""
+    parsed = parse_share_events(_raw_messages(spark, sf, "date_format(ts, 'dd.MM.yyyy HH:mm:ss') AS time_generated"))
+    names = {"events": f"events_{uuid.uuid4().hex}", "system": f"system_{uuid.uuid4().hex}"}
+    parsed.withColumn("event_time", parse_mixed("time_generated")).createOrReplaceTempView(names["events"])
+    _system(spark, sf).createOrReplaceTempView(names["system"])
+    values = names | {"domains": domains, "instance_ids": [5142, 5143], "computer": computer, "day": day}
+    return run(spark, SHARE_EVENT_SEARCH, values)
+
+
+def _share_events_by_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of one text: some domains on one day, and any domain on any day."""
+    some = _search_parameters(spark, sf, datetime(2024, 1, 12), ["BUILDING", "MACHINERY"], "%.net")
+    every = _search_parameters(spark, sf, None, [], "Customer#0000000_9%")
+    return some.withColumn("run", F.lit(1)).unionByName(every.withColumn("run", F.lit(2)))
+
+
+QUERIES["share_events_by_sql"] = _share_events_by_sql
+ORACLES["share_events_by_sql"] = """
+WITH e AS (
+  SELECT user_id AS resource_id, c_name || '.' || lower(c_mktsegment) || '.net' AS computer_name, c_mktsegment AS domain,
+         'DOM' || chr(92) || 'acc' || user_id AS changed_by, CASE event_type WHEN 'click' THEN 5143 ELSE 5142 END AS instance_id,
+         'S' || user_id AS shared_folder, CASE WHEN event_type = 'click' THEN 'C:/a: b' ELSE 'D:/x' END AS share_path,
+         date_trunc('second', ts) AS event_time
+  FROM events JOIN customer ON c_custkey = user_id
+  WHERE event_type NOT IN ('view', 'error') AND user_id % 11 <> 0 AND user_id % 13 <> 0 AND c_nationkey <> 4)
+SELECT *, 1 AS run FROM e WHERE domain IN ('BUILDING', 'MACHINERY') AND computer_name LIKE '%.net'
+  AND event_time > TIMESTAMP '2024-01-12 00:00:00' AND event_time < TIMESTAMP '2024-01-13 00:00:00'
+UNION ALL
+SELECT *, 2 FROM e WHERE computer_name LIKE 'Customer#0000000_9%'
+"""
