@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from fleetquarry.functions.times import Moment, moment, parse_mixed
 from fleetquarry.operators.joins import blank_safe
@@ -116,13 +117,34 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Data
     def blank(df: DataFrame, prefix: str) -> list[Column]:
         return [blank_safe(df, k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
 
-    once = newest_by_key(batch.select("*", *blank(batch, "__b")), names, [])
+    every = sorted(keys) == sorted(batch.columns) and len(keys) < 63
+    once = _distinct_rows(batch, keys, names) if every else newest_by_key(batch.select("*", *blank(batch, "__b")), names, [])
     known = target.select(*blank(target, "__k"))
     wanted = once.select(*[F.col(n).alias(n.replace("__b", "__w")) for n in names])
     hits = known.join(wanted, [known[f"__k{i}"] == wanted[f"__w{i}"] for i in range(len(keys))], "left_semi")
     return once.join(hits, [once[n] == hits[f"__k{i}"] for i, n in enumerate(names)], "left_anti").select(*batch.columns)
 
 
+def _distinct_rows(batch: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``batch``, all of whose columns are keys, once per key, with its blank-safe keys under ``names``.
+
+    Rows of one key differ in nothing but NULL and '' texts, so a number tells which of them they have: a hash
+    aggregate of fixed width keeps the greatest, as the first of its columns that differ decides.
+    """
+    text = {k: isinstance(batch.schema[k].dataType, StringType) for k in keys}
+    blank = [blank_safe(batch, k).alias(n) for k, n in zip(keys, names)]
+    present = [F.when(F.col(k).isNotNull(), 1 << i).otherwise(0).cast("long") for i, k in enumerate(reversed(batch.columns)) if text[k]]
+    marks = sum(present, F.lit(0).cast("long"))
+    own = [k for k in keys if not text[k]]
+    grouped = batch.select(*own, *blank, marks.alias("__marks")).groupBy(*names, *own).agg(F.max("__marks").alias("__marks"))
+    bit = {k: 1 << i for i, k in enumerate(reversed(batch.columns))}
+    shown = [
+        F.when(F.col("__marks").bitwiseAND(F.lit(bit[k]).cast("long")) > 0, F.col(n)).alias(k) if text[k] else F.col(k)
+        for k, n in zip(keys, names)
+    ]
+    return grouped.select(*shown, *names).select(*batch.columns, *names)
+
+
 def merge_events(
     store: DataFrame,
     batch: DataFrame,

@@ -289,3 +289,16 @@ def test_upsert_of_null_keys_and_repeats(spark):
 def test_stamp_is_the_writers_layout(spark):
     one = spark.createDataFrame([(1, "x")], "a int, time_added string")
     assert rows(snapshots.stamped(one, "2024-02-03 04:05:06")) == [(1, "03.02.2024 04:05")]
+
+
+def test_inserts_whose_columns_are_all_keys_keep_the_same_rows(spark):
+    import itertools
+
+    values = [None, "", "x"]
+    data = [(a, b, n) for a, b, n in itertools.product(values, values, [1, None])] * 2
+    batch = spark.createDataFrame(data, "a string, b string, n int")
+    known = batch.where("a = 'x' AND n = 1").select("a", "b", "n")
+    # a further column makes the general path
+    general = snapshots.insert_new(known.withColumn("z", F.lit(0)), batch.withColumn("z", F.lit(0)), ["a", "b", "n"]).drop("z")
+    assert rows(snapshots.insert_new(known, batch, ["a", "b", "n"])) == rows(general)
+    assert rows(snapshots.insert_new(known, batch, ["n", "b", "a"])) == rows(general)
