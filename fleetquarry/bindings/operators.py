@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetquarry.bindings.common import load
@@ -328,15 +328,20 @@ def _rollup_of_hot_groups(spark: SparkSession, sf: str) -> DataFrame:
     parts = rollups.rollup_parts(
         events, ["event_type"], F.col("event_id").cast("string"), [F.col("ts")], separator=","
     )
-    # where a list is cut depends on the sample behind the ranges; the parts in order are the list
-    whole = F.expr("listagg(text, ',') WITHIN GROUP (ORDER BY part)")
-    return parts.groupBy("event_type").agg(F.md5(whole.cast("binary")).alias("list"))
+    # where a list is cut depends on the sample behind the ranges, so each element is shown with its place in the whole list: the
+    # elements of the parts before come first
+    before = Window.partitionBy("event_type").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    listed = parts.withColumn("items", F.split("text", ","))
+    placed = listed.withColumn("before", F.coalesce(F.sum(F.size("items")).over(before), F.lit(0)))
+    elements = placed.select("event_type", "before", F.posexplode("items").alias("at", "event_id"))
+    return elements.select("event_type", (F.col("before") + F.col("at") + 1).cast("long").alias("position"), "event_id")
 
 
 QUERIES["rollup_of_hot_groups"] = _rollup_of_hot_groups
 ORACLES["rollup_of_hot_groups"] = """
-SELECT event_type, md5(string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ts, CAST(event_id AS VARCHAR))) AS list
-FROM events GROUP BY event_type
+SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, CAST(event_id AS VARCHAR)) AS position,
+       CAST(event_id AS VARCHAR) AS event_id
+FROM events
 """
 
 
