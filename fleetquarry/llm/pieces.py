@@ -8,6 +8,7 @@ Pieces repeat a lot; each distinct one of a batch is encoded once.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ import pyarrow.compute as pc
 
 from fleetquarry.llm.common import ragged
 
-#: Entries after which a task starts its memory of pieces anew, and the longest piece it keeps.
+#: Entries after which a task sorts out its memory of pieces, and the longest piece it keeps.
 REMEMBERED = 500_000
 LONGEST = 100
 
@@ -23,42 +24,57 @@ LONGEST = 100
 Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
 
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a copy with room for ``size`` entries and as many again."""
+    return array if len(array) >= size else np.concatenate([array, np.zeros(2 * size - len(array), array.dtype)])
+
+
 class PieceEncoder:
     """ids of whole texts; remembers the ids of pieces from batch to batch."""
 
     def __init__(self, encode: Encoder, remembered: int = REMEMBERED, whole: Sequence[str] = ()):
         """Texts that hold a string of ``whole`` are not cut."""
         self._encode, self._remembered, self._whole = encode, remembered, whole
-        self._forget()
+        self._slot, self._slots, self._used = {}, 0, 0
+        self._flat, self._seen = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.uint8)
+        self._starts, self._sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def _forget(self) -> None:
-        self._slot: dict[str, int] = {}
-        self._flat = np.zeros(1 << 16, np.uint32)
-        self._starts = np.zeros(1 << 14, np.int64)
-        self._sizes = np.zeros(1 << 14, np.int64)
-        self._used = self._slots = 0
+        """Keeps the pieces that more than one batch had since the last time, or none if they are too many."""
+        used = self._seen[: self._slots] > 1 if self._slots else np.zeros(0, bool)
+        if 2 * used.sum() > self._remembered:
+            used[:] = False
+        place = np.cumsum(used) - 1
+        self._slot = {p: int(place[s]) for p, s in self._slot.items() if used[s]}
+        sizes = self._sizes[: len(used)][used]
+        flat = self._flat[ragged(self._starts[: len(used)][used], sizes)]
+        self._used, self._slots = len(flat), len(sizes)
+        self._flat = _grown(flat, 1 << 16)
+        self._starts = _grown(np.cumsum(sizes) - sizes, 1 << 14)
+        self._sizes = _grown(sizes, 1 << 14)
+        self._seen = np.zeros(len(self._sizes), np.uint8)
 
     def _slots_of(self, pieces: list[str]) -> np.ndarray:
-        slot = self._slot
-        new = [p for p in dict.fromkeys(pieces) if p not in slot]
-        at = self._slots
-        if new:
+        slot, at = self._slot, self._slots
+        out = np.fromiter(map(slot.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(out < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys([pieces[i] for i in missing]))
             ids, sizes = self._encode(new)
             total, n = len(ids), len(new)
-            while self._used + total > len(self._flat):
-                self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
-            while at + n > len(self._sizes):
-                self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
-                self._sizes = np.concatenate([self._sizes, np.zeros_like(self._sizes)])
+            self._flat = _grown(self._flat, self._used + total)
+            for name in ("_starts", "_sizes", "_seen"):
+                setattr(self, name, _grown(getattr(self, name), at + n))
             self._flat[self._used : self._used + total] = ids
             self._starts[at : at + n] = self._used + np.cumsum(sizes) - sizes
             self._sizes[at : at + n] = sizes
             self._used, self._slots = self._used + total, at + n
             slot.update(zip(new, range(at, at + n)))
-        out = np.fromiter((slot[p] for p in pieces), np.int64, len(pieces))
-        for p in new:
-            if len(p) > LONGEST:
-                del slot[p]
+            out[missing] = [slot[pieces[i]] for i in missing]
+            for p in new:
+                if len(p) > LONGEST:
+                    del slot[p]
+        self._seen[out] = np.minimum(self._seen[out] + 1, 2)
         return out
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
