@@ -25,7 +25,7 @@ from fleetquarry.llm.pieces import PieceEncoder
 
 BATCH_BYTES = 2 << 20
 #: Pieces that a task remembers; it shares its memory with the stages before it in a worker.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 
 
 @lru_cache(1)
@@ -85,7 +85,7 @@ class Codec:
         self._bytes = np.frombuffer(b"".join(entries), np.uint8)
         self._sizes = np.fromiter(map(len, entries), np.int64, len(entries))
         self._starts = np.cumsum(self._sizes) - self._sizes
-        self.encode = PieceEncoder(self._pieces, REMEMBERED)
+        self.encode = PieceEncoder(self._pieces, REMEMBERED, keep=False)
 
     def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """ids of each text: its pre-tokens, whole entries first, the rest by sentencepiece."""

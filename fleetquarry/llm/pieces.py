@@ -32,9 +32,10 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
 class PieceEncoder:
     """ids of whole texts; remembers the ids of pieces from batch to batch."""
 
-    def __init__(self, encode: Encoder, remembered: int = REMEMBERED, whole: Sequence[str] = ()):
-        """Texts that hold a string of ``whole`` are not cut."""
-        self._encode, self._remembered, self._whole = encode, remembered, whole
+    def __init__(self, encode: Encoder, remembered: int = REMEMBERED, whole: Sequence[str] = (), keep: bool = True):
+        """Texts that hold a string of ``whole`` are not cut. Without ``keep`` nothing outlives a sorting out, which
+        takes less memory and encodes more."""
+        self._encode, self._remembered, self._whole, self._keep = encode, remembered, whole, keep
         self._slot, self._slots, self._used = {}, 0, 0
         self._flat, self._seen = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.uint8)
         self._starts, self._sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
@@ -42,7 +43,7 @@ class PieceEncoder:
     def _forget(self) -> None:
         """Keeps the pieces that more than one batch had since the last time, or none if they are too many."""
         used = self._seen[: self._slots] > 1 if self._slots else np.zeros(0, bool)
-        if 2 * used.sum() > self._remembered:
+        if not self._keep or 2 * used.sum() > self._remembered:
             used[:] = False
         place = np.cumsum(used) - 1
         self._slot = {p: int(place[s]) for p, s in self._slot.items() if used[s]}
