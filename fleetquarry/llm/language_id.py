@@ -31,7 +31,7 @@ BATCH = 32
 #: predictions that rejection may cost.
 CALIBRATION = 0.25
 REJECTED_RIGHT = 0.002
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 
 def subwords(buffer: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
