@@ -127,28 +127,30 @@ def cve_supersedence(
 ) -> DataFrame:
     """Articles that close a vulnerability, directly or one step up by superseding.
 
-    The sheet repeats an article for every product and platform, so (vulnerability, article)
-    pairs are made distinct before any join.
+    The sheet repeats an article for every product and platform, so (vulnerability, article) pairs are made distinct before any
+    join. What an article leads to, itself or one step up, does not depend on the vulnerability and is made distinct without
+    it; so the last join, which multiplies the rows, gives each row once and nothing has to be sorted out after it.
     """
     pairs = (
         cve_article.filter("cve IS NOT NULL")
         .select("cve", F.col("article").alias("article_id"))
         .distinct()
     )
-    fixes = update_info.join(pairs, "article_id").select("cve", "article_id", "ci_id").distinct()
+    updates = update_info.select("article_id", "ci_id").distinct()
     edges = (
         ci_relation.filter(F.col("relation_type") == SUPERSEDES)
         .select("ci_id", "referenced_ci_id")
         .distinct()
     )
-    newer = update_info.select("ci_id", F.col("article_id").alias("newer_article_id"))
-    direct = fixes.select("cve", "article_id", F.col("article_id").alias("newer_article_id"), "ci_id")
+    newer = updates.select("ci_id", F.col("article_id").alias("newer_article_id"))
+    direct = updates.select("article_id", F.col("article_id").alias("newer_article_id"), "ci_id")
     stepped = (
-        edges.join(fixes.withColumnRenamed("ci_id", "referenced_ci_id"), "referenced_ci_id")
+        edges.join(updates.withColumnRenamed("ci_id", "referenced_ci_id"), "referenced_ci_id")
         .join(newer.withColumn("newer_ci_id", F.col("ci_id")), "ci_id", "left")
-        .select("cve", "article_id", "newer_article_id", F.col("newer_ci_id").alias("ci_id"))
+        .select("article_id", "newer_article_id", F.col("newer_ci_id").alias("ci_id"))
     )
-    return direct.union(stepped).distinct()
+    leads = direct.union(stepped).distinct()
+    return leads.join(pairs, "article_id").select("cve", "article_id", "newer_article_id", "ci_id")
 
 
 def new_articles(known: DataFrame, sheet: DataFrame) -> DataFrame:
