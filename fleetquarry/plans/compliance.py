@@ -42,42 +42,49 @@ def configuration_status(
     """Configuration item state of each device with a failed setting's rule and value.
 
     A state row stands for one combination of flags of a device and carries the greatest item
-    id among them, while rules come from all items of the device, so the two fan out. Both
-    sides are made distinct before they meet.
+    id among them, while rules come from all items of the device, so the two fan out. Devices, settings and states are made
+    distinct on the columns shown before they meet; a state is its text and whether it gives way to the setting's value. So
+    the join that multiplies the rows gives each row once and nothing has to be sorted out after it.
     """
-    states = ci_compliance.groupBy(
-        "resource_id", "is_applicable", "is_detected", "compliance_state"
-    ).agg(F.max("ci_id").alias("ci_id"), F.max("last_compliance_time").alias("last_time"))
+    flags = ("is_applicable", "is_detected", "compliance_state")
+    found = ci_compliance.groupBy("resource_id", *flags).agg(
+        F.max("ci_id").alias("ci_id"), F.max("last_compliance_time").alias("last_time")
+    )
     titles = (
         ci_localized.filter(F.col("locale_id") == NEUTRAL_LOCALE)
         .select("ci_id", F.col("display_name").alias("item_name"))
         .distinct()
     )
-    states = states.join(titles, "ci_id", "left")
+    states = found.join(titles, "ci_id", "left").select(
+        "resource_id",
+        F.col("ci_id").alias("item_id"),
+        "item_name",
+        shift_hours("last_time", shift).alias("last_compliance"),
+        compliance_text(*flags).alias("state"),
+        compliance_text(*flags, F.lit(None).cast("string")).isNull().alias("gives_way"),
+    ).distinct()
     settings = (
         ci_setting_detail.join(ci_rule, "ci_id")
         .select("resource_id", "rule_name", F.col("current_value").alias("noncompliant_value"))
         .distinct()
     )
-    flags = ("is_applicable", "is_detected", "compliance_state")
+    devices = system.select("resource_id", "netbios_name", "resource_domain", "user_name").distinct()
+    # a device without states has the text of unknown flags
+    text = F.coalesce("state", compliance_text(*[F.lit(None).cast("int")] * len(flags)))
+    value = settings.schema["noncompliant_value"].dataType
     return (
-        system.select("resource_id", "netbios_name", "resource_domain", "user_name")
-        .join(settings, "resource_id")
+        devices.join(settings, "resource_id")
         .join(states, "resource_id", "left")
         .select(
-            "resource_id",
-            "netbios_name",
-            "resource_domain",
-            "user_name",
-            F.col("ci_id").alias("item_id"),
+            *devices.columns,
+            "item_id",
             "item_name",
-            shift_hours("last_time", shift).alias("last_compliance"),
+            "last_compliance",
             "rule_name",
             "noncompliant_value",
-            compliance_text(*flags).alias("state"),
-            compliance_text(*flags, F.col("noncompliant_value")).alias("state_or_value"),
+            text.alias("state"),
+            F.when(F.col("gives_way"), F.col("noncompliant_value")).otherwise(text.cast(value)).alias("state_or_value"),
         )
-        .distinct()
     )
 
 
@@ -89,18 +96,30 @@ def application_deployments(
     user: DataFrame,
     shift: int = 3,
 ) -> DataFrame:
-    """Deployment results of devices and users with purpose, message and last status time."""
+    """Deployment results of devices and users with purpose, message and last status time.
+
+    Results are made distinct on their own few columns, and so are assignments, devices and users on what is shown of them; the
+    joins that only add names then give each row once.
+    """
     last = ci_compliance.groupBy("ci_id", "resource_id").agg(
         F.max("last_compliance_time").alias("last_status_utc")
     )
-    devices = system.select(
-        "resource_id", account("resource_domain", "netbios_name").alias("device_name")
-    )
-    users = user.select("resource_id", "unique_user_name")
     on_device = is_device_id("resource_id")
+    devices = system.where(on_device).select("resource_id", account("resource_domain", "netbios_name").alias("device_name")).distinct()
+    users = user.where(~on_device).select("resource_id", "unique_user_name").distinct()
+    # offers without a name are shown alike
+    offer = F.when(F.col("offer_type_id").isin(list(OFFER_TYPES)), F.col("offer_type_id"))
+    assignments = assignment.select(
+        "assignment_id", "application_name", F.col("collection_name").alias("target_collection"), offer.alias("offer_type_id")
+    ).distinct()
+    # merged: a broadcast would leave a whole file split of results to one task's distinct
+    results = (
+        result.join(last.hint("merge"), ["ci_id", "resource_id"], "left")
+        .select("resource_id", "assignment_id", "app_enforcement_state", "last_modification", "start_time", "last_status_utc")
+        .distinct()
+    )
     return (
-        result.join(assignment, "assignment_id", "left")
-        .join(last, ["ci_id", "resource_id"], "left")
+        results.join(assignments, "assignment_id", "left")
         .join(devices, "resource_id", "left")
         .join(users, "resource_id", "left")
         .select(
@@ -109,7 +128,7 @@ def application_deployments(
             F.when(on_device, F.lit("Devices")).otherwise(F.lit("Users")).alias("deployed_on"),
             "assignment_id",
             "application_name",
-            F.col("collection_name").alias("target_collection"),
+            "target_collection",
             lookup("offer_type_id", OFFER_TYPES).alias("purpose"),
             "app_enforcement_state",
             enforcement_message("app_enforcement_state", "offer_type_id").alias("state_message"),
@@ -118,7 +137,6 @@ def application_deployments(
             "last_status_utc",
             shift_hours("last_status_utc", shift).alias("last_status"),
         )
-        .distinct()
     )
 
 

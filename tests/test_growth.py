@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from conftest import rows
 from test_plans import plan_of
@@ -12,14 +14,17 @@ from fleetquarry.plans import compliance
 SMALL = "/root/testdata/sf0.001"
 
 
+T0 = datetime(2020, 1, 1)
+
+
 def top(df) -> list[str]:
     """Operators of a plan above its first join."""
     lines = [line.strip(" +-:*") for line in plan_of(df).splitlines()]
     return lines[: next(i for i, line in enumerate(lines) if "Join" in line)]
 
 
-@pytest.mark.parametrize("name", ["cve_supersedence", "collated_articles"])
-def test_articles_are_not_sorted_out_after_the_last_join(spark, name):
+@pytest.mark.parametrize("name", ["cve_supersedence", "collated_articles", "configuration_status", "application_deployments"])
+def test_rows_are_not_sorted_out_after_the_last_join(spark, name):
     above = top(entry.all_queries()[name](spark, SMALL))
     assert not [line for line in above if "Aggregate" in line or "Exchange" in line]
 
@@ -31,3 +36,37 @@ def test_articles_reached_twice_are_listed_once(table):
     relations = table("ci_relation", (3, 1, 6), (3, 2, 6), (4, 1, 6), (7, 1, 6), (8, 2, 6), (9, 2, 6), (3, 1, 5))
     got = compliance.cve_supersedence(updates, articles, relations)
     assert rows(got) == [("CVE-1", "A", None, None), ("CVE-1", "A", None, 9), *[("CVE-1", "A", "A", i) for i in (1, 2, 4)], ("CVE-1", "A", "B", 3)]
+
+
+def test_states_that_look_alike_are_shown_once(table):
+    """Flags that give one text, devices listed twice, a device without states."""
+    got = compliance.configuration_status(
+        table("system", (1, "PC1", None, "D", "joe"), (1, "PC1", "other.net", "D", "joe"), (2, "PC2", None, "D", "ann")),
+        table("ci_compliance", (1, 7, T0, 0, 0, 1), (1, 7, T0, 0, 1, 2), (1, 7, T0, 1, 1, 2), (1, 7, T0, 1, 1, 9)),
+        table("ci_setting_detail", (1, 7, "off"), (1, 7, None), (2, 7, "on")),
+        table("ci_rule", (7, "rule"), (7, "rule")),
+        table("ci_localized", (7, 65535, "seven")),
+    )
+    assert rows(got, "resource_id", "noncompliant_value", "state", "state_or_value") == [
+        (1, None, "Non Compliant", None), (1, None, "Not Applicable", "Not Applicable"), (1, None, "Unknown", "Unknown"),
+        (1, "off", "Non Compliant", "off"), (1, "off", "Not Applicable", "Not Applicable"), (1, "off", "Unknown", "Unknown"),
+        (2, "on", "Unknown", "Unknown"),
+    ]
+
+
+def test_deployments_that_look_alike_are_shown_once(table):
+    """Items with the same last time, devices and users listed twice or under ids of the other kind, offers without a name."""
+    got = compliance.application_deployments(
+        table("app_deployment_result", *[(d, 1, item, state, T0, None) for d in (16777216, 42) for item in (5, 6, 7) for state in (1000, None)]),
+        table("application_assignment", (1, "A", "Col", "C", 1), (1, "A", "Col", "C", 3), (1, "A", "Col", "C", 2)),
+        table("ci_compliance", (16777216, 5, T0), (16777216, 6, T0)),
+        table("system", (16777216, "PC", None, "D"), (16777216, "PC", "x.net", "D"), (42, "PC42", None, "D"), (42, "PC43", None, "D")),
+        table("user", *[(i, n, "D", n, "IT", f"D\\{n}") for i in (42, 16777216) for n in ("joe", "joe")], (16777216, "ann", "D", "ann", "IT", "D\\ann")),
+    )
+    shown = [
+        (name, purpose, message, last)
+        for name, lasts in (("D\\PC", (None, T0)), ("D\\joe", (None,))) for purpose, rest in ((None, "Unknown"), ("Available", "Available for Install"))
+        for message in ("Success", rest) for last in lasts
+    ]
+    key = lambda r: tuple((v is not None, str(v)) for v in r)
+    assert rows(got, "name", "purpose", "state_message", "last_status_utc") == sorted(shown, key=key)
