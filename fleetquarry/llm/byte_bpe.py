@@ -20,7 +20,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetquarry.llm.common import ragged, slices
+from fleetquarry.llm.common import enter, ragged, slices
 from fleetquarry.llm.pieces import PieceEncoder
 
 BATCH_BYTES = 2 << 20
@@ -117,6 +117,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, with_ids: bool = Fal
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("byte_bpe", _codec)
         codec = _codec(path, pattern)
         for batch in slices(batches, "text", BATCH_BYTES):
             ids, ends = codec.encode(batch.column("text"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,6 +90,26 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+_worker = {"operator": "", "caches": ()}
+
+
+def enter(operator: str, *caches) -> None:
+    """Called where a task starts: a reused Python worker gives back what the operators before ``operator`` have left in it.
+
+    Their ``caches`` are cleared, and memory that Arrow and the C library hold unused returns to the system; the caches of
+    the operator itself stay from task to task.
+    """
+    if _worker["operator"] != operator:
+        for cache in _worker["caches"]:
+            cache.cache_clear()
+        gc.collect()
+        _worker.update(operator=operator, caches=caches)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A spanning forest of a partition's edges: each node with the least node it reaches there."""
     parent: dict[int, int] = {}

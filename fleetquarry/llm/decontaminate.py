@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetquarry.llm.blobs import read_blob, write_blob
-from fleetquarry.llm.common import all_columns, mixed, packed, ragged, slices, unused
+from fleetquarry.llm.common import all_columns, enter, mixed, packed, ragged, slices, unused
 from fleetquarry.session import shared_dir
 
 WORDS = 5
@@ -282,6 +282,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = None
     for paths in _index_files(benchmark):
         def run(batches: Iterator[pa.RecordBatch], paths: list[str] = paths) -> Iterator[pa.RecordBatch]:
+            enter("decontaminate", _index)
             for batch in slices(batches, "text", BATCH_BYTES):
                 rows: dict[tuple[int, int], tuple[float, int, int]] = {}
                 for d, found in _hits(batch.column("text"), paths):
@@ -334,6 +335,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     columns, kind, name = all_columns(docs), docs.schema, unused(docs, "__text")
     for paths in _index_files(benchmark):
         def run(batches: Iterator[pa.RecordBatch], paths: list[str] = paths) -> Iterator[pa.RecordBatch]:
+            enter("decontaminate", _index)
             for batch in slices(batches, name, BATCH_BYTES):
                 kept = np.ones(batch.num_rows, bool)
                 kept[[d for d, _ in _hits(batch.column(name), paths)]] = False

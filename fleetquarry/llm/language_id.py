@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetquarry.llm.common import all_columns, packed, ragged, slices, unused
+from fleetquarry.llm.common import all_columns, enter, packed, ragged, slices, unused
 
 NGRAMS = (2, 3, 4)
 BUCKETS = 1 << 15
@@ -197,6 +197,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("language_id")
         for batch in slices(batches, "text", BATCH_BYTES):
             names, score, rejected = _judged(batch.column("text"), batch.column("letter"), model)
             yield pa.RecordBatch.from_arrays(
@@ -216,6 +217,7 @@ def keep_known(docs: DataFrame) -> DataFrame:
     text, name, letter = F.col("text").cast("string"), unused(docs, "__text"), unused(docs, "__letter")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("language_id")
         for batch in slices(batches, name, BATCH_BYTES):
             _, _, rejected = _judged(batch.column(name), batch.column(letter), model)
             kept = batch.filter(pa.array(~rejected))

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetquarry.llm.common import all_columns, components, stored, unused
+from fleetquarry.llm.common import all_columns, components, enter, stored, unused
 
 BITS = 64
 RADIUS = 3
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, mark: Column | None = None
     """(doc_id, fp long, mark long) for every row of ``docs(doc_id, text)``; ``mark`` passes through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("simhash")
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], np.uint64)
             columns = [batch.column(0), pa.array(fps.view(np.int64)), batch.column(2)]
