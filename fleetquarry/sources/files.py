@@ -78,9 +78,18 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=MANIFEST_SCHEMA)
 
 
+#: A whole update element; a tag that closes itself has no content. Quoted values may hold any sign.
+_UPDATE = r"""(?s)<update(?:\s(?:[^>"']|"[^"]*"|'[^']*')*)?(?:/>|(?<!/)>.*?</update>)"""
+
+
 def read_updateinfo(spark: SparkSession, path: str) -> DataFrame:
-    """The update feed, one row per update element; attributes carry a leading underscore."""
-    return spark.read.format("xml").option("rowTag", "update").schema(UPDATE_SCHEMA).load(path)
+    """The update feed, one row per update element; attributes carry a leading underscore.
+
+    The XML source reads a file in one task. Here a file is cut at the ends of its elements like text at line ends, so one large
+    feed is read by many tasks; each holds one element at a time.
+    """
+    ended = spark.read.text(path, lineSep="</update>").select(F.concat("value", F.lit("</update>")).alias("xml"))
+    return updates_from_text(ended.select(F.explode(F.regexp_extract_all("xml", F.lit(_UPDATE), F.lit(0))).alias("xml")), "xml")
 
 
 def updates_from_text(df: DataFrame, column: str) -> DataFrame:

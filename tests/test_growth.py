@@ -10,6 +10,7 @@ from test_plans import plan_of
 
 import __spark_entry__ as entry
 from fleetquarry.plans import compliance
+from fleetquarry.sources import files
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -70,3 +71,22 @@ def test_deployments_that_look_alike_are_shown_once(table):
     ]
     key = lambda r: tuple((v is not None, str(v)) for v in r)
     assert rows(got, "name", "purpose", "state_message", "last_status_utc") == sorted(shown, key=key)
+
+
+def test_one_feed_file_is_read_by_many_tasks(spark, tmp_path):
+    """Attributes that hold ends of tags, elements over several lines, empty ones, other elements with a like name."""
+    one = """<update status="final" type="a>b/>"><id>U%d</id><title>é &lt;update&gt;\n two</title><pkglist><collection>
+      <package name="p%d" version="1"><filename>p.rpm</filename></package></collection></pkglist></update>\n"""
+    text = '<?xml version="1.0"?>\n<updates><updated>x</updated><update/>' + "".join(one % (i, i) for i in range(2000)) + "<update status='s' /></updates>\n"
+    (tmp_path / "feed.xml").write_text(text, encoding="utf-8")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    try:
+        read = files.read_updateinfo(spark, str(tmp_path / "feed.xml"))
+        got, tasks = read.selectExpr("id", "_type", "title", "pkglist.collection[0].package[0]._name AS p", "_status").collect(), read.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert tasks > 4 and len(got) == 2002
+    named = {r["id"]: tuple(r)[1:] for r in got if r["id"]}
+    assert named == {f"U{i}": ("a>b/>", "é <update>\n two", f"p{i}", "final") for i in range(2000)}
+    assert sorted(str(r["_status"]) for r in got if not r["id"]) == ["None", "s"]
