@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 from fleetquarry.functions.text import plain
 
 
+#: Rows up to which a counted dictionary is sent to every task.
+DICTIONARY_ROWS = 50_000
+
+
+def dictionary(rows: DataFrame) -> DataFrame:
+    """A dictionary to join with: broadcast if it has at most DICTIONARY_ROWS rows, which are counted, else as it is.
+
+    Codes are few and some are on most rows, so a shuffle by code would leave most rows to a few tasks.
+    """
+    return F.broadcast(rows) if rows.limit(DICTIONARY_ROWS + 1).count() <= DICTIONARY_ROWS else rows
+
+
 def with_mask_names(df: DataFrame, mask: str, names: DataFrame, out: str, separator: str = ", ") -> DataFrame:
     """``df`` with the names of the bits set in ``mask`` as ``out``, lowest bit first.
 
@@ -27,7 +39,7 @@ def with_mask_names(df: DataFrame, mask: str, names: DataFrame, out: str, separa
     named = apart.join(bits, F.col("__value") == F.col("__bit"), "left")
     shown = F.coalesce("__name", F.concat(F.lit("0x"), F.hex("__value")))
     text = _listed(named.withColumn("__shown", shown), "__mask", "__place, __shown", separator)
-    joined = df.join(text, F.col(mask).cast("long") == F.col("__mask"), "left")
+    joined = df.join(dictionary(text), F.col(mask).cast("long") == F.col("__mask"), "left")
     return joined.select(*[df[c] for c in df.columns], F.coalesce("__text", F.lit("")).alias(out))
 
 

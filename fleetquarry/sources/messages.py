@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetquarry.functions.codes import lookup
 from fleetquarry.functions.numbers import mask_names
 from fleetquarry.functions.text import ColumnOrName, glob_match, plain, trustee
-from fleetquarry.operators.dictionaries import with_mask_names
+from fleetquarry.operators.dictionaries import dictionary, with_mask_names
 
 # ---- fixed values ------------------------------------------------------------------
 
@@ -156,7 +156,7 @@ def share_aces(
     kind = F.col("ace_type").cast("string")
     if isinstance(ace_types, DataFrame):
         listed = ace_types.groupBy(F.col("code").cast("int").alias("__code")).agg(F.min("name").alias("__type"))
-        raw, kind = raw.join(listed, F.col("ace_type") == F.col("__code"), "left"), F.coalesce("__type", kind)
+        raw, kind = raw.join(dictionary(listed), F.col("ace_type") == F.col("__code"), "left"), F.coalesce("__type", kind)
     else:
         kind = lookup("ace_type", ace_types, kind)
     columns = [
@@ -170,4 +170,6 @@ def share_aces(
     ]
     if ace_flags is None:
         return raw.select(*columns)
-    return masked(raw, "ace_flags", ace_flags, "access_control_flags").select(*columns, "access_control_flags").distinct()
+    # even parts of the advisory size, so that the distinct meets no more in one task however large the files are
+    flagged = masked(raw, "ace_flags", ace_flags, "access_control_flags").select(*columns, "access_control_flags")
+    return flagged.hint("rebalance").distinct()

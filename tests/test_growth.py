@@ -9,6 +9,7 @@ from conftest import rows
 from test_plans import plan_of
 
 import __spark_entry__ as entry
+from fleetquarry.operators import dictionaries
 from fleetquarry.plans import compliance
 from fleetquarry.sources import files
 
@@ -90,3 +91,14 @@ def test_one_feed_file_is_read_by_many_tasks(spark, tmp_path):
     named = {r["id"]: tuple(r)[1:] for r in got if r["id"]}
     assert named == {f"U{i}": ("a>b/>", "é <update>\n two", f"p{i}", "final") for i in range(2000)}
     assert sorted(str(r["_status"]) for r in got if not r["id"]) == ["None", "s"]
+
+
+def test_access_entries_are_not_dealt_out_by_code(spark, monkeypatch):
+    """A few codes stand on all rows: their names come by broadcast, and even parts meet the distinct."""
+    report = entry.all_queries()["share_aces_by_table"](spark, SMALL)
+    plan = plan_of(report)
+    assert "SortMergeJoin" not in plan and "REBALANCE" in plan
+    monkeypatch.setattr(dictionaries, "DICTIONARY_ROWS", 1)
+    kept = dictionaries.dictionary(spark.range(2))
+    assert "broadcast" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(entry.all_queries()["share_aces_by_table"](spark, SMALL)) == rows(report)
