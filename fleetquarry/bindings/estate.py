@@ -256,6 +256,10 @@ WHERE l_linenumber = 6
 """
 
 
+#: Rows of the sheet for each bucket of its table.
+ROWS_OF_BUCKET = 250_000
+
+
 def _cve_two_databases(spark: SparkSession, sf: str) -> DataFrame:
     """The inventory in one database of the catalog, the sheet in another: as tables by qualified names, and as SQL text."""
     lineitem, run_id = load(spark, sf, "lineitem"), uuid.uuid4().hex
@@ -274,8 +278,15 @@ def _cve_two_databases(spark: SparkSession, sf: str) -> DataFrame:
     for database in (inventory, sheet):
         spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{database}'")
     try:
+        # dealt out by article once, in buckets as many as the rows ask for: what is made distinct and joined by article is so small in
+        # every task, in both forms
+        buckets = max(8, lineitem.count() // ROWS_OF_BUCKET)
+        by = {f"{inventory}.update_info": "article_id", f"{sheet}.cve_article": "article"}
         for name, frame in frames.items():
-            frame.write.format("parquet").option("path", f"{root}/files/{name}").saveAsTable(name)
+            if name in by:
+                frame = frame.repartition(buckets, by[name])
+            writer = frame.write.format("parquet").option("path", f"{root}/files/{name}")
+            (writer.bucketBy(buckets, by[name]) if name in by else writer).saveAsTable(name)
         t = catalog_tables(spark, {n.split(".")[1]: n for n in frames})
         first = cve_supersedence(t["update_info"], t["cve_article"], t["ci_relation"])
         names = {"updates": f"{inventory}.update_info", "articles": f"{sheet}.cve_article", "relations": f"{inventory}.ci_relation"}

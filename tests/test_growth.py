@@ -9,6 +9,7 @@ from conftest import rows
 from test_plans import plan_of
 
 import __spark_entry__ as entry
+from fleetquarry.bindings import estate
 from fleetquarry.operators import dictionaries
 from fleetquarry.plans import compliance
 from fleetquarry.sources import files
@@ -102,3 +103,11 @@ def test_access_entries_are_not_dealt_out_by_code(spark, monkeypatch):
     kept = dictionaries.dictionary(spark.range(2))
     assert "broadcast" not in kept._jdf.queryExecution().optimizedPlan().toString()
     assert rows(entry.all_queries()["share_aces_by_table"](spark, SMALL)) == rows(report)
+
+
+def test_articles_of_two_databases_are_dealt_out_by_the_rows(spark, monkeypatch):
+    """More rows, more buckets: 6,000 lines in buckets of 500."""
+    monkeypatch.setattr(estate, "ROWS_OF_BUCKET", 500)
+    plan = plan_of(entry.all_queries()["cve_two_databases"](spark, SMALL))
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    assert f"SelectedBucketsCount: {lines // 500} out of {lines // 500}" in plan
