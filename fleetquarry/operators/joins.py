@@ -20,6 +20,30 @@ def blank_safe(df: DataFrame, key: str) -> Column:
     return F.coalesce(df[key] if text else df[key].cast("string"), F.lit(""))
 
 
+def is_collated(df: DataFrame, key: str) -> bool:
+    """Whether texts of the column compare without case, as in the source databases."""
+    kind = df.schema[key].dataType
+    return isinstance(kind, StringType) and kind.collation in ("UTF8_LCASE", "UTF8_LCASE_RTRIM")
+
+
+def compared(df: DataFrame, key: str) -> Column:
+    """A column in a form that is equal where its values are: texts that compare without case as lower-cased plain text.
+
+    The collation lowers each sign by itself, and so has one small sigma for the two that ``lower`` tells apart.
+    """
+    if not is_collated(df, key):
+        return df[key]
+    text = df[key].cast("string")
+    if df.schema[key].dataType.collation.endswith("_RTRIM"):
+        text = F.rtrim(text)
+    return F.translate(F.lower(text), "\u03c2", "\u03c3")
+
+
+def blank_key(df: DataFrame, key: str) -> Column:
+    """``blank_safe`` in the form of ``compared``."""
+    return F.coalesce(compared(df, key), F.lit("")) if is_collated(df, key) else blank_safe(df, key)
+
+
 def blank_safe_anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left rows without a right row of the same keys, NULL and '' being the same."""
 

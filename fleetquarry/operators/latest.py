@@ -7,12 +7,14 @@ taken over the distinct order values of a group only.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetquarry.functions.text import plain
 from fleetquarry.functions.times import NTZ, Moment, days_before
+from fleetquarry.operators.joins import compared, is_collated
 
 
 def rows_at_extreme(
@@ -49,6 +51,19 @@ def latest_snapshot(
     return rows_at_extreme(kept, keys, stamp, over=df)
 
 
+def latest_scan(df: DataFrame, key: str, stamp: str, read: Callable[[str], Column], out: str, where: Column | None = None) -> DataFrame:
+    """As :func:`latest_snapshot` where the stamp is text, which ``read`` turns into a time, shown as ``out``.
+
+    A device has few scans, so texts are read once a scan and not once a row; rows find their scan by its text.
+    """
+    scans = df.select(F.col(key).alias("__k"), plain(stamp).alias("__stamp")).distinct().withColumn(out, read("__stamp"))
+    best = scans.groupBy(F.col("__k").alias("__own")).agg(F.max(out).alias("__extreme"))
+    # compared NULL-safe: a test that the time is known would be pushed below the distinct, and texts read there row by row
+    last = scans.join(best, (F.col("__k") == F.col("__own")) & F.col(out).eqNullSafe(F.col("__extreme"))).where("__extreme IS NOT NULL")
+    kept = df if where is None else df.filter(where)
+    return kept.join(last, (kept[key] == last["__k"]) & (plain(kept[stamp]) == last["__stamp"])).select(*[kept[c] for c in kept.columns], out)
+
+
 def top_rank(
     df: DataFrame, keys: Sequence[str], order: str, descending: bool = False
 ) -> DataFrame:
@@ -82,6 +97,30 @@ def dense_rank_of(
     return df.join(ranks, match, "left").select(*[df[c] for c in df.columns], out)
 
 
+def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A number that equal keys share, by the form that they compare in."""
+    plainly = [k for k in keys if is_collated(df, k) or getattr(df.schema[k].dataType, "collation", "UTF8_BINARY") == "UTF8_BINARY"]
+    return F.xxhash64(*[compared(df, k) for k in plainly])
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``df`` without repeats. Of texts that are equal under their collation one spelling stays, taken from one row.
+
+    A plain DISTINCT over a collation sorts the rows by it, lower-casing texts in each comparison; here they are grouped by the
+    plain text that stands for them.
+    """
+    texts = [c for c in df.columns if is_collated(df, c)]
+    if not texts:
+        return df.distinct()
+    own = [c for c in df.columns if c not in texts]
+    keys = [compared(df, c).alias(f"__t{i}") for i, c in enumerate(texts)]
+    spelled = F.struct(*[plain(c).alias(c) for c in texts])
+    keyed = df.select(key_hash(df, df.columns).alias("__hash"), *own, *keys, spelled.alias("__row"))
+    grouped = keyed.groupBy("__hash", *own, *[f"__t{i}" for i in range(len(texts))]).agg(F.max("__row").alias("__row"))
+    shown = {c: F.col("__row")[c].cast(df.schema[c].dataType).alias(c) for c in texts}
+    return grouped.select(*[shown.get(c, F.col(c)) for c in df.columns])
+
+
 def newest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the one of the greatest ``order``, other columns breaking ties.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from fleetquarry.functions.times import Moment, moment, parse_mixed
-from fleetquarry.operators.joins import blank_safe
+from fleetquarry.operators.joins import blank_key, blank_safe, is_collated
 from fleetquarry.operators.latest import drop_older, newest_by_key, upsert
 
 SHARE_KEYS = ("resource_id", "shared_folder_name")
@@ -112,16 +112,19 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Data
     The target is scanned for the batch's keys and only what is found is compared, so its history
     is not shuffled while those keys fit a broadcast. NULL and '' are the same key.
     """
-    names = [f"__b{i}" for i in range(len(keys))]
+    # texts under a collation are matched by a plain text that stands for them; a number in front settles nearly every comparison
+    hashed = any(is_collated(batch, k) for k in keys)
+    names = [f"__b{i}" for i in range(len(keys) + hashed)]
 
     def blank(df: DataFrame, prefix: str) -> list[Column]:
-        return [blank_safe(df, k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
+        safe = [blank_key(df, k) for k in keys]
+        return [c.alias(f"{prefix}{i}") for i, c in enumerate([F.xxhash64(*safe), *safe] if hashed else safe)]
 
-    every = sorted(keys) == sorted(batch.columns) and len(keys) < 63
+    every = sorted(keys) == sorted(batch.columns) and len(keys) < 63 and not hashed
     once = _distinct_rows(batch, keys, names) if every else newest_by_key(batch.select("*", *blank(batch, "__b")), names, [])
     known = target.select(*blank(target, "__k"))
     wanted = once.select(*[F.col(n).alias(n.replace("__b", "__w")) for n in names])
-    hits = known.join(wanted, [known[f"__k{i}"] == wanted[f"__w{i}"] for i in range(len(keys))], "left_semi")
+    hits = known.join(wanted, [known[f"__k{i}"] == wanted[f"__w{i}"] for i in range(len(names))], "left_semi")
     return once.join(hits, [once[n] == hits[f"__k{i}"] for i, n in enumerate(names)], "left_anti").select(*batch.columns)
 
 

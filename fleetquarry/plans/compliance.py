@@ -15,6 +15,7 @@ from fleetquarry.functions.codes import (
 )
 from fleetquarry.functions.text import account, is_device_id
 from fleetquarry.functions.times import shift_hours
+from fleetquarry.operators.latest import distinct_rows
 from fleetquarry.operators.snapshots import insert_new
 from fleetquarry.sources.files import normalise_cve_sheet
 
@@ -149,12 +150,8 @@ def cve_supersedence(
     join. What an article leads to, itself or one step up, does not depend on the vulnerability and is made distinct without
     it; so the last join, which multiplies the rows, gives each row once and nothing has to be sorted out after it.
     """
-    pairs = (
-        cve_article.filter("cve IS NOT NULL")
-        .select("cve", F.col("article").alias("article_id"))
-        .distinct()
-    )
-    updates = update_info.select("article_id", "ci_id").distinct()
+    pairs = distinct_rows(cve_article.filter("cve IS NOT NULL").select("cve", F.col("article").alias("article_id")))
+    updates = distinct_rows(update_info.select("article_id", "ci_id"))
     edges = (
         ci_relation.filter(F.col("relation_type") == SUPERSEDES)
         .select("ci_id", "referenced_ci_id")
@@ -167,7 +164,7 @@ def cve_supersedence(
         .join(newer.withColumn("newer_ci_id", F.col("ci_id")), "ci_id", "left")
         .select("article_id", "newer_article_id", F.col("newer_ci_id").alias("ci_id"))
     )
-    leads = direct.union(stepped).distinct()
+    leads = distinct_rows(direct.union(stepped))
     return leads.join(pairs, "article_id").select("cve", "article_id", "newer_article_id", "ci_id")
 
 

@@ -94,3 +94,24 @@ def test_inserts_of_a_stream_go_by_the_collation(spark, tmp_path):
 
     assert run(("A", "x", 1), (None, "x", 2)) == [(1,), (2,)]
     assert run(("a  ", "x", 3), ("", "x", 4), ("b", "x", 5)) == [(1,), (2,), (5,)]
+
+
+def test_texts_are_equal_in_the_compared_form_where_the_collation_says_so(spark):
+    """Every sign by itself and between letters, and texts whose lower case depends on the signs around."""
+    signs = spark.range(1, 0x20000).where("id NOT BETWEEN 55296 AND 57343").selectExpr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32') AS s")
+    words = spark.createDataFrame([(w,) for w in ["ΑΣ", "ας", "ασ", "ΑΣ ", "İ", "i̇", "ß", "ẞ", "SS", "x", "X  ", "X\t", " x", ""]], "s string")
+    texts = collated(signs.unionByName(signs.selectExpr("concat('A', s, 'b ') AS s")).unionByName(words)).withColumn("plain", F.col("s").cast("string"))
+    shown = texts.withColumn("form", joins.compared(texts, "s"))
+    assert shown.select("s").distinct().count() == shown.select("form").distinct().count() == shown.select("s", "form").distinct().count()
+
+
+def test_rows_are_distinct_in_one_spelling_without_a_sort_by_collation(spark):
+    df = collated(spark.createDataFrame([("KB1", 1), ("kb1 ", 1), ("Kb1", 2), (None, 1), (None, 1), ("", None), (" ", None)], "a string, n int"))
+    got = latest.distinct_rows(df)
+    assert got.schema == df.schema
+    assert sorted((r.a is None, (r.a or "").strip().lower(), r.n or 0) for r in got.collect()) == [
+        (False, "", 0), (False, "kb1", 1), (False, "kb1", 2), (True, "", 1)
+    ]
+    assert {(r.a, r.n) for r in got.collect()} <= {(r.a, r.n) for r in df.collect()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert all("__hash" in line for line in plan.splitlines() if "Sort [" in line)
