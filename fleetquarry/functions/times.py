@@ -70,15 +70,16 @@ def parse_mixed(value: ColumnOrName, short_years: bool = True) -> Column:
         # two digits: 00-49 are this century, 50-99 the last one
         century = F.when(F.ltrim(text) < "5", F.lit("20")).otherwise(F.lit("19"))
         short = F.concat(century, F.lit("$1-$2-$3 $4 $5"))
-        order = F.when(text.rlike("[.].. "), short).otherwise(order)
+        order = F.when(text.contains(".") & text.rlike("[.].. "), short).otherwise(order)
     iso = F.regexp_replace(text, F.lit(_WRITTEN), order)
     hour = F.regexp_extract(text, r"\s(\d{1,2}):", 1).try_cast("int")
+    lettered = text.contains("m") | text.contains("M")  # spares most texts the patterns
     afternoon = text.rlike(r"(?i)pm\s*$")
     shift = F.when(afternoon & (hour < 12), F.lit(12)).when(~afternoon & (hour == 12), F.lit(-12))
     halved = F.regexp_replace(iso, "(?i)[ap]m$", "").try_cast(NTZ) + F.make_dt_interval(
         F.lit(0), F.coalesce(shift, F.lit(0))
     )
-    time = F.when(text.rlike(r"(?i)[ap]m\s*$"), halved).otherwise(iso.try_cast(NTZ))
+    time = F.when(lettered & text.rlike(r"(?i)[ap]m\s*$"), halved).otherwise(iso.try_cast(NTZ))
     # text of another shape comes through the replacement as it was; a cast could read some
     return F.when(text.rlike(r"^\s*\d{1,2}[-./]"), time)
 
@@ -86,7 +87,7 @@ def parse_mixed(value: ColumnOrName, short_years: bool = True) -> Column:
 def parse_compact_day(value: ColumnOrName) -> Column:
     """The day of ``yyyyMMdd...``; NULL for anything else."""
     text = plain(value)
-    iso = F.regexp_replace(text, r"(?s)^(\d{4})(\d{2})(\d{2}).*$", "$1-$2-$3")
+    iso = F.concat(F.left(text, F.lit(4)), F.lit("-"), F.substring(text, 5, 2), F.lit("-"), F.substring(text, 7, 2))
     return F.when(text.rlike(r"^\d{8}"), iso).try_cast("date").cast(NTZ)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetquarry.functions.text import ColumnOrName, as_column, plain, xml_escape
+from fleetquarry.operators.joins import is_collated
 
 UNKNOWN_ENTRY = "UNKNOWN"
 
@@ -33,19 +34,28 @@ def combined_permissions(entries: DataFrame, keys: list[str], lists: bool = Fals
     ``lists`` they are kept next to the text, as arrays ``shared_entries`` and ``ntfs_entries``, since a text cannot
     be cut again where a name holds ``)(`` or ``[NTFS]``. An empty list is one unknown entry.
     """
-    deny = F.when(F.col("access_control_type") == "AccessDenied", F.lit(" DENY")).otherwise(F.lit(""))
-    entry = plain(F.concat("security_principal", F.lit(": "), "file_system_rights", deny))
     by = ["security_principal", "file_system_rights", "access_control_type"]
-
-    def part(kind: str) -> Column:
-        # a folder has few entries, and the report wants them in one cell
-        own = F.when((F.col("permission_type") == kind) & entry.isNotNull(), F.struct(*by, entry.alias("entry")))
-        items = F.transform(F.sort_array(F.collect_list(own)), lambda x: x["entry"])
+    kinds = {name: kind for name, kind in zip(ENTRY_LISTS, ("SharedPermission", "NTFSPermission"))}
+
+    def entry(row: Column | None = None) -> Column:
+        who, rights, access = (F.col(c) if row is None else row[c] for c in by)
+        deny = F.when(access == "AccessDenied", F.lit(" DENY")).otherwise(F.lit(""))
+        return plain(F.concat(who, F.lit(": "), rights, deny))
+
+    # a folder has few entries, and the report wants them in one cell; both lists are collected as one and the texts of
+    # entries made after it, so that no more than the entries' own columns is moved
+    number = F.when(F.lit(False), F.lit(0))
+    for n, kind in enumerate(kinds.values()):
+        number = number.when(F.col("permission_type") == kind, F.lit(n))
+    spelled = [plain(c).alias(f"{c}_spelled") for c in by if is_collated(entries, c)]
+    own = F.when(number.isNotNull() & entry().isNotNull(), F.struct(number.alias("kind"), *by, *spelled))
+    listed = entries.groupBy(*keys).agg(F.sort_array(F.collect_list(own)).alias("__all"))
+
+    def part(n: int) -> Column:
+        items = F.transform(F.filter("__all", lambda x: x["kind"] == n), entry)
         return F.when(F.size(items) > 0, items).otherwise(F.array(F.lit(UNKNOWN_ENTRY)))
 
-    rolled = entries.groupBy(*keys).agg(
-        part("SharedPermission").alias("shared_entries"), part("NTFSPermission").alias("ntfs_entries")
-    )
+    rolled = listed.select(*keys, *[part(n).alias(name) for n, name in enumerate(kinds)])
 
     def text(items: str) -> Column:
         return F.concat(F.lit("("), F.array_join(items, ")("), F.lit(")"))

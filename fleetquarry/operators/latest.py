@@ -56,10 +56,10 @@ def latest_scan(df: DataFrame, key: str, stamp: str, read: Callable[[str], Colum
 
     A device has few scans, so texts are read once a scan and not once a row; rows find their scan by its text.
     """
-    scans = df.select(F.col(key).alias("__k"), plain(stamp).alias("__stamp")).distinct().withColumn(out, read("__stamp"))
-    best = scans.groupBy(F.col("__k").alias("__own")).agg(F.max(out).alias("__extreme"))
-    # compared NULL-safe: a test that the time is known would be pushed below the distinct, and texts read there row by row
-    last = scans.join(best, (F.col("__k") == F.col("__own")) & F.col(out).eqNullSafe(F.col("__extreme"))).where("__extreme IS NOT NULL")
+    scans = df.groupBy(F.col(key).alias("__k"), plain(stamp).alias("__stamp")).agg(F.count("*").alias("__rows"))
+    # the count, never 0, keeps the reading above this aggregate; else it would be done below, row by row
+    scans = scans.select("__k", "__stamp", F.when(F.col("__rows") > 0, read("__stamp")).alias(out))
+    last = rows_at_extreme(scans, ["__k"], out)
     kept = df if where is None else df.filter(where)
     return kept.join(last, (kept[key] == last["__k"]) & (plain(kept[stamp]) == last["__stamp"])).select(*[kept[c] for c in kept.columns], out)
 

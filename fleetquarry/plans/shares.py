@@ -30,7 +30,7 @@ from fleetquarry.functions.text import (
 )
 from fleetquarry.functions.times import Moment, days_before, on_day, parse_mixed, second_text
 from fleetquarry.operators.differences import ENTRY_LISTS, combined_permissions, marked_line
-from fleetquarry.operators.latest import latest_snapshot
+from fleetquarry.operators.latest import latest_scan
 from fleetquarry.operators.rollups import with_default_rows
 from fleetquarry.operators.snapshots import stamped
 from fleetquarry.sources.html import html_row
@@ -101,8 +101,7 @@ def share_permissions_latest(
     case_insensitive: bool = False,
 ) -> DataFrame:
     """Permissions found by the last scan of each device."""
-    timed = permissions.withColumn("check_time", parse_mixed("time_added"))
-    last = latest_snapshot(timed, "resource_id", "check_time")
+    last = latest_scan(permissions, "resource_id", "time_added", parse_mixed, "check_time")
     devices = system.filter(one_of("resource_domain", domains, case_insensitive)).select(
         "resource_id",
         dotted_host("netbios_name", "full_domain_name").alias("computer_name"),
@@ -168,10 +167,8 @@ def current_permissions(permissions: DataFrame, lists: bool = False) -> DataFram
     The input of ``reconcile``. A device whose last scan found no folders has none here. With ``lists`` the entries stay
     next to the text, as the columns ENTRY_LISTS.
     """
-    timed = permissions.withColumn("check_time", parse_mixed("time_added"))
-    last = latest_snapshot(
-        timed, "resource_id", "check_time", F.col("shared_folder_name") != NO_SHARES
-    )
+    listed = F.col("shared_folder_name") != NO_SHARES
+    last = latest_scan(permissions, "resource_id", "time_added", parse_mixed, "check_time", listed)
     named = last.withColumn("security_principal", principal("security_principal"))
     return combined_permissions(named, FOLDER, lists)
 

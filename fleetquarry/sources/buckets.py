@@ -44,8 +44,16 @@ class BucketStore:
 
     def files(self, spark: SparkSession, bucket: int | None = None) -> list[str]:
         """Paths of data files, of one bucket or of all."""
-        named = {n: _BUCKET.search(n) for n in entries(spark, self.root)}
-        return sorted(f"{self.root.rstrip('/')}/{n}" for n, m in named.items() if m and bucket in (None, int(m[1])))
+        held = self.by_bucket(spark)
+        return sorted(p for b, paths in held.items() for p in paths if bucket in (None, b))
+
+    def by_bucket(self, spark: SparkSession) -> dict[int, list[str]]:
+        """Paths of data files by bucket, from one listing of the folder."""
+        held: dict[int, list[str]] = {}
+        for name in entries(spark, self.root):
+            if found := _BUCKET.search(name):
+                held.setdefault(int(found[1]), []).append(f"{self.root.rstrip('/')}/{name}")
+        return held
 
 
 def _names(columns: Sequence[str]) -> str:
@@ -112,7 +120,8 @@ def apply_changes(
     if not touched:
         return []
     columns = [F.col(f"`{f}`") for f in store.read(spark).columns]
-    before = [p for b in touched for p in store.files(spark, b)]
+    files = store.by_bucket(spark)
+    before = sorted(p for b in touched for p in files.get(b, ()))
     old = spark.read.schema(store.schema).parquet(*before) if before else spark.createDataFrame([], store.schema)
     match = [old[k].eqNullSafe(changes[k]) for k in store.keys]
     left = old.join(changes.select(*store.keys), match, "left_anti")
@@ -129,7 +138,7 @@ def apply_changes(
 
 def _finish(spark: SparkSession, store: BucketStore, staged: str) -> list[int]:
     """Puts the staged files in the place of their buckets' old ones; what an earlier attempt has moved is not staged any more."""
-    moved = []
+    moved, held = [], store.by_bucket(spark)
     for name in entries(spark, staged):
         found = _BUCKET.search(name)
         if name.startswith("gone-"):
@@ -138,7 +147,8 @@ def _finish(spark: SparkSession, store: BucketStore, staged: str) -> list[int]:
             bucket = int(found[1])
         else:
             continue
-        for old in store.files(spark, bucket):
+        # once a bucket: what has just been moved in is not in the listing
+        for old in held.pop(bucket, ()):
             remove(spark, old)
         if found:
             rename(spark, f"{staged}/{name}", f"{store.root.rstrip('/')}/{name}")

@@ -155,3 +155,14 @@ def test_equal_texts_with_different_lists_are_a_change(spark):
     then = spark.createDataFrame([(1, "F", "t", ["a", "b"])], kind)
     (row,) = reconcile(state, then, "2024-01-02", lists=["e"]).collect()
     assert (row["check_status"], row["old_e"], row["new_e"]) == ("Modified", ["a)(b"], ["a", "b"])
+
+
+def test_the_folder_is_listed_a_few_times_however_many_buckets_change(spark, tmp_path, monkeypatch):
+    store = BucketStore(f"{tmp_path}/many", SCHEMA, ["a", "b"], 16)
+    buckets.apply_changes(spark, store, changes(spark, *[("insert", k, "x", k) for k in range(100)]))
+    listed, plain = [], buckets.entries
+    monkeypatch.setattr(buckets, "entries", lambda *args: listed.append(args) or plain(*args))
+    touched = buckets.apply_changes(spark, store, changes(spark, *[("update", k, "x", -k) for k in range(100)]))
+    assert len(touched) == 16 and len(listed) <= 4
+    assert sorted(r.n for r in store.read(spark).collect()) == sorted(-k for k in range(100))
+    assert len(store.files(spark)) == 16

@@ -6,12 +6,12 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
-from test_plans import plan_of
+from test_plans import optimized, plan_of
 
 import __spark_entry__ as entry
 from fleetquarry.bindings import estate
 from fleetquarry.operators import dictionaries
-from fleetquarry.plans import compliance
+from fleetquarry.plans import compliance, shares
 from fleetquarry.sources import files
 
 SMALL = "/root/testdata/sf0.001"
@@ -111,3 +111,23 @@ def test_articles_of_two_databases_are_dealt_out_by_the_rows(spark, monkeypatch)
     plan = plan_of(entry.all_queries()["cve_two_databases"](spark, SMALL))
     lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
     assert f"SelectedBucketsCount: {lines // 500} out of {lines // 500}" in plan
+
+
+def test_scan_times_are_read_once_a_scan(table):
+    """Two spellings of the newest time, an older one, a text that is no time, a device with none."""
+    permissions = table(
+        "share_folder_permission", (1, "A", "10.01.2024 08:00"), (1, "B", "01/10/2024 08:00:00"), (1, "C", "09.01.2024 08:00"), (1, "D", "soon"),
+        (1, "E", None), (2, "F", "soon"), (3, "G", "09.01.2024 08:00"), (3, "No Shared Folders", "10.01.2024 08:00"),
+    )
+    last = shares.current_permissions(permissions)
+    assert rows(last, "resource_id", "shared_folder_name") == [(1, "A"), (1, "B")]
+    # the patterns of times stand above the scans of a device, none among the filters and columns of rows
+    read = [line for line in optimized(last).splitlines() if "RLIKE" in line]
+    assert read and all("Aggregate [" in line and "RLIKE(time_added" not in line for line in read)
+
+
+def test_the_feed_is_parsed_once_by_many_tasks(spark):
+    report = entry.all_queries()["linux_update_compliance"](spark, SMALL)
+    assert "from_xml" not in plan_of(report)
+    xml = spark.createDataFrame([("<update><id>a</id></update>",)], "xml string")
+    assert "Repartition" in plan_of(files.updates_from_text(xml, "xml")) or "RoundRobin" in plan_of(files.updates_from_text(xml, "xml"))
