@@ -10,6 +10,7 @@ from fleetquarry.functions.text import index_of, leading, remove_all
 from fleetquarry.functions.times import parse_compact_day, parse_iso_day
 from fleetquarry.operators.latest import rows_at_extreme
 from fleetquarry.operators.skew import heavy_keys, split_join
+from fleetquarry.session import shared_dir
 from fleetquarry.sources.files import FILE_SUFFIXES, update_packages, update_references
 from fleetquarry.sources.tables import collated
 
@@ -42,6 +43,10 @@ def linux_update_compliance(
     installed packages; its three derived tables are distinct and are broadcast only while
     they are under the size threshold.
     """
+    # three tables come from the feed, which is read and its XML parsed once
+    landed = shared_dir(updates.sparkSession, "feed")
+    updates.write.parquet(landed)
+    updates = updates.sparkSession.read.schema(updates.schema).parquet(landed)
     # texts of the feed compare as those of the installed packages do
     kind = programs.schema["display_name"].dataType
     packages = collated(update_packages(updates), kind).distinct()

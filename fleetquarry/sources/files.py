@@ -89,11 +89,18 @@ def read_updateinfo(spark: SparkSession, path: str) -> DataFrame:
     feed is read by many tasks; each holds one element at a time.
     """
     ended = spark.read.text(path, lineSep="</update>").select(F.concat("value", F.lit("</update>")).alias("xml"))
-    return updates_from_text(ended.select(F.explode(F.regexp_extract_all("xml", F.lit(_UPDATE), F.lit(0))).alias("xml")), "xml")
+    return _parsed(ended.select(F.explode(F.regexp_extract_all("xml", F.lit(_UPDATE), F.lit(0))).alias("xml")), "xml")
 
 
 def updates_from_text(df: DataFrame, column: str) -> DataFrame:
-    """Update rows from a column that holds one update element per row."""
+    """Update rows from a column that holds one update element per row.
+
+    Reading XML takes far longer than its bytes let expect, so the rows are dealt out to all cores first.
+    """
+    return _parsed(df.select(column).repartition(4 * df.sparkSession.sparkContext.defaultParallelism), column)
+
+
+def _parsed(df: DataFrame, column: str) -> DataFrame:
     parsed = df.select(F.from_xml(F.col(column), UPDATE_SCHEMA).alias("u"))
     return parsed.select("u.*")
 
