@@ -15,7 +15,9 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetquarry.functions.text import plain
 from fleetquarry.functions.times import on_day, parse_mixed
+from fleetquarry.operators.dictionaries import DICTIONARY_ROWS
 from fleetquarry.operators.latest import newest_by_key
 from fleetquarry.session import entries, exists, remove, rename, shared_dir, touch
 
@@ -115,28 +117,48 @@ def merge(spark: SparkSession, store: PeriodStore, batch: DataFrame, order: str
     if finish(spark, store, run):
         return
     columns = [c for c in batch.columns if c != PERIOD]
-    reduced = newest_by_key(batch.select(*columns), store.keys, [order] if order else [])
-    placed = reduced.withColumn(PERIOD, store.period_of(parse_mixed(store.stamp)))
-    kept = shared_dir(spark, "batch")
-    placed.write.parquet(kept)
-    placed = spark.read.schema(placed.schema).parquet(kept)
-    # periods are days or months: a list the driver can hold
-    touched = {r[PERIOD] for r in placed.select(PERIOD).distinct().collect()}
+    placed, touched = _placed(spark, store, newest_by_key(batch.select(*columns), store.keys, [order] if order else []))
     if not touched:
         return
-    stored = store.read(spark)
-    if store.moves:
+    stored, held = store.read(spark), set(store.periods(spark))
+    if store.moves and held - touched:
         elsewhere = stored.where(~F.coalesce(_any_of(list(touched)), F.lit(False))).select(*store.keys, PERIOD)
         match = [elsewhere[k].eqNullSafe(placed[k]) for k in store.keys]
         moved = elsewhere.join(placed.select(*store.keys), match, "left_semi")
         touched |= {r[PERIOD] for r in moved.select(PERIOD).distinct().collect()}
-    before = stored.where(_any_of(list(touched)))
-    # a row of a period that is not rewritten is no row of the batch's keys
-    match = [before[k].eqNullSafe(placed[k]) for k in store.keys]
-    left = before.join(placed.select(*store.keys), match, "left_anti")
+    if held & touched:
+        before = stored.where(_any_of(list(touched)))
+        # where the time is part of the key, a row can only take the place of one of its own period
+        rival = placed.where(_any_of(list(held & touched))) if store.stamp in store.keys else placed
+        # a row of a period that is not rewritten is no row of the batch's keys
+        match = [before[k].eqNullSafe(rival[k]) for k in store.keys]
+        left = before.join(rival.select(*store.keys), match, "left_anti")
+    else:
+        left = stored.limit(0)  # nothing to compare with; its columns and types stay
     _replace(spark, store, left.unionByName(placed, allowMissingColumns=True), sorted(touched, key=str), run)
 
 
+def _placed(spark: SparkSession, store: PeriodStore, batch: DataFrame) -> tuple[DataFrame, set[date | None]]:
+    """``batch``, written once, with the period of each row, and these periods.
+
+    A text of a time is read once, however many rows have it; the rows look theirs up while the texts are few enough to be sent to every task.
+    """
+    kept = shared_dir(spark, "batch")
+    batch.write.parquet(f"{kept}/rows")
+    batch = spark.read.schema(batch.schema).parquet(f"{kept}/rows")
+    texts = batch.groupBy(plain(store.stamp).alias("__stamp")).agg(F.count("*").alias("__rows"))
+    # the count, never 0, keeps the reading above this aggregate; else it would be done below, row by row
+    times = texts.select("__stamp", F.when(F.col("__rows") > 0, store.period_of(parse_mixed("__stamp"))).alias(PERIOD))
+    times.write.parquet(f"{kept}/times")
+    times = spark.read.schema(times.schema).parquet(f"{kept}/times")
+    # periods are days or months: a list the driver can hold
+    touched = {r[PERIOD] for r in times.select(PERIOD).distinct().collect()}
+    if times.limit(DICTIONARY_ROWS + 1).count() > DICTIONARY_ROWS:
+        return batch.withColumn(PERIOD, store.period_of(parse_mixed(store.stamp))), touched
+    found = plain(batch[store.stamp]).eqNullSafe(times["__stamp"])
+    return batch.join(F.broadcast(times), found).select(*[batch[c] for c in batch.columns], PERIOD), touched
+
+
 def expiring(spark: SparkSession, store: PeriodStore, cutoff: datetime) -> DataFrame:
     """Rows of the one period that the cutoff parts; its folder alone is opened."""
     return store.read(spark).where(F.col(PERIOD) == F.lit(store.start_of(cutoff.date())))

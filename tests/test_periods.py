@@ -7,7 +7,7 @@ from pathlib import Path
 
 import pytest
 from conftest import rows
-from test_plans import plan_of
+from test_plans import optimized, plan_of
 
 from fleetquarry.functions.times import parse_mixed
 from fleetquarry.operators.snapshots import merge_events
@@ -182,3 +182,39 @@ def test_late_rows_on_both_sides_of_the_mark(spark, tmp_path):
         (1, "first"), (2, "old"), (3, "late"),
     ]
     assert run((5, "15.01.2024 00:00:01", "edge"), (6, "unreadable", "no time")) [:4] == [(1, "first"), (2, "old"), (3, "late"), (5, "edge")]
+
+
+def replaced(spark, monkeypatch, own, rows):
+    """What a merge gives to be written."""
+    real, seen = periods._replace, []
+    with monkeypatch.context() as patch:
+        patch.setattr(periods, "_replace", lambda s, st, r, *rest: (seen.append(optimized(r)), real(s, st, r, *rest)))
+        periods.merge(spark, own, rows)
+    return seen[0]
+
+
+def test_a_merge_compares_and_reads_times_no_more_than_it_must(spark, tmp_path, monkeypatch):
+    """Times are read once a text, new periods are compared with nothing, and rows of them with no stored row."""
+    own = PeriodStore(str(tmp_path / "s"), SCHEMA, ["id", "time_generated"], "time_generated", grain="month", moves=False)
+    first = [(i, t, "a") for i in range(5) for t in ("01.02.2024 10:00:00", "02/01/2024 10:00:00", "soon", None)]
+    plan = replaced(spark, monkeypatch, own, batch(spark, *first))
+    assert "LeftAnti" not in plan and "RLIKE" not in plan
+    assert own.periods(spark) == [None, date(2024, 2, 1)] and len(held(spark, own)) == 20
+    plan = replaced(spark, monkeypatch, own, batch(spark, *[(i, t, "b") for i in (4, 5) for t in ("01.02.2024 10:00:00", "01.03.2024 10:00:00", None)]))
+    right = plan.split("Join LeftAnti")[1].splitlines()
+    assert any("Filter" in line and "2024-02-01" in line and "2024-03-01" not in line for line in right)
+    assert rows(own.read(spark).where("id > 3"), "id", "time_generated", "note") == [
+        (4, None, "b"), (4, "01.02.2024 10:00:00", "b"), (4, "01.03.2024 10:00:00", "b"), (4, "02/01/2024 10:00:00", "a"), (4, "soon", "a"),
+        (5, None, "b"), (5, "01.02.2024 10:00:00", "b"), (5, "01.03.2024 10:00:00", "b"),
+    ]
+
+
+def test_times_that_are_too_many_for_a_dictionary(spark, tmp_path, monkeypatch):
+    got = []
+    for limit in (1, 50):
+        monkeypatch.setattr(periods, "DICTIONARY_ROWS", limit)
+        own = PeriodStore(str(tmp_path / f"s{limit}"), SCHEMA, ["id", "time_generated"], "time_generated", moves=False)
+        for note in "ab":
+            periods.merge(spark, own, batch(spark, *[(i, f"0{1 + i % 3}.01.2024 10:0{i}:00", note) for i in range(9)], (9, "soon", note), (9 if note == "b" else 8, None, note)))
+        got.append(rows(own.read(spark), "id", "time_generated", "note", "period"))
+    assert got[0] == got[1] and len(got[0]) == 12
