@@ -18,6 +18,9 @@ from fleetquarry.functions.text import account, before_first, cpu_text, dotted_h
 from fleetquarry.functions.times import shift_hours
 from fleetquarry.operators.rollups import Text, ordered_rollup
 
+#: Products that a task joins and sorts, where the session's number of shuffle partitions would give it more.
+ROWS_OF_TASK = 500_000
+
 
 def installed_software(
     system: DataFrame,
@@ -29,8 +32,13 @@ def installed_software(
 ) -> DataFrame:
     """Installed products with their device, primary user and operating system.
 
-    All that is known of a device is joined first, so the products are joined once, on their device.
+    All that is known of a device is joined first, so the products are joined once, on their device. The products are counted: many more than
+    the session's partitions are meant for go to tasks of their own number, for tasks that outgrow their memory spill all rows, in the join
+    twice, since the sort's ranges are sampled from it. A device's products still meet in one task.
     """
+    tasks = software.count() // ROWS_OF_TASK
+    # few devices are left to a broadcast
+    own = tasks > int(software.sparkSession.conf.get("spark.sql.shuffle.partitions")) and system.count() > ROWS_OF_TASK
     people = user.select(
         F.col("user_name").alias("u_name"),
         F.col("nt_domain").alias("u_domain"),
@@ -48,9 +56,11 @@ def installed_software(
         F.col("machine_id").alias("resource_id"), "last_policy_request", "last_hardware_scan"
     )
     on_user = (F.col("user_name") == F.col("u_name")) & (F.col("user_domain") == F.col("u_domain"))
+    known = system.select("resource_id", "netbios_name", "resource_domain", "user_name", "user_domain").join(people, on_user, "left")
+    if own:
+        known, software = (df.repartition(tasks, "resource_id") for df in (known.drop("user_domain", "u_name", "u_domain"), software))
     devices = (
-        system.join(people, on_user, "left")
-        .join(os, "resource_id", "left")
+        known.join(os, "resource_id", "left")
         .join(scans, "resource_id", "left")
         .select(
             "resource_id",
@@ -92,7 +102,10 @@ def installed_software(
             "last_hardware_scan",
         )
     )
-    return report.orderBy("product_name", "version", "netbios_name", "resource_id") if ordered else report
+    order = ["product_name", "version", "netbios_name", "resource_id"]
+    if own and ordered:
+        return report.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    return report.orderBy(*order) if ordered else report
 
 
 def adapter_cells(network_adapter: DataFrame, *extra: Column) -> DataFrame:

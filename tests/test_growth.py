@@ -11,7 +11,7 @@ from test_plans import optimized, plan_of
 import __spark_entry__ as entry
 from fleetquarry.bindings import estate
 from fleetquarry.operators import dictionaries
-from fleetquarry.plans import compliance, shares
+from fleetquarry.plans import compliance, inventory, shares
 from fleetquarry.sources import files
 
 SMALL = "/root/testdata/sf0.001"
@@ -131,3 +131,13 @@ def test_the_feed_is_parsed_once_by_many_tasks(spark):
     assert "from_xml" not in plan_of(report)
     xml = spark.createDataFrame([("<update><id>a</id></update>",)], "xml string")
     assert "Repartition" in plan_of(files.updates_from_text(xml, "xml")) or "RoundRobin" in plan_of(files.updates_from_text(xml, "xml"))
+
+
+def test_products_are_dealt_to_as_many_tasks_as_they_ask_for(spark, monkeypatch):
+    """6,000 products in tasks of 100, and the same rows in the same order."""
+    query, order = entry.all_queries()["installed_software"], ["product_name", "version", "netbios_name", "resource_id"]
+    want = query(spark, SMALL)
+    monkeypatch.setattr(inventory, "ROWS_OF_TASK", 100)
+    got = query(spark, SMALL)
+    assert got.rdd.getNumPartitions() == spark.read.parquet(f"{SMALL}/lineitem.parquet").count() // 100
+    assert got.select(*order).collect() == want.select(*order).collect() and rows(got) == rows(want)
