@@ -55,6 +55,16 @@ def packed(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def packed_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all binaries, none of them null, in one buffer, and len+1 offsets."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = column.cast(pa.large_binary())
+    _, where, data = column.buffers()
+    offsets = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` has about ``limit`` bytes at most.
 

@@ -109,20 +109,25 @@ def _names(text: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray
 
 
 def _by_doubling(names: np.ndarray) -> np.ndarray:
-    """Suffixes of a string whose alphabet is nearly as large as itself: ranks of doubled length."""
-    rank, step, n = names.astype(np.int64) + 1, 1, len(names)
-    while True:
-        after = np.zeros(n, np.int64)
-        after[: max(0, n - step)] = rank[step:]
-        key = rank * (n + 2) + after
-        order = np.argsort(key)
-        key = key[order]
-        fresh = np.concatenate([[1], 1 + np.cumsum(key[1:] != key[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
-        if n == 0 or fresh[-1] == n:
-            return order
+    """Suffixes of a string whose alphabet is nearly as large as itself: ranks of doubled length. A round sorts
+    only the suffixes that still share a rank, which is the place where their group begins."""
+    n = len(names)
+    rank, order, at, step = names.astype(np.int64), np.arange(n), np.arange(n), 1
+    while len(at):
+        rows = order[at]
+        after = np.zeros(len(rows), np.int64)
+        inside = rows + step < n
+        after[inside] = rank[rows[inside] + step] + 1
+        key = rank[rows] * (n + 1) + after
+        by = np.argsort(key)
+        rows, key = rows[by], key[by]
+        fresh = np.ones(len(key) + 1, bool)
+        fresh[1:-1] = key[1:] != key[:-1]
+        order[at] = rows
+        rank[rows] = at[np.maximum.accumulate(np.where(fresh[:-1], np.arange(len(key)), 0))]
+        at = at[~(fresh[:-1] & fresh[1:])]
         step *= 2
+    return order
 
 
 def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
@@ -152,23 +157,39 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
     return _induce(text, small, order, symbols)
 
 
+def _words(text: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """For each place as many symbols from there on as 63 bits hold, the first one highest, 0 behind the end; the bits of
+    a symbol and the symbols of a word."""
+    bits = (int(text.max()) + 1).bit_length()
+    per = max(63 // bits, 1)
+    padded = np.concatenate([text.astype(np.int64) + 1, np.zeros(per, np.int64)])
+    words = np.zeros(len(text), np.int64)
+    for i in range(per):
+        words <<= bits
+        words |= padded[i : i + len(text)]
+    return words, bits, per
+
+
 def common_prefixes(text: np.ndarray, suffixes: np.ndarray, most: int) -> np.ndarray:
     """For each place in the suffix array but the first, the length of the prefix that it shares with
     the suffix before it, counted up to ``most``.
 
-    Computed in text order (permuted): a suffix's value is at least that of the one before it in the
-    text less one, so those at ``most`` pass on most of the work.
+    Computed in text order (permuted), by words of several symbols; the highest bit in which two words differ tells the symbol.
     """
     n = len(suffixes)
     if n < 2:
         return np.zeros(0, np.int64)
+    words, bits, per = _words(text)
+    words = np.concatenate([words, np.zeros(most + per, np.int64)])
     before = np.full(len(text), -1, np.int64)
     before[suffixes[1:]] = suffixes[:-1]
-    padded = np.concatenate([text.astype(np.int64), np.full(most + 1, -1)])
     value = np.zeros(len(text), np.int64)
     left = np.flatnonzero(before >= 0)
-    for length in range(most):
-        a, b = left + length, before[left] + length
-        left = left[(padded[a] == padded[b]) & (padded[a] >= 0)]
-        value[left] += 1
-    return value[suffixes[1:]]
+    other = before[left]
+    lowest = np.int64(1) << (bits * np.arange(per))
+    for length in range(0, most, per):
+        apart = words[left + length] ^ words[other + length]
+        value[left] += per - np.searchsorted(lowest, apart, "right")
+        same = apart == 0
+        left, other = left[same], other[same]
+    return np.minimum(value, most)[suffixes[1:]]

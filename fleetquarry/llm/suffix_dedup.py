@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetquarry.llm.common import mixed, packed, ragged, slices, stored
+from fleetquarry.llm.common import mixed, packed, packed_bytes, ragged, slices, stored
 from fleetquarry.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 50
@@ -64,13 +64,13 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def fragments(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def fragments(buffer: np.ndarray, offsets: np.ndarray, hashes: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
     """(document, first window, windows, seed, fragment) of all fragments, in text order; windows count
     from the document's start."""
     none = np.zeros(0, np.int64)
     if len(buffer) < LENGTH:
         return none, none, none, none, none
-    sums, back = _hashes(buffer)
+    sums, back = hashes
     n = len(buffer) - LENGTH + 1
     grams = mixed((sums[K:] - sums[:-K]) * back[: len(sums) - K])
     # the upper half orders, the place below it breaks ties and tells the seed's position
@@ -89,9 +89,9 @@ def fragments(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
     return own, first - offsets[own], windows, grams[seed_at[first]].view(np.int64), named.view(np.int64)
 
 
-def _marks(buffer: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _marks(offsets: np.ndarray, hashes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """20 bits of each text, to tell texts under one doc_id apart."""
-    sums, back = _hashes(buffer)
+    sums, back = hashes
     return (mixed((sums[offsets[1:]] - sums[offsets[:-1]]) * back[offsets[:-1]]) >> np.uint64(44)).astype(np.int64)
 
 
@@ -118,15 +118,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     settled here. So a copied passage sends one row a batch, not one a copy."""
     for batch in slices(batches, "text", BATCH_BYTES):
         buffer, offsets = packed(batch.column("text"))
-        own, start, windows, seed, fragment = fragments(buffer, offsets)
+        hashes = _hashes(buffer)
+        own, start, windows, seed, fragment = fragments(buffer, offsets, hashes)
         if not len(own):
             continue
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[own]
-        at = _marks(buffer, offsets)[own] << _MARK | start << _START | windows - 1
-        order = np.lexsort((ids, fragment, seed))
+        at = _marks(offsets, hashes)[own] << _MARK | start << _START | windows - 1
+        # a fragment's bytes settle its seed
+        order = np.argsort(fragment)
         seed, fragment, ids, at = seed[order], fragment[order], ids[order], at[order]
         first = _firsts(seed, fragment)
-        least = ids[first][np.cumsum(first) - 1]
+        least = np.minimum.reduceat(ids, np.flatnonzero(first))[np.cumsum(first) - 1]
         # copies inside the least document stay: an equal fragment may be in a smaller document yet
         kind = np.where(ids > least, MARK, ASK).astype(np.int32)
         # settled rows pass through the exchange anywhere
@@ -211,7 +213,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = asked.field("at").to_numpy()
         own = np.repeat(np.arange(len(counts)), counts)
         # under one doc_id there may be several texts; a fragment is of the one that it was cut from
-        right = (at >> _MARK & 0xFFFFF) == _marks(buffer, offsets)[own]
+        right = (at >> _MARK & 0xFFFFF) == _marks(offsets, _hashes(buffer))[own]
         start = offsets[own] + (at >> _START & (1 << 36) - 1)
         size = (at & 63) + LENGTH
         start, size = start[right], size[right]
@@ -223,46 +225,65 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*fields, ids, pa.array(at[right]), cut], names)
 
 
-def repeated_windows(texts: list[bytes], windows: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
-    """For each text, which of its first ``windows`` windows also start in a text with a smaller id."""
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    whole = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int16) + 1
-    whole[starts + sizes - 1] = 0  # ends a text; no window reaches over it
+def repeated_windows(data: np.ndarray, sizes: np.ndarray, windows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, first window, windows) of the runs, in text order, of windows that also start in a text with a smaller id.
+
+    ``data`` holds the texts one after the other; of each the first ``windows`` windows are judged.
+    """
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    whole = np.zeros(len(data) + len(sizes), np.int16)  # a 0 ends a text; no window reaches over it
+    whole[np.arange(len(data)) + own] = data.astype(np.int16) + 1
+    starts = np.cumsum(sizes + 1) - sizes - 1
     suffixes = suffix_array(whole, 257)
-    same = common_prefixes(whole, suffixes, LENGTH) >= LENGTH
-    owner = np.repeat(np.arange(len(texts)), sizes)[suffixes]
-    counted = suffixes - starts[owner] < windows[owner]
-    begins = np.flatnonzero(np.concatenate([[True], ~same]))
-    own_ids = np.where(counted, ids[owner], np.iinfo(np.int64).max)
+    owner = np.repeat(np.arange(len(sizes)), sizes + 1)[suffixes]
+    # equal windows stand together in the array, and so they do among the windows alone
+    judged = suffixes - starts[owner] < windows[owner]
+    suffixes, owner = suffixes[judged], owner[judged]
+    begins = np.flatnonzero(np.concatenate([[True], common_prefixes(whole, suffixes, LENGTH) < LENGTH]))
+    own_ids = ids[owner]
     least = np.repeat(np.minimum.reduceat(own_ids, begins), np.diff(np.append(begins, len(suffixes))))
-    flags = np.zeros(len(whole), bool)
-    flags[suffixes] = counted & (ids[owner] > least)
-    return [flags[s : s + w] for s, w in zip(starts, windows)]
+    flags = np.zeros(len(whole) + 2, np.int8)
+    flags[suffixes + 1] = own_ids > least
+    # the place of a 0 is no window, so that no run goes from one text to the next
+    edges = np.flatnonzero(np.diff(flags))
+    first, end = edges[::2], edges[1::2]
+    text = np.searchsorted(starts, first, "right") - 1
+    return text, first - starts[text], end - first
 
 
 def _shard(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[pa.RecordBatch]:
     """Step 3, over rows sorted by seed: suffix arrays of about ``shard_bytes``, seeds kept whole."""
 
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
-        flags = repeated_windows([r[4] for r in rows], np.array([(r[3] & 63) + 1 for r in rows]), np.array([r[2] for r in rows], np.int64))
-        out = []
-        for (_, fragment, doc_id, at, _), flag in zip(rows, flags):
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], flag.astype(np.int8), [0]])))
-            base = at >> _START
-            out += [(doc_id, (int(base) + int(s)) << _START | int(e - s - 1)) for s, e in zip(edges[::2], edges[1::2])]
-        ids, at = zip(*out) if out else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int64())], ["doc_id", "at"])
-
-    held, size, last = [], 0, None
+    def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        ids, at = (table.column(n).to_numpy() for n in ("doc_id", "at"))
+        data, offsets = packed_bytes(table.column("bytes"))
+        text, first, windows = repeated_windows(data, np.diff(offsets), (at & 63) + 1, ids)
+        at = (at[text] >> _START) + first << _START | windows - 1
+        return pa.RecordBatch.from_arrays([pa.array(ids[text]), pa.array(at)], ["doc_id", "at"])
+
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
     for batch in batches:
-        for row in zip(*(batch.column(n).to_pylist() for n in ("seed", "fragment", "doc_id", "at", "bytes"))):
-            if row[0] != last and size >= shard_bytes:
-                yield solve(held)
-                held, size = [], 0
-            held.append(row)
-            size += len(row[4])
-            last = row[0]
+        if not batch.num_rows:
+            continue
+        seed = batch.column("seed").to_numpy()
+        bytes_to = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column("bytes")).to_numpy())])
+        edges = np.flatnonzero(_firsts(seed))
+        if held and seed[0] == last:
+            edges = edges[1:]
+        start, last = 0, seed[-1]
+        while True:
+            # the first seed that begins once there are bytes enough
+            enough = max(start, int(np.searchsorted(bytes_to, bytes_to[start] + shard_bytes - size)))
+            at = int(np.searchsorted(edges, enough))
+            if at == len(edges):
+                break
+            held.append(batch.slice(start, edges[at] - start))
+            yield solve(held)
+            held, size, start = [], 0, int(edges[at])
+        held.append(batch.slice(start))
+        size += int(bytes_to[-1] - bytes_to[start])
     if held:
         yield solve(held)
 
@@ -276,7 +297,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
         at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         own = np.repeat(np.arange(len(counts)), counts)
-        right = (at >> _MARK & 0xFFFFF) == _marks(buffer, offsets)[own]
+        right = (at >> _MARK & 0xFFFFF) == _marks(offsets, _hashes(buffer))[own]
         at, own = at[right], own[right]
         start = offsets[own] + (at >> _START & (1 << 36) - 1)
         covered = np.zeros(len(buffer) + 1, np.int32)
