@@ -5,8 +5,8 @@ Sorting all suffixes of a corpus at one place is out of reach, so suffixes are d
 
 1. Each window of LENGTH bytes has a seed, its K-gram of the least hash. Equal windows have equal
    seeds. Neighbouring windows with one seed form a fragment, named by a hash of its bytes.
-2. Fragments meet by seed. Equal fragments of different documents settle all their windows. Seeds
-   with only one fragment, or one document, are done.
+2. Fragments meet by seed, packed into buckets of seeds. Equal fragments of different documents settle all
+   their windows. Seeds with only one fragment, or one document, are done.
 3. The other fragments, mostly the rims of repeated passages, go to shards by seed. A shard builds the
    suffix array of its fragments by induced sorting and finds windows that
    are equal by their common prefixes.
@@ -35,9 +35,13 @@ BATCH_BYTES = 4 << 20
 #: Bytes of one suffix array, and fragments of one seed above which its windows are dealt one by one.
 SHARD_BYTES = 2 << 20
 FRAGMENTS = 8192
+#: Bytes of text whose fragments fill one bucket of seeds; the most buckets; rows of a bucket that are held before they are thinned out;
+#: rows packed into one binary, and bytes of these in one batch.
+BUCKET_BYTES, BUCKETS, HELD = 2 << 20, 1 << 16, 1 << 20
+PIECE, PIECES_BYTES = 1 << 15, 64 << 20
 
-#: where = text mark (20 bits), start of the first window (36), windows less one (6)
-_MARK, _START = 42, 6
+#: where = settled (1 bit, in packed rows alone), text mark (20), start of the first window (36), windows less one (6)
+_SETTLED, _MARK, _START = 62, 42, 6
 MARK, ASK, BIG = 0, 1, 2
 
 
@@ -113,7 +117,7 @@ def _firsts(*keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Step 1. Of equal fragments in a batch only the one of the smallest doc_id goes on; the others are
     settled here. So a copied passage sends one row a batch, not one a copy."""
     for batch in slices(batches, "text", BATCH_BYTES):
@@ -130,76 +134,113 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = _firsts(seed, fragment)
         least = np.minimum.reduceat(ids, np.flatnonzero(first))[np.cumsum(first) - 1]
         # copies inside the least document stay: an equal fragment may be in a smaller document yet
-        kind = np.where(ids > least, MARK, ASK).astype(np.int32)
-        # settled rows pass through the exchange anywhere
-        yield _rows(kind, np.where(kind == MARK, mixed(at.view(np.uint64)).view(np.int64), seed), fragment, ids, at)
+        settled = ids > least
+        # settled rows pass through the exchange anywhere; a seed's upper half is low, it was the least of its neighbours
+        spread = np.where(settled, mixed(at.view(np.uint64)).view(np.int64), seed)
+        bucket = (spread & (buckets - 1)).astype(np.uint16)
+        order = np.argsort(bucket, kind="stable")
+        rows = np.empty((len(order), 4), np.int64)
+        for i, column in enumerate((seed, fragment, ids, at | settled.astype(np.int64) << _SETTLED)):
+            rows[:, i] = column[order]
+        yield from _pieces(bucket[order], rows)
+
+
+def _pieces(bucket: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``rows`` packed bucket by bucket, in binaries of up to PIECE rows."""
+    edges = np.append(np.flatnonzero(_firsts(bucket)), len(bucket))
+    starts = np.concatenate([np.arange(s, e, PIECE) for s, e in zip(edges, edges[1:])])
+    ends = np.append(starts[1:], len(bucket))
+    width = rows.itemsize * rows.shape[1]
+    step = max(1, PIECES_BYTES // (width * PIECE)) if len(rows) * width > PIECES_BYTES else len(starts)
+    for i in range(0, len(starts), step):
+        s, e = starts[i : i + step], ends[i : i + step]
+        where = (np.append(s, e[-1]) - s[0]) * width
+        data = pa.py_buffer(np.ascontiguousarray(rows[s[0] : e[-1]]))
+        packed_rows = pa.BinaryArray.from_buffers(pa.binary(), len(s), [None, pa.py_buffer(where.astype(np.int32)), data])
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[s].astype(np.int32)), packed_rows], ["bucket", "rows"])
+
+
+def _judge(rows: np.ndarray, most: int, big: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Kind of each row and whether it goes on. Of equal fragments all but those of the least document are settled; seeds with
+    several fragments in several documents are open, and those of more than ``most`` open rows, or in ``big``, are dealt one by one."""
+    seed, fragment, ids = rows[:, 0], rows[:, 1], rows[:, 2]
+    order = np.argsort(fragment)
+    s, i = seed[order], ids[order]
+    new = _firsts(s, fragment[order])
+    starts, group = np.flatnonzero(new), np.cumsum(new) - 1
+    least, greatest = np.minimum.reduceat(i, starts), np.maximum.reduceat(i, starts)
+    left = i == least[group]
+    # the groups of equal fragments, by seed
+    of_seed = np.argsort(s[starts])
+    new = _firsts(s[starts][of_seed])
+    firsts, seeds = np.flatnonzero(new), np.cumsum(new) - 1
+    several = np.diff(np.append(firsts, len(of_seed))) > 1
+    several &= np.minimum.reduceat(least[of_seed], firsts) != np.maximum.reduceat(greatest[of_seed], firsts)
+    count = np.add.reduceat(np.add.reduceat(left.astype(np.int64), starts)[of_seed], firsts)
+    known = np.isin(s[starts][of_seed][firsts], big)
+    kind_of_seed = np.where(known | (several & (count > most)), BIG, ASK)
+    kind_of_group, open_group = np.empty(len(starts), np.int32), np.empty(len(starts), bool)
+    kind_of_group[of_seed], open_group[of_seed] = kind_of_seed[seeds], (several | known)[seeds]
+    kind, goes_on = np.empty(len(rows), np.int32), np.empty(len(rows), bool)
+    kind[order] = np.where(left, kind_of_group[group], MARK)
+    goes_on[order] = ~left | open_group[group]
+    return kind, goes_on
+
+
+def _settle(batches: Iterator[pa.RecordBatch], most: int, held_rows: int) -> Iterator[pa.RecordBatch]:
+    """Step 2, over packed rows sorted by bucket.
+
+    A bucket is held and judged at its end. Before it grows over ``held_rows`` it is thinned out: rows that a smaller document
+    settles go, and so do those of seeds with more than ``most`` open rows, whatever is still to come for them.
+    """
+    held: list[np.ndarray] = []
+    size, bound, now, big = 0, held_rows, None, np.zeros(0, np.int64)
 
+    def out(rows: np.ndarray, kind: int | np.ndarray) -> pa.RecordBatch:
+        # of settled rows only their place is read again
+        names = [np.where(kind == MARK, 0, rows[:, i]) for i in range(2)]
+        return _rows(kind, *names, *(np.ascontiguousarray(rows[:, i]) for i in range(2, 4)))
 
-def _settle(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Step 2, over rows sorted by seed, fragment and doc_id; holds up to ``most`` rows of one seed."""
-    held: list[pa.RecordBatch] = []
-    size, big = 0, None
-
-    def judge(table: pa.Table | pa.RecordBatch, kind_of_rest: int, whole: bool) -> pa.RecordBatch:
-        kind, seed, fragment, ids, at = (table.column(n).to_numpy() for n in _ROWS)
-        old = kind == MARK
-        f = _firsts(seed, fragment, old)
-        least = ids[f][np.cumsum(f) - 1]
-        mark = old | (ids > least)
-        g = _firsts(seed, old)
-        group = np.cumsum(g) - 1
-        starts = np.flatnonzero(g)
-        several = np.add.reduceat(f.astype(np.int64), starts) > 1 if len(starts) else f[:0]
-        docs = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts) if len(starts) else f[:0]
-        ask = ~mark & ((several & docs)[group] if whole else True)
-        keep = mark | ask
-        return _rows(np.where(mark, MARK, kind_of_rest)[keep].astype(np.int32), seed[keep], fragment[keep], ids[keep], at[keep])
+    def whole() -> pa.RecordBatch:
+        rows = np.concatenate(held)
+        kind, goes_on = _judge(rows, most, big)
+        return out(rows[goes_on], kind[goes_on])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        seed = batch.column("seed").to_numpy()
-        # all but the last seed of the batch are complete
-        last = int(np.searchsorted(seed, seed[-1]))
-        if big is not None and seed[0] != big[0]:
-            big = None
-        if last:
-            head = batch.slice(0, last)
-            if big is not None:
-                end = int(np.searchsorted(seed, big[0], "right"))
-                yield _rest_of_big(head.slice(0, end), big)
-                head, big = head.slice(end), None
-            yield judge(pa.Table.from_batches([*held, head]).combine_chunks(), ASK, True)
-            held, size = [], 0
-        tail = batch.slice(last)
-        if big is not None:
-            yield _rest_of_big(tail, big)
-            continue
-        if held and held[-1].column("seed")[0].as_py() != seed[-1]:
-            yield judge(pa.Table.from_batches(held).combine_chunks(), ASK, True)
-            held, size = [], 0
-        held.append(tail)
-        size += tail.num_rows
-        if size > most:
-            table = pa.Table.from_batches(held).combine_chunks()
-            yield judge(table, BIG, False)
-            big = [seed[-1], table.column("fragment")[-1].as_py(), None]
-            same = pc.equal(table.column("fragment"), big[1])
-            big[2] = pc.min(table.column("doc_id").filter(same)).as_py()
-            held, size = [], 0
+        buckets = batch.column("bucket").to_numpy()
+        data, offsets = packed_bytes(batch.column("rows"))
+        table, ends = data.view(np.int64).reshape(-1, 4), offsets // 32
+        edges = np.append(np.flatnonzero(_firsts(buckets)), len(buckets))
+        for a, b in zip(edges, edges[1:]):
+            if buckets[a] != now:
+                if held:
+                    yield whole()
+                held, size, bound, now, big = [], 0, held_rows, buckets[a], big[:0]
+            for s in range(ends[a], ends[b], held_rows):
+                rows = table[s : min(s + held_rows, ends[b])]
+                settled = rows[:, 3] >> _SETTLED > 0
+                if settled.any():
+                    done = rows[settled]
+                    done[:, 3] &= (1 << _SETTLED) - 1
+                    yield out(done, MARK)
+                    rows = rows[~settled]
+                if not len(rows):
+                    continue
+                held.append(rows)
+                size += len(rows)
+                if size > bound:
+                    rows = np.concatenate(held)
+                    kind, _ = _judge(rows, most, big)
+                    gone = kind != ASK
+                    yield out(rows[gone], kind[gone])
+                    big = np.union1d(big, rows[kind == BIG, 0])
+                    rest = rows[~gone]
+                    held, size = [rest] if len(rest) else [], len(rest)
+                    bound = max(held_rows, 2 * size)
     if held:
-        yield judge(pa.Table.from_batches(held).combine_chunks(), ASK, True)
-
-
-def _rest_of_big(rows: pa.RecordBatch, big: list) -> pa.RecordBatch:
-    """Further rows of a seed with many fragments; ``big`` knows its last fragment and that one's least doc_id."""
-    kind, seed, fragment, ids, at = (rows.column(n).to_numpy() for n in _ROWS)
-    f = _firsts(fragment)
-    least = ids[f][np.cumsum(f) - 1]
-    least = np.where(fragment == big[1], big[2], least)
-    if len(fragment):
-        big[1], big[2] = int(fragment[-1]), int(least[-1])
-    return _rows(np.where((kind == MARK) | (ids > least), MARK, BIG).astype(np.int32), seed, fragment, ids, at)
+        yield whole()
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,24 +355,27 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
 
-def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, most: int = FRAGMENTS) -> DataFrame:
+def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, most: int = FRAGMENTS, held: int = HELD) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of ``docs(doc_id, text)``.
 
     Bytes are the UTF-8 of the whole text (null: none). A text under LENGTH bytes keeps all. Rows with the same
     doc_id take nothing from each other; rows without doc_id are neither changed nor compared.
-    Strings are judged on the input, and spans are maximal removed runs. ``shard_bytes`` and ``most`` bound memory and do not change
+    Strings are judged on the input, and spans are maximal removed runs. ``shard_bytes``, ``most`` and ``held`` bound memory and do not change
     the result.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     known = rows.where("doc_id is not null and length(text) > 0")
-    met = known.mapInArrow(_cut, _KIND).repartition("seed").sortWithinPartitions("seed", "fragment", "doc_id")
-    found = stored(met.mapInArrow(partial(_settle, most=most), _KIND), "settled")
+    # as many buckets as the text asks for, so that one fits a task whatever the size of the table
+    size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(BUCKETS, max(64, 1 << (size // BUCKET_BYTES).bit_length()))
+    met = known.mapInArrow(partial(_cut, buckets=buckets), "bucket int, rows binary").repartition("bucket").sortWithinPartitions("bucket")
+    found = stored(met.mapInArrow(partial(_settle, most=most, held_rows=held), _KIND), "settled")
     open_rows = found.where(F.col("kind") != MARK)
     asked = open_rows.groupBy("doc_id").agg(F.collect_list(F.struct("kind", "seed", "fragment", "at")).alias("asked"))
     # a document's fragments are bounded by its text; a repeated row only repeats its own
     cut_kind = _KIND + ", bytes binary"
     texts = stored(known.join(asked, "doc_id").mapInArrow(_texts, cut_kind), "fragments")
-    sharded = texts.where(F.col("kind") == ASK).repartition("seed").sortWithinPartitions("seed", "fragment", "doc_id")
+    sharded = texts.where(F.col("kind") == ASK).repartition("seed").sortWithinPartitions("seed")
     shards = sharded.mapInArrow(partial(_shard, shard_bytes=shard_bytes), "doc_id long, at long")
     marks = found.where(F.col("kind") == MARK).select("doc_id", "at").unionByName(shards).unionByName(_one_by_one(texts))
     spans = marks.groupBy("doc_id").agg(F.collect_set("at").alias("found"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import sys
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -82,3 +83,51 @@ def test_doubling_sorts_strings_of_few_and_many_names():
         names = np.random.default_rng(n).integers(0, symbols, n)
         plain = names.tolist()
         assert suffix_array._by_doubling(names).tolist() == sorted(range(n), key=lambda i: plain[i:])
+
+
+def documents(n: int) -> list[tuple[int, str]]:
+    """Passages of a few words, each in many documents between others, copies, a text of one letter."""
+    rng = random.Random(n)
+    passages = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(40, 120))) for _ in range(12)]
+    rows = [(i, "".join(rng.choice(passages) + rng.choice(["", "x", "yz"]) for _ in range(6))) for i in range(n)]
+    return [*rows, (n, rows[0][1]), (n + 1, "x" * 400), (n + 2, "y" + "x" * 200), (-1, rows[3][1][20:])]
+
+
+def test_fragments_are_exchanged_by_bucket():
+    """A batch sends a row a bucket, or for every PIECE fragments of one, not a row a fragment."""
+    rows = documents(300)
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], ["doc_id", "text"])
+    sent = pa.Table.from_batches(list(suffix_dedup._cut(iter([batch]), 64)))
+    fragments = sum(len(x) for x in sent.column("rows").to_pylist()) // 32
+    assert sent.num_rows <= 64 and fragments > 4000
+
+
+@pytest.mark.parametrize("limits", [{}, {"held": 3, "most": 2}, {"held": 50, "most": 5, "shard_bytes": 700}, {"held": 10}])
+def test_buckets_that_are_thinned_out_give_the_same_rows(spark, monkeypatch, limits):
+    monkeypatch.setattr(suffix_dedup, "PIECE", 7)
+    monkeypatch.setattr(suffix_dedup, "PIECES_BYTES", 500)
+    rows = documents(60)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), **limits)
+    seen: dict[str, int] = {}
+    for i, t in sorted(rows):
+        for p in range(len(t) - 49):
+            seen.setdefault(t[p : p + 50], i)
+    want = {}
+    for i, t in rows:
+        gone = [False] * len(t)
+        for p in range(len(t) - 49):
+            if seen[t[p : p + 50]] < i:
+                gone[p : p + 50] = [True] * 50
+        want[i] = (len(t), sum(gone), sum(g and not (p and gone[p - 1]) for p, g in enumerate(gone)))
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got.collect()} == want
+
+
+def test_a_bucket_is_judged_in_parts_as_at_once():
+    """Thinned out after every few rows, or never: the same rows are settled or left with one doubt the more, none is lost."""
+    rows = documents(200)
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], ["doc_id", "text"])
+    sent = list(suffix_dedup._cut(iter([batch.slice(i, 20) for i in range(0, len(rows), 20)]), 1))
+    once, parts = (pa.Table.from_batches(list(suffix_dedup._settle(iter(sent), 1 << 30, n))) for n in (1 << 30, 100))
+    assert Counter(zip(*(once.column(c).to_pylist() for c in ("kind", "doc_id", "at")))) == Counter(zip(*(parts.column(c).to_pylist() for c in ("kind", "doc_id", "at"))))
+    some = pa.Table.from_batches(list(suffix_dedup._settle(iter(sent), 3, 100)))
+    assert suffix_dedup.BIG in some.column("kind").to_pylist() and some.num_rows >= once.num_rows
