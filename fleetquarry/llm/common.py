@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetquarry.session import shared_dir
+from fleetquarry.session import shared_dir, shuffles_dropped
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,7 +23,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under the cluster's shared folder and read back: cuts the lineage,
     and a lost executor costs a re-read, not a recomputation."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +46,26 @@ def build_session(
     return builder.getOrCreate()
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Around a write: what it has shuffled is deleted when it ends, and not some time after the driver has next cleaned its memory.
+
+    What is written is read back from its files, so nothing needs these shuffles again.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for ``name`` under the shared folder of ``spark.checkpoint.dir``.
 
