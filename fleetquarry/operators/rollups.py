@@ -93,7 +93,12 @@ def with_flag(
 def with_default_rows(
     parents: DataFrame, child: DataFrame, on: str, defaults: dict[str, str]
 ) -> DataFrame:
-    """All child rows, and one row of ``defaults`` for each parent without any."""
-    missing = parents.select(on).distinct().join(child, on, "left_anti")
+    """All child rows, and one row of ``defaults`` for each parent without any.
+
+    Parents are looked for among the distinct keys of ``child``, compared so that the join filters nothing below them: what ``child``
+    itself has shuffled then serves for the rows shown and for the keys.
+    """
+    seen, own = child.select(F.col(on).alias("__seen")).distinct(), parents.select(on).distinct()
+    missing = own.join(seen, own[on].eqNullSafe(seen["__seen"]) & own[on].isNotNull(), "left_anti")
     fill = missing.select(on, *[F.lit(v).alias(k) for k, v in defaults.items()])
     return child.unionByName(fill, allowMissingColumns=True)

@@ -12,11 +12,11 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetquarry.operators.latest import newest_by_key
-from fleetquarry.session import entries, exists, remove, rename, shared_dir, touch
+from fleetquarry.session import entries, exists, remove, rename, shared_dir, shuffles_dropped, touch
 
 OP = "op"
 _READY = "_READY"
@@ -73,11 +73,12 @@ def _table(spark: SparkSession, path: str, schema: str, keys: Sequence[str], buc
         spark.sql(f"DROP TABLE {name}")  # external: the files stay
 
 
-def _written(rows: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
-    """``rows`` as one file a bucket."""
+def _written(rows: DataFrame, path: str, keys: Sequence[str], buckets: int, dealt: bool = False) -> None:
+    """``rows`` as one file a bucket; ``dealt`` says that they are parted by the keys already, in as many parts."""
     name = f"written_{uuid.uuid4().hex}"
-    dealt = rows.repartition(buckets, *keys)
-    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite").format("parquet").saveAsTable(name)
+    rows = rows if dealt else rows.repartition(buckets, *keys)
+    with shuffles_dropped(rows.sparkSession):
+        rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite").format("parquet").saveAsTable(name)
     rows.sparkSession.sql(f"DROP TABLE {name}")
 
 
@@ -113,26 +114,34 @@ def apply_changes(
     kept = shared_dir(spark, "changes")
     rank = F.when(F.col(OP) == "delete", 0).otherwise(1)
     single = changes if once else newest_by_key(changes, store.keys, [rank])
-    single.withColumn("__bucket", store.bucket_of()).write.parquet(kept)
+    with shuffles_dropped(spark):
+        single.withColumn("__bucket", store.bucket_of()).write.parquet(kept)
     changes = spark.read.parquet(kept)
     # as many numbers as there are buckets at most
     touched = sorted(r["__bucket"] for r in changes.select("__bucket").distinct().collect())
     if not touched:
+        remove(spark, kept)
         return []
     columns = [F.col(f"`{f}`") for f in store.read(spark).columns]
     files = store.by_bucket(spark)
     before = sorted(p for b in touched for p in files.get(b, ()))
-    old = spark.read.schema(store.schema).parquet(*before) if before else spark.createDataFrame([], store.schema)
-    match = [old[k].eqNullSafe(changes[k]) for k in store.keys]
-    left = old.join(changes.select(*store.keys), match, "left_anti")
-    after = left.select(*columns).unionByName(changes.where(F.col(OP) != "delete").select(*columns))
-    _written(after, staged, store.keys, store.buckets)
+    changed = changes.select(*columns, F.when(F.col(OP) == "delete", 2).otherwise(1).alias("__change"))
+    if before:
+        # old rows and changes are dealt out once, together; where a key has a change, its old rows go
+        old = spark.read.schema(store.schema).parquet(*before).select(*columns, F.lit(0).alias("__change"))
+        both = old.unionByName(changed).repartition(store.buckets, *store.keys)
+        both = both.withColumn("__last", F.max("__change").over(Window.partitionBy(*store.keys)))
+        after = both.where((F.col("__change") == 1) | (F.col("__last") == 0))
+    else:
+        after = changed.where("__change = 1")
+    _written(after.select(*columns), staged, store.keys, store.buckets, dealt=bool(before))
     held = {int(m[1]) for n in entries(spark, staged) if (m := _BUCKET.search(n))}
     for bucket in touched:
         if bucket not in held:
             touch(spark, f"{staged}/gone-{bucket}")
     touch(spark, f"{staged}/{_READY}")
     _finish(spark, store, staged)
+    remove(spark, kept)
     return touched
 
 

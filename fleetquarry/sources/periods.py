@@ -19,7 +19,7 @@ from fleetquarry.functions.text import plain
 from fleetquarry.functions.times import on_day, parse_mixed
 from fleetquarry.operators.dictionaries import DICTIONARY_ROWS
 from fleetquarry.operators.latest import newest_by_key
-from fleetquarry.session import entries, exists, remove, rename, shared_dir, touch
+from fleetquarry.session import entries, exists, remove, rename, shared_dir, shuffles_dropped, touch
 
 PERIOD = "period"
 _READY = "_READY"
@@ -78,7 +78,8 @@ def _replace(spark: SparkSession, store: PeriodStore, rows: DataFrame, periods:
     """Makes ``rows`` the content of ``periods``."""
     staged = _staged(store, run)
     # a period is written by as many tasks as its size asks for
-    rows.hint("rebalance", F.col(PERIOD)).write.mode("overwrite").partitionBy(PERIOD).parquet(staged)
+    with shuffles_dropped(spark):
+        rows.hint("rebalance", F.col(PERIOD)).write.mode("overwrite").partitionBy(PERIOD).parquet(staged)
     held = set(entries(spark, staged))
     for period in periods:
         name = store.folder(period).rsplit("/", 1)[1]
@@ -117,9 +118,15 @@ def merge(spark: SparkSession, store: PeriodStore, batch: DataFrame, order: str
     if finish(spark, store, run):
         return
     columns = [c for c in batch.columns if c != PERIOD]
-    placed, touched = _placed(spark, store, newest_by_key(batch.select(*columns), store.keys, [order] if order else []))
-    if not touched:
-        return
+    kept = shared_dir(spark, "batch")
+    placed, touched = _placed(spark, store, newest_by_key(batch.select(*columns), store.keys, [order] if order else []), kept)
+    if touched:
+        _merged(spark, store, placed, touched, run)
+    remove(spark, kept)
+
+
+def _merged(spark: SparkSession, store: PeriodStore, placed: DataFrame, touched: set[date | None], run: str) -> None:
+    """Rewrites the periods of ``placed``, whose keys come once, and those that its keys leave."""
     stored, held = store.read(spark), set(store.periods(spark))
     if store.moves and held - touched:
         elsewhere = stored.where(~F.coalesce(_any_of(list(touched)), F.lit(False))).select(*store.keys, PERIOD)
@@ -138,18 +145,19 @@ def merge(spark: SparkSession, store: PeriodStore, batch: DataFrame, order: str
     _replace(spark, store, left.unionByName(placed, allowMissingColumns=True), sorted(touched, key=str), run)
 
 
-def _placed(spark: SparkSession, store: PeriodStore, batch: DataFrame) -> tuple[DataFrame, set[date | None]]:
-    """``batch``, written once, with the period of each row, and these periods.
+def _placed(spark: SparkSession, store: PeriodStore, batch: DataFrame, kept: str) -> tuple[DataFrame, set[date | None]]:
+    """``batch``, written once to the folder ``kept``, with the period of each row, and these periods.
 
     A text of a time is read once, however many rows have it; the rows look theirs up while the texts are few enough to be sent to every task.
     """
-    kept = shared_dir(spark, "batch")
-    batch.write.parquet(f"{kept}/rows")
+    with shuffles_dropped(spark):
+        batch.write.parquet(f"{kept}/rows")
     batch = spark.read.schema(batch.schema).parquet(f"{kept}/rows")
     texts = batch.groupBy(plain(store.stamp).alias("__stamp")).agg(F.count("*").alias("__rows"))
     # the count, never 0, keeps the reading above this aggregate; else it would be done below, row by row
     times = texts.select("__stamp", F.when(F.col("__rows") > 0, store.period_of(parse_mixed("__stamp"))).alias(PERIOD))
-    times.write.parquet(f"{kept}/times")
+    with shuffles_dropped(spark):
+        times.write.parquet(f"{kept}/times")
     times = spark.read.schema(times.schema).parquet(f"{kept}/times")
     # periods are days or months: a list the driver can hold
     touched = {r[PERIOD] for r in times.select(PERIOD).distinct().collect()}
